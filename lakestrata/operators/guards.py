@@ -1,4 +1,4 @@
-"""Key guards that ride on the shuffle the following join needs anyway."""
+"""Key guards: fail the running job instead of multiplying or losing rows."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ _RN = "__rn"
 
 
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """Fail the running job on a repeated key.
+    """Fail on a repeated key, in the same pass.
 
-    ``row_number`` partitioned by the key streams through its group, so one
+    For a side that is hashed on ``keys`` anyway: ``row_number`` partitioned by the key streams through its group, so one
     key with very many rows costs no memory; it asks for the same hash
     distribution and sort order as a sort-merge join on ``keys``, so the join
     adds neither a shuffle nor a sort.
@@ -25,6 +25,18 @@ def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     )
 
 
+def require_unique_side(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """Fail on a repeated key without putting anything between ``df`` and a join.
+
+    The count of repeated keys is a scalar subquery over the key columns
+    alone, aggregated map-side.  The join input stays a plain scan, so Spark
+    can still broadcast it, read its buckets, or (AQE) split the other side's
+    hot keys - which it only does for a join directly over two shuffles.
+    """
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(F.assert_true(repeated.scalar() == 0, F.lit(f"{what}: repeated key in {', '.join(keys)}")).isNull())
+
+
 def require_not_null(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     for k in keys:
         df = df.filter(F.assert_true(F.col(k).isNotNull(), F.lit(f"{what}: NULL key {k}")).isNull())

@@ -37,8 +37,11 @@ def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], sc
 
     Only the source's key columns meet the target: where the increment is
     small enough for Spark's own size check that side is broadcast and the
-    target is not shuffled; otherwise both sides hash on ``key``.
+    target is not shuffled; otherwise both sides hash on ``key``.  The source
+    is read twice (its keys, its rows), so pass a stored increment
+    (``sources.tables.stage``) when it is costly to compute.
     """
+    keys = source.select(*key)
     if duplicates == "raise":
         source = require_unique(source, key, "merge source")
     elif duplicates == "latest":
@@ -47,7 +50,7 @@ def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], sc
         raise ValueError(f"duplicates must be 'raise' or 'latest', not {duplicates!r}")
     if target is None:
         return source
-    kept = target.join(source.select(*key), key, "left_anti").select(*target.columns)
+    kept = target.join(keys, key, "left_anti").select(*target.columns)
     if schema_mode == "ignore":
         return kept.unionByName(source.select(*target.columns))
     kept = sync_columns(kept, source.schema, schema_mode)
@@ -55,12 +58,14 @@ def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], sc
 
 
 def incremental(build, source: DataFrame, target: DataFrame | None, key: list[str], ts_col: str, target_col: str,
-                full_refresh: bool = False, reprocess: DataFrame | None = None) -> DataFrame:
+                full_refresh: bool = False, reprocess: DataFrame | None = None, stage=lambda df: df) -> DataFrame:
     """Full build on the first run or on request, else build the new rows and merge them.
 
     ``build`` turns source rows into target rows.  ``reprocess`` names source
     rows to rebuild although they are not new, for changes that came in
-    through a reference table and so left no trace in ``ts_col``.
+    through a reference table and so left no trace in ``ts_col``.  ``stage``
+    stores the built increment and reads it back, so that the merge does not
+    build it twice and knows its size.
     """
     if target is None or full_refresh:
         return build(source)
@@ -72,4 +77,4 @@ def incremental(build, source: DataFrame, target: DataFrame | None, key: list[st
         # a row that is both new and named must not appear twice
         again = again.filter(~F.coalesce(F.col(ts_col) > mark, F.lit(False)))
         fresh = fresh.unionByName(again)
-    return merge_upsert(build(fresh), target, key)
+    return merge_upsert(stage(build(fresh)), target, key)

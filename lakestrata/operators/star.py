@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.keys import surrogate_key
 from lakestrata.operators.audit import with_audit
-from lakestrata.operators.guards import latest_per_key, require_unique
+from lakestrata.operators.guards import latest_per_key, require_unique_side
 from lakestrata.operators.history import DEFAULT, HistoryColumns, current_rows
 from lakestrata.settings import RunContext
 
@@ -42,7 +42,7 @@ def _prepare(dim: Dim, i: int) -> DataFrame:
     needed = list(dict.fromkeys([*keys, *dim.columns, *([dim.latest_by] if dim.latest_by else [])]))
     d = d.select(*needed)
     if dim.duplicates == "raise":
-        d = require_unique(d, keys, "dimension")
+        d = require_unique_side(d, keys, "dimension")
     elif dim.duplicates == "latest":
         d = latest_per_key(d, keys, [F.col(dim.latest_by).desc_nulls_last()])
     elif dim.duplicates != "trusted":
@@ -67,9 +67,10 @@ def star_join(fact: DataFrame, dims: list[Dim]) -> DataFrame:
         helper = []
         if dim.salt > 1:
             # a fact row's salt depends on the row alone, so a retried task repeats it
-            spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns if _hashable(fact, c)]), F.lit(dim.salt))
+            spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns if _hashable(fact, c)]), F.lit(dim.salt).cast("bigint"))
             out = out.withColumn(f"__s{i}", spread)
-            d = d.withColumn(f"__ds{i}", F.explode(F.sequence(F.lit(0), F.lit(dim.salt - 1))).cast("bigint"))
+            salts = F.sequence(F.lit(0).cast("bigint"), F.lit(dim.salt - 1).cast("bigint"))
+            d = d.withColumn(f"__ds{i}", F.explode(salts))
             on.append(F.col(f"__s{i}") == F.col(f"__ds{i}"))
             helper = [f"__s{i}", f"__ds{i}"]
         out = out.join(d, reduce(lambda a, b: a & b, on), "left")

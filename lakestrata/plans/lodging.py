@@ -134,11 +134,15 @@ def gold_listing_dim(silver: DataFrame, ctx: RunContext, names: HistoryColumns =
 
 def gold_listing_fact(silver: DataFrame, listing_dim: DataFrame, geography: DataFrame, geospatial: DataFrame,
                       ctx: RunContext, names: HistoryColumns = DEFAULT, duplicates: str = "raise") -> DataFrame:
-    """Current listings with their keys; a listing without a match keeps NULL keys."""
+    """Current listings with their keys; a listing without a match keeps NULL keys.
+
+    The listing dimension holds one open version per id, which the history
+    load has enforced; the places come from outside and are checked here.
+    """
     here = {"latitude": "latitude", "longitude": "longitude"}
     dims = [
         Dim(listing_dim, {"id": "ID", "host_id": "HOST_ID"},
-            {"SK": "LISTING_SK", "NAME": "LISTINGS", "HOST_ID": "DIM_HOST_ID", "HOST_NAME": "DIM_HOST_NAME"}, duplicates),
+            {"SK": "LISTING_SK", "NAME": "LISTINGS", "HOST_ID": "DIM_HOST_ID", "HOST_NAME": "DIM_HOST_NAME"}, "trusted"),
         Dim(geography, here, {"geography_id": "GEOGRAPHY_ID", "borough_id": "BOROUGH_ID"}, duplicates),
         Dim(geospatial, here, {"ward_id": "WARD_ID"}, duplicates),
     ]

@@ -111,7 +111,7 @@ class Medallion:
         out = incremental(
             lambda rows: lodging.gold_listing_dim(rows, ctx, self.names),
             self.silver("Listings").current(), self._target(name, full_refresh), ["ID"],
-            self.names.updated_at, "LAST_MODIFIED_AT",
+            self.names.updated_at, "LAST_MODIFIED_AT", stage=lambda df: tables.stage(df, name),
         )
         tables.overwrite(out, name)
 
@@ -121,7 +121,7 @@ class Medallion:
         out = incremental(
             lambda rows: lodging.gold_listing_fact(rows, dim, geo, ward, ctx, self.names),
             self.silver("Listings").current(), self._target(name, full_refresh), ["LISTING_ID"],
-            self.names.updated_at, "LAST_MODIFIED_AT", reprocess=reprocess,
+            self.names.updated_at, "LAST_MODIFIED_AT", reprocess=reprocess, stage=lambda df: tables.stage(df, name),
         )
         tables.overwrite(out, name)
 

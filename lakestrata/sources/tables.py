@@ -59,6 +59,16 @@ def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), keep
 materialize_table = overwrite
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Store an intermediate result under ``<name>__staged`` and read it back.
+
+    What follows starts from files: it is computed once, survives the loss of
+    executors, and has a size that join planning can use.
+    """
+    overwrite(df, name + "__staged", keep=0)
+    return df.sparkSession.table(name + "__staged")
+
+
 def ctas(df: DataFrame, name: str) -> None:
     """Create (or replace) a table from a query."""
     overwrite(df, name)
