@@ -68,7 +68,7 @@ def _transition(source: DataFrame, open_rows: DataFrame, key: list[str], changed
     """Next state of the open versions: kept, newly closed and newly opened rows.
 
     A joined row yields one or two output rows, so they are emitted as an
-    array and exploded: the join runs once, whatever the mix of outcomes.
+    array and unpacked: the join runs once, whatever the mix of outcomes.
     """
     if deletes not in HARD_DELETES:
         raise ValueError(f"hard_deletes must be one of {HARD_DELETES}")
@@ -125,7 +125,7 @@ def _transition(source: DataFrame, open_rows: DataFrame, key: list[str], changed
         .when(changed | was_deleted, F.array(old(new_at), fresh))
         .otherwise(kept)
     )
-    return joined.select(F.explode(outcome).alias("r")).select("r.*")
+    return joined.select(F.inline(outcome))
 
 
 def _incoming(source: DataFrame, key: list[str], unique: str) -> DataFrame:

@@ -47,4 +47,4 @@ def at(day: int, run: str = "run") -> RunContext:
 
 def rows(df):
     """Order-free content of a frame."""
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
