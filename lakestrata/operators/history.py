@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.functions.keys import version_id
 from lakestrata.operators.guards import require_not_null, require_unique
@@ -72,51 +73,43 @@ def _transition(source: DataFrame, open_rows: DataFrame, key: list[str], changed
     """
     if deletes not in HARD_DELETES:
         raise ValueError(f"hard_deletes must be one of {HARD_DELETES}")
-    s = source.select(F.lit(True).alias("__in_s"), *[F.col(c).alias("s_" + c) for c in source.columns])
-    t = open_rows.select(F.lit(True).alias("__in_t"), *[F.col(c).alias("t_" + c) for c in open_rows.columns])
+    marks = deletes == "new_record"
+    # a cast to this type names the fields of every emitted row
+    row_type = T.StructType([
+        *[T.StructField(f.name, f.dataType) for f in source.schema],
+        T.StructField(n.valid_from, T.TimestampType()),
+        T.StructField(n.valid_to, T.TimestampType()),
+        T.StructField(n.updated_at, T.TimestampType()),
+        T.StructField(n.version_id, T.StringType()),
+        *([T.StructField(n.is_deleted, T.BooleanType())] if marks else []),
+    ])
+    s = source.toDF(*["s_" + c for c in source.columns]).withColumn("__in_s", F.lit(True))
+    t = open_rows.toDF(*["t_" + c for c in open_rows.columns]).withColumn("__in_t", F.lit(True))
     on = reduce(lambda a, b: a & b, [F.col("s_" + k) == F.col("t_" + k) for k in key])
     joined = s.join(t, on, "full_outer")
 
     held = {c.lower(): c for c in open_rows.columns}
-    marks = deletes == "new_record"
+    stored = ["t_" + held[c.lower()] if c.lower() in held else F.lit(None) for c in source.columns]
     was_deleted = F.coalesce(F.col("t_" + n.is_deleted), F.lit(False)) if marks and n.is_deleted in open_rows.columns else F.lit(False)
+    none = F.lit(None)
 
-    def old(valid_to: Column) -> Column:
-        business = [
-            (F.col("t_" + held[f.name.lower()]).cast(f.dataType) if f.name.lower() in held
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in source.schema
-        ]
-        tail = [
-            F.col("t_" + n.valid_from).cast("timestamp").alias(n.valid_from),
-            valid_to.cast("timestamp").alias(n.valid_to),
-            F.col("t_" + n.updated_at).cast("timestamp").alias(n.updated_at),
-            F.col("t_" + n.version_id).alias(n.version_id),
-        ]
-        if marks:
-            tail.append(was_deleted.alias(n.is_deleted))
-        return F.struct(*business, *tail)
-
-    fresh = F.struct(
-        *[F.col("s_" + c).alias(c) for c in source.columns],
-        *_bookkeeping(new_at, [F.col("s_" + k) for k in key], deletes, n),
-    )
-    kept = F.array(old(F.col("t_" + n.valid_to)))
+    def row(*fields, deleted: Column) -> Column:
+        return F.struct(*fields, *([deleted] if marks else [])).cast(row_type)
+
+    def old(valid_to: Column | str) -> Column:
+        return row(*stored, "t_" + n.valid_from, valid_to, "t_" + n.updated_at, "t_" + n.version_id, deleted=was_deleted)
+
+    new_id = version_id(["s_" + k for k in key], new_at)
+    fresh = row(*["s_" + c for c in source.columns], new_at, none, new_at, new_id, deleted=F.lit(False))
+    kept = F.array(old("t_" + n.valid_to))
 
     if deletes == "ignore":
         gone = kept
     elif deletes == "invalidate":
         gone = F.array(old(gone_at))
     else:
-        marker = F.struct(
-            *[(F.col("t_" + held[f.name.lower()]).cast(f.dataType) if f.name.lower() in held
-               else F.lit(None).cast(f.dataType)).alias(f.name) for f in source.schema],
-            gone_at.alias(n.valid_from),
-            F.lit(None).cast("timestamp").alias(n.valid_to),
-            gone_at.alias(n.updated_at),
-            version_id([F.col("t_" + k) for k in key], gone_at).alias(n.version_id),
-            F.lit(True).alias(n.is_deleted),
-        )
+        mark_id = version_id(["t_" + k for k in key], gone_at)
+        marker = row(*stored, gone_at, none, gone_at, mark_id, deleted=F.lit(True))
         gone = F.when(was_deleted, kept).otherwise(F.array(old(gone_at), marker))
 
     outcome = (
@@ -140,9 +133,8 @@ def check_changes(source: DataFrame, open_rows: DataFrame, key: list[str], check
     at = ctx.timestamp().cast("timestamp")
     held = {c.lower() for c in open_rows.columns}
     # a column the target has never held counts as NULL there
-    tests = [~F.col("s_" + c).eqNullSafe(F.col("t_" + c)) if c.lower() in held else F.col("s_" + c).isNotNull()
-             for c in check_cols]
-    changed = reduce(lambda a, b: a | b, tests, F.lit(False))
+    tests = [f"NOT (`s_{c}` <=> `t_{c}`)" if c.lower() in held else f"`s_{c}` IS NOT NULL" for c in check_cols]
+    changed = F.expr(" OR ".join(tests) or "false")
     src = _incoming(source, key, source_unique)
     return _transition(src, open_rows, key, changed, at, at, hard_deletes, names)
 

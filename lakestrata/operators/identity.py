@@ -38,9 +38,9 @@ def assign_identity(df: DataFrame, order: list[str], name: str = "id", start: in
     counts = placed.groupBy(part.alias("p")).count().orderBy("p").collect()
     offsets, seen = [], start
     for row in counts:
-        offsets += [F.lit(row["p"]), F.lit(seen).cast("bigint")]
+        offsets.append((row["p"], seen))
         seen += row["count"]
-    if not offsets:
-        return placed.select(F.lit(None).cast("bigint").alias(name), *df.columns)
-    base = F.element_at(F.create_map(*offsets), part)
-    return placed.select((base + position).alias(name), *df.columns)
+    # one row per partition of the shuffle above, so its size has a bound and it may be broadcast
+    bases = F.broadcast(spark.createDataFrame(offsets, "__p bigint, __base bigint"))
+    numbered = placed.withColumn("__p", part).join(bases, "__p")
+    return numbered.select((F.col("__base") + position).alias(name), *df.columns)

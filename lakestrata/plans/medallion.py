@@ -45,6 +45,7 @@ class Medallion:
     names: HistoryColumns = DEFAULT
     buckets: int | None = None
     bindings: Bindings = field(default_factory=Bindings)
+    schema: str = lodging.SCHEMA
 
     def __post_init__(self):
         configure(self.spark)
@@ -52,10 +53,10 @@ class Medallion:
             raise ValueError(f"gold_mode must be 'table' or 'incremental', not {self.gold_mode!r}")
 
     def name(self, layer: str, table: str) -> str:
-        return self.layers.table(layer, lodging.SCHEMA, table)
+        return self.layers.table(layer, self.schema, table)
 
     def create(self, location: str | None = None) -> None:
-        tables.create_layers(self.spark, self.layers, [lodging.SCHEMA], location)
+        tables.create_layers(self.spark, self.layers, [self.schema], location)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
@@ -154,5 +155,5 @@ class Medallion:
 
     def reset(self, layers: tuple[str, ...] = REBUILT) -> None:
         """Drop what a build makes; landing and the reference dimensions stay."""
-        tables.drop_layers(self.spark, self.layers, [lodging.SCHEMA], list(layers))
+        tables.drop_layers(self.spark, self.layers, [self.schema], list(layers))
         tables.drop(self.spark, self.name("GOLD", "Dim_Listing_Details"), self.name("GOLD", "Fact_Listings"))

@@ -37,6 +37,10 @@ class GovernedCatalog:
             df = self.spark.table(name)
         return governed(df, name, self.bindings, role)
 
+    def query(self, role: str, sql: str, **names: str) -> DataFrame:
+        """SQL text as ``role``: ``query("BI", "SELECT * FROM {t} LIMIT 5", t="db.table")``."""
+        return self.spark.sql(sql, **{k: self.read(n, role) for k, n in names.items()})
+
     def create_view(self, name: str, source: str, query: Callable[[DataFrame], DataFrame] = lambda d: d) -> None:
         self.views[name.lower()] = (source, query)
 

@@ -1,11 +1,18 @@
 """Row history, incremental merges, gold dimension and fact."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from lakestrata.functions.casting import typed
+from lakestrata.operators.audit import with_audit
 from lakestrata.operators.history import current_rows, history, snapshot_check, snapshot_timestamp
 from lakestrata.operators.incremental import high_water_mark, incremental, merge_upsert, newer_than
 from lakestrata.operators.star import build_dim
 from lakestrata.plans import lodging
+from lakestrata.plans.medallion import Medallion
+from lakestrata.settings import Layers
+from lakestrata.sources import tables
 from workload import derived
 from workload.registration import query, run_at, stamp
 
@@ -254,6 +261,35 @@ def gold_listing_fact(t):
     return gold_fact_frame(t).select(*_FACT_COLS, F.col("REVIEWS_PER_MONTH").cast("double").alias("REVIEWS_PER_MONTH"), stamp("LAST_MODIFIED_AT"))
 
 
+def _stored_build(t, mode):
+    """Both deliveries through stored landing, bronze, silver and gold tables."""
+    run = t.spark.sparkContext.applicationId.replace("-", "_").upper()
+    m = Medallion(t.spark, Layers("DEV"), mode, buckets=8, schema=f"LODGING_{mode.upper()}_{run}")
+    m.reset(("LANDING", "BRONZE", "SILVER", "GOLD", "PLATINUM"))
+    m.create(t.work_path(f"layers_{uuid.uuid4().hex}"))
+    landing, hit = derived.landing_listings(t), F.col("id").cast("bigint") % 9 == 0
+    tables.overwrite(with_audit(landing, run_at(1)), m.name("LANDING", "Listings"))
+    tables.overwrite(derived.geography(t), m.name("GOLD", "Dim_Geography"))
+    tables.overwrite(derived.geospatial(t), m.name("GOLD", "Dim_Geography_Geospatial"))
+    steps = {"bronze_listings", "silver_listings", "gold_dim", "gold_fact"}
+    m.run(run_at(1), steps)
+    dearer = (typed("price", "bigint") + 100).cast("string")
+    tables.update_table(t.spark, m.name("LANDING", "Listings"), hit, {"name": F.concat("name", F.lit(" (new)")), "price": dearer})
+    m.run(run_at(2), steps)
+    return m.read("GOLD", "Fact_Listings").select(
+        *_FACT_COLS, F.col("REVIEWS_PER_MONTH").cast("double").alias("REVIEWS_PER_MONTH"), stamp("LAST_MODIFIED_AT"))
+
+
+@query(_FACT)
+def stored_build_rebuilt(t):
+    return _stored_build(t, "table")
+
+
+@query(_FACT)
+def stored_build_incremental(t):
+    return _stored_build(t, "incremental")
+
+
 @query("""SELECT c_custkey AS ID, c_name AS NAME, sha1(concat_ws('||', CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR))) AS SK,
   c_mktsegment FROM customer""")
 def dimension_with_two_part_key(t):

@@ -146,3 +146,16 @@ def stored_history(t):
     for month in (2, 3):
         h.load_by_check(derived.later_orders(t).select(*cols), ["o_orderstatus"], run_at(month))
     return t.spark.table(name).select(*cols, stamp("valid_from"), stamp("valid_to"))
+
+
+@query("""SELECT role, c_custkey, name_length, masked FROM (
+    SELECT 'SYSADMIN' AS role, c_custkey, length(c_name) AS name_length, FALSE AS masked, c_mktsegment FROM customer
+    UNION ALL SELECT 'QA_READONLY', c_custkey, 14, TRUE, c_mktsegment FROM customer) WHERE c_mktsegment = 'BUILDING'""")
+def governed_sql(t):
+    """SQL text over a protected table, once per role."""
+    name = _fresh(t, "queried")
+    tables.overwrite(t.customer, name)
+    cat = GovernedCatalog(t.spark, Bindings().set_mask(name, "c_name", constant_mask("pii", MASKED, allow=("SYSADMIN",))))
+    text = ("SELECT c_custkey, length(c_name) AS name_length, c_name = '*** MASKED ***' AS masked FROM {people} WHERE c_mktsegment = 'BUILDING'")
+    a, b = (cat.query(r, text, people=name).withColumn("role", F.lit(r)) for r in ("SYSADMIN", "QA_READONLY"))
+    return a.unionByName(b).select("role", "c_custkey", F.col("name_length").cast("bigint").alias("name_length"), "masked")
