@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,21 +43,29 @@ def resolve_tasks(jobs: DataFrame, tasks: DataFrame, sink_database: str, job_id:
     return joined.orderBy("task_id")
 
 
+def run_task(spark: SparkSession, task, root: str, ctx: RunContext, mode: str = "overwrite",
+             columns: list[str] | None = None) -> str:
+    """Land one resolved task and return the table it went to."""
+    config = json.loads(task["source_config"])
+    if task["task_switch"] in CSV_SWITCHES:
+        df = files.ingest_csv(spark, root, config, ctx, task["source_name"], columns)
+    elif task["task_switch"] in JSON_SWITCHES:
+        df = files.ingest_json(spark, files.source_path(root, config), bool(config.get("multi_line", False)))
+    else:
+        raise ValueError(f"task {task['task_id']}: unknown switch {task['task_switch']!r}")
+    sink = f"{task['sink_database']}__{task['sink_schema']}.{task['sink_table']}"
+    (tables.overwrite if mode == "overwrite" else tables.append)(df, sink)
+    return sink
+
+
 def run_tasks(spark: SparkSession, resolved: DataFrame, root: str, ctx: RunContext, mode: str = "overwrite",
-              columns: dict[str, list[str]] | None = None) -> list[str]:
-    """Land every task; the registry itself is small, each task's read and write is a Spark job."""
+              columns: dict[str, list[str]] | None = None, parallel: int = 4) -> list[str]:
+    """Land every task, ``parallel`` at a time, so that a job of many small files fills the cluster.
+
+    Only the registry rows come to the driver; each read and write is a Spark
+    job of its own.
+    """
     ctx = ctx.pinned()
-    landed = []
-    for task in resolved.withColumn("source_config", F.to_json("source_config")).collect():
-        config = json.loads(task["source_config"])
-        if task["task_switch"] in CSV_SWITCHES:
-            wanted = (columns or {}).get(task["sink_table"])
-            df = files.ingest_csv(spark, root, config, ctx, task["source_name"], wanted)
-        elif task["task_switch"] in JSON_SWITCHES:
-            df = files.ingest_json(spark, files.source_path(root, config), bool(config.get("multi_line", False)))
-        else:
-            raise ValueError(f"task {task['task_id']}: unknown switch {task['task_switch']!r}")
-        sink = f"{task['sink_database']}__{task['sink_schema']}.{task['sink_table']}"
-        (tables.overwrite if mode == "overwrite" else tables.append)(df, sink)
-        landed.append(sink)
-    return landed
+    todo = resolved.withColumn("source_config", F.to_json("source_config")).collect()
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return list(pool.map(lambda t: run_task(spark, t, root, ctx, mode, (columns or {}).get(t["sink_table"])), todo))

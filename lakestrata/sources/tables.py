@@ -44,15 +44,32 @@ def _publish(spark: SparkSession, name: str, v: int, keep: int) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}__v{old}")
 
 
-def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), keep: int = 1) -> None:
-    """Replace the whole content; ``df`` may read ``name`` itself."""
+def partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
+    """Columns the published version is partitioned by."""
+    if version(spark, name) == 0:
+        return ()
+    return tuple(c.name for c in spark.catalog.listColumns(physical(spark, name)) if c.isPartition)
+
+
+def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = None, keep: int = 1) -> None:
+    """Replace the whole content; ``df`` may read ``name`` itself.
+
+    Partitioning carries over from the version before unless stated.  Rows of
+    a partitioned table are rebalanced on its partition columns first: small
+    partitions come out as few files, and AQE splits a partition that holds a
+    large share of the rows over several tasks.
+    """
     spark = df.sparkSession
     v = version(spark, name) + 1
+    if partition_by is None:
+        have = {c.lower() for c in df.columns}
+        partition_by = tuple(c for c in partition_columns(spark, name) if c.lower() in have)
     spark.sql(f"DROP TABLE IF EXISTS {name}__v{v}")  # left by a load that failed
-    writer = df.write.format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(f"{name}__v{v}")
+        writer = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
+    else:
+        writer = df.write
+    writer.format("parquet").saveAsTable(f"{name}__v{v}")
     _publish(spark, name, v, keep)
 
 
@@ -124,7 +141,7 @@ def create_like(spark: SparkSession, src: str, name: str) -> None:
 
 def clone(spark: SparkSession, src: str, name: str) -> None:
     """Independent full copy; Parquet tables share no files between names."""
-    overwrite(spark.table(src), name)
+    overwrite(spark.table(src), name, partition_columns(spark, src))
 
 
 def create_view(spark: SparkSession, query: DataFrame | str, name: str) -> None:

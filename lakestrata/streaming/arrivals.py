@@ -40,7 +40,9 @@ def history_of_arrivals(stream: DataFrame, table: HistoryTable, check_cols: list
     """Load each batch into a history table.
 
     A batch replayed after a failure holds the same rows, so the check
-    strategy finds nothing to change the second time.
+    strategy finds nothing to change the second time.  One batch must not
+    hold a key twice; ``prepare`` is the place to settle that
+    (``operators.guards.latest_per_key``).
     """
 
     def load(batch: DataFrame, _: int) -> None:

@@ -127,6 +127,28 @@ def test_failed_overwrite_keeps_the_old_rows(spark, db):
     assert spark.table(n).count() == 1
 
 
+def test_partitioning_carries_over_and_hot_partitions_are_split(spark, db):
+    n = f"{db}.parted"
+    df = spark.range(0, 9000, 1, 6).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 5).cast("string")).alias("p"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4000")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1000")
+        tables.overwrite(df, n, ("p",))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert spark.table(n).filter("p = 'hot'").select(F.input_file_name()).distinct().count() > 1
+    tables.update_table(spark, n, F.col("id") == 1, {"id": F.lit(-1)})
+    tables.clone(spark, n, f"{db}.parted_twin")
+    for t in (n, f"{db}.parted_twin"):
+        assert tables.partition_columns(spark, t) == ("p",) and spark.table(t).count() == 9000
+        plan = spark.table(t).filter("p = 'hot'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(p" in plan
+    tables.overwrite(spark.range(3), n)
+    assert tables.partition_columns(spark, n) == ()
+
+
 def test_update_where_types_and_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     out = tables.update_where(df, F.col("k") > 0, {"K": F.col("k") + 1, "v": F.lit("set")})
