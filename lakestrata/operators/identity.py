@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakestrata.settings import ensure_checkpoint_dir
+from lakestrata.settings import scratch_root
 
 # monotonically_increasing_id() puts the partition above bit 33 and the row position below it
 _POSITION_BITS = 33
@@ -15,24 +18,25 @@ def assign_identity(df: DataFrame, order: list[str], name: str = "id", start: in
                     partitions: int | None = None) -> DataFrame:
     """Gapless ``start, start+1, ...`` in the given order, without a single-task sort.
 
-    One range shuffle orders the rows across partitions; each row's partition
-    and position are fixed in a reliable checkpoint (range bounds come from a
-    sample, so they must not be computed twice); the only thing that reaches
-    the driver is one row count per partition.  The input position breaks
+    One range shuffle orders the rows across partitions.  Each row's partition
+    and position are then fixed in a written table in the shared folder: range
+    bounds come from a sample, so they must not be computed twice.  Only one
+    row count per partition reaches the driver.  The input position breaks
     ties, so a value shared by very many rows still spreads over partitions.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie, slot = "__tie", "__slot"
-    placed = (
+    where = f"{scratch_root(spark)}/lakestrata_identity/{uuid.uuid4().hex}"
+    (
         df.withColumn(tie, F.monotonically_increasing_id())
         .repartitionByRange(n, *order, tie)
         .sortWithinPartitions(*order, tie)
         .withColumn(slot, F.monotonically_increasing_id())
         .drop(tie)
-        .checkpoint()
+        .write.parquet(where)
     )
+    placed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(slot, T.LongType())])).parquet(where)
     part = F.shiftright(F.col(slot), _POSITION_BITS)
     position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     counts = placed.groupBy(part.alias("p")).count().orderBy("p").collect()

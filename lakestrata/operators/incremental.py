@@ -46,6 +46,7 @@ def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], sc
         source = require_unique(source, key, "merge source")
     elif duplicates == "latest":
         source = latest_per_key(source, key, [F.col(latest_by).desc_nulls_last()])
+        keys = keys.distinct()  # a hot key meets the target once
     else:
         raise ValueError(f"duplicates must be 'raise' or 'latest', not {duplicates!r}")
     if target is None:

@@ -52,12 +52,12 @@ def unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def relationships(child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]) -> DataFrame:
     """Foreign keys without a parent, with how many child rows carry each.
 
-    The child is reduced to one row per key and task before it meets the
-    parent, so a foreign key that fills a third of the table costs nothing extra.
+    Both sides are reduced to one row per key and task before they meet, so a
+    key that fills a third of either table costs nothing extra.
     """
     present = reduce(lambda d, k: d.filter(F.col(k).isNotNull()), fk, child)
     held = present.groupBy(*fk).agg(F.count(F.lit(1)).alias("row_count"))
-    known = parent.select(*[F.col(p).alias(f"__pk{i}") for i, p in enumerate(pk)])
+    known = parent.select(*[F.col(p).alias(f"__pk{i}") for i, p in enumerate(pk)]).distinct()
     on = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"__pk{i}") for i, f in enumerate(fk)])
     return held.join(known, on, "left_anti")
 

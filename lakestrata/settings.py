@@ -26,7 +26,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and work tables.
+    """Shared folder for work tables that cut a plan in two.
 
     The cluster names it in ``spark.checkpoint.dir``; where that is unset the
     session's warehouse directory, which executors must reach anyway, serves.
@@ -35,11 +35,6 @@ def scratch_root(spark: SparkSession) -> str:
     return (conf or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark) + "/_checkpoints")
-
-
 @dataclass(frozen=True)
 class Layers:
     """Database names per layer: ``<ENV>_<LAYER>[_<SOURCE>]``."""

@@ -31,7 +31,7 @@ def row_count_check(t):
     return compare_row_count(t.lineitem, derived.altered_lines(t))
 
 
-@query("SELECT count(*) AS source_count, count(*) AS target_count, 0 AS difference FROM documents")
+@query("SELECT count(*) AS source_count, count(*) AS target_count, CAST(0 AS BIGINT) AS difference FROM documents")
 def row_count_both_sides(t):
     """Landing and bronze hold as many rows."""
     landing = derived.landing_reviews(t)
@@ -39,7 +39,7 @@ def row_count_both_sides(t):
 
 
 @query(f"""WITH {derived.ALTERED_LINES_SQL}, a AS (SELECT {_LINE} FROM lineitem), b AS (SELECT {_LINE} FROM altered_lines)
-  SELECT *, 'source' AS only_in, 1 AS copies FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+  SELECT *, 'source' AS only_in, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
   UNION ALL SELECT *, 'target', 1 FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def reconcile_as_sets(t):
     """Symmetric difference: a duplicated row does not show."""

@@ -7,7 +7,7 @@ from lakestrata.operators.shaping import cast_columns, flatten_variant
 from lakestrata.sources import files, registry
 from workload.registration import query, run_at
 
-_TASKS = """SELECT r_regionkey AS job_id, n_nationkey AS task_id, CASE WHEN n_nationkey % 2 = 0 THEN 'BLOB_CSV' ELSE 'ADLS_CSV' END AS task_switch,
+_TASKS = """SELECT CAST(r_regionkey AS BIGINT) AS job_id, CAST(n_nationkey AS BIGINT) AS task_id, CASE WHEN n_nationkey % 2 = 0 THEN 'BLOB_CSV' ELSE 'ADLS_CSV' END AS task_switch,
   r_name AS source_name, lower(n_name) || '.csv' AS file, 'DEV_LANDING' AS sink_database, upper(r_name) AS sink_schema, n_name AS sink_table
   FROM region JOIN nation ON n_regionkey = r_regionkey"""
 
