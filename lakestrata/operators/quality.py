@@ -99,11 +99,15 @@ def assert_row_counts(a: DataFrame, b: DataFrame, a_name: str = "source", b_name
 
 
 def _fingerprint(cols: list[str]) -> list[Column]:
-    """128 bits over all columns; NULL flags are hashed too, since a NULL itself leaves the hash as it is."""
-    def one(names):
-        return F.xxhash64(*[x for c in names for x in (F.col(c), F.col(c).isNull())])
+    """128 bits over all columns: two hashes with different starts and column orders.
 
-    return [one(cols).alias("__h1"), one(cols[::-1]).alias("__h2")]
+    NULL flags are hashed too, since a NULL itself leaves the hash as it is.
+    """
+
+    def one(start, names):
+        return F.xxhash64(F.lit(start), *[x for c in names for x in (F.col(c), F.col(c).isNull())])
+
+    return [one("forward", cols).alias("__h1"), one("backward", cols[::-1]).alias("__h2")]
 
 
 def reconcile(a: DataFrame, b: DataFrame, mode: str = "multiset", fingerprint: bool = False) -> DataFrame:

@@ -156,4 +156,5 @@ class Medallion:
     def reset(self, layers: tuple[str, ...] = REBUILT) -> None:
         """Drop what a build makes; landing and the reference dimensions stay."""
         tables.drop_layers(self.spark, self.layers, [self.schema], list(layers))
-        tables.drop(self.spark, self.name("GOLD", "Dim_Listing_Details"), self.name("GOLD", "Fact_Listings"))
+        gold = [self.name("GOLD", t) for t in ("Dim_Listing_Details", "Fact_Listings")]
+        tables.drop(self.spark, *gold, *[g + "__staged" for g in gold])

@@ -61,6 +61,12 @@ class Layers:
     def table(self, layer: str, schema: str, name: str) -> str:
         return f"{self.schema(layer, schema)}.{name}"
 
+    @staticmethod
+    def schema_from_path(path: str, default: str) -> str:
+        """Schema of a model file: its third path part (``<project>/<layer folder>/<schema>/...``), else the default."""
+        parts = [p for p in path.split("/") if p]
+        return (parts[2] if len(parts) >= 3 else default).upper()
+
     @classmethod
     def from_database(cls, database: str, **kw) -> "Layers":
         """``DEV_BRONZE`` -> the DEV layers, so a test can follow its environment."""

@@ -50,7 +50,8 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None, config:
     """
     reader = spark.read.options(**csv_options(config))
     if columns is not None:
-        return reader.schema(text_schema(columns)).csv(path)
+        # the header must name these columns in this order; a swapped file fails instead of landing crosswise
+        return reader.option("enforceSchema", False).schema(text_schema(columns)).csv(path)
     return reader.option("inferSchema", False).csv(path)
 
 

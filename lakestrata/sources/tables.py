@@ -82,7 +82,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     What follows starts from files: it is computed once, survives the loss of
     executors, and has a size that join planning can use.
     """
-    overwrite(df, name + "__staged", keep=0)
+    overwrite(df, name + "__staged")
     return df.sparkSession.table(name + "__staged")
 
 

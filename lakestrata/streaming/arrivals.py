@@ -20,7 +20,8 @@ from lakestrata.sources.history_table import HistoryTable
 
 
 def arriving_csv(spark: SparkSession, folder: str, columns: list[str], config: dict) -> DataFrame:
-    return spark.readStream.schema(text_schema(columns)).options(**csv_options(config)).csv(folder)
+    reader = spark.readStream.schema(text_schema(columns)).options(**csv_options(config))
+    return reader.option("enforceSchema", False).csv(folder)
 
 
 def arriving_parquet(spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None = None) -> DataFrame:

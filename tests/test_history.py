@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -118,6 +120,11 @@ def test_stored_history_equals_the_operator(spark):
         plain = load(spark, data, plain, day)
         assert shown(spark.table("hist.equal")) == shown(t.read()) == shown(plain)
         assert shown(spark.table("hist.equal__current")) == shown(current_rows(plain))
+    # only the last two open sets are kept, on disk too; every closed set is
+    where = spark.sql("DESCRIBE FORMATTED hist.equal__parts").filter("col_name = 'Location'").first()["data_type"]
+    kept = sorted(str(p.relative_to(where.removeprefix("file:"))) for p in Path(where.removeprefix("file:")).glob("load_seq=*/*"))
+    assert [k for k in kept if k.endswith("open")] == ["load_seq=3/row_state=open", "load_seq=4/row_state=open"]
+    assert "load_seq=2/row_state=closed" in kept
 
 
 def test_failed_load_leaves_the_published_state(spark):

@@ -28,6 +28,8 @@ def test_names():
     assert (d.database("landing"), d.database("silver"), d.database("gold", "crm")) == ("DEV_LANDING_ADL", "DEV_SILVER", "DEV_GOLD_CRM")
     assert d.table("gold", "lodging", "Fact") == "DEV_GOLD__LODGING.Fact"
     assert Layers.from_database("PREPROD_BRONZE_ADL").env == "PREPROD"
+    assert Layers.schema_from_path("hub/bronze/lodging/listings", "public") == "LODGING"
+    assert Layers.schema_from_path("hub/bronze", "public") == "PUBLIC"
     for bad in (lambda: Layers("qa"), lambda: d.database("copper")):
         with pytest.raises(ValueError):
             bad()
@@ -80,6 +82,16 @@ def test_wrong_column_count_fails_the_landing(spark, folder):
         files.read_csv(spark, str(folder / "bad.csv"), ["a", "b"], {}).collect()
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_swapped_header_fails_the_landing(spark, folder, multi_line):
+    (folder / "swapped.csv").write_text("b,a\n1,2\n")
+    config = {"multi_line": multi_line}
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(folder / "swapped.csv"), ["a", "b"], config).collect()
+    assert rows(files.read_csv(spark, str(folder / "swapped.csv"), ["b", "a"], config)) == [("1", "2")]
+    assert rows(files.read_csv(spark, str(folder / "swapped.csv"), ["b", "a"], config).select("a")) == [("2",)]
+
+
 def test_parse_documents(spark):
     df = spark.createDataFrame([(1, '{"a":1}'), (2, "{oops")], "id int, j string")
     with pytest.raises(Exception):

@@ -251,13 +251,14 @@ _FACT = f"""WITH {derived.LISTINGS_SQL}, {derived.PLACES_SQL}, {_CURRENT}
 
 
 def gold_fact_frame(t):
-    silver = _silver(t)
+    # dimension and fact both read the history, so it is stored once instead of being built twice
+    silver = tables.stage(_silver(t), f"{t.work_database()}.silver_listings")
     return lodging.gold_listing_fact(silver, lodging.gold_listing_dim(silver, run_at(2)), derived.geography(t), derived.geospatial(t), run_at(2))
 
 
 @query(_FACT)
 def gold_listing_fact(t):
-    """Landing to fact in one plan: cast, two history loads, three dimensions, bands, keys."""
+    """Landing to fact: cast, two history loads, three dimensions, bands, keys."""
     return gold_fact_frame(t).select(*_FACT_COLS, F.col("REVIEWS_PER_MONTH").cast("double").alias("REVIEWS_PER_MONTH"), stamp("LAST_MODIFIED_AT"))
 
 
