@@ -71,15 +71,9 @@ def rule(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def row_counts(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Both counts and their distance as one row, from one job and without a cross join."""
-    n = F.count(F.lit(1)).cast("bigint")
-    both = a.agg(n.alias("n")).select(F.lit("a").alias("side"), "n").unionByName(
-        b.agg(n.alias("n")).select(F.lit("b").alias("side"), "n")
-    )
-    one = both.agg(
-        F.sum(F.when(F.col("side") == "a", F.col("n"))).alias("source_count"),
-        F.sum(F.when(F.col("side") == "b", F.col("n"))).alias("target_count"),
-    )
+    """Both counts and their distance as one row: one pass over both, no column read, no cross join."""
+    marks = a.select(F.lit(1).alias("a"), F.lit(0).alias("b")).union(b.select(F.lit(0), F.lit(1)))
+    one = marks.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n) for c, n in (("a", "source_count"), ("b", "target_count"))])
     return one.withColumn("difference", F.abs(F.col("source_count") - F.col("target_count")))
 
 
@@ -110,19 +104,26 @@ def _fingerprint(cols: list[str]) -> list[Column]:
     return [one("forward", cols).alias("__h1"), one("backward", cols[::-1]).alias("__h2")]
 
 
+def _as_comparable(df: DataFrame) -> DataFrame:
+    documents = {f.name: F.to_json(f.name) for f in df.schema if isinstance(f.dataType, T.VariantType)}
+    return df.withColumns(documents) if documents else df
+
+
 def reconcile(a: DataFrame, b: DataFrame, mode: str = "multiset", fingerprint: bool = False) -> DataFrame:
     """Rows on which two tables differ, with the side and number of surplus copies.
 
     Both sides are tagged and grouped by all columns: each is read once, one
     shuffle, and copies collapse map-side however often a row repeats.  NULLs
     compare equal and row order does not matter.  ``set`` ignores how often a
-    row occurs; ``multiset`` counts.  VARIANT columns must be taken apart first.
+    row occurs; ``multiset`` counts.  VARIANT columns are compared, and come
+    back, as JSON text, in which object keys are always sorted.
 
     ``fingerprint`` suits wide rows that mostly agree: only a 128-bit hash per
     row is shuffled at first, and the full rows of the fingerprints that do not
     balance are fetched and compared exactly.  It reads both sides twice, and a
     difference could hide only behind two unequal rows with equal fingerprints.
     """
+    a, b = _as_comparable(a), _as_comparable(b)
     if fingerprint:
         marks = [a.select(*_fingerprint(a.columns)), b.select(*_fingerprint(a.columns))]
         off = reconcile(*marks, mode=mode).select("__h1", "__h2").distinct()
@@ -157,10 +158,16 @@ def assert_same_rows(a: DataFrame, b: DataFrame, mode: str = "multiset", sample:
 
 
 def count_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """One labelled row count per table, all in one job."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-             for n, df in tables.items()]
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    """One labelled row count per table, empty ones included.
+
+    Rows are reduced to their label and counted together, so any number of
+    tables costs one shuffle of a few labels per task.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    labels = F.explode(F.array(*[F.lit(n) for n in tables])).alias("table_name")
+    none = spark.range(1).select(labels, F.lit(0).cast("bigint").alias("n"))
+    parts = [df.select(F.lit(name), F.lit(1).cast("bigint")) for name, df in tables.items()]
+    return reduce(DataFrame.union, parts, none).groupBy("table_name").agg(F.sum("n").alias("row_count"))
 
 
 def scan(spark, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ Load ``n`` writes two partitions: the complete open set and the versions it
 closed.  Two views pick what is valid - closed rows of every load up to ``n``
 and the open rows of load ``n`` - so a load becomes visible when the views
 move on, and a load that died half-way is simply overwritten by the next.
+One load at a time may write a history.
 """
 
 from __future__ import annotations

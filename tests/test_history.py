@@ -167,3 +167,14 @@ def test_bucketed_open_rows_are_not_shuffled_again(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_documents_travel_through_the_history(spark):
+    def docs(v, text):
+        return spark.createDataFrame([(1, v, text)], "k bigint, v string, j string").select("k", "v", F.parse_json("j").alias("payload"))
+
+    t = fresh_table(spark, "documents")
+    t.load_by_check(docs("a", '{"x":1}'), ["v"], at(1))
+    t.load_by_check(docs("b", '{"x":2}'), ["v"], at(2))
+    got = spark.table("hist.documents").orderBy("valid_from").select(F.to_json("payload"), F.col("valid_to").isNull()).collect()
+    assert [tuple(r) for r in got] == [('{"x":1}', False), ('{"x":2}', True)]

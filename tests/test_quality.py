@@ -51,6 +51,16 @@ def test_differences(spark, fp):
         assert_same_rows(a, more)
 
 
+def test_documents_compare_by_content(spark):
+    def docs(*texts):
+        return spark.createDataFrame([(x,) for x in texts], "j string").select(F.parse_json("j").alias("payload"))
+
+    a = docs('{"a":1,"b":{"x":1,"y":2}}', '{"a":2}')
+    assert reconcile(a, docs('{"a":2}', '{"b":{"y":2,"x":1},"a":1}')).count() == 0
+    assert rows(reconcile(a, docs('{"a":2}', '{"a":3}'), "set").select("payload", "only_in")) == [
+        ('{"a":1,"b":{"x":1,"y":2}}', "source"), ('{"a":3}', "target")]
+
+
 def test_empty_tables_and_wrong_columns(spark):
     e = t(spark, [])
     assert reconcile(e, e).count() == 0 and compare_row_count(e, e).count() == 0
