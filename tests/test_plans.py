@@ -25,10 +25,12 @@ def no_broadcast(spark):
 def test_no_cross_join_and_no_single_task_window(spark, sf, name, no_broadcast):
     text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
-    for line in text.splitlines():
-        if "Exchange SinglePartition" in line:
-            continue
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
         assert "RoundRobin" not in line
+        if "- Window [" in line:
+            feed = next(x for x in lines[i:] if "Exchange" in x)
+            assert "hashpartitioning" in feed, line
 
 
 @pytest.mark.parametrize("name", [n for n in sorted(set(QUERIES) - WRITES) if not n.endswith("_python")])
