@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import mixing, simhash
+from lakestrata.llm import mixing, packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,10 @@ def op1_mix(docs: DataFrame) -> DataFrame:
 def op2_simhash(docs: DataFrame) -> DataFrame:
     """Every document with its fingerprint and the least doc_id of its group."""
     return simhash.groups(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query()
+def op3_packing(docs: DataFrame) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 1,024 tokens."""
+    packed = packing.pack(docs, value=F.crc32("ids"))
+    return packed.select("doc_id", "piece", "start", "length", F.col("ids").alias("ids_crc32"), "sequence_id", "offset")
