@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import mixing, packing, simhash
+from lakestrata.llm import mixing, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(table: str = "documents", sql: str | None = None):
+def query(*tables: str, sql: str | None = None):
+    """Register a function of the named tables (``documents`` unless said)."""
+
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark).read.parquet(f"{sf_dir}/{table}.parquet"))
+            return fn(*(configure(spark).read.parquet(f"{sf_dir}/{t}.parquet") for t in tables or ("documents",)))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[fn.__name__] = run
@@ -59,3 +61,9 @@ def op3_packing(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place in a sequence of 1,024 tokens."""
     packed = packing.pack(docs, value=F.crc32("ids"))
     return packed.select("doc_id", "piece", "start", "length", F.col("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("documents", "labels")
+def op6_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every document with its quality score."""
+    return quality.scored(docs, quality.train(docs, labels)).select("doc_id", "held_out", "score", "predicted")
