@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import mixing, packing, quality, simhash
+from lakestrata.llm import mixing, packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,3 +67,15 @@ def op3_packing(docs: DataFrame) -> DataFrame:
 def op6_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document with its quality score."""
     return quality.scored(docs, quality.train(docs, labels)).select("doc_id", "held_out", "score", "predicted")
+
+
+def _count(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s.startswith(kind + ":"))).cast("long").alias(f"n_{kind}")
+
+
+@query()
+def op9_pii(docs: DataFrame) -> DataFrame:
+    """Every document with the personal data found in it."""
+    counts = [_count("pii.base", kind) for kind in pii.KINDS]
+    digest = F.sha2(F.concat_ws(",", "pii.base"), 256).alias("base_sha256")
+    return pii.find(docs).select("doc_id", *counts, digest, F.concat_ws(",", "pii.spans").alias("spans"))
