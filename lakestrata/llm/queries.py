@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import mixing, packing, pii, quality, simhash
+from lakestrata.llm import mixing, packing, pii, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,13 @@ def op9_pii(docs: DataFrame) -> DataFrame:
     counts = [_count("pii.base", kind) for kind in pii.KINDS]
     digest = F.sha2(F.concat_ws(",", "pii.base"), 256).alias("base_sha256")
     return pii.find(docs).select("doc_id", *counts, digest, F.concat_ws(",", "pii.spans").alias("spans"))
+
+
+@query()
+def op7_secrets(docs: DataFrame) -> DataFrame:
+    """Every document with the secrets found in it; each is a path with one version."""
+    found, _ = secrets.findings(docs.select(F.col("doc_id").alias("path"), "text"))
+    base = [r.kind for r in secrets.RULES if r.base]
+    counts = [secrets.count(F.col("found"), kind).alias(f"n_{kind}") for kind in base]
+    digest = F.sha2(secrets.listed(F.col("found"), base), 256).alias("base_sha256")
+    return found.select(F.col("path").alias("doc_id"), *counts, digest, secrets.listed(F.col("found"), [r.kind for r in secrets.RULES]).alias("spans"))
