@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import chat, mixing, packing, pii, quality, secrets, simhash
+from lakestrata.llm import chat, mixing, packing, pii, quality, secrets, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,3 +126,15 @@ def op8_chat(conversations: DataFrame) -> DataFrame:
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("embeddings", sql="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op4_topk(embeddings: DataFrame) -> DataFrame:
+    """The five best of every query among all other rows."""
+    rows = embeddings.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(rows.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), rows)
