@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import chat, mixing, packing, pii, quality, secrets, simhash, topk
+from lakestrata.llm import chat, ledger, minhash, mixing, packing, pii, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,11 +84,11 @@ def op9_pii(docs: DataFrame) -> DataFrame:
 @query()
 def op7_secrets(docs: DataFrame) -> DataFrame:
     """Every document with the secrets found in it; each is a path with one version."""
-    found, _ = secrets.findings(docs.select(F.col("doc_id").alias("path"), "text"))
-    base = [r.kind for r in secrets.RULES if r.base]
-    counts = [secrets.count(F.col("found"), kind).alias(f"n_{kind}") for kind in base]
-    digest = F.sha2(secrets.listed(F.col("found"), base), 256).alias("base_sha256")
-    return found.select(F.col("path").alias("doc_id"), *counts, digest, secrets.listed(F.col("found"), [r.kind for r in secrets.RULES]).alias("spans"))
+    found, _ = ledger.findings(docs.select(F.col("doc_id").alias("path"), "text"))
+    base = [r.kind for r in ledger.RULES if r.base]
+    counts = [ledger.count(F.col("found"), kind).alias(f"n_{kind}") for kind in base]
+    digest = F.sha2(ledger.listed(F.col("found"), base), 256).alias("base_sha256")
+    return found.select(F.col("path").alias("doc_id"), *counts, digest, ledger.listed(F.col("found"), [r.kind for r in ledger.RULES]).alias("spans"))
 
 
 #: A conversation whose texts hold the template's own marks; it stands beside the table's rows.
@@ -138,3 +138,9 @@ def op4_topk(embeddings: DataFrame) -> DataFrame:
     """The five best of every query among all other rows."""
     rows = embeddings.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
     return topk.top_k(rows.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), rows)
+
+
+@query()
+def op10_minhash(docs: DataFrame) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and the next document's."""
+    return minhash.compared(docs)
