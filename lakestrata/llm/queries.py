@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import chat, ledger, minhash, mixing, packing, pii, quality, simhash, topk
+from lakestrata.llm import chat, ledger, licenses, minhash, mixing, packing, pii, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +144,9 @@ def op4_topk(embeddings: DataFrame) -> DataFrame:
 def op10_minhash(docs: DataFrame) -> DataFrame:
     """Every document's fingerprint beside its edited text's and the next document's."""
     return minhash.compared(docs)
+
+
+@query(sql=licenses.oracle())
+def op5_licenses(docs: DataFrame) -> DataFrame:
+    """Every document with the licence sentences and licences in it."""
+    return licenses.scanned(docs)
