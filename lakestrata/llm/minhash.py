@@ -127,15 +127,19 @@ class Hasher:
 
 
 def _parts(text: bytes, limit: int = _SLICE) -> Iterator[bytes]:
-    """The text, or parts of it that together have the same shingles: each begins four words before the one before ends."""
+    """The text, or parts of it that together have the same shingles: each begins with the last four words of the one before."""
     while len(text) > limit:
         head = text[:limit]
-        words = head.rsplit(None, WORDS)
-        if len(words) <= WORDS or not words[0]:  # hardly any words: one long piece
+        if not text[limit : limit + 1].isspace() and not head[-1:].isspace():  # a word is cut: leave it to the next part
+            head = head.rsplit(None, 1)[0] if len(head.split(None, 1)) == 2 else b""
+        last = head.rsplit(None, WORDS - 1)
+        if len(last) < WORDS:  # hardly any words: one long piece
             break
-        yield head[: len(head.rstrip()) - len(words[-1])] if not head[-1:].isspace() else head
-        kept = words[-WORDS:-1] if not head[-1:].isspace() else words[-WORDS + 1 :]
-        text = b" ".join([*kept, b""]) + (words[-1] if not head[-1:].isspace() else b"") + text[limit:]
+        yield head
+        rest = text[len(head) :]
+        if not rest.strip():
+            return
+        text = b" ".join(last[1:]) + (rest if rest[:1].isspace() else b" " + rest)
     yield text
 
 
