@@ -45,9 +45,13 @@ def compare(spark, con, sf_dir, name):
     """'' when equal, else what differs."""
     from workload import ORACLES, QUERIES
 
-    df = QUERIES[name](spark, sf_dir)
+    return compare_with(QUERIES, ORACLES, spark, con, sf_dir, name)
+
+
+def compare_with(queries, oracles, spark, con, sf_dir, name):
+    df = queries[name](spark, sf_dir)
     got = sorted_rows(df.columns, df.collect())
-    res = con.execute(ORACLES[name])
+    res = con.execute(oracles[name])
     want = sorted_rows([d[0] for d in res.description], res.fetchall())
     if got[0] != want[0]:
         return f"columns {got[0]} != {want[0]}"
