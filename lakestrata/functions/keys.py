@@ -19,8 +19,9 @@ def surrogate_key(*cols: Column | str, sep: str = "||") -> Column:
 
 
 def version_id(keys: list[Column | str], updated_at: Column | str) -> Column:
-    """Row id of one version of one key."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in [*keys, updated_at]]
+    """Row id of one version of one key; bars inside the parts are escaped, so that no two keys read alike."""
+    plain = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in [*keys, updated_at]]
+    parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for p in plain]
     return F.md5(F.concat_ws("|", *parts))
 
 

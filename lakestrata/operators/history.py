@@ -74,9 +74,12 @@ def _transition(source: DataFrame, open_rows: DataFrame, key: list[str], changed
     if deletes not in HARD_DELETES:
         raise ValueError(f"hard_deletes must be one of {HARD_DELETES}")
     marks = deletes == "new_record"
+    # columns that the source no longer has keep their values in the versions that hold them; new versions have NULL there
+    known = {c.lower() for c in [*source.columns, *n.names("new_record")]}
+    vanished = [f for f in open_rows.schema if f.name.lower() not in known]
     # a cast to this type names the fields of every emitted row
     row_type = T.StructType([
-        *[T.StructField(f.name, f.dataType) for f in source.schema],
+        *[T.StructField(f.name, f.dataType, metadata=f.metadata) for f in [*source.schema, *vanished]],
         T.StructField(n.valid_from, T.TimestampType()),
         T.StructField(n.valid_to, T.TimestampType()),
         T.StructField(n.updated_at, T.TimestampType()),
@@ -89,7 +92,7 @@ def _transition(source: DataFrame, open_rows: DataFrame, key: list[str], changed
     joined = s.join(t, on, "full_outer")
 
     held = {c.lower(): c for c in open_rows.columns}
-    stored = ["t_" + held[c.lower()] if c.lower() in held else F.lit(None) for c in source.columns]
+    stored = ["t_" + held[c.lower()] if c.lower() in held else F.lit(None) for c in source.columns] + ["t_" + f.name for f in vanished]
     was_deleted = F.coalesce(F.col("t_" + n.is_deleted), F.lit(False)) if marks and n.is_deleted in open_rows.columns else F.lit(False)
     none = F.lit(None)
 
@@ -99,23 +102,28 @@ def _transition(source: DataFrame, open_rows: DataFrame, key: list[str], changed
     def old(valid_to: Column | str) -> Column:
         return row(*stored, "t_" + n.valid_from, valid_to, "t_" + n.updated_at, "t_" + n.version_id, deleted=was_deleted)
 
+    def closed(at: Column) -> Column:
+        begun = F.col("t_" + n.valid_from)
+        late = F.raise_error(F.concat(F.lit("history: a version would end at "), at.cast("string"), F.lit(", not past its start, for key "), F.to_json(F.struct(*["t_" + k for k in key]))))
+        return old(F.when(F.coalesce(at <= begun, F.lit(False)), late.cast("timestamp")).otherwise(at))
+
     new_id = version_id(["s_" + k for k in key], new_at)
-    fresh = row(*["s_" + c for c in source.columns], new_at, none, new_at, new_id, deleted=F.lit(False))
+    fresh = row(*["s_" + c for c in source.columns], *[none for _ in vanished], new_at, none, new_at, new_id, deleted=F.lit(False))
     kept = F.array(old("t_" + n.valid_to))
 
     if deletes == "ignore":
         gone = kept
     elif deletes == "invalidate":
-        gone = F.array(old(gone_at))
+        gone = F.array(closed(gone_at))
     else:
         mark_id = version_id(["t_" + k for k in key], gone_at)
         marker = row(*stored, gone_at, none, gone_at, mark_id, deleted=F.lit(True))
-        gone = F.when(was_deleted, kept).otherwise(F.array(old(gone_at), marker))
+        gone = F.when(was_deleted, kept).otherwise(F.array(closed(gone_at), marker))
 
     outcome = (
         F.when(F.col("__in_t").isNull(), F.array(fresh))
         .when(F.col("__in_s").isNull(), gone)
-        .when(changed | was_deleted, F.array(old(new_at), fresh))
+        .when(changed | was_deleted, F.array(closed(new_at), fresh))
         .otherwise(kept)
     )
     return joined.select(F.inline(outcome))

@@ -31,10 +31,13 @@ def newer_than(source: DataFrame, ts_col: str, target: DataFrame | None, target_
     return source.filter(F.col(ts_col) > high_water_mark(target, target_col, floor).scalar())
 
 
-def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], schema_mode: str = "sync_all_columns",
+def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], schema_mode: str = "fail",
                  duplicates: str = "raise", latest_by: str | None = None) -> DataFrame:
     """Target with the source's keys replaced or added.
 
+    Source and target have the same columns unless ``schema_mode`` says what
+    becomes of the others (``sync_columns``); ``sync_all_columns`` erases a
+    column that the source no longer has from the whole target.
     Only the source's key columns meet the target: where the increment is
     small enough for Spark's own size check that side is broadcast and the
     target is not shuffled; otherwise both sides hash on ``key``.  The source

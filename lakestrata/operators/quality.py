@@ -82,14 +82,15 @@ def compare_row_count(a: DataFrame, b: DataFrame) -> DataFrame:
     return row_counts(a, b).filter(F.col("source_count") != F.col("target_count"))
 
 
-def assert_row_counts(a: DataFrame, b: DataFrame, a_name: str = "source", b_name: str = "target") -> list[str]:
-    """Raise on unequal counts; returns warnings for empty tables."""
-    r = row_counts(a, b).first()
-    if r["difference"]:
-        raise AssertionError(
-            f"row count difference {r['difference']}: {a_name}={r['source_count']}, {b_name}={r['target_count']}"
-        )
-    return [f"table {n} has no records" for n, c in ((a_name, r["source_count"]), (b_name, r["target_count"])) if c == 0]
+class CheckFailed(AssertionError):
+    """A check found rows; the message holds its name and the first of them."""
+
+
+def require(name: str, failures: DataFrame, shown: int = 5) -> None:
+    """Raise if a check's frame of failures has rows."""
+    found = failures.limit(shown).collect()
+    if found:
+        raise CheckFailed(f"{name}: " + "; ".join(str(r.asDict()) for r in found))
 
 
 def _fingerprint(cols: list[str]) -> list[Column]:

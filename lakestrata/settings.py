@@ -32,7 +32,11 @@ def scratch_root(spark: SparkSession) -> str:
     session's warehouse directory, which executors must reach anyway, serves.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (conf or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    root = (conf or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    local = root.startswith("file:") or "://" not in root and spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+    if not conf and local and not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {root} is local to each machine")
+    return root
 
 
 @dataclass(frozen=True)

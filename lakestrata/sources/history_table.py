@@ -60,8 +60,12 @@ class HistoryTable:
         p = self.spark.table(self.parts)
         return p.filter((F.col(_STATE) == "open") & (F.col(_SEQ) == n)).drop(_SEQ, _STATE)
 
+    def _dealt(self, source: DataFrame) -> DataFrame:
+        """Rows hashed as the table's buckets are: key guard, join and write all use this one shuffle, and a task writes one bucket."""
+        return source.repartition(self.buckets, *self.key) if self.buckets else source
+
     def load_by_check(self, source: DataFrame, check_cols: list[str], ctx: RunContext) -> None:
-        ctx, held = ctx.pinned(), self.current()
+        ctx, held, source = ctx.pinned(), self.current(), self._dealt(source)
         if held is None:
             moved = snapshot_check(source, None, self.key, check_cols, ctx, self.hard_deletes, self.names)
         else:
@@ -69,7 +73,7 @@ class HistoryTable:
         self._commit(moved)
 
     def load_by_timestamp(self, source: DataFrame, updated_at: str, ctx: RunContext) -> None:
-        ctx, held = ctx.pinned(), self.current()
+        ctx, held, source = ctx.pinned(), self.current(), self._dealt(source)
         if held is None:
             moved = snapshot_timestamp(source, None, self.key, updated_at, ctx, self.hard_deletes, self.names)
         else:

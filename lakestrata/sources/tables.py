@@ -92,13 +92,20 @@ def ctas(df: DataFrame, name: str) -> None:
 
 
 def append(df: DataFrame, name: str) -> None:
-    """Add rows, matched to the table by column name; the table is created when absent."""
+    """Add rows, matched to the table by column name; the table is created when absent.
+
+    Other columns than the table's are an error, not dropped or made up.
+    """
     spark = df.sparkSession
     if version(spark, name) == 0:
         overwrite(df, name)
         return
     target = physical(spark, name)
-    df.select(*spark.table(target).columns).write.insertInto(target)
+    columns = spark.table(target).columns
+    odd = {c.lower() for c in columns} ^ {c.lower() for c in df.columns}
+    if odd or len(df.columns) != len(columns):
+        raise ValueError(f"{name} has columns {columns}, the rows have {df.columns}; they differ in {sorted(odd)}")
+    df.select(*columns).write.insertInto(target)
 
 
 def replace_rows(df: DataFrame, name: str) -> None:

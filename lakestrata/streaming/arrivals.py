@@ -8,6 +8,8 @@ in the stream's checkpoint.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +45,16 @@ def history_of_arrivals(stream: DataFrame, table: HistoryTable, check_cols: list
     A batch replayed after a failure holds the same rows, so the check
     strategy finds nothing to change the second time.  One batch must not
     hold a key twice; ``prepare`` is the place to settle that
-    (``operators.guards.latest_per_key``).
+    (``operators.guards.latest_per_key``).  A batch is a part of the source,
+    so keys that it lacks are not deleted: tables that close or mark absent
+    keys are refused.  Batches of one run have times a microsecond apart.
     """
+    if table.hard_deletes != "ignore":
+        raise ValueError(f"arrivals are partial deliveries; hard_deletes={table.hard_deletes!r} would delete what they lack")
 
-    def load(batch: DataFrame, _: int) -> None:
-        table.load_by_check(prepare(batch), check_cols, ctx)
+    def load(batch: DataFrame, number: int) -> None:
+        at = None if ctx.ts is None else ctx.ts + timedelta(microseconds=number)
+        table.load_by_check(prepare(batch), check_cols, replace(ctx, ts=at))
 
     run = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     run.start().awaitTermination()

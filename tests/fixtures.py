@@ -1,39 +1,39 @@
-"""Small demo set: ten listings, ten reviews, two documents, six places."""
+"""A small invented set: ten listings, ten reviews, documents of two shapes, six places."""
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from lakestrata.plans import lodging
 
-_LANDED = (datetime(2025, 1, 1), "DEMO_RUN_001", "loader", "demo_feed", "DEMO_API")
-
-# id, name, borough, area, latitude, longitude, room type, price, nights, reviews, last review, per month, listings, free
-_LISTINGS = [
-    ("1001", "Cozy Studio", "Westminster", "Covent Garden", "51.51279", "-0.12647", "Entire home/apt", "250", "2024-12-15", "3.2"),
-    ("1002", "Flat by the Bridge", "Tower Hamlets", "Wapping", "51.50701", "-0.06355", "Entire home/apt", "180", "2025-01-02", "4.5"),
-    ("1003", "Quiet Room", "Camden", "Camden Town", "51.53959", "-0.14267", "Private room", "85", "2024-11-20", "2.8"),
-    ("1004", "Penthouse", "Kensington", "South Kensington", "51.49450", "-0.17420", "Entire home/apt", "450", "2024-12-28", "5.1"),
-    ("1005", "Budget Room", "Hackney", "Shoreditch", "51.52554", "-0.07818", "Private room", "65", "2025-01-01", "3.9"),
-    ("1006", "Wide Apartment", "Greenwich", "Greenwich", "51.48270", "-0.00750", "Entire home/apt", "195", "2024-10-18", "4.2"),
-    ("1007", "Bunk Bed", "Lambeth", "Brixton", "51.46138", "-0.11471", "Shared room", "45", "2024-09-22", "2.1"),
-    ("1008", "Old House", "Kensington", "Notting Hill", "51.51540", "-0.20560", "Entire home/apt", "320", "2024-12-05", "6.3"),
-    ("1009", "Dock Studio", "Tower Hamlets", "Canary Wharf", "51.50466", "-0.01949", "Entire home/apt", "220", "2024-11-12", "3.8"),
-    ("1010", "Family Home", "Richmond", "Richmond", "51.46141", "-0.30340", "Entire home/apt", "280", None, None),
-]
+_LANDED = (datetime(2025, 1, 1), "TEST_RUN", "loader", "test_feed", "TEST_API")
+
+# prices: five above 200, two above 100, three at most 100; rooms by the kinds that policies know
+_PRICES = (410, 260, 150, 90, 75, 120, 60, 305, 215, 500)
+_ROOMS = ("Entire home/apt", "Entire home/apt", "Entire home/apt", "Private room", "Private room",
+          "Private room", "Shared room", "Entire home/apt", "Private room", "Entire home/apt")
+_IDS = [71 + 3 * i for i in range(10)]
+
+
+def _place(i):
+    return f"{48.10205 + 0.01370 * i:.5f}", f"{11.50310 + 0.02110 * i:.5f}"
 
 
 def landing_listings(spark):
+    """The last listing has had no review yet."""
     rows = []
-    for i, (id_, name, borough, area, lat, lon, room, price, last, per_month) in enumerate(_LISTINGS):
-        rows.append((*_LANDED, id_, name, str(5001 + i), f"Host {i}", borough, area, lat, lon, room, price,
-                     "2", str(40 + i), last, per_month, "1", "300", "12", f"LIC{i}"))
+    for i, (id_, price, room) in enumerate(zip(_IDS, _PRICES, _ROOMS)):
+        last = None if i == 9 else str(date(2025, 2, 3) + timedelta(days=5 * i))
+        rate = None if i == 9 else str(1 + i * 0.25)
+        rows.append((*_LANDED, str(id_), f"Lodging No. {i}", str(600 + i), f"Host {i}", f"Quarter {i % 3}", f"Street {i}", *_place(i), room, str(price),
+                     "2", str(10 + i), last, rate, "1", "200", "9", f"N{i}"))
     return spark.createDataFrame(rows, lodging.landing_schema(list(lodging.LISTING_TYPES)))
 
 
 def landing_reviews(spark):
-    listed = ["1001", "1001", "1002", "1003", "1004", "1005", "1006", "1008", "1009", "1010"]
-    rows = [(*_LANDED, l, str(1001 + i), f"2024-12-{10 + i}", str(9001 + i), f"Guest {i}", f'Said "fine"\nand left {i}')
-            for i, l in enumerate(listed)]
+    """Every listing but two has reviews, two have two each."""
+    listed = [_IDS[i] for i in (0, 1, 2, 2, 4, 5, 6, 7, 7, 9)]
+    rows = [(*_LANDED, str(id_), str(31 + 2 * i), str(date(2025, 3, 1) + timedelta(days=i)), str(801 + i), f"Guest {i}", f'Wrote "good"\nand stayed {i}')
+            for i, id_ in enumerate(listed)]
     return spark.createDataFrame(rows, lodging.landing_schema(list(lodging.REVIEW_TYPES)))
 
 
@@ -42,9 +42,10 @@ DOCUMENTS = [
     '{"SOURCESYSTEM":"F","code":"ALO","dob":"1981-07-29","driverId":2.5,"driverRef":"alo","name":{"forename":"Fernando","surname":"A"},"nationality":"Spanish","number":14,"url":"u2"}',
     '{"SOURCESYSTEM":"F","code":"XXX","driverId":3,"driverRef":"x","name":{"forename":"No","surname":"Nation"}}',
 ]
+# documents of a shape that the flattening does not know
 OTHER_DOCUMENTS = [
-    '{"driver_id":"D001","driver_name":"Premium","contact_email":"a@example.com","rating":4.8,"vehicles":[{"type":"Sedan","capacity":4,"available":true}]}',
-    '{"driver_id":"D002","driver_name":"Rides","contact_email":"b@example.com","rating":4.5,"vehicles":[]}',
+    '{"vehicle":"tram","seats":120,"lines":[{"no":16,"stops":31}]}',
+    '{"vehicle":"bus","seats":44,"lines":[]}',
 ]
 
 
@@ -56,7 +57,7 @@ def landing_drivers(spark, docs=None):
 
 
 def _places():
-    return [(i, Decimal(lat), Decimal(lon)) for i, (lat, lon) in enumerate([(r[4], r[5]) for r in _LISTINGS[:6]], 1)]
+    return [(i, Decimal(lat), Decimal(lon)) for i, (lat, lon) in enumerate([_place(i) for i in range(6)], 1)]
 
 
 def geography(spark):

@@ -64,9 +64,66 @@ def test_repeated_and_null_keys_fail(spark, bad, target):
 def test_new_and_vanished_source_columns(spark):
     a = snapshot_check(spark.createDataFrame([(1, "x")], "k bigint, old string"), None, ["k"], ["old"], at(1))
     b = snapshot_check(spark.createDataFrame([(1, "n"), (2, None)], "k bigint, new string"), a, ["k"], ["new"], at(2))
-    assert b.columns[:2] == ["k", "new"]
-    assert sorted(((r["k"], r["new"], r["valid_to"] is None) for r in b.collect()), key=repr) == sorted(
-        [(1, None, False), (1, "n", True), (2, None, True)], key=repr)
+    assert b.columns[:3] == ["k", "new", "old"]
+    assert sorted(((r["k"], r["new"], r["old"], r["valid_to"] is None) for r in b.collect()), key=repr) == sorted(
+        [(1, None, "x", False), (1, "n", None, True), (2, None, None, True)], key=repr)
+
+
+def test_vanished_columns_keep_their_values(spark):
+    """Kept, newly closed and long closed versions alike, in a frame and in a stored history."""
+    loads = [([(1, "a", "p"), (2, "a", "q")], "k bigint, v string, b string"), ([(1, "b", "r"), (2, "a", "q")], "k bigint, v string, b string"),
+             ([(1, "b"), (2, "c"), (3, "n")], "k bigint, v string")]
+    t, plain = fresh_table(spark, "vanishing", buckets=4), None
+    for day, (data, schema) in enumerate(loads, 1):
+        df = spark.createDataFrame(data, schema)
+        checked = [c for c in df.columns if c != "k"]
+        t.load_by_check(df, checked, at(day))
+        plain = snapshot_check(df, plain, ["k"], checked, at(day))
+    want = [(1, "a", "p", False), (1, "b", "r", True), (2, "a", "q", False), (2, "c", None, True), (3, "n", None, True)]
+    for got in (plain, spark.table("hist.vanishing")):
+        assert sorted((r["k"], r["v"], r["b"], r["valid_to"] is None) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("deletes", ["ignore", "invalidate"])
+def test_a_version_ends_after_its_start(spark, deletes):
+    a = load(spark, [(1, "x", 1)], None, 1, hard_deletes=deletes)
+    assert load(spark, [(1, "x", 1)], a, 1, hard_deletes=deletes).count() == 1
+    with pytest.raises(Exception, match="not past its start"):
+        load(spark, [(1, "y", 1)], a, 1, hard_deletes=deletes).collect()
+    if deletes == "invalidate":
+        with pytest.raises(Exception, match="not past its start"):
+            load(spark, [], a, 1, hard_deletes=deletes).collect()
+
+
+def test_version_ids_tell_keys_with_bars_apart(spark):
+    from lakestrata.functions.keys import version_id
+
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\\\|b", "c"), ("a\\\\", "b|c")], "x string, y string")
+    assert df.select(version_id(["x", "y"], F.lit("t")).alias("id")).distinct().count() == 4
+
+
+def test_bucketed_loads_shuffle_once_and_write_a_file_a_bucket(spark, tmp_path):
+    spark.range(4000).selectExpr("id AS k", "cast(id % 5 AS string) AS v", "1L AS w").repartition(12).write.parquet(str(tmp_path / "src"))
+    t = fresh_table(spark, "onefile", buckets=8)
+    where = None
+    for day in (1, 2):
+        df = spark.read.parquet(str(tmp_path / "src")).withColumn("v", F.when(F.col("k") % 9 == 0, F.lit(str(day))).otherwise(F.col("v")))
+        t.load_by_check(df, ["v", "w"], at(day))
+        where = spark.sql("DESCRIBE FORMATTED hist.onefile__parts").filter("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+        files = list(Path(where).glob(f"load_seq={day}/*/*.parquet"))
+        assert len(files) <= 2 * 8, len(files)
+    from lakestrata.operators.history import check_changes
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        moved = check_changes(t._dealt(spark.read.parquet(str(tmp_path / "src"))), t.current(), ["k"], ["v", "w"], at(3))
+        text = moved._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert text.count("Exchange hashpartitioning") == 1, text
 
 
 def test_timestamp_strategy(spark):

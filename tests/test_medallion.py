@@ -36,15 +36,15 @@ def test_full_build_then_change(spark):
     assert m.read("SILVER", "Listings").count() == 10
     assert m.read("SILVER", "Listings").filter("SYSRUNID = 'run-10'").count() == 10
 
-    rename_listing(m, 1003, "Renamed Room")
+    rename_listing(m, 80, "Renamed Room")
     m.run(at(12))
-    h = m.read("SILVER", "Listings").filter("id = 1003").orderBy(F.col("valid_to").asc_nulls_last()).collect()
-    assert [r["name"] for r in h] == ["Quiet Room", "Renamed Room"]
+    h = m.read("SILVER", "Listings").filter("id = 80").orderBy(F.col("valid_to").asc_nulls_last()).collect()
+    assert [r["name"] for r in h] == ["Lodging No. 3", "Renamed Room"]
     assert h[0]["valid_to"] == h[1]["valid_from"] and h[1]["valid_to"] is None
     assert m.read("SILVER", "Listings").count() == 11
     assert m.spark.table(m.name("SILVER", "Listings") + "__current").count() == 10
-    assert m.read("GOLD", "Dim_Listing_Details").filter("ID = 1003").first()["NAME"] == "Renamed Room"
-    assert m.read("GOLD", "Fact_Listings").filter("LISTING_ID = 1003").first()["LISTINGS"] == "Renamed Room"
+    assert m.read("GOLD", "Dim_Listing_Details").filter("ID = 80").first()["NAME"] == "Renamed Room"
+    assert m.read("GOLD", "Fact_Listings").filter("LISTING_ID = 80").first()["LISTINGS"] == "Renamed Room"
     m.reset()
     assert not tables.exists(spark, m.name("GOLD", "Fact_Listings"))
     assert m.read("LANDING", "Listings").count() == 10
@@ -55,7 +55,7 @@ def test_incremental_gold_equals_rebuild(spark):
     for env, mode in (("TEST", "incremental"), ("PREPROD", "table")):
         m = build(spark, env, mode, buckets=4 if mode == "incremental" else None)
         m.run(at(10))
-        rename_listing(m, 1001, "New Name")
+        rename_listing(m, 71, "New Name")
         m.run(at(12))
         drop = ("SYSLOADDATE", "SYSRUNID")
         out[mode] = [rows(m.read("GOLD", t).drop(*drop)) for t in ("Dim_Listing_Details", "Fact_Listings")]

@@ -32,7 +32,7 @@ def test_merge_with_repeated_keys(spark):
 def test_merge_follows_schema_changes(spark):
     target = spark.createDataFrame([(1, "x", "gone")], "k bigint, v string, w string")
     source = spark.createDataFrame([(2, "y", 5)], "k bigint, v string, n int")
-    assert sorted(map(tuple, merge_upsert(source, target, ["k"]).collect()), key=str) == [(1, "x", None), (2, "y", 5)]
+    assert sorted(map(tuple, merge_upsert(source, target, ["k"], "sync_all_columns").collect()), key=str) == [(1, "x", None), (2, "y", 5)]
     assert merge_upsert(source, target, ["k"], "append_new_columns").columns == ["k", "v", "n", "w"]
     assert merge_upsert(source, target.drop("w"), ["k"], "ignore").columns == ["k", "v"]
 
@@ -80,17 +80,17 @@ def test_coordinates_that_match_nowhere(spark, ctx):
     fact = lodging.gold_listing_fact(silver, lodging.gold_listing_dim(silver, ctx), far, fixtures.geospatial(spark), ctx)
     assert fact.filter("GEOGRAPHY_ID is null").count() == 10 and fact.filter("WARD_ID is null").count() == 4
     r = {x["value"]: x for x in summarize_by(fact.withColumnsRenamed({"VALUE_CATEGORY": "value", "PRICE": "price"}), "value", "price").collect()}
-    assert (r["High Value"]["row_count"], r["Medium Value"]["min_price"], r["Standard"]["max_price"]) == (5, 180, 85)
-    assert r["Standard"]["avg_price"] == 65.0
+    assert (r["High Value"]["row_count"], r["Medium Value"]["min_price"], r["Standard"]["max_price"]) == (5, 120, 90)
+    assert r["Standard"]["avg_price"] == 75.0
 
 
 def test_host_must_match_too(spark, ctx):
     bronze = lodging.bronze_listings(fixtures.landing_listings(spark), ctx)
     silver = snapshot_check(lodging.silver_source(bronze, lodging.LISTING_TYPES, ctx), None, ["id"], list(lodging.LISTING_TYPES), ctx)
-    dim = lodging.gold_listing_dim(silver, ctx).withColumn("HOST_ID", F.when(F.col("ID") == 1001, 1).otherwise(F.col("HOST_ID")))
+    dim = lodging.gold_listing_dim(silver, ctx).withColumn("HOST_ID", F.when(F.col("ID") == 71, 1).otherwise(F.col("HOST_ID")))
     fact = lodging.gold_listing_fact(silver, dim, fixtures.geography(spark), fixtures.geospatial(spark), ctx)
-    r = fact.filter("LISTING_ID = 1001").first()
-    assert (r["LISTING_SK"], r["LISTINGS"], r["HOST_ID"], r["HOST_NAME"], r["PRICE"]) == (None, None, None, None, 250)
+    r = fact.filter("LISTING_ID = 71").first()
+    assert (r["LISTING_SK"], r["LISTINGS"], r["HOST_ID"], r["HOST_NAME"], r["PRICE"]) == (None, None, None, None, 410)
 
 
 def test_hot_key_is_split_at_run_time(spark):
