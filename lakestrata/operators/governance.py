@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,27 +144,50 @@ def person_mask_both_names() -> Mask:
     )
 
 
-def python_mask(name: str, fn: Callable[[str, object], object], allow: tuple[str, ...] = ()) -> Mask:
-    """Mask computed by ``fn(role, document) -> document`` in Python, over Arrow batches."""
+def python_mask(name: str, fn: Callable[[str, object], object], sets: tuple[str, ...], allow: tuple[str, ...] = ()) -> Mask:
+    """Mask computed by ``fn(role, document) -> document`` in Python, a batch of documents a call.
+
+    Only the paths in ``sets`` are taken from the result; every other field
+    never leaves the JVM, so its type and all its digits stay.
+    """
 
     class _ByRole(Mask):
         def apply(self, role: str, value: Column, *using: Column) -> Column:
             if role in self.allow:
                 return value
-            return _variant_udf(fn, role)(value)
+            new, out = _changes_udf(fn, role, sets)(F.to_json(value)), value
+            for i, path in enumerate(sets):
+                out = F.when(new[i].isNotNull(), set_field(out, path.split("."), F.parse_json(new[i]))).otherwise(out)
+            return out
 
     return _ByRole(name, allow, lambda p, *_: p, kind="variant")
 
 
-def _variant_udf(fn, role: str):
-    def run(payload):
-        import json
+def _changes_udf(fn, role: str, sets: tuple[str, ...]):
+    """JSON of the value at each path, null where ``fn`` left it as it was."""
 
-        from pyspark.sql.types import VariantVal
+    def run(documents: pd.Series) -> pd.Series:
+        import json
 
-        return None if payload is None else VariantVal.parseJson(json.dumps(fn(role, json.loads(payload.toJson()))))
+        def at(document, path: str):
+            for key in path.split("."):
+                if not isinstance(document, dict) or key not in document:
+                    return None, False
+                document = document[key]
+            return json.dumps(document), True
+
+        out = []
+        for text in documents:
+            if text is None:
+                out.append(None)
+                continue
+            after = fn(role, json.loads(text))
+            before = json.loads(text)  # ``fn`` may change what it was given
+            pairs = [(at(before, p), at(after, p)) for p in sets]
+            out.append([new[0] if new[1] and new != old else None for old, new in pairs])
+        return pd.Series(out, dtype=object)
 
-    return F.udf(run, T.VariantType(), useArrow=True)
+    return F.pandas_udf(run, T.ArrayType(T.StringType()))
 
 
 # --- row policies ------------------------------------------------------------
@@ -186,18 +210,18 @@ def python_policy(name: str, fn: Callable[[str, object], bool], allow: tuple[str
         def visible(self, role: str, *cols: Column) -> Column | None:
             if role in self.allow:
                 return None
-            return _predicate_udf(fn, role)(*cols)
+            return _predicate_udf(fn, role)(*[F.to_json(c) for c in cols])
 
     return _ByRole(name, allow)
 
 
 def _predicate_udf(fn, role: str):
-    def run(payload):
+    def run(documents: pd.Series) -> pd.Series:
         import json
 
-        return None if payload is None else bool(fn(role, json.loads(payload.toJson())))
+        return pd.Series([None if text is None else bool(fn(role, json.loads(text))) for text in documents], dtype=object)
 
-    return F.udf(run, T.BooleanType(), useArrow=True)
+    return F.pandas_udf(run, T.BooleanType())
 
 
 # --- bindings ----------------------------------------------------------------

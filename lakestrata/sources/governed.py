@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -38,7 +39,18 @@ class GovernedCatalog:
         return governed(df, name, self.bindings, role)
 
     def query(self, role: str, sql: str, **names: str) -> DataFrame:
-        """SQL text as ``role``: ``query("BI", "SELECT * FROM {t} LIMIT 5", t="db.table")``."""
+        """SQL text as ``role``: ``query("BI", "SELECT * FROM {t} LIMIT 5", t="db.table")``.
+
+        Tables come in as parameters alone; text that names one itself is
+        refused, since it would be read without any policy.
+        """
+        shown = re.sub(r"\{(\w+)\}", lambda m: "__parameter" if m[1] in names else m[0], sql)
+        plan = self.spark._jsparkSession.sessionState().sqlParser().parsePlan(shown).toString()
+        own = {n.strip().lower() for found in re.findall(r"CTE \[([^\]]*)\]", plan) for n in found.split(",")}
+        read = set(re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)) - {"__parameter"}
+        raw = sorted(n for n in read if n.lower() not in own)
+        if raw:
+            raise RestrictedError(f"pass tables as parameters; the text reads {', '.join(n.replace(', ', '.') for n in raw)} itself")
         return self.spark.sql(sql, **{k: self.read(n, role) for k, n in names.items()})
 
     def create_view(self, name: str, source: str, query: Callable[[DataFrame], DataFrame] = lambda d: d) -> None:

@@ -108,7 +108,7 @@ def test_python_rules_equal_native_ones(spark):
         native = governed(docs, "d", Bindings().add_row_policy("d", payload_policy(), ("payload",)), role)
         python = governed(docs, "d", Bindings().add_row_policy("d", python_policy("p", visible, ("ACCOUNTADMIN", "SYSADMIN")), ("payload",)), role)
         assert names(native) == names(python)
-    b = Bindings().set_mask("d", "payload", python_mask("m", blank, allow=("ACCOUNTADMIN",)))
+    b = Bindings().set_mask("d", "payload", python_mask("m", blank, ("name.forename",), allow=("ACCOUNTADMIN",)))
     assert names(governed(docs, "d", b, "QA"))[0] == ("QA", "H") and names(governed(docs, "d", b, "ACCOUNTADMIN"))[0] == ("Lewis", "H")
 
 
@@ -166,3 +166,14 @@ def test_copies_of_a_tagged_table(spark):
         assert cat.read("gov.twin", "ACCOUNTADMIN").filter(F.col("name") == MASKED).count() == 0
         with pytest.raises(RestrictedError):
             cat.create_materialized_view("gov.mv", "gov.base")
+
+
+def test_role_sql_reads_parameters_only(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gov")
+    tables.overwrite(spark.createDataFrame([(1, "clear")], "k int, name string"), "gov.people")
+    cat = GovernedCatalog(spark, Bindings().set_mask("gov.people", "name", constant_mask("c", MASKED)))
+    for text in ("SELECT name FROM {t}", "WITH x AS (SELECT * FROM {t}), y AS (SELECT * FROM x) SELECT name FROM y", "SELECT name FROM (SELECT 'FROM gov.people' AS note, name FROM {t})"):
+        assert cat.query("QA", text, t="gov.people").first()["name"] == MASKED
+    for text in ("SELECT name FROM gov.people", "SELECT a.name FROM {t} a, gov.people b", "SELECT (SELECT max(name) FROM gov.people) AS name FROM {t}", "SELECT name FROM {t} WHERE name IN (SELECT name FROM gov.people)"):
+        with pytest.raises(RestrictedError, match="gov.people"):
+            cat.query("QA", text, t="gov.people")

@@ -21,8 +21,13 @@ from lakestrata.plans import lodging
 from workload import derived
 from workload.registration import ORACLES, query, run_at
 
-_LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag"
+_LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 _COLS = _LINE.split(", ")
+_DAY = "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM"
+
+
+def _dated(df):
+    return df.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 @query(f"WITH {derived.ALTERED_LINES_SQL} SELECT (SELECT count(*) FROM lineitem) AS source_count, count(*) AS target_count, "
@@ -39,26 +44,26 @@ def row_count_both_sides(t):
 
 
 @query(f"""WITH {derived.ALTERED_LINES_SQL}, a AS (SELECT {_LINE} FROM lineitem), b AS (SELECT {_LINE} FROM altered_lines)
-  SELECT *, 'source' AS only_in, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
-  UNION ALL SELECT *, 'target', 1 FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
+  SELECT *, 'source' AS only_in, CAST(1 AS BIGINT) AS copies FROM ({_DAY} (SELECT * FROM a EXCEPT SELECT * FROM b))
+  UNION ALL SELECT *, 'target', 1 FROM ({_DAY} (SELECT * FROM b EXCEPT SELECT * FROM a))""")
 def reconcile_as_sets(t):
     """Symmetric difference: a duplicated row does not show."""
-    return reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS), "set")
+    return _dated(reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS), "set"))
 
 
 @query(f"""WITH {derived.ALTERED_LINES_SQL}, a AS (SELECT {_LINE}, count(*) AS n FROM lineitem GROUP BY ALL),
     b AS (SELECT {_LINE}, count(*) AS n FROM altered_lines GROUP BY ALL)
-  SELECT {_LINE}, CASE WHEN COALESCE(a.n, 0) > COALESCE(b.n, 0) THEN 'source' ELSE 'target' END AS only_in,
+  {_DAY} (SELECT {_LINE}, CASE WHEN COALESCE(a.n, 0) > COALESCE(b.n, 0) THEN 'source' ELSE 'target' END AS only_in,
     abs(COALESCE(a.n, 0) - COALESCE(b.n, 0)) AS copies
-  FROM a FULL JOIN b USING ({_LINE}) WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""")
+  FROM a FULL JOIN b USING ({_LINE}) WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0))""")
 def reconcile_as_multisets(t):
-    return reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS))
+    return _dated(reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS)))
 
 
 @query(ORACLES["reconcile_as_multisets"])
 def reconcile_by_fingerprint(t):
     """The same answer by comparing row hashes first."""
-    return reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS), fingerprint=True)
+    return _dated(reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS), fingerprint=True))
 
 
 _REV = "listing_id, id, date, reviewer_id, reviewer_name, comments, comments2, comments3, comments4"

@@ -117,10 +117,27 @@ def mask_variant_python(t):
             name["surname"] = "** MASKED **"
         return doc
 
-    b = Bindings().set_mask("drivers", "payload", python_mask("person_py", rule, allow=(ADMIN, SYS)))
+    b = Bindings().set_mask("drivers", "payload", python_mask("person_py", rule, ("name.forename", "name.surname"), allow=(ADMIN, SYS)))
     return _names(by_role(_drivers(t), "drivers", b, ROLES))
 
 
+@query(f"""SELECT role, o_orderkey, CASE WHEN {_FULL} THEN o_clerk ELSE 'hidden' END AS clerk, '12345678901234567.' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS amount,
+  strftime(o_orderdate, '%Y-%m-%d') AS ordered FROM (SELECT *, 'Clerk ' || o_custkey AS o_clerk FROM orders), {_ROLES_SQL}""")
+def mask_variant_python_exact(t):
+    """Fields that the function does not set keep their type: decimals of 23 digits, dates."""
+
+    def rule(role, doc):
+        doc["clerk"] = "hidden"
+        return doc
+
+    digits = F.concat(F.lit("12345678901234567."), F.lpad((F.col("o_orderkey") % 1000000).cast("string"), 6, "0")).cast("decimal(23,6)")
+    document = F.struct(F.concat(F.lit("Clerk "), "o_custkey").alias("clerk"), digits.alias("amount"), F.to_date("o_orderdate").alias("ordered"))
+    df = t.orders.select("o_orderkey", F.to_variant_object(document).alias("payload"))
+    out = by_role(df, "orders", Bindings().set_mask("orders", "payload", python_mask("clerk_py", rule, ("clerk",), allow=(ADMIN, SYS))), ROLES)
+    amount, ordered = F.variant_get("payload", "$.amount", "decimal(23,6)"), F.variant_get("payload", "$.ordered", "date")
+    return out.select("role", "o_orderkey", field("payload", "clerk").alias("clerk"), amount.cast("string").alias("amount"), F.date_format(ordered, "yyyy-MM-dd").alias("ordered"))
+
+
 @query(f"""SELECT role, event_id, CASE WHEN role = 'ACCOUNTADMIN' THEN '{{"k":' || json_extract_string(props, '$.k') || '}}'
   ELSE '"*** PAYLOAD MASK ***"' END AS payload FROM events, {_ROLES_SQL}""")
 def mask_whole_payload(t):

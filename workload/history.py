@@ -81,6 +81,18 @@ def snapshot_repeated_load(t):
     return _shown(snapshot_check(derived.later_orders(t), _second(t), KEY, CHECKED, run_at(3)))
 
 
+@query(f"""WITH {derived.LATER_ORDERS_SQL}, gone AS (SELECT *, o_orderkey % 7 = 0 AS changed FROM orders)
+  SELECT o_orderkey, o_orderstatus, o_orderpriority, '{T1}' AS valid_from, CASE WHEN changed THEN '{T2}' END AS valid_to FROM gone
+  UNION ALL SELECT o_orderkey, 'X', NULL, '{T2}', NULL FROM gone WHERE changed""")
+def snapshot_column_vanishes(t):
+    """The second delivery lacks a column: versions that hold it keep it, whether kept or closed now."""
+    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    first = snapshot_check(t.orders.select(*cols), None, KEY, cols[1:], run_at(1))
+    later = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    out = snapshot_check(later, first, KEY, ["o_orderstatus"], run_at(2))
+    return out.select(*cols, stamp("valid_from"), stamp("valid_to"))
+
+
 @query(f"""WITH {derived.REVIEWS_SQL}, v AS (
   SELECT id, reviewer_name, comments, id % 4 = 0 AS changed FROM bronze_reviews)
   SELECT id, reviewer_name, md5(comments) AS text_md5, '{T1}' AS valid_from, CASE WHEN changed THEN '{T2}' END AS valid_to FROM v
@@ -153,13 +165,16 @@ def merge_by_key(t):
     return merge_upsert(derived.later_orders(t).select(*cols), t.orders.select(*cols), KEY)
 
 
-@query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
-  FROM events) WHERE rn = 1""")
+@query("""WITH o AS (SELECT user_id, min(event_id) AS event_id, 'old' AS event_type FROM events GROUP BY user_id),
+  n AS (SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+    FROM events WHERE event_type <> 'purchase' AND user_id % 3 <> 0) WHERE rn = 1)
+  SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n)""")
 def merge_keeping_latest(t):
-    """An increment with repeated keys: the newest row of each key wins."""
+    """An increment with repeated keys onto a row for every user: its newest row of each key wins, other users keep theirs."""
     cols = ["user_id", "event_id", "event_type"]
-    old = t.events.select(*cols).filter("event_id = 0")
-    return merge_upsert(t.events.select(*cols), old, ["user_id"], duplicates="latest", latest_by="event_id")
+    old = t.events.groupBy("user_id").agg(F.min("event_id").alias("event_id")).withColumn("event_type", F.lit("old"))
+    new = t.events.filter("event_type <> 'purchase' AND user_id % 3 <> 0").select(*cols)
+    return merge_upsert(new, old, ["user_id"], duplicates="latest", latest_by="event_id")
 
 
 _BUILT = """SELECT o_orderkey AS ID, sha1(CAST(o_orderkey AS VARCHAR)) AS SK, o_orderstatus AS STATUS,
@@ -186,7 +201,8 @@ def incremental_dimension(t):
 
 @query(_BUILT)
 def incremental_full_refresh(t):
-    old = _build(t.orders.filter("o_orderkey < 0"))
+    """Every stored row is stale, and some are of keys that are gone; none is left."""
+    old = _build(t.orders).withColumns({"STATUS": F.lit("stale"), "ID": F.when(F.col("ID") % 5 == 0, -F.col("ID")).otherwise(F.col("ID"))})
     return _day(incremental(_build, t.orders, old, ["ID"], "o_orderdate", "MODIFIED", full_refresh=True))
 
 

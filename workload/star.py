@@ -105,9 +105,9 @@ def ordered_sample(t):
     return top_n(t.orders.select("o_orderkey", "o_totalprice"), 5, F.col("o_totalprice").desc(), F.col("o_orderkey").asc())
 
 
-@query("""SELECT o_orderpriority, o_orderkey, o_orderstatus FROM orders WHERE o_custkey = 11 ORDER BY 1, 2""")
+@query("""SELECT o_orderpriority, o_orderkey, o_orderstatus FROM orders ORDER BY 1, 2""")
 def order_by_position(t):
-    return t.orders.filter("o_custkey = 11").select("o_orderpriority", "o_orderkey", "o_orderstatus").orderBy(1, 2)
+    return t.orders.select("o_orderpriority", "o_orderkey", "o_orderstatus").orderBy(1, 2)
 
 
 @query("""SELECT o_orderkey AS k, 'orders' AS origin FROM orders UNION ALL SELECT c_custkey, 'customer' FROM customer""")

@@ -148,6 +148,71 @@ def stored_history(t):
     return t.spark.table(name).select(*cols, stamp("valid_from"), stamp("valid_to"))
 
 
+def _loads_sql(deletes):
+    """Four loads: all; every 7th changed and every 5th gone; the changed ones back as they were; all again."""
+    t = [f"'2025-0{m}-10 08:00:00'" for m in (1, 2, 3, 4)]
+    row = lambda status, at, to, where, deleted="FALSE": f"SELECT o_orderkey, {status} AS o_orderstatus, {at} AS valid_from, {to} AS valid_to, {deleted} AS is_deleted FROM orders WHERE {where}"
+    five, seven, both = "o_orderkey % 5 = 0", "o_orderkey % 7 = 0", "o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0"
+    out = [row("o_orderstatus", t[0], t[1], both), row("'X'", t[1], t[2], both), row("o_orderstatus", t[2], "NULL", both), row("o_orderstatus", t[0], "NULL", f"NOT ({five}) AND NOT ({seven})")]
+    if deletes == "ignore":
+        out.append(row("o_orderstatus", t[0], "NULL", five))
+    else:
+        out += [row("o_orderstatus", t[0], t[1], five), row("o_orderstatus", t[3], "NULL", five)]
+    if deletes == "new_record":
+        out.append(row("o_orderstatus", t[1], t[3], five, "TRUE"))
+    return " UNION ALL ".join(out)
+
+
+def _four_loads(t, deletes):
+    name = f"{t.work_database()}.four_loads_{deletes}"
+    for n in (name, name + "__current"):
+        t.spark.sql(f"DROP VIEW IF EXISTS {n}")
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}__parts")
+    h = HistoryTable(t.spark, name, ["o_orderkey"], hard_deletes=deletes, buckets=8)
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    fewer = rows.filter("o_orderkey % 5 <> 0")
+    changed = fewer.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
+    for month, delivery in enumerate((rows, changed, fewer, rows), 1):
+        h.load_by_check(delivery, ["o_orderstatus"], run_at(month))
+    out = t.spark.table(name)
+    deleted = F.col("is_deleted") if "is_deleted" in out.columns else F.lit(False)
+    return out.select("o_orderkey", "o_orderstatus", stamp("valid_from"), stamp("valid_to"), deleted.alias("is_deleted"))
+
+
+@query(_loads_sql("ignore"))
+def stored_history_four_loads(t):
+    """A key changes and changes back; absent keys stay open."""
+    return _four_loads(t, "ignore")
+
+
+@query(_loads_sql("invalidate"))
+def stored_history_four_loads_closing(t):
+    """Absent keys are closed and open again when they return."""
+    return _four_loads(t, "invalidate")
+
+
+@query(_loads_sql("new_record"))
+def stored_history_four_loads_marking(t):
+    """Absent keys get a marked version until they return."""
+    return _four_loads(t, "new_record")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority, TRUE AS is_open FROM orders
+  UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority, FALSE FROM orders WHERE o_orderkey % 7 = 0""")
+def stored_history_column_vanishes(t):
+    """The second delivery lacks a column, in a stored history."""
+    name, cols = f"{t.work_database()}.vanishing", ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    for n in (name, name + "__current"):
+        t.spark.sql(f"DROP VIEW IF EXISTS {n}")
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}__parts")
+    h = HistoryTable(t.spark, name, ["o_orderkey"], buckets=8)
+    h.load_by_check(t.orders.select(*cols), cols[1:], run_at(1))
+    later = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    h.load_by_check(later, ["o_orderstatus"], run_at(2))
+    return t.spark.table(name).select(*cols, F.col("valid_to").isNull().alias("is_open"))
+
+
 @query("""SELECT role, c_custkey, name_length, masked FROM (
     SELECT 'SYSADMIN' AS role, c_custkey, length(c_name) AS name_length, FALSE AS masked, c_mktsegment FROM customer
     UNION ALL SELECT 'QA_READONLY', c_custkey, 14, TRUE, c_mktsegment FROM customer) WHERE c_mktsegment = 'BUILDING'""")
