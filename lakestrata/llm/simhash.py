@@ -17,7 +17,7 @@ of them. The work stays in proportion to the rows, and no connection is lost.
 
 Edge cases. Null and blank texts have fingerprint zero and link like any other. Texts of fewer than four words have one
 shingle, the whole sequence. Equal texts have equal fingerprints. Repeated doc_ids are repeated rows of one id. A null doc_id
-keeps its row; it is never the least id of a group that has another. An empty table gives an empty result. Other columns are
+keeps its row; it is never the least id of a group that has another, and the component_id of a group without ids is null. An empty table gives an empty result. Other columns are
 not read.
 """
 
@@ -162,28 +162,36 @@ def linked_fingerprints(distinct: DataFrame, work: Work, crowd: int = CROWD) ->
     return kept.unionByName(second.join(first.select("node"), "node", "left_anti").select("node", "root"))
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (signed), component_id of every row of ``docs`` (doc_id, text)."""
+def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written rows (doc_id, fp), and per fingerprint its group: fp, root (a fingerprint) and component_id."""
     work = Work(docs.sparkSession, "simhash")
     fps = work.store(fingerprints(docs))
     heads = work.store(fps.groupBy("fp").agg(F.min("doc_id").alias("head")))
     linked = work.store(linked_fingerprints(heads.select("fp"), work))
-    least = (
-        linked.join(heads, linked.node == heads.fp).groupBy("root").agg(F.min("head").alias("component_id"))
-        .join(linked, "root").select(F.col("node").alias("fp"), "component_id")
-    )
-    ids = heads.join(least, "fp", "left").select("fp", F.coalesce("component_id", "head").alias("component_id"))
+    least = linked.join(heads, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("head").alias("least"))
+    named = linked.join(least, "root").select(F.col("node").alias("fp"), "root", "least")
+    ids = heads.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "head").alias("component_id"))
+    return fps, ids
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, fp (signed), component_id of every row of ``docs`` (doc_id, text)."""
+    fps, ids = _rooted(docs)
     return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with one document of each group left: that with the least doc_id.
 
-    Repeated rows of that doc_id count as one document too: the least row of them (by all its columns) stays. A null doc_id
-    stays only where its group has no other.
+    Repeated rows of that doc_id count as one document too: the least row of them (by all its columns) stays. Of a group
+    without any doc_id the least row stays.
     """
-    found = groups(docs)
-    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    _, ids = _rooted(docs)
+    kept = ids.filter("component_id IS NOT NULL").select(F.col("component_id").alias("doc_id")).distinct()
     names = [c for c in docs.columns if c != "doc_id"]
-    one = docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
-    return one.groupBy("doc_id").agg(F.min(F.struct(*pick(docs, *names))).alias("row")).select("doc_id", "row.*").select(*docs.columns)
+    row = F.min(F.struct(*pick(docs, *names))).alias("row")
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(row).select("doc_id", "row.*")
+    lost = docs.filter("doc_id IS NULL").withColumn("__fp", _fingerprints(F.col("text").cast("binary")))
+    alone = ids.filter("component_id IS NULL").select(F.col("fp").alias("__fp"), "root")
+    nameless = lost.join(alone, "__fp").groupBy(F.col("root").alias("__root")).agg(row).select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "row.*")
+    return one.select(*docs.columns).unionByName(nameless.select(*docs.columns))
