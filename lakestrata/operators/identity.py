@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.settings import scratch_root
+from lakestrata.settings import work_folder
 
 # monotonically_increasing_id() puts the partition above bit 33 and the row position below it
 _POSITION_BITS = 33
@@ -27,7 +25,7 @@ def assign_identity(df: DataFrame, order: list[str], name: str = "id", start: in
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie, slot = "__tie", "__slot"
-    where = f"{scratch_root(spark)}/lakestrata_identity/{uuid.uuid4().hex}"
+    where = work_folder(spark, "identity")
     (
         df.withColumn(tie, F.monotonically_increasing_id())
         .repartitionByRange(n, *order, tie)

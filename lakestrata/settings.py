@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -34,11 +35,41 @@ def scratch_root(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     root = (conf or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
     local = root.startswith("file:") or "://" not in root and spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
-    if not conf and local and not spark.sparkContext.master.startswith("local["):
+    if not conf and local and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {root} is local to each machine")
     return root
 
 
+_FOLDERS: list[tuple[SparkSession, str]] = []
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared one for tables that frames read later; it is removed when the program ends.
+
+    Frames read their tables lazily, so nothing earlier is safe.  All folders
+    of an application share a parent, which can be removed if it was killed.
+    """
+    where = f"{scratch_root(spark)}/lakestrata_{spark.sparkContext.applicationId}/{name}_{uuid.uuid4().hex[:12]}"
+    if not _FOLDERS:
+        atexit.register(_remove_folders)
+    _FOLDERS.append((spark, where))
+    return where
+
+
+def remove_folder(spark: SparkSession, where: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_folders() -> None:
+    while _FOLDERS:
+        spark, where = _FOLDERS.pop()
+        try:
+            remove_folder(spark, where)
+        except Exception:  # noqa: BLE001  the session's JVM may be gone
+            return
+
+
 @dataclass(frozen=True)
 class Layers:
     """Database names per layer: ``<ENV>_<LAYER>[_<SOURCE>]``."""

@@ -38,10 +38,22 @@ def physical(spark: SparkSession, name: str) -> str:
     return f"{name}__v{v}"
 
 
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """Full names of the stored versions, oldest first."""
+    *db, short = name.split(".")
+    if db and not spark.catalog.databaseExists(db[0]):
+        return []
+    where = f" IN {db[0]}" if db else ""
+    found = spark.sql(f"SHOW TABLES{where} LIKE '{short.lower()}__v*'").collect()
+    numbers = sorted(int(r["tableName"][len(short) + 3 :]) for r in found if r["tableName"][len(short) + 3 :].isdigit())
+    return [f"{name}__v{n}" for n in numbers]
+
+
 def _publish(spark: SparkSession, name: str, v: int, keep: int) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION}' = '{v}') AS SELECT * FROM {name}__v{v}")
-    for old in range(max(1, v - keep - 3), v - keep):
-        spark.sql(f"DROP TABLE IF EXISTS {name}__v{old}")
+    for old in _versions(spark, name):
+        if int(old.rpartition("__v")[2]) < v - keep:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
@@ -175,10 +187,9 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
 def drop(spark: SparkSession, *names: str) -> None:
     """Drop published tables or plain views; absent names are no error."""
     for name in names:
-        v = version(spark, name)
         spark.sql(f"DROP VIEW IF EXISTS {name}")
-        for i in range(max(1, v - 4), v + 2):
-            spark.sql(f"DROP TABLE IF EXISTS {name}__v{i}")
+        for old in _versions(spark, name):
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def create_layers(spark: SparkSession, layers: Layers, schemas: list[str], location: str | None = None) -> list[str]:

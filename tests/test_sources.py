@@ -225,3 +225,40 @@ def test_run_context_is_pinned_once():
     ctx = RunContext()
     pinned = ctx.pinned()
     assert pinned.ts is not None and pinned.pinned() is pinned and pinned.run_id == ctx.run_id
+
+
+def test_scratch_root_refuses_a_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from lakestrata.settings import scratch_root
+
+    def session(master, folder=None, warehouse="file:/home/spark-warehouse"):
+        conf = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
+        hadoop = SimpleNamespace(get=lambda key, default: default)
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, _jsc=SimpleNamespace(hadoopConfiguration=lambda: hadoop))
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key) or default), sparkContext=context)
+
+    assert scratch_root(session("local[4]")) == "file:/home/spark-warehouse"
+    assert scratch_root(session("yarn", "hdfs://host/shared/")) == "hdfs://host/shared"
+    assert scratch_root(session("yarn", warehouse="hdfs://host/warehouse")) == "hdfs://host/warehouse"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(session("spark://host:7077"))
+
+
+def test_work_folders_go_with_the_program(spark):
+    from lakestrata import settings
+
+    held = list(settings._FOLDERS)
+    where = settings.work_folder(spark, "test")
+    spark.range(3).write.parquet(where)
+    settings._FOLDERS[:] = [(spark, where)]
+    settings._remove_folders()
+    settings._FOLDERS[:] = held
+    assert not Path(where.removeprefix("file:")).exists()
+
+
+def test_drop_finds_every_version(spark, db):
+    for _ in range(7):
+        tables.overwrite(spark.range(2).toDF("k"), f"{db}.many", keep=9)
+    tables.drop(spark, f"{db}.many")
+    assert spark.sql(f"SHOW TABLES IN {db} LIKE 'many*'").count() == 0

@@ -1,7 +1,5 @@
 """Row history, incremental merges, gold dimension and fact."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from lakestrata.functions.casting import typed
@@ -11,7 +9,7 @@ from lakestrata.operators.incremental import high_water_mark, incremental, merge
 from lakestrata.operators.star import build_dim
 from lakestrata.plans import lodging
 from lakestrata.plans.medallion import Medallion
-from lakestrata.settings import Layers
+from lakestrata.settings import Layers, work_folder
 from lakestrata.sources import tables
 from workload import derived
 from workload.registration import query, run_at, stamp
@@ -283,7 +281,7 @@ def _stored_build(t, mode):
     run = t.spark.sparkContext.applicationId.replace("-", "_").upper()
     m = Medallion(t.spark, Layers("DEV"), mode, buckets=8, schema=f"LODGING_{mode.upper()}_{run}")
     m.reset(("LANDING", "BRONZE", "SILVER", "GOLD", "PLATINUM"))
-    m.create(t.work_path(f"layers_{uuid.uuid4().hex}"))
+    m.create(work_folder(t.spark, "layers"))
     landing, hit = derived.landing_listings(t), F.col("id").cast("bigint") % 9 == 0
     tables.overwrite(with_audit(landing, run_at(1)), m.name("LANDING", "Listings"))
     tables.overwrite(derived.geography(t), m.name("GOLD", "Dim_Geography"))
