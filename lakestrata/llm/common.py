@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.settings import scratch_root
+from lakestrata.settings import remove_folder, work_folder
 
 #: Words of every contract: runs of anything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,8 +18,7 @@ class Work:
     """A folder of written tables in the cluster's shared folder: lineage is cut there, and any executor can read it again."""
 
     def __init__(self, spark: SparkSession, name: str):
-        app = spark.sparkContext.applicationId
-        self.spark, self.dir, self.n = spark, f"{scratch_root(spark)}/llm_{app}/{name}_{uuid.uuid4().hex[:12]}", 0
+        self.spark, self.dir, self.n = spark, work_folder(spark, name), 0
 
     def store(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and read it back; the path is in ``last``."""
@@ -32,9 +29,7 @@ class Work:
 
     def drop(self, path: str) -> None:
         """Remove a table that no frame in use reads any more."""
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        remove_folder(self.spark, path)
 
 
 def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
