@@ -73,12 +73,15 @@ def incremental(build, source: DataFrame, target: DataFrame | None, key: list[st
     """
     if target is None or full_refresh:
         return build(source)
+    return merge_upsert(stage(build(fresh_rows(source, target, ts_col, target_col, reprocess))), target, key)
+
+
+def fresh_rows(source: DataFrame, target: DataFrame, ts_col: str, target_col: str, reprocess: DataFrame | None = None) -> DataFrame:
+    """Source rows past the target's high-water mark, and those named in ``reprocess``."""
     fresh = newer_than(source, ts_col, target, target_col)
-    if reprocess is not None:
-        on = reprocess.columns
-        again = source.join(reprocess.distinct(), on, "left_semi")
-        mark = high_water_mark(target, target_col).scalar()
-        # a row that is both new and named must not appear twice
-        again = again.filter(~F.coalesce(F.col(ts_col) > mark, F.lit(False)))
-        fresh = fresh.unionByName(again)
-    return merge_upsert(stage(build(fresh)), target, key)
+    if reprocess is None:
+        return fresh
+    again = source.join(reprocess.distinct(), reprocess.columns, "left_semi")
+    mark = high_water_mark(target, target_col).scalar()
+    # a row that is both new and named must not appear twice
+    return fresh.unionByName(again.filter(~F.coalesce(F.col(ts_col) > mark, F.lit(False))))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.operators.governance import Bindings
 from lakestrata.operators.history import DEFAULT, HistoryColumns
-from lakestrata.operators.incremental import incremental
+from lakestrata.operators.incremental import fresh_rows
 from lakestrata.operators.quality import (
     Check,
     compare_row_count,
@@ -25,6 +25,7 @@ from lakestrata.settings import Layers, RunContext, configure
 from lakestrata.sources import tables
 from lakestrata.sources.governed import GovernedCatalog
 from lakestrata.sources.history_table import HistoryTable
+from lakestrata.sources.sliced_table import SlicedTable
 
 STEPS = ("bronze_listings", "bronze_reviews", "bronze_drivers", "silver_listings", "silver_reviews", "gold_dim", "gold_fact")
 REBUILT = ("BRONZE", "SILVER", "PLATINUM")
@@ -44,6 +45,7 @@ class Medallion:
     gold_mode: str = "table"
     names: HistoryColumns = DEFAULT
     buckets: int | None = None
+    slices: int = 16  # of incremental gold tables; some hundred MB each at most
     bindings: Bindings = field(default_factory=Bindings)
     schema: str = lodging.SCHEMA
 
@@ -103,28 +105,28 @@ class Medallion:
         source = lodging.silver_source(self.read("BRONZE", "Reviews"), lodging.REVIEW_TYPES, ctx)
         self.silver("Reviews").load_by_check(source, list(lodging.REVIEW_TYPES), ctx)
 
-    def _target(self, name: str, full_refresh: bool) -> DataFrame | None:
-        use = self.gold_mode == "incremental" and not full_refresh and tables.version(self.spark, name) > 0
-        return self.spark.table(name) if use else None
+    def _gold(self, name: str, key: str, build, full_refresh: bool, reprocess: DataFrame | None = None) -> None:
+        """Rebuild a gold table, or merge what is new into the slices that it touches."""
+        source = self.silver("Listings").current()
+        if self.gold_mode == "table":
+            tables.overwrite(build(source), name)
+            return
+        gold = SlicedTable(self.spark, name, [key], self.slices)
+        if full_refresh or not gold.published():
+            gold.overwrite(build(source))
+            return
+        fresh = fresh_rows(source, gold.read(), self.names.updated_at, "LAST_MODIFIED_AT", reprocess)
+        gold.merge(tables.stage(build(fresh), name))
+        tables.drop(self.spark, name + "__staged")
 
     def gold_dim(self, ctx: RunContext, full_refresh: bool = False) -> None:
         name = self.name("GOLD", "Dim_Listing_Details")
-        out = incremental(
-            lambda rows: lodging.gold_listing_dim(rows, ctx, self.names),
-            self.silver("Listings").current(), self._target(name, full_refresh), ["ID"],
-            self.names.updated_at, "LAST_MODIFIED_AT", stage=lambda df: tables.stage(df, name),
-        )
-        tables.overwrite(out, name)
+        self._gold(name, "ID", lambda rows: lodging.gold_listing_dim(rows, ctx, self.names), full_refresh)
 
     def gold_fact(self, ctx: RunContext, full_refresh: bool = False, reprocess: DataFrame | None = None) -> None:
-        name = self.name("GOLD", "Fact_Listings")
         dim, geo, ward = (self.read("GOLD", t) for t in ("Dim_Listing_Details", "Dim_Geography", "Dim_Geography_Geospatial"))
-        out = incremental(
-            lambda rows: lodging.gold_listing_fact(rows, dim, geo, ward, ctx, self.names),
-            self.silver("Listings").current(), self._target(name, full_refresh), ["LISTING_ID"],
-            self.names.updated_at, "LAST_MODIFIED_AT", reprocess=reprocess, stage=lambda df: tables.stage(df, name),
-        )
-        tables.overwrite(out, name)
+        self._gold(self.name("GOLD", "Fact_Listings"), "LISTING_ID",
+                   lambda rows: lodging.gold_listing_fact(rows, dim, geo, ward, ctx, self.names), full_refresh, reprocess)
 
     # --- checks --------------------------------------------------------------
 
@@ -157,4 +159,6 @@ class Medallion:
         """Drop what a build makes; landing and the reference dimensions stay."""
         tables.drop_layers(self.spark, self.layers, [self.schema], list(layers))
         gold = [self.name("GOLD", t) for t in ("Dim_Listing_Details", "Fact_Listings")]
+        for g in gold:
+            SlicedTable(self.spark, g, []).drop()
         tables.drop(self.spark, *gold, *[g + "__staged" for g in gold])

@@ -8,6 +8,7 @@ from lakestrata.operators.quality import scan
 from lakestrata.sources import tables
 from lakestrata.sources.governed import GovernedCatalog
 from lakestrata.sources.history_table import HistoryTable
+from lakestrata.sources.sliced_table import SlicedTable
 from workload import derived
 from workload.registration import query, run_at, stamp
 
@@ -148,6 +149,20 @@ def stored_history(t):
     return t.spark.table(name).select(*cols, stamp("valid_from"), stamp("valid_to"))
 
 
+@query(f"""WITH {derived.LATER_ORDERS_SQL}, m AS (SELECT o_orderkey, o_orderstatus FROM later_orders
+    UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 13 = 0)
+  SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 1 THEN 'U' ELSE o_orderstatus END AS o_orderstatus FROM m""")
+def merge_and_update_slices(t):
+    """A merge, then an update, each rewriting only the key slices that it touches."""
+    cols = ["o_orderkey", "o_orderstatus"]
+    table = SlicedTable(t.spark, f"{t.work_database()}.sliced_orders", ["o_orderkey"], 16)
+    table.drop()
+    table.overwrite(t.orders.select(*cols))
+    table.merge(derived.later_orders(t).select(*cols))
+    table.update(F.col("o_orderkey") % 1000 == 1, {"o_orderstatus": F.lit("U")})
+    return t.spark.table(table.name)
+
+
 def _loads_sql(deletes):
     """Four loads: all; every 7th changed and every 5th gone; the changed ones back as they were; all again."""
     t = [f"'2025-0{m}-10 08:00:00'" for m in (1, 2, 3, 4)]
