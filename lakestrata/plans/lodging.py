@@ -127,8 +127,17 @@ def silver_source(bronze: DataFrame, types: dict[str, str], ctx: RunContext) ->
     return with_audit(bronze.select(SOURCE_SYSTEM, *types), ctx)
 
 
+# Names of the gold columns, and the silver column that each comes from.
+DIM_LINEAGE = {"ID": "id", "NAME": "name", "HOST_ID": "host_id", "HOST_NAME": "host_name", "ROOM_TYPE": "room_type"}
+FACT_LINEAGE = {
+    "VALUE_CATEGORY": "price", "LISTING_ID": "id", "LISTINGS": "name", "HOST_ID": "host_id", "HOST_NAME": "host_name", "PRICE": "price",
+    "MINIMUM_NIGHTS": "minimum_nights", "NUMBER_OF_REVIEWS": "number_of_reviews", "HOST_LISTING_COUNT": "calculated_host_listings_count",
+    "AVAILABILITY": "availability_365", "LAST_REVIEW_DATE_KEY": "last_review", "REVIEWS_PER_MONTH": "reviews_per_month",
+}
+
+
 def gold_listing_dim(silver: DataFrame, ctx: RunContext, names: HistoryColumns = DEFAULT) -> DataFrame:
-    columns = {"id": "ID", "name": "NAME", "host_id": "HOST_ID", "host_name": "HOST_NAME", "room_type": "ROOM_TYPE"}
+    columns = {origin: out for out, origin in DIM_LINEAGE.items()}
     return build_dim(silver, ["id"], columns, ctx, names=names, carry=(SOURCE_SYSTEM,))
 
 
@@ -146,6 +155,7 @@ def gold_listing_fact(silver: DataFrame, listing_dim: DataFrame, geography: Data
         Dim(geography, here, {"geography_id": "GEOGRAPHY_ID", "borough_id": "BOROUGH_ID"}, duplicates),
         Dim(geospatial, here, {"ward_id": "WARD_ID"}, duplicates),
     ]
+    # Names of the fact's columns.
     outputs = {
         "VALUE_CATEGORY": band("price", PRICE_BANDS, LOWEST_BAND),
         SOURCE_SYSTEM: F.col(SOURCE_SYSTEM),

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.operators.governance import Bindings
+from lakestrata.operators.governance import Bindings, propagate_tags
 from lakestrata.operators.history import DEFAULT, HistoryColumns
 from lakestrata.operators.incremental import fresh_rows
 from lakestrata.operators.quality import (
@@ -85,9 +85,25 @@ class Medallion:
                     self.gold_fact(ctx, full_refresh, reprocess)
                 else:
                     getattr(self, step)(ctx)
+                self._carry_tags(step)
                 done.append(step)
         return done
 
+    def _carry_tags(self, step: str) -> None:
+        """Propagating tags follow the columns that a step has just written."""
+        listings, reviews = ({c: c for c in kinds} for kinds in (lodging.LISTING_TYPES, lodging.REVIEW_TYPES))
+        moves = {
+            "bronze_listings": [("LANDING", "Listings", "BRONZE", "Listings", listings)],
+            "bronze_reviews": [("LANDING", "Reviews", "BRONZE", "Reviews", {**reviews, **dict.fromkeys(lodging.COMMENT_COPIES, "comments")})],
+            "bronze_drivers": [("LANDING", "Drivers", "BRONZE", "Drivers", dict.fromkeys(lodging.DRIVER_FIELDS, "payload"))],
+            "silver_listings": [("BRONZE", "Listings", "SILVER", t, listings) for t in ("Listings", "Listings__current")],
+            "silver_reviews": [("BRONZE", "Reviews", "SILVER", t, reviews) for t in ("Reviews", "Reviews__current")],
+            "gold_dim": [("SILVER", "Listings", "GOLD", "Dim_Listing_Details", lodging.DIM_LINEAGE)],
+            "gold_fact": [("SILVER", "Listings", "GOLD", "Fact_Listings", lodging.FACT_LINEAGE)],
+        }
+        for from_layer, src, to_layer, dst, lineage in moves[step]:
+            propagate_tags(self.bindings, self.name(from_layer, src), self.name(to_layer, dst), lineage)
+
     def bronze_listings(self, ctx: RunContext) -> None:
         tables.materialize_table(lodging.bronze_listings(self.read("LANDING", "Listings"), ctx), self.name("BRONZE", "Listings"))
 
@@ -133,7 +149,7 @@ class Medallion:
     def checks(self) -> list[Check]:
         land, bronze = (lambda t: self.read("LANDING", t)), (lambda t: self.read("BRONZE", t))
         reviews = [*lodging.REVIEW_TYPES, *lodging.COMMENT_COPIES]
-        p1, recon, dq = "P1", "recon", "dq"
+        p1, recon, dq = "P1", "recon", "dq"  # Fixed values: tags of the checks
         return [
             Check("reviews_listing_id_not_null", lambda: not_null(bronze("Reviews"), "listing_id"), frozenset({dq, p1})),
             Check("reviews_listing_id_is_number", lambda: of_type(bronze("Reviews"), "listing_id", "number"), frozenset({dq, p1})),

@@ -35,9 +35,32 @@ class GovernedCatalog:
             source, query = self.views[name.lower()]
             df = query(self.read(source, role))
         else:
+            self._refuse_open_view(name)
             df = self.spark.table(name)
         return governed(df, name, self.bindings, role)
 
+    def _relations(self, sql: str) -> set[str]:
+        """Tables that a query's text reads itself, as it writes them; not its own common table expressions."""
+        plan = self.spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+        own = {n.strip().lower() for found in re.findall(r"CTE \[([^\]]*)\]", plan) for n in found.split(",")}
+        return {n.replace(", ", ".") for n in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan) if n.lower() not in own}
+
+    def _refuse_open_view(self, name: str) -> None:
+        """A plain SQL view over a protected table would show it clear; views made here apply its policies."""
+        if not self.spark.catalog.tableExists(name) or self.spark.catalog.getTable(name).tableType != "VIEW":
+            return
+        facts = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if "lakestrata." in (facts.get("Table Properties") or ""):
+            return  # a published table: its view only picks the version
+        home = (facts.get("View Catalog and Namespace") or "").removeprefix("spark_catalog.").strip("`")
+        for source in self._relations(facts.get("View Text") or "SELECT 1"):
+            full = source.removeprefix("spark_catalog.")
+            full = full if "." in full or not home else f"{home}.{full}"
+            for known in {source, full}:
+                if self.spark.catalog.tableExists(known) and self.bindings.is_protected(known, self.spark.table(known).schema):
+                    raise RestrictedError(f"{name} is a view over {known}, which carries policies; make it with create_view of this catalog")
+            self._refuse_open_view(full)
+
     def query(self, role: str, sql: str, **names: str) -> DataFrame:
         """SQL text as ``role``: ``query("BI", "SELECT * FROM {t} LIMIT 5", t="db.table")``.
 
@@ -45,12 +68,9 @@ class GovernedCatalog:
         refused, since it would be read without any policy.
         """
         shown = re.sub(r"\{(\w+)\}", lambda m: "__parameter" if m[1] in names else m[0], sql)
-        plan = self.spark._jsparkSession.sessionState().sqlParser().parsePlan(shown).toString()
-        own = {n.strip().lower() for found in re.findall(r"CTE \[([^\]]*)\]", plan) for n in found.split(",")}
-        read = set(re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)) - {"__parameter"}
-        raw = sorted(n for n in read if n.lower() not in own)
+        raw = sorted(self._relations(shown) - {"__parameter"})
         if raw:
-            raise RestrictedError(f"pass tables as parameters; the text reads {', '.join(n.replace(', ', '.') for n in raw)} itself")
+            raise RestrictedError(f"pass tables as parameters; the text reads {', '.join(raw)} itself")
         return self.spark.sql(sql, **{k: self.read(n, role) for k, n in names.items()})
 
     def create_view(self, name: str, source: str, query: Callable[[DataFrame], DataFrame] = lambda d: d) -> None:

@@ -177,3 +177,34 @@ def test_role_sql_reads_parameters_only(spark):
     for text in ("SELECT name FROM gov.people", "SELECT a.name FROM {t} a, gov.people b", "SELECT (SELECT max(name) FROM gov.people) AS name FROM {t}", "SELECT name FROM {t} WHERE name IN (SELECT name FROM gov.people)"):
         with pytest.raises(RestrictedError, match="gov.people"):
             cat.query("QA", text, t="gov.people")
+
+
+def test_bindings_are_read_back_from_their_table(spark):
+    from lakestrata.sources.binding_store import load_bindings, save_bindings
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS gov")
+    mask, policy = partial_name_mask(), category_policy()
+    b = Bindings().create_tag("pii", propagate=True).tag_mask("pii", constant_mask("pii", MASKED)).set_mask("t", "name", mask, ("room_type",))
+    b.add_row_policy("t", policy, ("room_type",)).tag("t", None, "owner", "us").tag("t", "name", "pii", "x")
+    save_bindings(spark, b, "gov.bindings")
+    masks = [mask, b.tag_masks["pii"]]
+    again = load_bindings(spark, "gov.bindings", masks, [policy])
+    assert (again.tables, again.tag_masks, again.propagating) == (b.tables, b.tag_masks, b.propagating)
+    with pytest.raises(ValueError, match="was not given"):
+        load_bindings(spark, "gov.bindings", masks)
+    save_bindings(spark, Bindings(), "gov.bindings")
+    assert load_bindings(spark, "gov.bindings").tables == {}
+
+
+def test_plain_views_over_protected_tables_are_refused(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gov")
+    tables.overwrite(spark.createDataFrame([(1, "clear")], "k int, name string"), "gov.persons")
+    tables.overwrite(spark.createDataFrame([(1, "open")], "k int, name string"), "gov.places")
+    tables.create_view(spark, "SELECT name FROM gov.persons", "gov.persons_view")
+    tables.create_view(spark, "WITH x AS (SELECT * FROM gov.persons_view) SELECT name FROM x", "gov.second_view")
+    tables.create_view(spark, "SELECT name FROM gov.places", "gov.places_view")
+    cat = GovernedCatalog(spark, Bindings().set_mask("gov.persons", "name", constant_mask("c", MASKED)))
+    assert cat.read("gov.persons", "QA").first()["name"] == MASKED and cat.read("gov.places_view", "QA").first()["name"] == "open"
+    for view in ("gov.persons_view", "gov.second_view"):
+        with pytest.raises(RestrictedError, match="gov.persons"):
+            cat.read(view, "QA")

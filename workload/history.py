@@ -1,9 +1,12 @@
 """Row history, incremental merges, gold dimension and fact."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lakestrata.functions.casting import typed
 from lakestrata.operators.audit import with_audit
+from lakestrata.operators.governance import MASKED, constant_mask
 from lakestrata.operators.history import current_rows, history, snapshot_check, snapshot_timestamp
 from lakestrata.operators.incremental import high_water_mark, incremental, merge_upsert, newer_than
 from lakestrata.operators.star import build_dim
@@ -11,6 +14,8 @@ from lakestrata.plans import lodging
 from lakestrata.plans.medallion import Medallion
 from lakestrata.settings import Layers, work_folder
 from lakestrata.sources import tables
+from lakestrata.sources.binding_store import load_bindings, save_bindings
+from lakestrata.sources.governed import GovernedCatalog
 from workload import derived
 from workload.registration import query, run_at, stamp
 
@@ -305,6 +310,36 @@ def stored_build_incremental(t):
     return _stored_build(t, "incremental")
 
 
+_LAYER_NAMES = [("LANDING", "Listings", "id", "name"), ("BRONZE", "Listings", "id", "name"), ("SILVER", "Listings", "id", "name"),
+                ("GOLD", "Dim_Listing_Details", "ID", "NAME"), ("GOLD", "Fact_Listings", "LISTING_ID", "LISTINGS")]
+
+
+@query(f"""WITH {derived.LISTINGS_SQL}, l AS (SELECT unnest(['LANDING.Listings', 'BRONZE.Listings', 'SILVER.Listings', 'GOLD.Dim_Listing_Details', 'GOLD.Fact_Listings']) AS layer),
+  r AS (SELECT unnest(['SYSADMIN', 'QA_READONLY']) AS role)
+  SELECT layer, role, id, CASE WHEN role = 'SYSADMIN' THEN name ELSE '*** MASKED ***' END AS name FROM bronze_listings, l, r""")
+def tags_through_layers(t):
+    """One tag on a landing column masks what comes from it in every layer, also for who reads the bindings from their table."""
+    run = t.spark.sparkContext.applicationId.replace("-", "_").upper()
+    mask = constant_mask("pii_text", MASKED, allow=("SYSADMIN",))
+    m = Medallion(t.spark, Layers("TEST"), schema=f"LODGING_TAGS_{run}")
+    m.reset(("LANDING", "BRONZE", "SILVER", "GOLD", "PLATINUM"))
+    m.create(work_folder(t.spark, "layers"))
+    m.bindings.create_tag("pii", propagate=True).tag_mask("pii", mask).tag(m.name("LANDING", "Listings"), "name", "pii", "name")
+    tables.overwrite(with_audit(derived.landing_listings(t), run_at(1)), m.name("LANDING", "Listings"))
+    tables.overwrite(derived.geography(t), m.name("GOLD", "Dim_Geography"))
+    tables.overwrite(derived.geospatial(t), m.name("GOLD", "Dim_Geography_Geospatial"))
+    m.run(run_at(1), {"bronze_listings", "silver_listings", "gold_dim", "gold_fact"})
+    stored = m.name("GOLD", "Bindings")
+    save_bindings(t.spark, m.bindings, stored)
+    catalog = GovernedCatalog(t.spark, load_bindings(t.spark, stored, masks=[mask]))
+    out = [
+        catalog.read(m.name(layer, table), role).select(
+            F.lit(f"{layer}.{table}").alias("layer"), F.lit(role).alias("role"), F.col(key).cast("bigint").alias("id"), F.col(name).alias("name"))
+        for layer, table, key, name in _LAYER_NAMES for role in ("SYSADMIN", "QA_READONLY")
+    ]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @query("""SELECT c_custkey AS ID, c_name AS NAME, sha1(concat_ws('||', CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR))) AS SK,
   c_mktsegment FROM customer""")
 def dimension_with_two_part_key(t):
