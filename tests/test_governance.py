@@ -208,3 +208,17 @@ def test_plain_views_over_protected_tables_are_refused(spark):
     for view in ("gov.persons_view", "gov.second_view"):
         with pytest.raises(RestrictedError, match="gov.persons"):
             cat.read(view, "QA")
+
+
+def test_all_roles_in_one_scan_equal_each_role(spark):
+    from lakestrata.operators.governance import by_role
+
+    df = listings(spark)
+    b = Bindings().set_mask("t", "name", partial_name_mask(), ("room_type",)).set_mask("t", "room_type", constant_mask("c", MASKED, allow=("SYSADMIN",)))
+    b.add_row_policy("t", category_policy(("shared room", "private room")), ("room_type",))
+    got = by_role(df, "t", b, ROLES)
+    want = [(*r, role) for role in ROLES for r in map(tuple, governed(df, "t", b, role).collect())]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = by_role(orders, "o", Bindings().set_mask("o", "o_orderstatus", constant_mask("c", MASKED)), ROLES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
