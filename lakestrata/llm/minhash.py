@@ -240,7 +240,7 @@ def _ordered(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / n for i in range(1, n)]
-    bounds = docs.agg(F.percentile_approx("doc_id", shares, F.lit(100 * n)).alias("q")).first()["q"] if shares else None
+    bounds = docs.agg(F.percentile_approx("doc_id", shares, F.lit(10 * n)).alias("q")).first()["q"] if shares else None
     bounds = np.unique(np.array(bounds or [], dtype=np.int64))
     last = len(bounds)
 
