@@ -123,7 +123,7 @@ def mask_variant_python(t):
 
 @query(f"""SELECT role, o_orderkey, CASE WHEN {_FULL} THEN o_clerk ELSE 'hidden' END AS clerk, '12345678901234567.' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS amount,
   strftime(o_orderdate, '%Y-%m-%d') AS ordered FROM (SELECT *, 'Clerk ' || o_custkey AS o_clerk FROM orders), {_ROLES_SQL}""")
-def mask_variant_python_exact(t):
+def mask_untouched_fields_python(t):
     """Fields that the function does not set keep their type: decimals of 23 digits, dates."""
 
     def rule(role, doc):
