@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import mixing, packing, pii, quality, simhash
+from lakestrata.llm import minhash, mixing, packing, pii, quality
 from lakestrata.llm.common import Work
 
 
@@ -18,7 +18,7 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return minhash.keep_one(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", accept),
-    ("SimHash near-dedup", deduplicate),
+    ("SimHash and MinHash near-dedup", deduplicate),
     ("PII", redact),
     ("mixing sources to target weights", mix),
     ("best-fit packing", pack),

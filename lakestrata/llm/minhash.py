@@ -9,9 +9,11 @@ doc_id, one shuffle of the texts; the first document of each range is also sent
 another. Range bounds are quantiles, their number is that of the shuffle partitions. Texts are read in order, batch by batch,
 and the shingles that a text and its edited text share are hashed once.
 
-``near_groups`` joins bands of the fingerprints in Spark and verifies exact Jaccard likeness. Texts of equal words are one
-class, links are first sought to the least class of each bucket, and classes of one bucket are only compared with each other
-where they are still apart.
+``near_groups`` and ``keep_one`` (the stage of the pipeline) group texts of a Jaccard likeness of ``LIKE`` or more over five-word
+shingles. Texts of equal words are one class. Candidates are classes that share a band of the fingerprints (of two texts just
+at 0.8 one pair in 20 million shares none) or a SimHash group; every link is verified on the shingles. Holders of a bucket are
+compared with its least and greatest one; classes of a bucket that are then still apart meet over their rarest shingles, as many
+as two like sets cannot do without, so no bucket's pairs are listed.
 
 Edge cases. Null texts are empty. A text without words has a fingerprint of its own kind (all ones), like only to its equals.
 Repeated doc_ids are in order of their texts; null doc_ids come last; after the last document comes the first, and a single
@@ -30,9 +32,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from lakestrata.llm.common import Work, arrow_batches
+from lakestrata.llm import simhash
+from lakestrata.llm.common import Work, arrow_batches, pick
 from lakestrata.llm.components import components
 
 WORDS = 5
@@ -278,44 +281,104 @@ def compared(docs: DataFrame) -> DataFrame:
     return _ordered(docs).mapInArrow(_compare, schema)
 
 
+def _digest(text: bytes) -> bytes:
+    """What texts of equal words have in common: 128 bits."""
+    return hashlib.sha256(b" ".join(text.split())).digest()[:16]
+
+
 def _described(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    hasher = Hasher()
+    hasher, wide = Hasher(), PERMUTATIONS // BANDS
     for batch in texts:
         rows = [normal(t) for t in batch]
-        low = hasher.signatures(rows)
-        wide = PERMUTATIONS // BANDS
-        bands, sets = [], []
-        for row, text in zip(low, rows):
+        bands = []
+        for row in hasher.signatures(rows):
             bands.append([int.from_bytes(hashlib.blake2b(bytes([b]) + row[b * wide : (b + 1) * wide].tobytes(), digest_size=8).digest(), "big", signed=True) for b in range(BANDS)])
-            found = [hasher.shingles([p])[0] for p in _parts(text)]
-            sets.append(np.unique(np.concatenate(found)).astype(np.int64))
-        words = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in rows]
-        yield pd.DataFrame({"words": words, "bands": bands, "shingles": sets})
+        yield pd.DataFrame({"words": [_digest(t) for t in rows], "blank": [not t.strip() for t in rows], "fp": [simhash.fingerprint(t) for t in rows], "bands": bands})
 
 
-def near_groups(docs: DataFrame, like: float = LIKE) -> DataFrame:
-    """doc_id and class_id (least doc_id reachable over pairs of Jaccard likeness ``like`` or more that share a band)."""
+def _digests(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([_digest(normal(t)) for t in batch], dtype=object)
+
+
+def _sets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    hasher = Hasher()
+    for batch in texts:
+        out = []
+        for text in batch:
+            found = [hasher.shingles([p])[0] for p in _parts(normal(text))]
+            out.append(np.unique(np.concatenate(found).astype(np.uint32).view(np.int32)))
+        yield pd.Series(out, dtype=object)
+
+
+def _across(apart: DataFrame, like: float) -> DataFrame:
+    """Pairs (a, b) of different roots among ``apart`` (head, root, shingles) that may be as like as ``like``.
+
+    Two sets that like each other have a shingle in common among the rarest of each, all but ceil(like * size) - 1 of them, so
+    only those are joined: what thousands of texts share is not among them while the texts have enough of their own.
+    """
+    size = F.size("shingles").alias("size")
+    each = apart.select("head", "root", size, F.explode("shingles").alias("s"))
+    often = each.groupBy("s").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("head").orderBy("often", "s"))
+    rare = each.join(often, "s").withColumn("place", place).filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * like - 1e-9) + 1)
+    rare = rare.filter("often > 1").select("s", "head", "root", "size")
+    pairs = rare.select("s", F.col("head").alias("a"), F.col("root").alias("ra"), F.col("size").alias("x")).join(
+        rare.select("s", F.col("head").alias("b"), F.col("root").alias("rb"), F.col("size").alias("y")), "s")
+    return pairs.filter((F.col("ra") < F.col("rb")) & (F.least("x", "y") >= like * F.greatest("x", "y") - 1e-9)).select("a", "b").distinct()
+
+
+def _rooted(docs: DataFrame, like: float) -> DataFrame:
+    """doc_id, words (a digest) and root (the least digest that links lead to) of every row."""
     arrow_batches(docs.sparkSession)
     work = Work(docs.sparkSession, "minhash")
-    of = F.pandas_udf(_described, StructType([StructField("words", StringType()), StructField("bands", ArrayType(LongType())), StructField("shingles", ArrayType(LongType()))]))
+    kinds = [("words", BinaryType()), ("blank", BooleanType()), ("fp", LongType()), ("bands", ArrayType(LongType()))]
+    of = F.pandas_udf(_described, StructType([StructField(*k) for k in kinds]))
     rows = work.store(docs.select("doc_id", of("text").alias("d")).select("doc_id", "d.*"))
-    heads = work.store(rows.groupBy("words").agg(F.min("doc_id").alias("head")))
-    classes = work.store(rows.join(heads, "words").filter(F.col("doc_id") == F.col("head")).dropDuplicates(["head"]).select("head", "bands", "shingles"))
-    sets = classes.select("head", "shingles")
+    classes = work.store(rows.filter("NOT blank").groupBy(F.col("words").alias("head")).agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    balls = simhash.linked_fingerprints(classes.select("fp").distinct(), work)
+
+    def held(buckets: DataFrame) -> DataFrame:
+        w = Window.partitionBy("bucket")
+        return buckets.withColumns({"low": F.min("head").over(w), "high": F.max("head").over(w)}).filter("low <> high")
+
+    buckets = classes.select("head", F.explode("bands").alias("bucket")).unionByName(
+        classes.groupBy("fp").agg(F.collect_set("head").alias("heads")).join(balls, F.col("fp") == F.col("node"), "left")
+        .select(F.explode("heads").alias("head"), F.xxhash64(F.lit("ball"), F.coalesce("root", "fp")).alias("bucket")))
+    shared = work.store(held(buckets))
+    stars = work.store(shared.select(F.col("low").alias("a"), F.col("head").alias("b")).unionByName(
+        shared.select(F.col("head").alias("a"), F.col("high").alias("b"))).filter("a <> b").distinct())
+    ends = stars.select(F.explode(F.array("a", "b")).alias("head")).distinct()
+    texts = docs.select(F.pandas_udf(_digests, BinaryType())("text").alias("head"), "text").groupBy("head").agg(F.first("text").alias("text"))
+    sets = work.store(texts.join(ends, "head", "left_semi").select("head", F.pandas_udf(_sets, ArrayType(IntegerType()))("text").alias("shingles")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("head").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("head").alias("b"), F.col("shingles").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.filter(common >= like * (F.size("x") + F.size("y") - common)).select("a", "b")
-
-    w = Window.partitionBy("band")
-    shared = work.store(classes.filter(F.size("shingles") > 0).select("head", F.explode("bands").alias("band")).withColumns({"low": F.min("head").over(w), "n": F.count("*").over(w)}).filter("n > 1"))
-    first = components(work.store(verified(shared.filter("head <> low").select(F.col("low").alias("a"), F.col("head").alias("b")).distinct())), work)
-    member = shared.join(first, F.col("head") == F.col("node"), "left").select("band", "head", F.coalesce("root", "head").alias("root"))
-    apart = member.withColumns({"lo": F.min("root").over(w), "hi": F.max("root").over(w)}).filter("lo <> hi").select("band", "head", "root")
-    other = apart.select("band", F.col("head").alias("b"), F.col("root").alias("rb"))
-    pairs = apart.join(other, "band").filter("root < rb").select(F.least("head", "b").alias("a"), F.greatest("head", "b").alias("b")).distinct()
-    links = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(pairs))
-    roots = components(work.store(links), work)
-    named = heads.join(roots, F.col("head") == F.col("node"), "left").select("words", F.coalesce("root", "head").alias("class_id"))
-    return rows.select("doc_id", "words").join(named, "words").select("doc_id", "class_id")
+        return both.filter(common >= like * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b")
+
+    first = components(verified(stars), work)
+    rooted = shared.select("head", "bucket").join(first, F.col("head") == F.col("node"), "left").select("bucket", "head", F.coalesce("root", "head").alias("root"))
+    w = Window.partitionBy("bucket")
+    apart = rooted.withColumns({"lo": F.min("root").over(w), "hi": F.max("root").over(w)}).filter("lo <> hi").select("head", "root").distinct()
+    more = verified(work.store(_across(work.store(apart.join(sets, "head")), like)))
+    roots = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), work)
+    return rows.select("doc_id", "words").join(roots, F.col("words") == F.col("node"), "left").select("doc_id", "words", F.coalesce("root", "words").alias("root"))
+
+
+def near_groups(docs: DataFrame, like: float = LIKE) -> DataFrame:
+    """doc_id and class_id (least doc_id reachable over pairs of Jaccard likeness ``like`` or more) of every row."""
+    work = Work(docs.sparkSession, "minhash")
+    rows = work.store(_rooted(docs, like))
+    return rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "class_id")
+
+
+def keep_one(docs: DataFrame, like: float = LIKE) -> DataFrame:
+    """Rows of ``docs`` with one row of each group left: that with the least doc_id (nulls last), then the least by all its columns."""
+    work = Work(docs.sparkSession, "minhash")
+    key = [F.col("doc_id").isNull().alias("__lost"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")]
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "words")).alias("x")
+    kept = work.store(_rooted(docs, like).groupBy("root").agg(least).select("x.doc_id", F.col("x.words").alias("__words")).select(*key, "__words"))
+    names = ["__words", "__lost", "__id"]
+    mine = docs.select("*", F.pandas_udf(_digests, BinaryType())("text").alias("__words"), *key).join(kept, names, "left_semi")
+    return mine.groupBy(*names).agg(F.min(F.struct(*pick(docs, *docs.columns))).alias("row")).select("row.*")

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from cases import SCHEMA, documents, frame, lower, listing, luhn, personal, roots, secret, words
 
+import corpus_pipeline
 from lakestrata.llm import ledger, licenses, minhash, mixing, packing, pii, quality, simhash
 from lakestrata.llm.common import Work
 from lakestrata.llm.components import components
@@ -399,3 +400,40 @@ def test_minhash_groups_by_brute_force(spark):
     least = {k: min(rows[i][0] for i in range(len(rows)) if root[i] == k) for k in set(root.values())}
     got = minhash.near_groups(frame(spark, rows)).collect()
     assert Counter(map(tuple, got)) == Counter((r[0], least[root[i]]) for i, r in enumerate(rows))
+
+def five(text):
+    w = words(lower(text))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def near_roots(rows):
+    sets = [five(r[1]) for r in rows]
+    like = lambda a, b: not (a or b) or 5 * len(a & b) >= 4 * len(a | b) > 0
+    return roots([(i, j) for i in range(len(rows)) for j in range(i) if like(sets[i], sets[j])], range(len(rows)))
+
+
+def test_pipeline_keeps_one_of_each_group_of_near_copies(spark):
+    rng = random.Random(6)
+    rows = documents()
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    for i in range(30):  # 0.8 to 1 like the base, mostly more than four bits of SimHash away
+        text = list(base)
+        for k in rng.sample(range(300), rng.randint(1, 7)):
+            text[k] = f"v{rng.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(text), "en", "s1", 1, 1, 1.0, "k", 1))
+    for i in range(30):  # half a passage of many, and an id that two texts have
+        rows.append((2000 + i, " ".join(base[:200] + [f"u{rng.randrange(10**6)}" for _ in range(100)]), "en", "s1", 1, 1, 1.0, "k", 1))
+        rows.append((2000 + i, f"alone {i} for itself", "en", "s1", 1, 1, 1.0, "k", 1))
+    root = near_roots(rows)
+    docs = frame(spark, rows)
+    out = corpus_pipeline.deduplicate(spark, docs, "").collect()
+    assert list(out[0].asDict()) == docs.columns
+    place = defaultdict(set)
+    for i, r in enumerate(rows):
+        place[r[:2]].add(root[i])
+    assert sorted(x for r in out for x in place[(r.doc_id, r.text)]) == sorted(set(root.values()))
+    least = {k: min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if root[i] == k) for k in set(root.values())}
+    assert all((r.doc_id is None, r.doc_id or 0) == least[k] for r in out for k in place[(r.doc_id, r.text)])
+    got = Counter(map(tuple, minhash.near_groups(docs).collect()))
+    assert got == Counter((r[0], least[root[i]][1] if not least[root[i]][0] else None) for i, r in enumerate(rows))
+    assert corpus_pipeline.deduplicate(spark, empty(spark), "").count() == 0
