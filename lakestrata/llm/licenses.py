@@ -1,7 +1,8 @@
 """License scans by sentence rules.
 
 A text is cut into sentences, each normalised (A-Z in lower case, white space and quotation marks made plain, comment signs and
-closing punctuation taken off). Sentences that match a known licence sentence as a whole get its identifier. The sequence of
+closing punctuation taken off). Sentences end at line breaks too, but lines of a paragraph that are no known sentence by
+themselves are also read together, as hard-wrapped texts and file headers are. Sentences that match a known licence sentence as a whole get its identifier. The sequence of
 identifiers is then held against ordered licence rules, patterns over identifiers: each rule takes out what it matches, so a
 longer licence comes before the shorter ones that it contains. Identifiers that no rule takes are reported as they are.
 
@@ -78,24 +79,40 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _EDGES = r"^[\x20*#/;<>|-]+|[\x20.!?*/#;<>|-]+$"
 
 
-def sentences(text: Column) -> Column:
-    """Array of the normalised sentences, empty ones left out."""
-    cut = F.split(F.regexp_replace(F.translate(text, _UPPER, _LOWER), _CUT, "$1\n"), "\n", -1)
-    plain = F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(s, _SPACE, " "), _EDGES, ""))
-    return F.filter(plain, lambda s: s != "")
+#: A line that begins an item of a list.
+_ITEM = r"^(?:[0-9]{1,3}[.)]?$|(?:[0-9]{1,3}|[a-z])[.)] |\([0-9a-z]{1,3}\) )"
+_BREAK = r"\x0D\x0A|[\x0A\x0D]"
+
+
+def pieces(text: Column) -> Column:
+    """Array of the normalised sentences and lines; an empty one stands wherever more than one line ends."""
+    plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), _BREAK, "\n")
+    cut = F.split(F.regexp_replace(plain, r"([.!?])[\x20\x09-\x0D]+", "$1\n\n"), "\n", -1)
+    return F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(s, _SPACE, " "), _EDGES, ""))
+
+
+def _name(s: Column) -> Column:
+    out = F
+    for key, pattern in SENTENCES:
+        out = out.when(s.rlike(f"^(?:{pattern})$"), key)
+    return out
 
 
 def identifiers(text: Column) -> Column:
-    """Identifiers of the licence sentences, in order, each with a comma after it."""
+    """Identifiers of the licence sentences, in order, each with a comma after it.
+
+    A piece that is a known sentence is one. Those between are joined, but not over an empty one, a colon or the beginning of
+    a list item, and sought again. In the text that is put together capitals are marks, as sentences have none.
+    """
 
-    def name(s: Column) -> Column:
-        out = F
-        for key, pattern in SENTENCES:
-            out = out.when(s.rlike(f"^(?:{pattern})$"), key)
-        return out
+    def placed(p: Column) -> Column:
+        item = F.when(p == "", "\n").when(p.rlike(_ITEM), F.concat(F.lit("\n"), p)).when(p.endswith(":"), F.concat(F.lit("J"), p, F.lit("\n")))
+        return F.coalesce(F.concat(F.lit("\nI"), _name(p), F.lit("\n")), item.otherwise(F.concat(F.lit("J"), p)))
 
-    found = F.filter(F.transform(sentences(text), name), lambda x: x.isNotNull())
-    return F.concat_ws("", F.transform(found, lambda x: F.concat(x, F.lit(","))))
+    units = F.split(F.array_join(F.transform(pieces(text), placed), ""), "\n", -1)
+    joined = lambda u: F.when(u.rlike("[^J]J"), _name(F.ltrim(F.translate(u, "J", " "))))
+    found = F.transform(units, lambda u: F.when(u.startswith("I"), F.substr(u, F.lit(2))).otherwise(joined(u)))
+    return F.concat_ws("", F.transform(F.filter(found, lambda x: x.isNotNull()), lambda x: F.concat(x, F.lit(","))))
 
 
 def scanned(docs: DataFrame) -> DataFrame:

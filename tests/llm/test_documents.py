@@ -221,6 +221,63 @@ def test_license_sequences(spark):
     assert licenses.scanned(frame(spark)).count() == len(documents()) and licenses.scanned(empty(spark)).count() == 0
 
 
+WRAPPED = {
+    "MIT": '''MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE.
+''',
+    "BSD-3-Clause": '''Copyright (c) 2020, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above
+   copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+''',
+    "Apache-2.0": '''Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+'''}
+SEEN = {"MIT": "copyright,mit_grant,mit_notice,mit_as_is,mit_liable", "BSD-3-Clause": "copyright,all_rights,bsd_grant,bsd_source,bsd_binary,bsd_names",
+        "Apache-2.0": "apache2_named,apache2_comply,apache2_copy,apache2_unless,apache2_see"}
+
+
+@pytest.mark.parametrize("sign,end", [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n")])
+def test_wrapped_licenses(spark, sign, end):
+    texts = [(k, "".join((sign + line).rstrip() + end for line in t.splitlines())) for k, t in WRAPPED.items()]
+    got = {r.doc_id: (r.sentences, r.licenses, r.unmatched) for r in licenses.scanned(spark.createDataFrame(texts, "doc_id string, text string")).collect()}
+    assert got == {k: (SEEN[k], k, "") for k in WRAPPED}
+
+
 # 6 -------------------------------------------------------------------------------------------------------------------
 
 def test_quality_learns_from_the_training_part_alone(spark, sf):
