@@ -9,7 +9,7 @@ The weights are trained on each call (a second or two): by gradient ascent on th
 sums over all segmentations), on spans made by a seeded generator, with disguises and look-alikes, and on at most ``SAMPLE``
 documents of the corpus with digits or an at sign, of at most ``PER_DOCUMENT`` regions each, labelled by the rules.
 
-Only regions are looked at, white-space-free chunks with a digit or an at sign and their direct neighbours of the same sort;
+Only regions are looked at, white-space-free chunks with a digit, an at sign or a disguised one, (at) or [at], and their direct neighbours of the same sort;
 the rules and the field read them in whole texts, in time linear in the text.
 
 Edge cases. Null texts count as empty: no spans; redaction leaves them null. Spans are in code points, end exclusive, ordered
@@ -47,7 +47,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_CUE = re.compile(r"[0-9@]")
+#: A disguised at sign; what makes a chunk a candidate.
+_DISGUISE = re.compile(r"[(\[][Aa][Tt][)\]]")
+_CUE = re.compile(r"[0-9@]|" + _DISGUISE.pattern)
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 _REACH = 64
 
@@ -89,7 +91,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Where chunks with a digit or an at sign are, neighbours with one sign between them together."""
+    """Where chunks with a digit, an at sign or a disguised one are, neighbours with one sign between them together."""
     start = end = -1
     m = _CUE.search(text)
     while m:
@@ -307,7 +309,7 @@ def _regions_of_rows(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for a, b in regions(text or ""):
                 if len(found) == PER_DOCUMENT:
                     break
-                if b - a > 400:
+                if b - a > 400 or _DISGUISE.search(text, a, b):  # the rules can't label a disguise; the generator has them
                     continue
                 found.append(text[a:b])
                 spans.append(" ".join(f"{x - a}:{y - a}:{k}" for x, y, k in base if a <= x and y <= b))

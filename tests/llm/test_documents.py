@@ -362,6 +362,14 @@ def test_pii_field_learns_the_kinds_and_leaves_look_alikes():
         assert pii.decode(weights, text) == [], text
 
 
+def test_pii_finds_disguised_addresses_without_digits(spark):
+    rows = [(1, "write to jane.doe(at)example.com today", 0), (2, "in 2024 (jane_doe[AT]example.co.uk)", 0), (3, "they met(at)noon and look(at)this", 0), (4, None, 0), (5, "jd(at)host.org", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    found = {r.doc_id: r.pii.spans for r in pii.find(docs).collect()}
+    assert found == {1: ["email:9:32"], 2: ["email:9:34"], 3: [], 4: [], 5: ["email:0:14"]}
+    assert {r.doc_id: r.text for r in pii.redacted(docs).collect()} == {1: "write to [EMAIL] today", 2: "in 2024 ([EMAIL])", 3: rows[2][1], 4: None, 5: "[EMAIL]"}
+
+
 def test_pii_gradient_follows_the_likelihood():
     import math
 
