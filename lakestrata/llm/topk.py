@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakestrata.llm.common import Work
+
 K = 5
 #: Bytes of a candidate block, and queries of a query block.
 BLOCK_BYTES = 4 << 20
@@ -96,10 +98,16 @@ def _cell(k: int):
     return run
 
 
+def query_blocks(queries: DataFrame, across: int) -> DataFrame:
+    """Queries with their block ``q``, by what they hold: behind a shuffle the order of rows may change when a task is run again."""
+    return queries.withColumn("q", F.pmod("query", F.lit(across).cast("long")))
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates (vec_id, vector) of each query (query_id, vector)."""
     queries = queries.select("query_id", "vector").dropna().distinct().withColumn("query", F.xxhash64("query_id", "vector")).withColumn("dims", F.size("vector"))
-    candidates = candidates.select("vec_id", "vector").dropna().withColumn("dims", F.size("vector"))
+    # written once: rows are numbered by their place in the files, which stays
+    candidates = Work(candidates.sparkSession, "topk").store(candidates.select("vec_id", "vector").dropna()).withColumn("dims", F.size("vector"))
     # one row each: how many blocks the sizes call for
     n = queries.agg(F.count("*").alias("n")).first()["n"]
     c = candidates.agg(F.count("*").alias("n"), F.max("dims").alias("dims")).first()
@@ -109,10 +117,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     def blocks(n: int) -> list[Column]:
         return [F.lit(0).cast("long"), F.lit(n - 1).cast("long")]
 
-    # rows are dealt in turn, so that equal ids or vectors don't meet in one block
-    turn = F.monotonically_increasing_id()
-    left = queries.withColumn("q", F.pmod(turn, F.lit(across))).withColumn("c", F.explode(F.sequence(*blocks(down))))
-    right = candidates.withColumn("c", F.pmod(turn, F.lit(down))).withColumn("q", F.explode(F.sequence(*blocks(across))))
+    # candidates are dealt in turn, so that equal ids or vectors don't meet in one block
+    left = query_blocks(queries, across).withColumn("c", F.explode(F.sequence(*blocks(down))))
+    right = candidates.withColumn("c", F.pmod(F.monotonically_increasing_id(), F.lit(down))).withColumn("q", F.explode(F.sequence(*blocks(across))))
     cell = ["dims", "q", "c"]
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_cell(k), _FOUND)
     order = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), "vec_id")

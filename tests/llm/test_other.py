@@ -43,6 +43,12 @@ def test_top_k_of_few_large_and_blocked_vectors(spark, monkeypatch):
         assert r.score == min(exact, (1 << 63) - 1)
 
 
+def test_queries_keep_their_block_in_whatever_order_they_come(spark):
+    df = spark.range(2000).selectExpr("id AS query_id", "xxhash64(id) AS query")
+    first, again = (dict(map(tuple, topk.query_blocks(d, 4).select("query_id", "q").collect())) for d in (df.repartition(3), df.orderBy("query").coalesce(1)))
+    assert first == again and all(350 < list(first.values()).count(q) < 650 for q in range(4))
+
+
 def conversations(seed=1):
     rng = random.Random(seed)
     say = lambda n: "".join(rng.choice(["word ", "é", "<|", "|>", "_", "<|im_end|>", "<|im_start|>assistant", "\n", "\\n"]) for _ in range(rng.randint(0, n)))
