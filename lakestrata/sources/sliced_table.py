@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, ShortType
 
 from lakestrata.operators.incremental import merge_upsert
 from lakestrata.sources.tables import exists, properties, update_where
@@ -19,6 +20,18 @@ _LOAD, _BASE = "lakestrata.slice_load", "lakestrata.slice_base"
 _SLICE, _SEQ = "key_slice", "load_seq"
 
 
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+def _fits(a: DataType, b: DataType) -> bool:
+    """Whether every value of type ``a`` is one of type ``b``."""
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return _WHOLE.index(type(a)) <= _WHOLE.index(type(b))
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+        return a.scale <= b.scale and a.precision - a.scale <= b.precision - b.scale
+    return a == b
+
+
 class SlicedTable:
     """``slices`` is fixed when the table is first written; a slice should hold some hundred MB at most."""
 
@@ -39,6 +52,17 @@ class SlicedTable:
     def slice_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.slices)).cast("int")
 
+    def _keyed(self, source: DataFrame) -> DataFrame:
+        """``source`` with the key in the stored types, since equal keys of other types have other hashes."""
+        held, given = ({f.name.lower(): f.dataType for f in df.schema} for df in (self.read(), source))
+        for k in self.key:
+            have, want = given[k.lower()], held[k.lower()]
+            if not _fits(have, want):
+                raise ValueError(f"key {k} is {have.simpleString()}, but {self.name} holds {want.simpleString()}")
+            if have != want:
+                source = source.withColumn(k, F.col(k).cast(want))
+        return source
+
     def _stored(self) -> dict[int, list[int]]:
         """Loads that each slice has a partition of, ascending."""
         out: dict[int, list[int]] = {}
@@ -84,10 +108,11 @@ class SlicedTable:
         load, base = self._state()
         if not load:
             raise ValueError(f"{self.name} has not been written")
+        source = self._keyed(source)
         # at most one row per slice
         touched = {r["s"] for r in source.select(self.slice_of().alias("s")).distinct().collect()}
         if touched:
-            self._write(merge_upsert(source, self.read(touched), self.key, duplicates=duplicates, latest_by=latest_by), load + 1, base)
+            self._write(merge_upsert(source, self.read(touched), self.key, duplicates=duplicates, latest_by=latest_by), load + 1, base, touched)
         return touched
 
     def update(self, condition: Column, changes: dict[str, Column]) -> set[int]:
@@ -97,10 +122,10 @@ class SlicedTable:
         load, base = self._state()
         touched = {r["s"] for r in self.read().filter(condition).select(self.slice_of().alias("s")).distinct().collect()}
         if touched:
-            self._write(update_where(self.read(touched), condition, changes), load + 1, base)
+            self._write(update_where(self.read(touched), condition, changes), load + 1, base, touched)
         return touched
 
-    def _write(self, df: DataFrame, load: int, base: int) -> None:
+    def _write(self, df: DataFrame, load: int, base: int, within: set[int] | None = None) -> None:
         rows = df.withColumn(_SLICE, self.slice_of()).withColumn(_SEQ, F.lit(load))
         if not exists(self.spark, self.parts):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
@@ -108,6 +133,9 @@ class SlicedTable:
         self._drop(lambda n, _: n >= load)  # left by a load that failed
         table = self.spark.table(self.parts)
         rows.select(*table.columns).hint("rebalance", F.col(_SLICE)).write.insertInto(self.parts)
+        astray = set() if within is None else {s for s, loads in self._stored().items() if load in loads} - within
+        if astray:
+            raise RuntimeError(f"load {load} of {self.name} wrote slices {sorted(astray)}, which it had not read")
         listed = ", ".join(f"`{c}`" for c in table.columns if c not in (_SLICE, _SEQ))
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_LOAD}' = '{load}', '{_BASE}' = '{base}', 'lakestrata.slices' = '{self.slices}') "

@@ -71,3 +71,13 @@ def test_reads_prune_to_the_slices(spark, table):
     table.overwrite(kv(spark, [(i, "a") for i in range(100)]))
     plan = table.read({2})._jdf.queryExecution().executedPlan().toString()
     assert "key_slice" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_merge_of_another_key_type_loses_no_rows(spark, table):
+    table.overwrite(kv(spark, [(i, "a") for i in range(100)]))
+    table.merge(spark.createDataFrame([(3, "b"), (4, "b"), (200, "b")], "k int, v string"))
+    want = sorted([(i, "b" if i in (3, 4) else "a") for i in range(100)] + [(200, "b")])
+    assert sorted(rows(spark.table("sliced.t"))) == want
+    with pytest.raises(ValueError, match="key k is string"):
+        table.merge(spark.createDataFrame([("5", "b")], "k string, v string"))
+    assert sorted(rows(spark.table("sliced.t"))) == want
