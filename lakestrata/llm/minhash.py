@@ -37,6 +37,7 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, In
 from lakestrata.llm import simhash
 from lakestrata.llm.common import Work, arrow_batches, pick
 from lakestrata.llm.components import components
+from lakestrata.llm.simhash import fingerprint
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -293,7 +294,7 @@ def _described(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bands = []
         for row in hasher.signatures(rows):
             bands.append([int.from_bytes(hashlib.blake2b(bytes([b]) + row[b * wide : (b + 1) * wide].tobytes(), digest_size=8).digest(), "big", signed=True) for b in range(BANDS)])
-        yield pd.DataFrame({"words": [_digest(t) for t in rows], "blank": [not t.strip() for t in rows], "fp": [simhash.fingerprint(t) for t in rows], "bands": bands})
+        yield pd.DataFrame({"words": [_digest(t) for t in rows], "blank": [not t.strip() for t in rows], "fp": [fingerprint(t) for t in rows], "bands": bands})
 
 
 def _digests(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
