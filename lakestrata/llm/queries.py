@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import configure
-from lakestrata.llm import chat, ledger, licenses, minhash, mixing, packing, pii, quality, simhash, topk
+from lakestrata.llm import chat, ledger, lexical, licenses, minhash, mixing, packing, pii, quality, simhash, spelling, tokens, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,3 +150,33 @@ def op10_minhash(docs: DataFrame) -> DataFrame:
 def op5_licenses(docs: DataFrame) -> DataFrame:
     """Every document with the licence sentences and licences in it."""
     return licenses.scanned(docs)
+
+
+@query()
+def op11_tokens(docs: DataFrame) -> DataFrame:
+    """Every document with its number of tokens."""
+    return tokens.counted(docs.select("doc_id", "text")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("documents", "benchmark", sql=r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+z AS (SELECT count(*) AS N, sum(len(terms))::BIGINT AS L FROM d WHERE len(terms) > 0),
+t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+w AS (SELECT item_id, term, times * floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM i JOIN f USING (term), z),
+m AS (SELECT row, doc_id, 100 - 75 + (75 * len(terms) * N) // L AS m FROM d, z),
+s AS (SELECT item_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM w JOIN t USING (term) JOIN m USING (row) GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM s JOIN m USING (row) WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""")
+def op12_lexical(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked(docs, benchmark)
+
+
+@query()
+def op13_spelling(docs: DataFrame) -> DataFrame:
+    """Every word with its more frequent variant and the end of that chain."""
+    return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")

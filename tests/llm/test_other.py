@@ -138,4 +138,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_is_registered():
     found = __spark_entry__.queries()
-    assert "pipeline" in found and all(any(k.startswith(f"op{n}_") for k in found) for n in range(1, 11))
+    assert "pipeline" in found and all(any(k.startswith(f"op{n}_") for k in found) for n in range(1, 14))
