@@ -68,7 +68,9 @@ if __name__ == "__main__":
 
     from pyspark.sql import SparkSession
 
-    from workload import ORACLES, QUERIES
+    import __spark_entry__
+
+    QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -83,7 +85,7 @@ if __name__ == "__main__":
     for name in sys.argv[2:] or QUERIES:
         start = time.time()
         try:
-            why = compare(spark, con, sf, name) if name in ORACLES else f"(rows only) {QUERIES[name](spark, sf).count()}"
+            why = compare_with(QUERIES, ORACLES, spark, con, sf, name) if name in ORACLES else f"(rows only) {QUERIES[name](spark, sf).count()}"
         except Exception as e:  # noqa: BLE001
             why = f"{type(e).__name__}: {str(e)[:1500]}"
         bad += bool(why) and name in ORACLES
