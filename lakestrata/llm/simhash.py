@@ -75,9 +75,9 @@ def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and ``fp`` (signed) of every row."""
+    """doc_id, ``fp`` (signed) and a hash of the text of every row."""
     arrow_batches(docs.sparkSession)
-    return docs.select("doc_id", _fingerprints(F.col("text").cast("binary")).alias("fp"))
+    return docs.select("doc_id", _fingerprints(F.col("text").cast("binary")).alias("fp"), F.xxhash64("text").alias("hash"))
 
 
 def _blocks(n: int) -> list[int]:
@@ -181,17 +181,17 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with one document of each group left: that with the least doc_id.
+    """Rows of ``docs`` with one document of each group left: the one with the least doc_id, nulls last.
 
-    Repeated rows of that doc_id count as one document too: the least row of them (by all its columns) stays. Of a group
-    without any doc_id the least row stays.
+    Where that doc_id stands on several rows, the survivor is one of those whose text belongs to the group: by the hash of the
+    text, and of equal texts the least row by all its columns.
     """
-    _, ids = _rooted(docs)
-    kept = ids.filter("component_id IS NOT NULL").select(F.col("component_id").alias("doc_id")).distinct()
+    fps, ids = _rooted(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("x")
+    kept = fps.join(ids.select("fp", "root"), "fp").groupBy("root").agg(least).select(F.col("x.doc_id").alias("__id"), F.col("x.hash").alias("__hash"))
+    rows = docs.select(*pick(docs, *docs.columns), F.xxhash64("text").alias("__hash"))
+    own = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__hash"] == kept["__hash"]), "left_semi")
     names = [c for c in docs.columns if c != "doc_id"]
-    row = F.min(F.struct(*pick(docs, *names))).alias("row")
-    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(row).select("doc_id", "row.*")
-    lost = docs.filter("doc_id IS NULL").withColumn("__fp", _fingerprints(F.col("text").cast("binary")))
-    alone = ids.filter("component_id IS NULL").select(F.col("fp").alias("__fp"), "root")
-    nameless = lost.join(alone, "__fp").groupBy(F.col("root").alias("__root")).agg(row).select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "row.*")
-    return one.select(*docs.columns).unionByName(nameless.select(*docs.columns))
+    one = own.groupBy("doc_id", "__hash").agg(F.min(F.struct(*pick(own, *names))).alias("__row"))
+    flat = one.select("doc_id", "__row.*")
+    return flat.select(*pick(flat, *docs.columns))

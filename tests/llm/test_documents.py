@@ -124,6 +124,13 @@ def test_simhash_keeps_one_of_each_group(spark):
     assert simhash.groups(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_simhash_keeps_groups_whose_least_id_has_other_texts(spark):
+    one, two = " ".join("abcdefghij"), " ".join("klmnopqrst")
+    rows = [(1, one, 7), (1, two, 8), (1, two, 6), (2, two, 5), (3, one, 4), (None, "alone", 1), (None, "alone", 2), (None, one, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `hash` int")
+    assert Counter(map(tuple, simhash.keep_one(docs).collect())) == Counter([(1, one, 7), (1, two, 6), (None, "alone", 1)])
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), Work(spark, "test")).collect()}
@@ -477,7 +484,7 @@ def near_roots(rows):
     return roots([(i, j) for i in range(len(rows)) for j in range(i) if like(sets[i], sets[j])], range(len(rows)))
 
 
-def test_pipeline_keeps_one_of_each_group_of_near_copies(spark):
+def test_near_copies_by_brute_force(spark):
     rng = random.Random(6)
     rows = documents()
     base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
@@ -489,16 +496,18 @@ def test_pipeline_keeps_one_of_each_group_of_near_copies(spark):
     for i in range(30):  # half a passage of many, and an id that two texts have
         rows.append((2000 + i, " ".join(base[:200] + [f"u{rng.randrange(10**6)}" for _ in range(100)]), "en", "s1", 1, 1, 1.0, "k", 1))
         rows.append((2000 + i, f"alone {i} for itself", "en", "s1", 1, 1, 1.0, "k", 1))
-    root = near_roots(rows)
     docs = frame(spark, rows)
-    out = corpus_pipeline.deduplicate(spark, docs, "").collect()
-    assert list(out[0].asDict()) == docs.columns
-    place = defaultdict(set)
-    for i, r in enumerate(rows):
-        place[r[:2]].add(root[i])
-    assert sorted(x for r in out for x in place[(r.doc_id, r.text)]) == sorted(set(root.values()))
+    root = near_roots(rows)
     least = {k: min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if root[i] == k) for k in set(root.values())}
-    assert all((r.doc_id is None, r.doc_id or 0) == least[k] for r in out for k in place[(r.doc_id, r.text)])
     got = Counter(map(tuple, minhash.near_groups(docs).collect()))
     assert got == Counter((r[0], least[root[i]][1] if not least[root[i]][0] else None) for i, r in enumerate(rows))
+    # the pipeline's stage groups by SimHash: at most four differing bits over four-word shingles
+    prints = [fingerprint(r[1]) for r in rows]
+    root = roots([(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4], range(len(rows)))
+    out = corpus_pipeline.deduplicate(spark, docs, "").collect()
+    assert list(out[0].asDict()) == docs.columns
+    place = {(r[0], r[1]): root[i] for i, r in enumerate(rows)}
+    assert sorted(place[(r.doc_id, r.text)] for r in out) == sorted(set(root.values()))
+    least = {k: min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if root[i] == k) for k in set(root.values())}
+    assert all((r.doc_id is None, r.doc_id or 0) == least[place[(r.doc_id, r.text)]] for r in out)
     assert corpus_pipeline.deduplicate(spark, empty(spark), "").count() == 0
