@@ -1,7 +1,12 @@
 """From documents to packed training sequences: stages that each read what the one before wrote.
 
-Each stage but the last returns the columns of ``documents``: rejected texts go, one document of each near-duplicate group
-stays, personal data is masked, sources are repeated to their share, and what is left is packed.
+Each stage but the last returns the columns of ``documents``: rejected texts go, one document of each SimHash group stays, personal
+data is masked, sources are repeated to their share, and what is left is packed.
+
+Nulls, empty and very long texts, repeated rows and ids, and ties have the results that the operators' docstrings state: a null
+or empty text is scored, groups with other empty texts, and is packed as its end token; rows without doc_id are documents like
+any other; of repeated rows one stays; ties go to the least doc_id. Further columns of ``documents`` are carried to the last stage,
+also under names that an operator uses for itself. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import minhash, mixing, packing, pii, quality
+from lakestrata.llm import mixing, packing, pii, quality, simhash
 from lakestrata.llm.common import Work
 
 
@@ -18,7 +23,7 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", accept),
-    ("SimHash and MinHash near-dedup", deduplicate),
+    ("SimHash near-dedup", deduplicate),
     ("PII", redact),
     ("mixing sources to target weights", mix),
     ("best-fit packing", pack),
