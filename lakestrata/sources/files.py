@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lakestrata.operators.audit import SOURCE_SYSTEM, with_audit
 from lakestrata.settings import RunContext
+from lakestrata.sources import quoted
 
 PAYLOAD = "payload"
 
@@ -21,8 +22,8 @@ def csv_options(config: dict) -> dict:
     """Reader options of one registry entry.
 
     Quoted fields may hold line breaks, so ``multi_line`` is on unless the
-    entry says the file has none; switching it off lets Spark split one large
-    plain file over many tasks.  A gzip file is one task either way.
+    entry says the file has none.  A plain file is split over many tasks
+    either way (``read_csv``); a gzip file is one task.
     """
     options = {
         "sep": config.get("delimiter", ","),
@@ -42,13 +43,32 @@ def source_path(root: str, config: dict) -> str:
     return "/".join(str(p).strip("/") if i else str(p) for i, p in enumerate(parts) if p)
 
 
+def splittable(spark: SparkSession, path: str, config: dict) -> bool:
+    """Whether a file with line breaks in quotes should, and can, be parsed by range: plain UTF-8 text above one read task.
+
+    An entry may settle it with ``split``; the rows are the same either way.
+    """
+    options = csv_options(config)
+    if not options["multiLine"] or "compression" in options or options["mode"].upper() == "DROPMALFORMED" or options["encoding"].upper() not in ("UTF-8", "UTF8"):
+        return False
+    if "split" in config:
+        return bool(config["split"])
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    return held > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None, config: dict) -> DataFrame:
     """Delimited text as all-text columns.
 
     Without ``columns`` the header names them: the schema is then read from
-    the first line alone, since every column is text.
+    the first line alone, since every column is text.  Files above one read
+    task are parsed by range, line breaks in quotes included.
     """
     reader = spark.read.options(**csv_options(config))
+    if splittable(spark, path, config):
+        schema = text_schema(columns or reader.option("inferSchema", False).csv(path).columns)
+        return quoted.read_quoted(spark, path, schema, csv_options(config), csv_options(config)["header"])
     if columns is not None:
         # the header must name these columns in this order; a swapped file fails instead of landing crosswise
         return reader.option("enforceSchema", False).schema(text_schema(columns)).csv(path)

@@ -44,11 +44,24 @@ def _write_csv(t, df, name, **options):
     return path
 
 
-@query("""SELECT '2025-01-10' AS load_day, 'run-1' AS SYSRUNID, 'DOCS' AS SOURCESYSTEM, CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents""")
+_DOCS = "SELECT '2025-01-10' AS load_day, 'run-1' AS SYSRUNID, 'DOCS' AS SOURCESYSTEM, CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents"
+
+
+@query(_DOCS)
 def csv_landing(t):
     """Whole texts with quotes and line breaks through a delimited file."""
-    root = _write_csv(t, t.documents.select("doc_id", "text", "lang"), "docs.csv")
-    task = {"container": "sources", "folder": "demo", "file": "docs.csv", "delimiter": ",", "header": True}
+    return _landed_documents(t, "docs.csv")
+
+
+@query(_DOCS)
+def csv_landing_by_range(t):
+    """The same, each byte range of the files parsed by a task of its own."""
+    return _landed_documents(t, "ranged.csv", split=True)
+
+
+def _landed_documents(t, name, **config):
+    root = _write_csv(t, t.documents.select("doc_id", "text", "lang"), name)
+    task = {"container": "sources", "folder": "demo", "file": name, "delimiter": ",", "header": True, **config}
     df = files.ingest_csv(t.spark, root, task, run_at(1), "DOCS", ["doc_id", "text", "lang"])
     return df.select(F.date_format("SYSLOADDATE", "yyyy-MM-dd").alias("load_day"), "SYSRUNID", "SOURCESYSTEM", "doc_id", "text", "lang")
 
