@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _RN = "__rn"
 
@@ -43,11 +44,29 @@ def require_not_null(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     return df
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row's values; whether each is NULL is part of it, since a hash passes over NULLs."""
+    parts = []
+    for f in df.schema:
+        plain = F.col(f"`{f.name}`")
+        parts += [F.to_json(F.struct(plain)) if opaque(f.dataType) else plain, plain.isNull()]
+    return F.xxhash64(*parts)
+
+
+def opaque(kind: T.DataType) -> bool:
+    """Whether a type has no hash of its own."""
+    if isinstance(kind, T.StructType):
+        return any(opaque(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return opaque(kind.elementType)
+    return isinstance(kind, (T.VariantType, T.MapType))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first by ``order``.
+    """One row per key, the first by ``order``; ties go by the row's hash, so every attempt keeps the same row.
 
     The ``<= 1`` filter lets Spark cut each key to one row before the
     shuffle, so a key holding a large share of the rows does not pile up.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order, row_hash(df))
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= 1).drop(_RN)

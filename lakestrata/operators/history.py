@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions.keys import version_id
-from lakestrata.operators.guards import require_not_null, require_unique
+from lakestrata.operators.audit import AUDIT_COLUMNS
+from lakestrata.operators.guards import opaque, require_not_null, require_unique
 from lakestrata.settings import RunContext
 
 
@@ -36,6 +37,7 @@ class HistoryColumns:
 
 DEFAULT = HistoryColumns()
 HARD_DELETES = ("ignore", "invalidate", "new_record")
+AUDIT = {c.lower() for c in AUDIT_COLUMNS}
 
 
 def current_rows(df: DataFrame, names: HistoryColumns = DEFAULT) -> DataFrame:
@@ -150,9 +152,17 @@ def check_changes(source: DataFrame, open_rows: DataFrame, key: list[str], check
 def timestamp_changes(source: DataFrame, open_rows: DataFrame, key: list[str], updated_at: str, ctx: RunContext,
                       hard_deletes: str = "ignore", names: HistoryColumns = DEFAULT,
                       source_unique: str = "raise") -> DataFrame:
-    """Timestamp-strategy transition of the open versions: newer source time wins."""
-    new_at = F.col("s_" + updated_at).cast("timestamp")
-    changed = new_at > F.col("t_" + names.updated_at).cast("timestamp")
+    """Timestamp-strategy transition of the open versions: newer source time wins.
+
+    A stored version without a time is older than any time.  A row without a
+    time for a stored key leaves the version as it is if their values agree,
+    and fails the load if they differ: which of them is newer can't be told.
+    """
+    new_at, old_at = F.col("s_" + updated_at).cast("timestamp"), F.col("t_" + names.updated_at).cast("timestamp")
+    held = {c.lower() for c in open_rows.columns}
+    same = reduce(lambda a, b: a & b, [F.col(f"`s_{c}`").eqNullSafe(F.col(f"`t_{c}`")) for c in source.columns if c.lower() in held and c.lower() not in {*AUDIT, updated_at.lower()} and not opaque(source.schema[c].dataType)], F.lit(True))
+    told = F.assert_true(same, F.concat(F.lit(f"history: {updated_at} is NULL in a row with other values than the stored one, for key "), F.to_json(F.struct(*["s_" + k for k in key]))))
+    changed = F.when(F.col("__in_t") & new_at.isNull(), told.isNotNull()).otherwise(F.coalesce(new_at > old_at, old_at.isNull()))
     src = _incoming(source, key, source_unique)
     return _transition(src, open_rows, key, changed, new_at, ctx.timestamp().cast("timestamp"), hard_deletes, names)
 

@@ -18,17 +18,28 @@ def high_water_mark(target: DataFrame, col: str, floor: str = FLOOR) -> DataFram
     return target.agg(F.coalesce(F.max(col), F.lit(floor).cast(kind)).alias(col))
 
 
+NULL_TIMES = ("keep", "drop", "fail")
+
+
 def newer_than(source: DataFrame, ts_col: str, target: DataFrame | None, target_col: str,
-               floor: str = FLOOR) -> DataFrame:
+               floor: str = FLOOR, null_times: str = "keep") -> DataFrame:
     """Source rows past the target's high-water mark.
 
     The mark is a scalar subquery: it stays inside the plan, runs once, and
     Spark hands its value to the Parquet reader, so row groups that hold only
     old rows are skipped.  Rows that arrive late with an older time stay out.
+    A row without a time can't be told old from new: it comes with every load
+    (a merge by key takes it twice without harm), unless ``null_times`` drops
+    such rows or fails on them.
     """
+    if null_times not in NULL_TIMES:
+        raise ValueError(f"null_times must be one of {NULL_TIMES}, not {null_times!r}")
+    if null_times == "fail":
+        source = source.filter(F.assert_true(F.col(ts_col).isNotNull(), F.lit(f"NULL time in {ts_col}")).isNull())
     if target is None:
         return source
-    return source.filter(F.col(ts_col) > high_water_mark(target, target_col, floor).scalar())
+    newer = F.col(ts_col) > high_water_mark(target, target_col, floor).scalar()
+    return source.filter(newer | F.col(ts_col).isNull() if null_times == "keep" else newer)
 
 
 def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], schema_mode: str = "fail",
@@ -82,6 +93,5 @@ def fresh_rows(source: DataFrame, target: DataFrame, ts_col: str, target_col: st
     if reprocess is None:
         return fresh
     again = source.join(reprocess.distinct(), reprocess.columns, "left_semi")
-    mark = high_water_mark(target, target_col).scalar()
     # a row that is both new and named must not appear twice
-    return fresh.unionByName(again.filter(~F.coalesce(F.col(ts_col) > mark, F.lit(False))))
+    return fresh.unionByName(again.filter(F.col(ts_col) <= high_water_mark(target, target_col).scalar()))

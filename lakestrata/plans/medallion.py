@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestrata.operators.governance import Bindings, propagate_tags
 from lakestrata.operators.history import DEFAULT, HistoryColumns
-from lakestrata.operators.incremental import fresh_rows
 from lakestrata.operators.quality import (
     Check,
     compare_row_count,
@@ -35,9 +35,12 @@ REBUILT = ("BRONZE", "SILVER", "PLATINUM")
 class Medallion:
     """One environment's build of the lodging data set.
 
-    ``gold_mode`` is ``table`` (rebuild) or ``incremental`` (merge rows past
-    the high-water mark); both end in the same rows as long as no key
-    disappears and the reference dimensions stay as they are.
+    ``gold_mode`` is ``table`` (rebuild) or ``incremental`` (merge what each
+    silver load opened or closed since the load that gold last took: late,
+    equal and NULL times make no difference, and keys without an open version
+    leave gold); both end in the same rows as long as the reference
+    dimensions stay as they are.  ``hard_deletes`` says what becomes of keys
+    that a delivery lacks.
     """
 
     spark: SparkSession
@@ -45,7 +48,8 @@ class Medallion:
     gold_mode: str = "table"
     names: HistoryColumns = DEFAULT
     buckets: int | None = None
-    slices: int = 16  # of incremental gold tables; some hundred MB each at most
+    slices: int = 16  # of histories and incremental gold tables; some hundred MB each at most
+    hard_deletes: str = "ignore"
     bindings: Bindings = field(default_factory=Bindings)
     schema: str = lodging.SCHEMA
 
@@ -64,7 +68,7 @@ class Medallion:
         return self.spark.table(self.name(layer, table))
 
     def silver(self, table: str) -> HistoryTable:
-        return HistoryTable(self.spark, self.name("SILVER", table), ["id"], self.names, buckets=self.buckets)
+        return HistoryTable(self.spark, self.name("SILVER", table), ["id"], self.names, self.hard_deletes, self.buckets, self.slices)
 
     def catalog(self) -> GovernedCatalog:
         return GovernedCatalog(self.spark, self.bindings)
@@ -122,18 +126,24 @@ class Medallion:
         self.silver("Reviews").load_by_check(source, list(lodging.REVIEW_TYPES), ctx)
 
     def _gold(self, name: str, key: str, build, full_refresh: bool, reprocess: DataFrame | None = None) -> None:
-        """Rebuild a gold table, or merge what is new into the slices that it touches."""
-        source = self.silver("Listings").current()
+        """Rebuild a gold table, or merge what silver's loads have changed into the slices that it touches."""
+        silver = self.silver("Listings")
         if self.gold_mode == "table":
-            tables.overwrite(build(source), name)
+            tables.overwrite(build(silver.current()), name)
             return
-        gold = SlicedTable(self.spark, name, [key], self.slices)
-        if full_refresh or not gold.published():
-            gold.overwrite(build(source))
+        gold, load = SlicedTable(self.spark, name, [key], self.slices), silver.load_number()
+        taken = gold.taken()
+        if full_refresh or taken is None or taken > load:
+            gold.overwrite(build(silver.current()), load)
             return
-        fresh = fresh_rows(source, gold.read(), self.names.updated_at, "LAST_MODIFIED_AT", reprocess)
-        gold.merge(tables.stage(build(fresh), name))
-        tables.drop(self.spark, name + "__staged")
+        if taken == load and reprocess is None:
+            return
+        fresh = silver.opened_since(taken)
+        if reprocess is not None:
+            again = silver.current().join(reprocess.distinct(), reprocess.columns, "left_semi")
+            fresh = fresh.unionByName(again.join(fresh.select("id"), "id", "left_anti"))
+        as_gold = lambda rows: rows.select(F.col("id").alias(key))
+        gold.merge(build(fresh), keys=as_gold(fresh), gone=as_gold(silver.gone_since(taken)), taken=load)
 
     def gold_dim(self, ctx: RunContext, full_refresh: bool = False) -> None:
         name = self.name("GOLD", "Dim_Listing_Details")
@@ -177,4 +187,4 @@ class Medallion:
         gold = [self.name("GOLD", t) for t in ("Dim_Listing_Details", "Fact_Listings")]
         for g in gold:
             SlicedTable(self.spark, g, []).drop()
-        tables.drop(self.spark, *gold, *[g + "__staged" for g in gold])
+        tables.drop(self.spark, *gold)

@@ -1,18 +1,31 @@
-"""A stored row history that never rewrites its closed versions.
-
-One Parquet table holds everything, partitioned by load number and state.
-Load ``n`` writes two partitions: the complete open set and the versions it
-closed.  Two views pick what is valid - closed rows of every load up to ``n``
-and the open rows of load ``n`` - so a load becomes visible when the views
-move on, and a load that died half-way is simply overwritten by the next.
-One load at a time may write a history.
+"""A stored row history that rewrites only what a delivery changes.
+
+One Parquet table holds everything, partitioned by load number, state and key
+slice.  A delivery is summed up per slice first (a checksum over keys and
+compared columns that does not depend on row order); slices whose checksum is
+that of the last delivery they took hold nothing new and are neither joined nor
+written, so an unchanged delivery writes nothing at all.  For every other slice
+load ``n`` writes its open rows and the versions it closed.
+
+A small state table says, per slice and load, which load holds the open rows and
+where the closed ones begin.  Two views are built from it, so a load becomes
+visible when the views move on, and a load that died half-way is dropped by the
+next.  What a load replaced stays for one more load, for queries already
+running.  Many small closed parts of a slice are merged when it is written
+anyway.  One load at a time may write a history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+from math import gcd
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakestrata.operators.guards import opaque
 from lakestrata.operators.history import (
     DEFAULT,
     HistoryColumns,
@@ -22,105 +35,249 @@ from lakestrata.operators.history import (
     timestamp_changes,
 )
 from lakestrata.settings import RunContext
+from lakestrata.sources.sliced_table import fits
 from lakestrata.sources.tables import exists, properties
 
-_LOAD = "lakestrata.load"
-_SEQ, _STATE = "load_seq", "row_state"
+_LOAD, _SLICES = "lakestrata.load", "lakestrata.slices"
+_SEQ, _STATE, _SLICE = "load_seq", "row_state", "key_slice"
+# the load that opened a version, and the one that closed it
+_OPENED, _CLOSED = "opened_seq", "closed_seq"
+_OWN = (_OPENED, _CLOSED, _SEQ, _STATE, _SLICE)
+
+#: Closed parts of a slice that are left side by side.
+CLOSED_PARTS = 8
+
+
+@dataclass(frozen=True)
+class _Slice:
+    opened: int  # load that wrote the open rows
+    closed_from: int  # load of the first closed part that counts
+    digest: str  # of the last delivery taken
+
+
+def checksum(df: DataFrame, columns: list[str]) -> Column:
+    """Aggregate: number of rows and two 64-bit row hashes, added up; equal multisets of rows have equal checksums."""
+    kinds = {f.name.lower(): f.dataType for f in df.schema}
+    parts = []
+    for c in columns:  # whether it is NULL beside each value, since a hash passes over NULLs
+        parts += [F.to_json(F.struct(c)) if opaque(kinds[c.lower()]) else F.col(c), F.col(c).isNull()]
+    sums = [F.count(F.lit(1))]
+    for seed in (1, 2):
+        h = F.xxhash64(F.lit(seed), *parts)
+        sums += [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))]
+    return F.concat_ws(":", *sums)
 
 
 class HistoryTable:
     """``buckets`` stores rows hashed and sorted by key, so that a later load
-    joins against the open set without shuffling it again."""
+    joins against the open set without shuffling it again.  ``slices`` is
+    fixed when the table is first written (and made to divide ``buckets``);
+    a slice should hold some hundred MB at most."""
 
     def __init__(self, spark: SparkSession, name: str, key: list[str], names: HistoryColumns = DEFAULT,
-                 hard_deletes: str = "ignore", buckets: int | None = None):
+                 hard_deletes: str = "ignore", buckets: int | None = None, slices: int = 16):
         self.spark, self.name, self.key, self.names = spark, name, key, names
         self.hard_deletes, self.buckets = hard_deletes, buckets
-        self.parts = name + "__parts"
+        self.parts, self.states = name + "__parts", name + "__state"
         self.current_name = name + "__current"
+        held = properties(spark, name).get(_SLICES) if exists(spark, name) else None
+        self.slices = int(held) if held else gcd(slices, buckets) if buckets else slices
 
     def load_number(self) -> int:
         return int(properties(self.spark, self.name).get(_LOAD, 0)) if exists(self.spark, self.name) else 0
 
-    def _rows(self) -> DataFrame:
-        """What the history view shows, read from the partitioned table itself."""
-        n = self.load_number()
-        p = self.spark.table(self.parts)
-        keep = ((F.col(_STATE) == "closed") & (F.col(_SEQ) <= n)) | ((F.col(_STATE) == "open") & (F.col(_SEQ) == n))
-        return p.filter(keep).drop(_SEQ, _STATE)
+    def slice_of(self) -> Column:
+        """Spark puts a key into bucket ``pmod(hash(key), buckets)``, so a bucket lies in one slice."""
+        return F.pmod(F.hash(*self.key), F.lit(self.slices))
+
+    def _state(self, n: int) -> dict[int, _Slice]:
+        """Slices as of load ``n``; at most as many rows as there are slices."""
+        if not n:
+            return {}
+        rows = self.spark.table(self.states).filter(F.col(_SEQ) == n).collect()
+        return {r[_SLICE]: _Slice(r["opened"], r["closed_from"], r["digest"]) for r in rows}
+
+    # reading ---------------------------------------------------------------------------------------------------------
 
     def read(self) -> DataFrame | None:
-        return self._rows() if self.load_number() else None
+        """What the history view shows, read from the partitioned table itself."""
+        n = self.load_number()
+        return self._rows(_where_all(n, self._state(n))) if n else None
 
     def current(self) -> DataFrame | None:
         """Open versions only: partition pruning leaves the history unread."""
         n = self.load_number()
-        if not n:
-            return None
-        p = self.spark.table(self.parts)
-        return p.filter((F.col(_STATE) == "open") & (F.col(_SEQ) == n)).drop(_SEQ, _STATE)
+        return self._rows(_where_open(self._state(n))) if n else None
+
+    def _rows(self, where: str) -> DataFrame:
+        return self.spark.table(self.parts).filter(where).drop(*_OWN)
+
+    def opened_since(self, load: int) -> DataFrame:
+        """Open versions that loads after ``load`` opened; slices that these did not write are not read."""
+        state = {s: x for s, x in self._state(self.load_number()).items() if x.opened > load}
+        return self.spark.table(self.parts).filter(_where_open(state)).filter(F.col(_OPENED) > load).drop(*_OWN)
+
+    def gone_since(self, load: int) -> DataFrame:
+        """Keys of versions that loads after ``load`` closed and that have no open version now."""
+        n = self.load_number()
+        state = {s: x for s, x in self._state(n).items() if x.opened > load}
+        parts = self.spark.table(self.parts)
+        closed = parts.filter(_where_closed(n, state)).filter((F.col(_SEQ) > load) & (F.col(_CLOSED) > load))
+        return closed.select(*self.key).distinct().join(parts.filter(_where_open(state)).select(*self.key), self.key, "left_anti")
+
+    # loading ---------------------------------------------------------------------------------------------------------
 
     def _dealt(self, source: DataFrame) -> DataFrame:
         """Rows hashed as the table's buckets are: key guard, join and write all use this one shuffle, and a task writes one bucket."""
         return source.repartition(self.buckets, *self.key) if self.buckets else source
 
-    def load_by_check(self, source: DataFrame, check_cols: list[str], ctx: RunContext) -> None:
-        ctx, held, source = ctx.pinned(), self.current(), self._dealt(source)
-        if held is None:
-            moved = snapshot_check(source, None, self.key, check_cols, ctx, self.hard_deletes, self.names)
-        else:
-            moved = check_changes(source, held, self.key, check_cols, ctx, self.hard_deletes, self.names)
-        self._commit(moved)
+    def load_by_check(self, source: DataFrame, check_cols: list[str], ctx: RunContext) -> set[int]:
+        """Take a delivery; returns the slices written.  ``source`` is read twice, so pass a stored one."""
+        ctx = ctx.pinned()
+        return self._load(
+            source, check_cols,
+            lambda s: snapshot_check(s, None, self.key, check_cols, ctx, self.hard_deletes, self.names),
+            lambda s, held: check_changes(s, held, self.key, check_cols, ctx, self.hard_deletes, self.names))
+
+    def load_by_timestamp(self, source: DataFrame, updated_at: str, ctx: RunContext) -> set[int]:
+        """Take a delivery; returns the slices written.  ``source`` is read twice, so pass a stored one."""
+        ctx = ctx.pinned()
+        return self._load(
+            source, [updated_at],
+            lambda s: snapshot_timestamp(s, None, self.key, updated_at, ctx, self.hard_deletes, self.names),
+            lambda s, held: timestamp_changes(s, held, self.key, updated_at, ctx, self.hard_deletes, self.names))
 
-    def load_by_timestamp(self, source: DataFrame, updated_at: str, ctx: RunContext) -> None:
-        ctx, held, source = ctx.pinned(), self.current(), self._dealt(source)
-        if held is None:
-            moved = snapshot_timestamp(source, None, self.key, updated_at, ctx, self.hard_deletes, self.names)
+    def _load(self, source: DataFrame, compared: list[str], first: Callable[[DataFrame], DataFrame],
+              later: Callable[[DataFrame, DataFrame], DataFrame]) -> set[int]:
+        n = self.load_number()
+        before = self._state(n)
+        source = self._keyed(source) if n else source
+        digests = self._digests(source, compared)
+        touched = {s for s, d in digests.items() if s not in before or before[s].digest != d}
+        if self.hard_deletes != "ignore":
+            touched |= {s for s, x in before.items() if s not in digests and x.digest}
+        if not n:
+            moved = first(self._dealt(source))
+        elif not touched:
+            return set()
         else:
-            moved = timestamp_changes(source, held, self.key, updated_at, ctx, self.hard_deletes, self.names)
-        self._commit(moved)
-
-    def _commit(self, moved: DataFrame) -> None:
-        n = self.load_number() + 1
-        state = F.when(F.col(self.names.valid_to).isNull(), "open").otherwise("closed")
-        rows = moved.withColumn(_SEQ, F.lit(n)).withColumn(_STATE, state)
-        self._fit_table(rows, n)
+            if len(touched) < self.slices:
+                source = source.filter(self.slice_of().isin(sorted(touched)))
+            # the vanished-column rule of the transition carries the opening load along
+            held = self.spark.table(self.parts).filter(_where_open({s: before[s] for s in touched if s in before})).drop(_CLOSED, _SEQ, _STATE, _SLICE)
+            moved = later(self._dealt(source), held)
+        self._commit(n + 1, moved, before, {s: digests.get(s, "") for s in touched})
+        return touched
+
+    def _keyed(self, source: DataFrame) -> DataFrame:
+        """``source`` with the key in the stored types, since equal keys of other types have other hashes."""
+        held, given = ({f.name.lower(): f.dataType for f in df.schema} for df in (self.spark.table(self.parts), source))
+        for k in self.key:
+            have, want = given[k.lower()], held[k.lower()]
+            if not fits(have, want):
+                raise ValueError(f"key {k} is {have.simpleString()}, but {self.name} holds {want.simpleString()}")
+            if have != want:
+                source = source.withColumn(k, F.col(k).cast(want))
+        return source
+
+    def _digests(self, source: DataFrame, compared: list[str]) -> dict[int, str]:
+        """Checksum of each slice of a delivery; other columns, or other types of them, make another one."""
+        kinds = {f.name.lower(): f.dataType.simpleString() for f in source.schema}
+        own = {c.lower() for c in compared}
+        columns = [*self.key, *sorted(compared)]
+        shape = ",".join(f"{c} {k if c in own else ''}" for c, k in sorted(kinds.items()))
+        found = source.groupBy(self.slice_of().alias(_SLICE)).agg(checksum(source, columns).alias("digest"))
+        # one row per slice
+        return {r[_SLICE]: f"{r['digest']} {shape}" for r in found.collect()}
+
+    def _commit(self, n: int, moved: DataFrame, before: dict[int, _Slice], digests: dict[int, str]) -> None:
+        closed = F.col(self.names.valid_to).isNotNull()
+        opened = F.coalesce(_OPENED, F.lit(n)) if _OPENED in moved.columns else F.lit(n)
+        rows = moved.withColumns({
+            _OPENED: opened, _CLOSED: F.when(closed, F.lit(n)), _SEQ: F.lit(n), _STATE: F.when(closed, "closed").otherwise("open"), _SLICE: self.slice_of()})
+        self._fit_table(rows)
+        stored = self._stored()
+        self._drop(stored, lambda seq, state, s: seq >= n)  # left by a load that failed before its views moved
+        parts = {s: sorted(seq for seq, state, at in stored if state == "closed" and at == s and before[s].closed_from <= seq < n) for s in digests if s in before}
+        merged = {s for s, loads in parts.items() if len(loads) >= CLOSED_PARTS}
         table = self.spark.table(self.parts)
+        if merged:
+            old = table.filter(_where_closed(n - 1, {s: before[s] for s in merged})).withColumn(_SEQ, F.lit(n))
+            rows = rows.unionByName(old, allowMissingColumns=True)
         have = {c.lower() for c in rows.columns}
-        rows.select(*[
-            F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table.schema
-        ]).write.insertInto(self.parts)
-        self._publish(n, [c for c in table.columns if c not in (_SEQ, _STATE)])
-        self._drop_partition(n - 2, "open")  # load n-1 stays for queries already running
-
-    def _fit_table(self, rows: DataFrame, n: int) -> None:
+        rows = rows.select(*[F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema])
+        # buckets are dealt already; otherwise a slice is written by few tasks, and a large one by several
+        (rows if self.buckets and not merged else rows.hint("rebalance", F.col(_SLICE))).write.insertInto(self.parts)
+        state = {**before, **{s: _Slice(n, n if s in merged or s not in before else before[s].closed_from, d) for s, d in digests.items()}}
+        self._keep_state(n, state)
+        self._publish(n, state, [c for c in table.columns if c not in _OWN])
+        # what this load replaced stays for queries already running
+        self._drop(self._stored(), lambda seq, kind, s: s in before and seq < (before[s].opened if kind == "open" else before[s].closed_from))
+
+    def _keep_state(self, n: int, state: dict[int, _Slice]) -> None:
+        if not exists(self.spark, self.states):
+            self.spark.sql(f"CREATE TABLE {self.states} ({_SLICE} int, opened int, closed_from int, digest string, {_SEQ} int) USING parquet PARTITIONED BY ({_SEQ})")
+        for old in [r["partition"].split("=")[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.states}").collect()]:
+            if int(old) >= n or int(old) < n - 1:
+                self.spark.sql(f"ALTER TABLE {self.states} DROP IF EXISTS PARTITION ({_SEQ}={old})")
+        rows = [(s, x.opened, x.closed_from, x.digest, n) for s, x in sorted(state.items())]
+        kinds = f"{_SLICE} int, opened int, closed_from int, digest string, {_SEQ} int"
+        self.spark.createDataFrame(rows, kinds).coalesce(1).write.insertInto(self.states)
+
+    def _fit_table(self, rows: DataFrame) -> None:
+        own = {c: T.IntegerType() for c in (_OPENED, _CLOSED, _SEQ, _SLICE)} | {_STATE: T.StringType()}
+        ordered = [f for f in rows.schema if f.name not in _OWN] + [T.StructField(c, own[c]) for c in _OWN]
+        listed = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         if not exists(self.spark, self.parts):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
             keys = ", ".join(f"`{k}`" for k in self.key)
             hashed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS" if self.buckets else ""
-            self.spark.sql(f"CREATE TABLE {self.parts} ({cols}) USING parquet PARTITIONED BY ({_SEQ}, {_STATE}){hashed}")
+            self.spark.sql(f"CREATE TABLE {self.parts} ({listed(ordered)}) USING parquet PARTITIONED BY ({_SEQ}, {_STATE}, {_SLICE}){hashed}")
             return
         have = {c.lower() for c in self.spark.table(self.parts).columns}
-        new = [f for f in rows.schema if f.name.lower() not in have]
+        new = [f for f in ordered if f.name.lower() not in have]
         if new:
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            self.spark.sql(f"ALTER TABLE {self.parts} ADD COLUMNS ({cols})")
-        for state in ("open", "closed"):  # left by a load that failed before its views moved
-            self._drop_partition(n, state)
+            self.spark.sql(f"ALTER TABLE {self.parts} ADD COLUMNS ({listed(new)})")
 
-    def _drop_partition(self, seq: int, state: str) -> None:
-        if seq >= 1:
-            self.spark.sql(f"ALTER TABLE {self.parts} DROP IF EXISTS PARTITION ({_SEQ}={seq}, {_STATE}='{state}')")
+    def _stored(self) -> list[tuple[int, str, int]]:
+        """Partitions (load, state, slice)."""
+        found = [dict(x.split("=") for x in r["partition"].split("/")) for r in self.spark.sql(f"SHOW PARTITIONS {self.parts}").collect()]
+        return [(int(p[_SEQ]), p[_STATE], int(p[_SLICE])) for p in found]
 
-    def _publish(self, n: int, cols: list[str]) -> None:
+    def _drop(self, stored: list[tuple[int, str, int]], gone: Callable[[int, str, int], bool]) -> None:
+        specs = [f"PARTITION ({_SEQ}={seq}, {_STATE}='{state}', {_SLICE}={s})" for seq, state, s in stored if gone(seq, state, s)]
+        if specs:
+            self.spark.sql(f"ALTER TABLE {self.parts} DROP IF EXISTS {', '.join(specs)}")
+
+    def _publish(self, n: int, state: dict[int, _Slice], cols: list[str]) -> None:
         listed = ", ".join(f"`{c}`" for c in cols)
-        opened = f"{_STATE} = 'open' AND {_SEQ} = {n}"
-        for name, where in (
-            (self.current_name, opened),
-            (self.name, f"({_STATE} = 'closed' AND {_SEQ} <= {n}) OR ({opened})"),
-        ):
+        for name, where in ((self.current_name, _where_open(state)), (self.name, _where_all(n, state))):
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_LOAD}' = '{n}') "
-                f"AS SELECT {listed} FROM {self.parts} WHERE {where}"
-            )
+                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_LOAD}' = '{n}', '{_SLICES}' = '{self.slices}') "
+                f"AS SELECT {listed} FROM {self.parts} WHERE {where}")
+
+    def drop(self) -> None:
+        """Remove the views and everything stored; absent parts are no error."""
+        for view in (self.name, self.current_name):
+            self.spark.sql(f"DROP VIEW IF EXISTS {view}")
+        for table in (self.parts, self.states):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _grouped(state: dict[int, _Slice], number: Callable[[_Slice], int], sign: str) -> str:
+    """Condition on load and slice: each slice's load compares by ``sign`` with its ``number``."""
+    by: dict[int, list[int]] = {}
+    for s, x in sorted(state.items()):
+        by.setdefault(number(x), []).append(s)
+    return " OR ".join(f"({_SEQ} {sign} {k} AND {_SLICE} IN ({', '.join(map(str, slices))}))" for k, slices in sorted(by.items())) or "false"
+
+
+def _where_open(state: dict[int, _Slice]) -> str:
+    return f"{_STATE} = 'open' AND ({_grouped(state, lambda x: x.opened, '=')})"
+
+
+def _where_closed(n: int, state: dict[int, _Slice]) -> str:
+    return f"{_STATE} = 'closed' AND {_SEQ} <= {n} AND ({_grouped(state, lambda x: x.closed_from, '>=')})"
+
+
+def _where_all(n: int, state: dict[int, _Slice]) -> str:
+    return f"({_where_open(state)}) OR ({_where_closed(n, state)})"

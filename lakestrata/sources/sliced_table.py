@@ -16,14 +16,14 @@ from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, Long
 from lakestrata.operators.incremental import merge_upsert
 from lakestrata.sources.tables import exists, properties, update_where
 
-_LOAD, _BASE = "lakestrata.slice_load", "lakestrata.slice_base"
+_LOAD, _BASE, _TAKEN = "lakestrata.slice_load", "lakestrata.slice_base", "lakestrata.taken"
 _SLICE, _SEQ = "key_slice", "load_seq"
 
 
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 
 
-def _fits(a: DataType, b: DataType) -> bool:
+def fits(a: DataType, b: DataType) -> bool:
     """Whether every value of type ``a`` is one of type ``b``."""
     if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
         return _WHOLE.index(type(a)) <= _WHOLE.index(type(b))
@@ -49,6 +49,11 @@ class SlicedTable:
     def published(self) -> bool:
         return self._state()[0] > 0
 
+    def taken(self) -> int | None:
+        """Load of the source up to which this table has taken its changes, as named by the write that took them."""
+        p = properties(self.spark, self.name) if exists(self.spark, self.name) else {}
+        return int(p[_TAKEN]) if _TAKEN in p else None
+
     def slice_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.slices)).cast("int")
 
@@ -57,7 +62,7 @@ class SlicedTable:
         held, given = ({f.name.lower(): f.dataType for f in df.schema} for df in (self.read(), source))
         for k in self.key:
             have, want = given[k.lower()], held[k.lower()]
-            if not _fits(have, want):
+            if not fits(have, want):
                 raise ValueError(f"key {k} is {have.simpleString()}, but {self.name} holds {want.simpleString()}")
             if have != want:
                 source = source.withColumn(k, F.col(k).cast(want))
@@ -95,24 +100,41 @@ class SlicedTable:
             return None
         return self.spark.table(self.parts).filter(self._where(self._newest(load, base), only)).drop(_SLICE, _SEQ)
 
-    def overwrite(self, df: DataFrame) -> None:
+    def overwrite(self, df: DataFrame, taken: int | None = None) -> None:
         """Replace all rows; columns may change."""
         load, _ = self._state()
         if load and [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in self.read().schema]:
             self.drop()
             load = 0
-        self._write(df, load + 1, load + 1)
+        self._write(df, load + 1, load + 1, taken=taken)
+
+    def merge(self, source: DataFrame, duplicates: str = "raise", latest_by: str | None = None, keys: DataFrame | None = None,
+              gone: DataFrame | None = None, taken: int | None = None) -> set[int]:
+        """Add or replace rows by key; returns the slices rewritten.
 
-    def merge(self, source: DataFrame, duplicates: str = "raise", latest_by: str | None = None) -> set[int]:
-        """Add or replace rows by key; returns the slices rewritten.  ``source`` is read more than once, so pass a stored one."""
+        ``source`` is read more than once, so pass a stored one, or name in
+        ``keys`` (cheap to read, other keys than the source's have no row
+        after the merge) what it replaces: then it is computed once.  Keys in
+        ``gone`` leave the table.
+        """
         load, base = self._state()
         if not load:
             raise ValueError(f"{self.name} has not been written")
         source = self._keyed(source)
-        # at most one row per slice
-        touched = {r["s"] for r in source.select(self.slice_of().alias("s")).distinct().collect()}
+        if keys is None and gone is None:
+            # at most one row per slice
+            touched = {r["s"] for r in source.select(self.slice_of().alias("s")).distinct().collect()}
+            merged = merge_upsert(source, self.read(touched), self.key, duplicates=duplicates, latest_by=latest_by)
+        else:
+            left = self._keyed(source.select(*self.key) if keys is None else keys.select(*self.key))
+            left = left if gone is None else left.unionByName(self._keyed(gone.select(*self.key)))
+            touched = {r["s"] for r in left.select(self.slice_of().alias("s")).distinct().collect()}
+            kept = self.read(touched).join(left, self.key, "left_anti")
+            merged = kept.unionByName(merge_upsert(source, None, self.key, duplicates=duplicates, latest_by=latest_by))
         if touched:
-            self._write(merge_upsert(source, self.read(touched), self.key, duplicates=duplicates, latest_by=latest_by), load + 1, base, touched)
+            self._write(merged, load + 1, base, touched, taken)
+        elif taken is not None and taken != self.taken():
+            self.spark.sql(f"ALTER VIEW {self.name} SET TBLPROPERTIES ('{_TAKEN}' = '{taken}')")
         return touched
 
     def update(self, condition: Column, changes: dict[str, Column]) -> set[int]:
@@ -125,7 +147,7 @@ class SlicedTable:
             self._write(update_where(self.read(touched), condition, changes), load + 1, base, touched)
         return touched
 
-    def _write(self, df: DataFrame, load: int, base: int, within: set[int] | None = None) -> None:
+    def _write(self, df: DataFrame, load: int, base: int, within: set[int] | None = None, taken: int | None = None) -> None:
         rows = df.withColumn(_SLICE, self.slice_of()).withColumn(_SEQ, F.lit(load))
         if not exists(self.spark, self.parts):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
@@ -133,12 +155,17 @@ class SlicedTable:
         self._drop(lambda n, _: n >= load)  # left by a load that failed
         table = self.spark.table(self.parts)
         rows.select(*table.columns).hint("rebalance", F.col(_SLICE)).write.insertInto(self.parts)
-        astray = set() if within is None else {s for s, loads in self._stored().items() if load in loads} - within
-        if astray:
-            raise RuntimeError(f"load {load} of {self.name} wrote slices {sorted(astray)}, which it had not read")
+        wrote = {s for s, loads in self._stored().items() if load in loads}
+        if within is not None and wrote - within:
+            raise RuntimeError(f"load {load} of {self.name} wrote slices {sorted(wrote - within)}, which it had not read")
+        emptied = " ".join(f"PARTITION ({_SLICE}={s}, {_SEQ}={load})" for s in sorted((within or set()) - wrote))
+        if emptied:  # a partition without rows hides the older one
+            self.spark.sql(f"ALTER TABLE {self.parts} ADD IF NOT EXISTS {emptied}")
         listed = ", ".join(f"`{c}`" for c in table.columns if c not in (_SLICE, _SEQ))
+        taken = self.taken() if taken is None else taken
+        up_to = "" if taken is None else f", '{_TAKEN}' = '{taken}'"
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_LOAD}' = '{load}', '{_BASE}' = '{base}', 'lakestrata.slices' = '{self.slices}') "
+            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_LOAD}' = '{load}', '{_BASE}' = '{base}', 'lakestrata.slices' = '{self.slices}'{up_to}) "
             f"AS SELECT {listed} FROM {self.parts} WHERE {self._where(self._newest(load, base))}")
         self._drop(lambda n, loads: any(n < m < load for m in loads))
 

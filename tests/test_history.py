@@ -110,7 +110,7 @@ def test_bucketed_loads_shuffle_once_and_write_a_file_a_bucket(spark, tmp_path):
         df = spark.read.parquet(str(tmp_path / "src")).withColumn("v", F.when(F.col("k") % 9 == 0, F.lit(str(day))).otherwise(F.col("v")))
         t.load_by_check(df, ["v", "w"], at(day))
         where = spark.sql("DESCRIBE FORMATTED hist.onefile__parts").filter("col_name = 'Location'").first()["data_type"].removeprefix("file:")
-        files = list(Path(where).glob(f"load_seq={day}/*/*.parquet"))
+        files = list(Path(where).glob(f"load_seq={day}/*/*/*.parquet"))
         assert len(files) <= 2 * 8, len(files)
     from lakestrata.operators.history import check_changes
 
@@ -171,7 +171,7 @@ def fresh_table(spark, name, **kw):
 
 
 def test_stored_history_equals_the_operator(spark):
-    t, plain = fresh_table(spark, "equal", buckets=4), None
+    t, plain = fresh_table(spark, "equal", buckets=4, slices=1), None
     for day, data in enumerate([[(1, "a", 1), (2, "a", 1)], [(1, "b", 1), (3, "a", 1)], [(1, "b", 1)], [(2, "z", None), (1, "b", 1)]], 1):
         t.load_by_check(src(spark, data), ["v", "w"], at(day))
         plain = load(spark, data, plain, day)
@@ -179,9 +179,79 @@ def test_stored_history_equals_the_operator(spark):
         assert shown(spark.table("hist.equal__current")) == shown(current_rows(plain))
     # only the last two open sets are kept, on disk too; every closed set is
     where = spark.sql("DESCRIBE FORMATTED hist.equal__parts").filter("col_name = 'Location'").first()["data_type"]
-    kept = sorted(str(p.relative_to(where.removeprefix("file:"))) for p in Path(where.removeprefix("file:")).glob("load_seq=*/*"))
-    assert [k for k in kept if k.endswith("open")] == ["load_seq=3/row_state=open", "load_seq=4/row_state=open"]
-    assert "load_seq=2/row_state=closed" in kept
+    kept = sorted(str(p.relative_to(where.removeprefix("file:"))) for p in Path(where.removeprefix("file:")).glob("load_seq=*/*/key_slice=0"))
+    assert [k for k in kept if "open" in k] == ["load_seq=3/row_state=open/key_slice=0", "load_seq=4/row_state=open/key_slice=0"]
+    assert "load_seq=2/row_state=closed/key_slice=0" in kept
+
+
+def parts_of(spark, name):
+    found = [dict(x.split("=") for x in r["partition"].split("/")) for r in spark.sql(f"SHOW PARTITIONS hist.{name}__parts").collect()]
+    return {(int(p["load_seq"]), p["row_state"], int(p["key_slice"])) for p in found}
+
+
+@pytest.mark.parametrize("deletes", ["ignore", "invalidate", "new_record"])
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_only_changed_slices_are_written(spark, deletes, buckets):
+    t, plain = fresh_table(spark, f"slices_{deletes}_{buckets}", hard_deletes=deletes, buckets=buckets, slices=8), None
+    data = {i: (i, f"v{i}", None if i % 7 == 0 else i) for i in range(60)}
+    deliveries = [dict(data), dict(data), {**data, 5: (5, "new", 1), 100: (100, "n", 2)}, {k: v for k, v in data.items() if k != 8}, dict(data), dict(data)]
+    wrote = []
+    for day, rows_ in enumerate(deliveries, 1):
+        given = src(spark, list(rows_.values()))
+        n = t.load_number()
+        touched = t.load_by_check(given, ["v", "w"], at(day))
+        plain = load(spark, list(rows_.values()), plain, day, hard_deletes=deletes)
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+        assert shown(spark.table(t.name)) == shown(t.read()) == shown(plain)
+        assert shown(spark.table(t.current_name)) == shown(current_rows(plain))
+        assert t.load_number() == (n + 1 if touched else n)
+        assert {s for seq, _, s in parts_of(spark, t.name.split(".")[1]) if seq > n} <= touched
+        wrote.append(len(touched))
+    assert wrote[0] == t.slices and wrote[1] == wrote[5] == 0 and all(1 <= w <= 3 for w in wrote[2:5])
+
+
+def test_checksums_tell_values_nulls_and_columns_apart(spark):
+    t = fresh_table(spark, "digests", slices=1)
+    one = t.load_by_check(src(spark, [(1, "a", None), (2, None, 2)]), ["v", "w"], at(1))
+    assert one and not t.load_by_check(src(spark, [(2, None, 2), (1, "a", None)]).repartition(3), ["v", "w"], at(2))
+    assert t.load_by_check(src(spark, [(1, None, None), (2, "a", 2)]), ["v", "w"], at(3))
+    assert t.load_by_check(src(spark, [(1, None, None), (2, "a", 2)]), ["v"], at(4))  # other columns are compared
+    with pytest.raises(Exception, match="repeated key"):
+        t.load_by_check(src(spark, [(1, None, None), (2, "a", 2), (2, "a", 2)]), ["v"], at(5))
+
+
+def test_closed_parts_are_merged(spark):
+    t = fresh_table(spark, "merged", slices=2)
+    for day in range(1, 16):
+        t.load_by_check(src(spark, [(i, str(day), i) for i in range(6)]), ["v"], at(day))
+        assert len(shown(spark.table("hist.merged"))) == 6 * day
+    closed = [p for p in parts_of(spark, "merged") if p[1] == "closed"]
+    assert len(closed) <= 2 * 9 and t.read().filter("valid_to IS NOT NULL").count() == 6 * 14
+    assert t.gone_since(3).count() == 0 and t.opened_since(14).count() == 6 and t.opened_since(15).count() == 0
+
+
+def test_what_loads_opened_and_closed(spark):
+    t = fresh_table(spark, "changes", slices=4, hard_deletes="invalidate")
+    t.load_by_check(src(spark, [(i, "a", i) for i in range(20)]), ["v"], at(1))
+    t.load_by_check(src(spark, [(i, "b" if i == 3 else "a", i) for i in range(20) if i != 7]), ["v"], at(2))
+    t.load_by_check(src(spark, [(i, "a", i) for i in range(21) if i not in (8, 9)]), ["v"], at(3))
+    keys = lambda df: sorted(r["k"] for r in df.select("k").collect())
+    assert keys(t.opened_since(0)) == [i for i in range(21) if i not in (8, 9)]
+    assert keys(t.opened_since(1)) == [3, 7, 20] and keys(t.gone_since(1)) == [8, 9]
+    assert keys(t.opened_since(2)) == [3, 7, 20] and keys(t.gone_since(2)) == [8, 9]
+    assert keys(t.opened_since(3)) == [] == keys(t.gone_since(3))
+
+
+def test_null_times_neither_freeze_a_key_nor_pass_unseen(spark):
+    def s(*data):
+        return spark.createDataFrame(data, "k bigint, v string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    a = snapshot_timestamp(s((1, "a", None), (2, "a", "2021-01-01"), (3, "a", None)), None, ["k"], "ts", at(1))
+    b = snapshot_timestamp(s((1, "b", "2021-01-01"), (2, "a", "2021-01-01"), (3, "a", None)), a, ["k"], "ts", at(2))
+    assert sorted((r["k"], r["v"], r["valid_to"] is None) for r in b.collect()) == [(1, "a", False), (1, "b", True), (2, "a", True), (3, "a", True)]
+    for row in ((2, "c", None), (3, "c", None)):
+        with pytest.raises(Exception, match="ts is NULL"):
+            snapshot_timestamp(s(row), a, ["k"], "ts", at(2)).collect()
 
 
 def test_failed_load_leaves_the_published_state(spark):
@@ -190,7 +260,7 @@ def test_failed_load_leaves_the_published_state(spark):
     with pytest.raises(Exception):
         t.load_by_check(src(spark, [(1, "b", 1), (1, "c", 1)]), ["v", "w"], at(2))
     # rows of a load whose views never moved
-    spark.sql("INSERT INTO hist.failing__parts SELECT 9, 'junk', 0, now(), NULL, now(), 'x', 2, 'open'")
+    spark.sql("INSERT INTO hist.failing__parts SELECT 9, 'junk', 0, now(), NULL, now(), 'x', 2, NULL, 2, 'open', 0")
     assert shown(spark.table("hist.failing")) == [(1, "a", 1, None)]
     t.load_by_check(src(spark, [(1, "b", 1)]), ["v", "w"], at(3))
     assert shown(spark.table("hist.failing")) == [(1, "a", 1, 3), (1, "b", 3, None)]

@@ -63,3 +63,29 @@ def test_incremental_gold_equals_rebuild(spark):
             assert m.read("GOLD", "Fact_Listings").filter("SYSRUNID = 'run-12'").count() == 1
         m.reset()
     assert out["incremental"] == out["table"]
+
+
+def test_incremental_gold_takes_late_equal_null_times_and_deletes(spark):
+    """Gold follows silver's loads, whatever their times; closed keys leave it."""
+    out = {}
+    for env, mode in (("TEST", "incremental"), ("PREPROD", "table")):
+        m = build(spark, env, mode)
+        m.hard_deletes = "invalidate"
+        m.run(at(10))
+        name = m.name("LANDING", "Listings")
+        rename_listing(m, 71, "Same Time")
+        m.run(at(11))
+        # silver's own times go back: a mark by time would miss these rows
+        tables.update_table(spark, name, F.col("id").cast("bigint") == 80, {"name": F.lit("Late")})
+        gone = spark.table(name).filter("id = 71").count()
+        tables.overwrite(spark.table(name).filter("id <> 71"), name)
+        m.run(at(12))
+        m.run(at(13))
+        drop = ("SYSLOADDATE", "SYSRUNID")
+        out[mode] = [rows(m.read("GOLD", t).drop(*drop)) for t in ("Dim_Listing_Details", "Fact_Listings")]
+        assert gone == 1 and m.read("GOLD", "Fact_Listings").filter("LISTING_ID = 71").count() == 0
+        if mode == "incremental":
+            assert m.read("GOLD", "Fact_Listings").filter("SYSRUNID = 'run-12'").count() == 1
+            assert m.read("GOLD", "Fact_Listings").filter("SYSRUNID = 'run-13'").count() == 0
+        m.reset()
+    assert out["incremental"] == out["table"]

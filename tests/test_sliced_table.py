@@ -81,3 +81,24 @@ def test_merge_of_another_key_type_loses_no_rows(spark, table):
     with pytest.raises(ValueError, match="key k is string"):
         table.merge(spark.createDataFrame([("5", "b")], "k string, v string"))
     assert sorted(rows(spark.table("sliced.t"))) == want
+
+
+def test_merge_takes_keys_out_and_computes_its_rows_once(spark, table):
+    table.overwrite(kv(spark, [(i, "a") for i in range(40)]), taken=3)
+    assert table.taken() == 3
+    seen = spark.sparkContext.accumulator(0)
+    fresh = kv(spark, [(1, "b"), (41, "n")])
+
+    def tally(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    once = fresh.mapInPandas(tally, fresh.schema)
+    touched = table.merge(once, keys=fresh, gone=spark.range(2, 4).withColumnRenamed("id", "k"), taken=5)
+    want = sorted([(i, "b" if i == 1 else "a") for i in range(40) if i not in (2, 3)] + [(41, "n")])
+    assert sorted(rows(spark.table("sliced.t"))) == want and table.taken() == 5 and len(touched) <= 4 and seen.value == 2
+    # slices that lose their last row are empty, not as they were
+    table.merge(fresh.filter("false"), gone=spark.range(0, 50).withColumnRenamed("id", "k"))
+    assert rows(spark.table("sliced.t")) == rows(table.read()) == [] and table.taken() == 5
+    assert table.merge(fresh.filter("false"), keys=fresh.filter("false"), taken=6) == set() and table.taken() == 6

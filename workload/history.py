@@ -17,7 +17,7 @@ from lakestrata.sources import tables
 from lakestrata.sources.binding_store import load_bindings, save_bindings
 from lakestrata.sources.governed import GovernedCatalog
 from workload import derived
-from workload.registration import query, run_at, stamp
+from workload.registration import day, query, run_at, stamp
 
 KEY = ["o_orderkey"]
 CHECKED = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -346,3 +346,17 @@ def dimension_with_two_part_key(t):
     snap = snapshot_check(t.customer, None, ["c_custkey"], ["c_name"], run_at(1))
     df = build_dim(snap, ["c_custkey", "c_nationkey"], {"c_custkey": "ID", "c_name": "NAME"}, run_at(1), carry=("c_mktsegment",))
     return df.select("ID", "NAME", "SK", "c_mktsegment")
+
+
+@query("""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS valid_from,
+    CASE WHEN o_orderkey % 11 = 0 THEN '2025-01-01' END AS valid_to FROM orders
+  UNION ALL SELECT o_orderkey, 'X', '2025-01-01', NULL FROM orders WHERE o_orderkey % 11 = 0""")
+def snapshot_timestamp_null_times(t):
+    """A stored version without a time gives way to one that has a time; a row that has lost its time changes nothing."""
+    k, at = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    first = t.orders.select("o_orderkey", "o_orderstatus", F.when(k % 11 != 0, at).alias("changed_at"))
+    dated = F.when(k % 11 == 0, F.lit("2025-01-01").cast("timestamp")).when(k % 13 != 0, at)
+    second = t.orders.select("o_orderkey", F.when(k % 11 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), dated.alias("changed_at"))
+    held = snapshot_timestamp(first, None, ["o_orderkey"], "changed_at", run_at(1))
+    out = snapshot_timestamp(second, held, ["o_orderkey"], "changed_at", run_at(2))
+    return out.select("o_orderkey", "o_orderstatus", day("valid_from"), day("valid_to"))

@@ -13,6 +13,11 @@ from workload import derived
 from workload.registration import query, run_at, stamp
 
 
+def _new_history(table):
+    table.drop()
+    return table
+
+
 def _fresh(t, name):
     full = f"{t.work_database()}.{name}"
     tables.drop(t.spark, full)
@@ -138,10 +143,7 @@ def identity_numbers(t):
 def stored_history(t):
     """Three loads into a bucketed history table; the third brings nothing new."""
     name = f"{t.work_database()}.order_history"
-    for n in (name, name + "__current"):
-        t.spark.sql(f"DROP VIEW IF EXISTS {n}")
-    t.spark.sql(f"DROP TABLE IF EXISTS {name}__parts")
-    h = HistoryTable(t.spark, name, ["o_orderkey"], buckets=8)
+    h = _new_history(HistoryTable(t.spark, name, ["o_orderkey"], buckets=8))
     cols = ["o_orderkey", "o_orderstatus"]
     h.load_by_check(t.orders.select(*cols), ["o_orderstatus"], run_at(1))
     for month in (2, 3):
@@ -180,10 +182,7 @@ def _loads_sql(deletes):
 
 def _four_loads(t, deletes):
     name = f"{t.work_database()}.four_loads_{deletes}"
-    for n in (name, name + "__current"):
-        t.spark.sql(f"DROP VIEW IF EXISTS {n}")
-    t.spark.sql(f"DROP TABLE IF EXISTS {name}__parts")
-    h = HistoryTable(t.spark, name, ["o_orderkey"], hard_deletes=deletes, buckets=8)
+    h = _new_history(HistoryTable(t.spark, name, ["o_orderkey"], hard_deletes=deletes, buckets=8))
     rows = t.orders.select("o_orderkey", "o_orderstatus")
     fewer = rows.filter("o_orderkey % 5 <> 0")
     changed = fewer.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
@@ -218,16 +217,40 @@ def stored_history_four_loads_marking(t):
 def stored_history_column_vanishes(t):
     """The second delivery lacks a column, in a stored history."""
     name, cols = f"{t.work_database()}.vanishing", ["o_orderkey", "o_orderstatus", "o_orderpriority"]
-    for n in (name, name + "__current"):
-        t.spark.sql(f"DROP VIEW IF EXISTS {n}")
-    t.spark.sql(f"DROP TABLE IF EXISTS {name}__parts")
-    h = HistoryTable(t.spark, name, ["o_orderkey"], buckets=8)
+    h = _new_history(HistoryTable(t.spark, name, ["o_orderkey"], buckets=8))
     h.load_by_check(t.orders.select(*cols), cols[1:], run_at(1))
     later = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
     h.load_by_check(later, ["o_orderstatus"], run_at(2))
     return t.spark.table(name).select(*cols, F.col("valid_to").isNull().alias("is_open"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS changed_on,
+    CASE WHEN o_orderkey % 10 = 0 THEN 3 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS taken_with
+  FROM orders WHERE o_orderkey % 10 <> 5""")
+def gold_increments_by_load(t):
+    """Three deliveries into a history, and gold merged from what each opened or closed.
+
+    Times play no part: changed rows keep their time, some have none, every
+    fifth key goes with the second delivery, and half of these come back.
+    """
+    db, slices = t.work_database(), 16
+    h = _new_history(HistoryTable(t.spark, f"{db}.increments", ["o_orderkey"], hard_deletes="invalidate", buckets=16, slices=slices))
+    gold = SlicedTable(t.spark, f"{db}.increments_gold", ["o_orderkey"], slices)
+    gold.drop()
+    first = t.orders.select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("changed_on"))
+    changed = first.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
+    for month, delivery in enumerate((first, changed.filter("o_orderkey % 5 <> 0"), changed.filter("o_orderkey % 10 <> 5"), changed.filter("o_orderkey % 10 <> 5")), 1):
+        h.load_by_check(delivery, ["o_orderstatus", "changed_on"], run_at(month))
+        as_gold = lambda df, month=month: df.select("o_orderkey", "o_orderstatus", "changed_on", F.lit(month).alias("taken_with"))
+        taken, load = gold.taken(), h.load_number()
+        if taken is None:
+            gold.overwrite(as_gold(h.current()), load)
+        elif taken < load:
+            gold.merge(as_gold(h.opened_since(taken)), keys=h.opened_since(taken), gone=h.gone_since(taken), taken=load)
+    return t.spark.table(gold.name)
+
+
 @query("""SELECT role, c_custkey, name_length, masked FROM (
     SELECT 'SYSADMIN' AS role, c_custkey, length(c_name) AS name_length, FALSE AS masked, c_mktsegment FROM customer
     UNION ALL SELECT 'QA_READONLY', c_custkey, 14, TRUE, c_mktsegment FROM customer) WHERE c_mktsegment = 'BUILDING'""")
