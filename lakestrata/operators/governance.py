@@ -240,17 +240,31 @@ class Binding:
 
 @dataclass
 class Bindings:
-    """Policies and tags by table name, as a catalog would hold them."""
+    """Policies and tags by table name, as a catalog would hold them.
+
+    Names compare without case; ``keyed_by`` makes them compare as a catalog
+    resolves them, so that every spelling of a table has the same bindings.
+    """
 
     tables: dict[str, Binding] = field(default_factory=dict)
     tag_masks: dict[str, Mask] = field(default_factory=dict)
     propagating: set[str] = field(default_factory=set)
+    resolve: Callable[[str], str] = field(default=str.lower, compare=False, repr=False)
+
+    def keyed_by(self, resolve: Callable[[str], str]) -> "Bindings":
+        """Compare names by what ``resolve`` makes of them, from now on and for what is already bound."""
+        held, self.tables, self.resolve = self.tables, {}, resolve
+        for name, b in held.items():
+            known = self.of(name)
+            policies = tuple(dict.fromkeys((*known.policies, *b.policies)))
+            self._put(name, masks={**known.masks, **b.masks}, policies=policies, tags={**known.tags, **b.tags})
+        return self
 
     def of(self, table: str) -> Binding:
-        return self.tables.get(table.lower(), Binding())
+        return self.tables.get(self.resolve(table), Binding())
 
     def _put(self, table: str, **changes) -> "Bindings":
-        self.tables[table.lower()] = replace(self.of(table), **changes)
+        self.tables[self.resolve(table)] = replace(self.of(table), **changes)
         return self
 
     def set_mask(self, table: str, column: str, mask: Mask, using: tuple[str, ...] = ()) -> "Bindings":
@@ -339,6 +353,16 @@ def propagate_tags(bindings: Bindings, src: str, dst: str, lineage: dict[str, st
     return bindings
 
 
+def propagate_by_lineage(bindings: Bindings, dst: str, lineage: dict[str, set[tuple[str, str]]], all_tags: bool = False) -> Bindings:
+    """Copy tags along ``{dst column: {(source table, source column)}}``, as the analysed plan tells (``operators.lineage``)."""
+    for table in sorted({t for found in lineage.values() for t, _ in found}):
+        for out, found in lineage.items():
+            for source, column in sorted(found):
+                if source == table:
+                    propagate_tags(bindings, table, dst, {out: column}, all_tags)
+    return bindings
+
+
 def tags_in_schema(df: DataFrame, bindings: Bindings, table: str) -> DataFrame:
     """Write the table's column tags into column metadata, where Spark carries them along."""
     by_col: dict[str, dict[str, str]] = {}

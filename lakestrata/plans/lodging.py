@@ -127,18 +127,12 @@ def silver_source(bronze: DataFrame, types: dict[str, str], ctx: RunContext) ->
     return with_audit(bronze.select(SOURCE_SYSTEM, *types), ctx)
 
 
-# Names of the gold columns, and the silver column that each comes from.
-DIM_LINEAGE = {"ID": "id", "NAME": "name", "HOST_ID": "host_id", "HOST_NAME": "host_name", "ROOM_TYPE": "room_type"}
-FACT_LINEAGE = {
-    "VALUE_CATEGORY": "price", "LISTING_ID": "id", "LISTINGS": "name", "HOST_ID": "host_id", "HOST_NAME": "host_name", "PRICE": "price",
-    "MINIMUM_NIGHTS": "minimum_nights", "NUMBER_OF_REVIEWS": "number_of_reviews", "HOST_LISTING_COUNT": "calculated_host_listings_count",
-    "AVAILABILITY": "availability_365", "LAST_REVIEW_DATE_KEY": "last_review", "REVIEWS_PER_MONTH": "reviews_per_month",
-}
+# Columns of the listing dimension, by silver column.
+DIM_COLUMNS = {"id": "ID", "name": "NAME", "host_id": "HOST_ID", "host_name": "HOST_NAME", "room_type": "ROOM_TYPE"}
 
 
 def gold_listing_dim(silver: DataFrame, ctx: RunContext, names: HistoryColumns = DEFAULT) -> DataFrame:
-    columns = {origin: out for out, origin in DIM_LINEAGE.items()}
-    return build_dim(silver, ["id"], columns, ctx, names=names, carry=(SOURCE_SYSTEM,))
+    return build_dim(silver, ["id"], DIM_COLUMNS, ctx, names=names, carry=(SOURCE_SYSTEM,))
 
 
 def gold_listing_fact(silver: DataFrame, listing_dim: DataFrame, geography: DataFrame, geospatial: DataFrame,

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.operators.governance import Bindings, propagate_tags
+from lakestrata.operators.governance import Bindings, propagate_by_lineage
 from lakestrata.operators.history import DEFAULT, HistoryColumns
 from lakestrata.operators.quality import (
     Check,
@@ -55,6 +55,7 @@ class Medallion:
 
     def __post_init__(self):
         configure(self.spark)
+        self._catalog = GovernedCatalog(self.spark, self.bindings)
         if self.gold_mode not in ("table", "incremental"):
             raise ValueError(f"gold_mode must be 'table' or 'incremental', not {self.gold_mode!r}")
 
@@ -71,7 +72,7 @@ class Medallion:
         return HistoryTable(self.spark, self.name("SILVER", table), ["id"], self.names, self.hard_deletes, self.buckets, self.slices)
 
     def catalog(self) -> GovernedCatalog:
-        return GovernedCatalog(self.spark, self.bindings)
+        return self._catalog
 
     def run(self, ctx: RunContext, select: set[str] | None = None, full_refresh: bool = False,
             reprocess: DataFrame | None = None) -> list[str]:
@@ -89,45 +90,42 @@ class Medallion:
                     self.gold_fact(ctx, full_refresh, reprocess)
                 else:
                     getattr(self, step)(ctx)
-                self._carry_tags(step)
                 done.append(step)
         return done
 
-    def _carry_tags(self, step: str) -> None:
-        """Propagating tags follow the columns that a step has just written."""
-        listings, reviews = ({c: c for c in kinds} for kinds in (lodging.LISTING_TYPES, lodging.REVIEW_TYPES))
-        moves = {
-            "bronze_listings": [("LANDING", "Listings", "BRONZE", "Listings", listings)],
-            "bronze_reviews": [("LANDING", "Reviews", "BRONZE", "Reviews", {**reviews, **dict.fromkeys(lodging.COMMENT_COPIES, "comments")})],
-            "bronze_drivers": [("LANDING", "Drivers", "BRONZE", "Drivers", dict.fromkeys(lodging.DRIVER_FIELDS, "payload"))],
-            "silver_listings": [("BRONZE", "Listings", "SILVER", t, listings) for t in ("Listings", "Listings__current")],
-            "silver_reviews": [("BRONZE", "Reviews", "SILVER", t, reviews) for t in ("Reviews", "Reviews__current")],
-            "gold_dim": [("SILVER", "Listings", "GOLD", "Dim_Listing_Details", lodging.DIM_LINEAGE)],
-            "gold_fact": [("SILVER", "Listings", "GOLD", "Fact_Listings", lodging.FACT_LINEAGE)],
-        }
-        for from_layer, src, to_layer, dst, lineage in moves[step]:
-            propagate_tags(self.bindings, self.name(from_layer, src), self.name(to_layer, dst), lineage)
+    def _carry_tags(self, rows: DataFrame, layer: str, table: str) -> None:
+        """Propagating tags follow the columns of what a step is about to write, as its analysed plan tells."""
+        if self.bindings.propagating:
+            propagate_by_lineage(self.bindings, self.name(layer, table), self._catalog.lineage(rows))
+
+    def _bronze(self, table: str, rows: DataFrame) -> None:
+        self._carry_tags(rows, "BRONZE", table)
+        tables.materialize_table(rows, self.name("BRONZE", table))
 
     def bronze_listings(self, ctx: RunContext) -> None:
-        tables.materialize_table(lodging.bronze_listings(self.read("LANDING", "Listings"), ctx), self.name("BRONZE", "Listings"))
+        self._bronze("Listings", lodging.bronze_listings(self.read("LANDING", "Listings"), ctx))
 
     def bronze_reviews(self, ctx: RunContext) -> None:
-        tables.materialize_table(lodging.bronze_reviews(self.read("LANDING", "Reviews"), ctx), self.name("BRONZE", "Reviews"))
+        self._bronze("Reviews", lodging.bronze_reviews(self.read("LANDING", "Reviews"), ctx))
 
     def bronze_drivers(self, ctx: RunContext) -> None:
-        tables.materialize_table(lodging.bronze_drivers(self.read("LANDING", "Drivers"), ctx), self.name("BRONZE", "Drivers"))
+        self._bronze("Drivers", lodging.bronze_drivers(self.read("LANDING", "Drivers"), ctx))
+
+    def _silver(self, table: str, types: dict[str, str], ctx: RunContext) -> None:
+        source = lodging.silver_source(self.read("BRONZE", table), types, ctx)
+        self._carry_tags(source, "SILVER", table)
+        self.silver(table).load_by_check(source, list(types), ctx)
 
     def silver_listings(self, ctx: RunContext) -> None:
-        source = lodging.silver_source(self.read("BRONZE", "Listings"), lodging.LISTING_TYPES, ctx)
-        self.silver("Listings").load_by_check(source, list(lodging.LISTING_TYPES), ctx)
+        self._silver("Listings", lodging.LISTING_TYPES, ctx)
 
     def silver_reviews(self, ctx: RunContext) -> None:
-        source = lodging.silver_source(self.read("BRONZE", "Reviews"), lodging.REVIEW_TYPES, ctx)
-        self.silver("Reviews").load_by_check(source, list(lodging.REVIEW_TYPES), ctx)
+        self._silver("Reviews", lodging.REVIEW_TYPES, ctx)
 
-    def _gold(self, name: str, key: str, build, full_refresh: bool, reprocess: DataFrame | None = None) -> None:
+    def _gold(self, table: str, key: str, build, full_refresh: bool, reprocess: DataFrame | None = None) -> None:
         """Rebuild a gold table, or merge what silver's loads have changed into the slices that it touches."""
-        silver = self.silver("Listings")
+        silver, name = self.silver("Listings"), self.name("GOLD", table)
+        self._carry_tags(build(silver.current()), "GOLD", table)
         if self.gold_mode == "table":
             tables.overwrite(build(silver.current()), name)
             return
@@ -146,12 +144,11 @@ class Medallion:
         gold.merge(build(fresh), keys=as_gold(fresh), gone=as_gold(silver.gone_since(taken)), taken=load)
 
     def gold_dim(self, ctx: RunContext, full_refresh: bool = False) -> None:
-        name = self.name("GOLD", "Dim_Listing_Details")
-        self._gold(name, "ID", lambda rows: lodging.gold_listing_dim(rows, ctx, self.names), full_refresh)
+        self._gold("Dim_Listing_Details", "ID", lambda rows: lodging.gold_listing_dim(rows, ctx, self.names), full_refresh)
 
     def gold_fact(self, ctx: RunContext, full_refresh: bool = False, reprocess: DataFrame | None = None) -> None:
         dim, geo, ward = (self.read("GOLD", t) for t in ("Dim_Listing_Details", "Dim_Geography", "Dim_Geography_Geospatial"))
-        self._gold(self.name("GOLD", "Fact_Listings"), "LISTING_ID",
+        self._gold("Fact_Listings", "LISTING_ID",
                    lambda rows: lodging.gold_listing_fact(rows, dim, geo, ward, ctx, self.names), full_refresh, reprocess)
 
     # --- checks --------------------------------------------------------------

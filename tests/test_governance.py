@@ -222,3 +222,71 @@ def test_all_roles_in_one_scan_equal_each_role(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     plan = by_role(orders, "o", Bindings().set_mask("o", "o_orderstatus", constant_mask("c", MASKED)), ROLES)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+@pytest.fixture
+def masked_people(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gov")
+    tables.overwrite(spark.createDataFrame([(1, "clear", 5)], "k int, name string, v int"), "default.pp")
+    return GovernedCatalog(spark, Bindings().set_mask("pp", "name", constant_mask("c", MASKED)))
+
+
+def test_every_spelling_of_a_table_has_its_masks(spark, masked_people):
+    cat = masked_people
+    for name in ("pp", "PP", "default.pp", "`Default`.`pp`", "spark_catalog.default.pp", "pp__v1", "default.pp__v1"):
+        assert cat.read(name, "QA").first()["name"] == MASKED, name
+    spark.sql("USE gov")
+    try:
+        assert cat.read("default.pp", "QA").first()["name"] == MASKED
+        cat.bindings.unset_mask("spark_catalog.default.PP", "NAME")
+        assert cat.read("default.pp", "QA").first()["name"] == "clear"
+    finally:
+        spark.sql("USE default")
+
+
+def test_no_query_goes_round_a_mask(spark, masked_people):
+    cat = masked_people
+    for text in ("with pp as (select * from pp) select name from pp", "select name from identifier('pp')", "with x as (select * from default.pp), pp as (select * from x) select * from pp",
+                 "select name from {t} where exists (select 1 from pp)", "table pp", "create table gov.copy as select * from {t}", "insert into gov.x select * from {t}",
+                 "with a as (select * from b), b as (select 1) select * from a"):
+        with pytest.raises(RestrictedError):
+            cat.query("QA", text, t="pp")
+    for text in ("with pp as (select * from {t}) select name from pp", "with a as (select * from {t}), b as (select * from a) select name from b"):
+        assert cat.query("QA", text, t="pp").first()["name"] == MASKED
+    tables.create_view(spark, spark.table("pp"), "session_people")
+    tables.create_view(spark, "SELECT upper(name) AS name FROM default.pp WHERE k IN (SELECT k FROM default.pp)", "gov.loud_people")
+    spark.table("pp").filter("k > 0").createOrReplaceTempView("some_people")
+    spark.sql("SELECT 1 AS one WHERE EXISTS (SELECT name FROM default.pp)").createOrReplaceTempView("whether_people")
+    for view in ("session_people", "SESSION_PEOPLE", "gov.loud_people", "some_people", "whether_people"):
+        with pytest.raises(RestrictedError, match="default.pp"):
+            cat.read(view, "QA")
+
+
+def test_lineage_follows_expression_ids(spark):
+    from lakestrata.operators.lineage import lineage, relations
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS gov")
+    tables.overwrite(spark.createDataFrame([(1, "a", 3)], "k int, name string, v int"), "gov.left")
+    tables.overwrite(spark.createDataFrame([(1, "a", 3)], "k int, other string, v int"), "gov.right")
+    cat = GovernedCatalog(spark)
+    left, right = "spark_catalog.gov.left", "spark_catalog.gov.right"
+    df = spark.sql("""WITH c AS (SELECT k, upper(name) AS n, v FROM gov.left) SELECT c.k + 1 AS a, c.n, r.other, (SELECT max(v) FROM gov.right) AS most
+      FROM c JOIN gov.right r ON c.k = r.k UNION ALL SELECT v, name, name, k FROM gov.left""")
+    assert cat.lineage(df) == {"a": {(left, "k"), (left, "v")}, "n": {(left, "name")}, "other": {(right, "other"), (left, "name")}, "most": {(right, "v"), (left, "k")}}
+    p = spark.table("gov.left")
+    made = p.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n")).withColumn("e", F.explode(F.array("s", "k")))
+    assert cat.lineage(made) == {"k": {(left, "k")}, "s": {(left, "v")}, "n": set(), "e": {(left, "k"), (left, "v")}}
+    assert cat.lineage(p.select("k", "name").mapInPandas(lambda x: x, "z int"))["z"] == {(left, "k"), (left, "name")}
+    assert cat.lineage(p.alias("x").join(p.alias("y"), "k").select("x.name", F.col("y.v").alias("w"))) == {"name": {(left, "name")}, "w": {(left, "v")}}
+    assert ("spark_catalog", "gov", "left") in relations(spark.sql("SELECT 1 WHERE EXISTS (SELECT 1 FROM gov.left)"))
+    assert lineage(spark.range(3)) == {"id": set()}
+
+
+def test_tags_follow_a_stored_query(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gov")
+    tables.overwrite(spark.createDataFrame([(1, "a", 3)], "k int, name string, v int"), "gov.tagged")
+    b = Bindings().create_tag("pii", propagate=True).create_tag("local").tag_mask("pii", constant_mask("c", MASKED))
+    cat = GovernedCatalog(spark, b.tag("GOV.Tagged", "name", "pii", "x").tag("gov.tagged", "k", "local", "y"))
+    cat.ctas_query("gov.derived", spark.sql("SELECT k, concat(name, '!') AS greeting, length(name) AS size FROM gov.tagged"))
+    assert b.of("gov.derived").tags == {("greeting", "pii"): "x", ("size", "pii"): "x"}
+    assert cat.read("spark_catalog.gov.derived", "QA").first()["greeting"] == MASKED

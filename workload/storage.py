@@ -1,5 +1,7 @@
 """Catalog tables: append, replace, update, copy, view, identity."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lakestrata.operators.governance import MASKED, Bindings, constant_mask
@@ -116,6 +118,35 @@ def masks_follow_copies(t):
     return df
 
 
+_SPELLINGS = ("database", "catalog", "upper", "quoted", "version")
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS spelling, c_custkey, '*** MASKED ***' AS c_name FROM customer" for k in _SPELLINGS))
+def masks_under_every_spelling(t):
+    """A mask bound to one spelling of a table holds for all, its stored version included."""
+    name = _fresh(t, "spelled")
+    tables.overwrite(t.customer.select("c_custkey", "c_name"), name)
+    cat = GovernedCatalog(t.spark, Bindings().set_mask(name, "c_name", constant_mask("pii", MASKED)))
+    quoted = ".".join(f"`{p}`" for p in name.split("."))
+    spelled = (name, f"spark_catalog.{name}", name.upper(), quoted, tables.physical(t.spark, name))
+    out = [cat.read(n, "QA_READONLY").select(F.lit(k).alias("spelling"), "c_custkey", "c_name") for k, n in zip(_SPELLINGS, spelled)]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@query("SELECT c_custkey, c_name || '!' AS greeting, '*** MASKED ***' AS shown, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def tags_follow_a_query(t):
+    """Tags go along a stored join by the columns' expression ids: what comes from a tagged column is masked, what does not is clear."""
+    people, places, copy = _fresh(t, "tagged_people"), _fresh(t, "tagged_places"), _fresh(t, "tagged_join")
+    tables.overwrite(t.customer.select("c_custkey", "c_name", "c_nationkey"), people)
+    tables.overwrite(t.nation, places)
+    masks = Bindings().create_tag("pii", propagate=True).tag_mask("pii", constant_mask("pii", MASKED, allow=("SYSADMIN",)))
+    cat = GovernedCatalog(t.spark, masks.tag(people, "c_name", "pii", "name"))
+    cat.ctas_query(copy, t.spark.sql(f"""WITH p AS (SELECT c_custkey, concat(c_name, '!') AS greeting, c_nationkey AS n_nationkey FROM {people})
+      SELECT c_custkey, greeting, n_name FROM p JOIN {places} USING (n_nationkey)"""))
+    hidden = cat.read(copy, "QA_READONLY").select("c_custkey", F.col("greeting").alias("shown"), "n_name")
+    return cat.read(copy, "SYSADMIN").select("c_custkey", "greeting").join(hidden, "c_custkey")
+
+
 @query("SELECT c_custkey, upper(c_name) AS shouted FROM customer WHERE c_acctbal > 0")
 def persistent_view(t):
     src, view = _fresh(t, "view_source"), f"{t.work_database()}.shouting"
