@@ -48,7 +48,9 @@ def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], sc
 
     Source and target have the same columns unless ``schema_mode`` says what
     becomes of the others (``sync_columns``); ``sync_all_columns`` erases a
-    column that the source no longer has from the whole target.
+    column that the source no longer has from the whole target.  A repeated
+    key fails, or its latest row wins (ties by row hash), or is ``trusted``
+    not to occur, as where another load has checked the keys.
     Only the source's key columns meet the target: where the increment is
     small enough for Spark's own size check that side is broadcast and the
     target is not shuffled; otherwise both sides hash on ``key``.  The source
@@ -61,8 +63,8 @@ def merge_upsert(source: DataFrame, target: DataFrame | None, key: list[str], sc
     elif duplicates == "latest":
         source = latest_per_key(source, key, [F.col(latest_by).desc_nulls_last()])
         keys = keys.distinct()  # a hot key meets the target once
-    else:
-        raise ValueError(f"duplicates must be 'raise' or 'latest', not {duplicates!r}")
+    elif duplicates != "trusted":
+        raise ValueError(f"duplicates must be 'raise', 'latest' or 'trusted', not {duplicates!r}")
     if target is None:
         return source
     kept = target.join(keys, key, "left_anti").select(*target.columns)

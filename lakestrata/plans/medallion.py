@@ -93,14 +93,14 @@ class Medallion:
                 done.append(step)
         return done
 
-    def _carry_tags(self, rows: DataFrame, layer: str, table: str) -> None:
+    def _carry_tags(self, rows: DataFrame, layer: str, table: str) -> DataFrame:
         """Propagating tags follow the columns of what a step is about to write, as its analysed plan tells."""
         if self.bindings.propagating:
             propagate_by_lineage(self.bindings, self.name(layer, table), self._catalog.lineage(rows))
+        return rows
 
     def _bronze(self, table: str, rows: DataFrame) -> None:
-        self._carry_tags(rows, "BRONZE", table)
-        tables.materialize_table(rows, self.name("BRONZE", table))
+        tables.materialize_table(self._carry_tags(rows, "BRONZE", table), self.name("BRONZE", table))
 
     def bronze_listings(self, ctx: RunContext) -> None:
         self._bronze("Listings", lodging.bronze_listings(self.read("LANDING", "Listings"), ctx))
@@ -125,23 +125,22 @@ class Medallion:
     def _gold(self, table: str, key: str, build, full_refresh: bool, reprocess: DataFrame | None = None) -> None:
         """Rebuild a gold table, or merge what silver's loads have changed into the slices that it touches."""
         silver, name = self.silver("Listings"), self.name("GOLD", table)
-        self._carry_tags(build(silver.current()), "GOLD", table)
         if self.gold_mode == "table":
-            tables.overwrite(build(silver.current()), name)
+            tables.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), name)
             return
         gold, load = SlicedTable(self.spark, name, [key], self.slices), silver.load_number()
         taken = gold.taken()
         if full_refresh or taken is None or taken > load:
-            gold.overwrite(build(silver.current()), load)
+            gold.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), load)
             return
         if taken == load and reprocess is None:
             return
-        fresh = silver.opened_since(taken)
+        fresh, gone = silver.changes_since(taken)
         if reprocess is not None:
             again = silver.current().join(reprocess.distinct(), reprocess.columns, "left_semi")
             fresh = fresh.unionByName(again.join(fresh.select("id"), "id", "left_anti"))
         as_gold = lambda rows: rows.select(F.col("id").alias(key))
-        gold.merge(build(fresh), keys=as_gold(fresh), gone=as_gold(silver.gone_since(taken)), taken=load)
+        gold.merge(self._carry_tags(build(fresh), "GOLD", table), "trusted", keys=as_gold(fresh), gone=as_gold(gone), taken=load)
 
     def gold_dim(self, ctx: RunContext, full_refresh: bool = False) -> None:
         self._gold("Dim_Listing_Details", "ID", lambda rows: lodging.gold_listing_dim(rows, ctx, self.names), full_refresh)

@@ -112,18 +112,24 @@ class HistoryTable:
     def _rows(self, where: str) -> DataFrame:
         return self.spark.table(self.parts).filter(where).drop(*_OWN)
 
-    def opened_since(self, load: int) -> DataFrame:
-        """Open versions that loads after ``load`` opened; slices that these did not write are not read."""
-        state = {s: x for s, x in self._state(self.load_number()).items() if x.opened > load}
-        return self.spark.table(self.parts).filter(_where_open(state)).filter(F.col(_OPENED) > load).drop(*_OWN)
+    def changes_since(self, load: int) -> tuple[DataFrame, DataFrame]:
+        """What loads after ``load`` did: the open versions that they opened, and the keys that they left without one.
 
-    def gone_since(self, load: int) -> DataFrame:
-        """Keys of versions that loads after ``load`` closed and that have no open version now."""
+        Slices that these loads did not write are not read.
+        """
         n = self.load_number()
         state = {s: x for s, x in self._state(n).items() if x.opened > load}
         parts = self.spark.table(self.parts)
+        opened = parts.filter(_where_open(state))
         closed = parts.filter(_where_closed(n, state)).filter((F.col(_SEQ) > load) & (F.col(_CLOSED) > load))
-        return closed.select(*self.key).distinct().join(parts.filter(_where_open(state)).select(*self.key), self.key, "left_anti")
+        gone = closed.select(*self.key).distinct().join(opened.select(*self.key), self.key, "left_anti")
+        return opened.filter(F.col(_OPENED) > load).drop(*_OWN), gone
+
+    def opened_since(self, load: int) -> DataFrame:
+        return self.changes_since(load)[0]
+
+    def gone_since(self, load: int) -> DataFrame:
+        return self.changes_since(load)[1]
 
     # loading ---------------------------------------------------------------------------------------------------------
 

@@ -9,6 +9,8 @@ already running.  One load at a time may write a table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, ShortType
@@ -76,10 +78,10 @@ class SlicedTable:
             out.setdefault(int(found[_SLICE]), []).append(int(found[_SEQ]))
         return {s: sorted(loads) for s, loads in out.items()}
 
-    def _newest(self, load: int, base: int) -> dict[int, list[int]]:
+    def _newest(self, load: int, base: int, stored: dict[int, list[int]] | None = None) -> dict[int, list[int]]:
         """Slices by the load that holds their rows as of ``load``."""
         out: dict[int, list[int]] = {}
-        for s, loads in self._stored().items():
+        for s, loads in (self._stored() if stored is None else stored).items():
             live = [n for n in loads if base <= n <= load]
             if live:
                 out.setdefault(live[-1], []).append(s)
@@ -152,26 +154,28 @@ class SlicedTable:
         if not exists(self.spark, self.parts):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
             self.spark.sql(f"CREATE TABLE {self.parts} ({cols}) USING parquet PARTITIONED BY ({_SLICE}, {_SEQ})")
-        self._drop(lambda n, _: n >= load)  # left by a load that failed
+        self._drop(self._stored(), lambda n, _: n >= load)  # left by a load that failed
         table = self.spark.table(self.parts)
         rows.select(*table.columns).hint("rebalance", F.col(_SLICE)).write.insertInto(self.parts)
-        wrote = {s for s, loads in self._stored().items() if load in loads}
+        stored = self._stored()
+        wrote = {s for s, loads in stored.items() if load in loads}
         if within is not None and wrote - within:
             raise RuntimeError(f"load {load} of {self.name} wrote slices {sorted(wrote - within)}, which it had not read")
-        emptied = " ".join(f"PARTITION ({_SLICE}={s}, {_SEQ}={load})" for s in sorted((within or set()) - wrote))
+        emptied = sorted((within or set()) - wrote)
         if emptied:  # a partition without rows hides the older one
-            self.spark.sql(f"ALTER TABLE {self.parts} ADD IF NOT EXISTS {emptied}")
+            self.spark.sql(f"ALTER TABLE {self.parts} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({_SLICE}={s}, {_SEQ}={load})" for s in emptied))
+            stored |= {s: [*stored.get(s, []), load] for s in emptied}
         listed = ", ".join(f"`{c}`" for c in table.columns if c not in (_SLICE, _SEQ))
         taken = self.taken() if taken is None else taken
         up_to = "" if taken is None else f", '{_TAKEN}' = '{taken}'"
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_LOAD}' = '{load}', '{_BASE}' = '{base}', 'lakestrata.slices' = '{self.slices}'{up_to}) "
-            f"AS SELECT {listed} FROM {self.parts} WHERE {self._where(self._newest(load, base))}")
-        self._drop(lambda n, loads: any(n < m < load for m in loads))
+            f"AS SELECT {listed} FROM {self.parts} WHERE {self._where(self._newest(load, base, stored))}")
+        self._drop(stored, lambda n, loads: any(n < m < load for m in loads))
 
-    def _drop(self, gone) -> None:
+    def _drop(self, stored: dict[int, list[int]], gone: Callable[[int, list[int]], bool]) -> None:
         """Drop partitions by their load and the loads of their slice."""
-        specs = [f"PARTITION ({_SLICE}={s}, {_SEQ}={n})" for s, loads in self._stored().items() for n in loads if gone(n, loads)]
+        specs = [f"PARTITION ({_SLICE}={s}, {_SEQ}={n})" for s, loads in stored.items() for n in loads if gone(n, loads)]
         if specs:
             self.spark.sql(f"ALTER TABLE {self.parts} DROP IF EXISTS {', '.join(specs)}")
 
