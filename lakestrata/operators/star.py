@@ -33,13 +33,19 @@ class Dim:
     duplicates: str = "raise"
     latest_by: str | None = None
     salt: int = 1
+    also: dict[str, str] = field(default_factory=dict)
+    spread_nulls: bool = False
+
+
+#: Shares that rows without a key are dealt into.
+NULL_SHARES = 1024
 
 
 def _prepare(dim: Dim, i: int) -> DataFrame:
     keys = list(dict.fromkeys(dim.on.values()))
     # rows with a NULL key can match nothing, and they may repeat freely
     d = reduce(lambda x, k: x.filter(F.col(k).isNotNull()), keys, dim.df)
-    needed = list(dict.fromkeys([*keys, *dim.columns, *([dim.latest_by] if dim.latest_by else [])]))
+    needed = list(dict.fromkeys([*keys, *dim.also.values(), *dim.columns, *([dim.latest_by] if dim.latest_by else [])]))
     d = d.select(*needed)
     if dim.duplicates == "raise":
         d = require_unique_side(d, keys, "dimension")
@@ -48,7 +54,9 @@ def _prepare(dim: Dim, i: int) -> DataFrame:
     elif dim.duplicates != "trusted":
         raise ValueError(f"unknown duplicates rule {dim.duplicates!r}")
     return d.select(
-        *[F.col(k).alias(f"__k{i}_{j}") for j, k in enumerate(dim.on.values())],
+        *[F.col(k).alias(f"__k{i}_{j}") for j, k in enumerate([*dim.on.values(), *dim.also.values()])],
+        # always 0, in a form that stays a column to hash by
+        *([F.pmod(F.xxhash64(*keys), F.lit(1)).alias(f"__z{i}")] if dim.spread_nulls else []),
         *[F.col(c).alias(f"__d{i}_{out}") for c, out in dim.columns.items()],
     )
 
@@ -61,20 +69,31 @@ def star_join(fact: DataFrame, dims: list[Dim]) -> DataFrame:
     both sides, splitting oversized partitions under AQE.
     """
     out = fact
+    # a fact row's share depends on the row alone, so a retried task repeats it; arms on the same columns share it, and so the shuffle
+    of_row = F.xxhash64(*[F.col(c) for c in fact.columns if _hashable(fact, c)])
+    shares = {}
+    for dim in dims:
+        if dim.spread_nulls and tuple(dim.on) not in shares:
+            keyless = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in dim.on])
+            shares[tuple(dim.on)] = name = f"__n{len(shares)}"
+            out = out.withColumn(name, F.when(keyless, F.pmod(of_row, F.lit(NULL_SHARES))).otherwise(F.lit(0)))
     for i, dim in enumerate(dims):
         d = _prepare(dim, i)
         on = [F.col(f) == F.col(f"__k{i}_{j}") for j, f in enumerate(dim.on)]
+        # not an equality to the planner, which would hash by it
+        on += [F.coalesce(F.col(f) == F.col(f"__k{i}_{j}"), F.lit(False)) for j, f in enumerate(dim.also, len(dim.on))]
         helper = []
+        if dim.spread_nulls:
+            on.append(F.col(shares[tuple(dim.on)]) == F.col(f"__z{i}"))
+            helper.append(f"__z{i}")
         if dim.salt > 1:
-            # a fact row's salt depends on the row alone, so a retried task repeats it
-            spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns if _hashable(fact, c)]), F.lit(dim.salt).cast("bigint"))
-            out = out.withColumn(f"__s{i}", spread)
+            out = out.withColumn(f"__s{i}", F.pmod(of_row, F.lit(dim.salt).cast("bigint")))
             salts = F.sequence(F.lit(0).cast("bigint"), F.lit(dim.salt - 1).cast("bigint"))
             d = d.withColumn(f"__ds{i}", F.explode(salts))
             on.append(F.col(f"__s{i}") == F.col(f"__ds{i}"))
-            helper = [f"__s{i}", f"__ds{i}"]
+            helper += [f"__s{i}", f"__ds{i}"]
         out = out.join(d, reduce(lambda a, b: a & b, on), "left")
-        out = out.drop(*helper, *[f"__k{i}_{j}" for j in range(len(dim.on))])
+        out = out.drop(*helper, *[f"__k{i}_{j}" for j in range(len(dim.on) + len(dim.also))])
     names = {f"__d{i}_{o}": o for i, dim in enumerate(dims) for o in dim.columns.values()}
     # dimension columns win over fact columns of the same name, as the caller named them last
     taken = {o.lower() for o in names.values()}

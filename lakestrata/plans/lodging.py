@@ -141,13 +141,15 @@ def gold_listing_fact(silver: DataFrame, listing_dim: DataFrame, geography: Data
 
     The listing dimension holds one open version per id, which the history
     load has enforced; the places come from outside and are checked here.
+    Silver and the dimension are stored in buckets of the id, so they are
+    joined without a shuffle; the host must agree beside it.
     """
     here = {"latitude": "latitude", "longitude": "longitude"}
     dims = [
-        Dim(listing_dim, {"id": "ID", "host_id": "HOST_ID"},
-            {"SK": "LISTING_SK", "NAME": "LISTINGS", "HOST_ID": "DIM_HOST_ID", "HOST_NAME": "DIM_HOST_NAME"}, "trusted"),
-        Dim(geography, here, {"geography_id": "GEOGRAPHY_ID", "borough_id": "BOROUGH_ID"}, duplicates),
-        Dim(geospatial, here, {"ward_id": "WARD_ID"}, duplicates),
+        Dim(listing_dim, {"id": "ID"},
+            {"SK": "LISTING_SK", "NAME": "LISTINGS", "HOST_ID": "DIM_HOST_ID", "HOST_NAME": "DIM_HOST_NAME"}, "trusted", also={"host_id": "HOST_ID"}),
+        Dim(geography, here, {"geography_id": "GEOGRAPHY_ID", "borough_id": "BOROUGH_ID"}, duplicates, spread_nulls=True),
+        Dim(geospatial, here, {"ward_id": "WARD_ID"}, duplicates, spread_nulls=True),
     ]
     # Names of the fact's columns.
     outputs = {

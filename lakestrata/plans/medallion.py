@@ -126,9 +126,9 @@ class Medallion:
         """Rebuild a gold table, or merge what silver's loads have changed into the slices that it touches."""
         silver, name = self.silver("Listings"), self.name("GOLD", table)
         if self.gold_mode == "table":
-            tables.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), name)
+            tables.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), name, buckets=(self.buckets, key) if self.buckets else None)
             return
-        gold, load = SlicedTable(self.spark, name, [key], self.slices), silver.load_number()
+        gold, load = SlicedTable(self.spark, name, [key], self.slices, self.buckets), silver.load_number()
         taken = gold.taken()
         if full_refresh or taken is None or taken > load:
             gold.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), load)

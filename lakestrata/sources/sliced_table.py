@@ -10,6 +10,7 @@ already running.  One load at a time may write a table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,19 @@ def fits(a: DataType, b: DataType) -> bool:
 
 
 class SlicedTable:
-    """``slices`` is fixed when the table is first written; a slice should hold some hundred MB at most."""
+    """``slices`` is fixed when the table is first written; a slice should hold some hundred MB at most.
 
-    def __init__(self, spark: SparkSession, name: str, key: list[str], slices: int = 64):
+    So is ``buckets``: rows are then stored hashed and sorted by key within
+    their slice, for joins with tables in as many buckets of that key."""
+
+    def __init__(self, spark: SparkSession, name: str, key: list[str], slices: int = 64, buckets: int | None = None):
         self.spark, self.name, self.key = spark, name, key
         self.parts = name + "__slices"
-        held = properties(spark, name).get("lakestrata.slices") if exists(spark, name) else None
-        self.slices = int(held or slices)
+        held = properties(spark, name) if exists(spark, name) else {}
+        if "lakestrata.slices" in held:
+            self.slices, self.buckets = int(held["lakestrata.slices"]), int(held.get("lakestrata.buckets", 0)) or None
+        else:
+            self.slices, self.buckets = gcd(slices, buckets) if buckets else slices, buckets
 
     def _state(self) -> tuple[int, int]:
         """Published load, and the load of the last full write; 0 where there is none."""
@@ -57,7 +64,8 @@ class SlicedTable:
         return int(p[_TAKEN]) if _TAKEN in p else None
 
     def slice_of(self) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.slices)).cast("int")
+        """With buckets, by the hash that Spark deals keys into buckets with: a bucket then lies in one slice."""
+        return F.pmod(F.hash(*self.key) if self.buckets else F.xxhash64(*self.key), F.lit(self.slices)).cast("int")
 
     def _keyed(self, source: DataFrame) -> DataFrame:
         """``source`` with the key in the stored types, since equal keys of other types have other hashes."""
@@ -152,11 +160,14 @@ class SlicedTable:
     def _write(self, df: DataFrame, load: int, base: int, within: set[int] | None = None, taken: int | None = None) -> None:
         rows = df.withColumn(_SLICE, self.slice_of()).withColumn(_SEQ, F.lit(load))
         if not exists(self.spark, self.parts):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-            self.spark.sql(f"CREATE TABLE {self.parts} ({cols}) USING parquet PARTITIONED BY ({_SLICE}, {_SEQ})")
+            cols, keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), ", ".join(f"`{k}`" for k in self.key)
+            hashed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS" if self.buckets else ""
+            self.spark.sql(f"CREATE TABLE {self.parts} ({cols}) USING parquet PARTITIONED BY ({_SLICE}, {_SEQ}){hashed}")
         self._drop(self._stored(), lambda n, _: n >= load)  # left by a load that failed
         table = self.spark.table(self.parts)
-        rows.select(*table.columns).hint("rebalance", F.col(_SLICE)).write.insertInto(self.parts)
+        # a task per bucket, or few tasks per slice and several for a large one
+        dealt = rows.repartition(self.buckets, *self.key) if self.buckets else rows.hint("rebalance", F.col(_SLICE))
+        dealt.select(*table.columns).write.insertInto(self.parts)
         stored = self._stored()
         wrote = {s for s, loads in stored.items() if load in loads}
         if within is not None and wrote - within:
@@ -169,7 +180,7 @@ class SlicedTable:
         taken = self.taken() if taken is None else taken
         up_to = "" if taken is None else f", '{_TAKEN}' = '{taken}'"
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_LOAD}' = '{load}', '{_BASE}' = '{base}', 'lakestrata.slices' = '{self.slices}'{up_to}) "
+            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_LOAD}' = '{load}', '{_BASE}' = '{base}', 'lakestrata.slices' = '{self.slices}', 'lakestrata.buckets' = '{self.buckets or 0}'{up_to}) "
             f"AS SELECT {listed} FROM {self.parts} WHERE {self._where(self._newest(load, base, stored))}")
         self._drop(stored, lambda n, loads: any(n < m < load for m in loads))
 

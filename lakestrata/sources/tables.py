@@ -63,8 +63,12 @@ def partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
     return tuple(c.name for c in spark.catalog.listColumns(physical(spark, name)) if c.isPartition)
 
 
-def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = None, keep: int = 1) -> None:
-    """Replace the whole content; ``df`` may read ``name`` itself.
+def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = None, keep: int = 1,
+              buckets: tuple[int, str] | None = None) -> None:
+    """Replace the whole content; ``df`` may read ``name`` itself.  One writer at a time.
+
+    ``buckets`` (their number, the column) stores rows hashed and sorted for
+    joins on that column.
 
     Partitioning carries over from the version before unless stated.  Rows of
     a partitioned table are rebalanced on its partition columns first: small
@@ -81,6 +85,10 @@ def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = N
         writer = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
     else:
         writer = df.write
+    if buckets:
+        n, column = buckets
+        dealt = df.repartition(n, column)  # nothing to do where the rows come from such buckets
+        writer = (dealt.write.partitionBy(*partition_by) if partition_by else dealt.write).bucketBy(n, column).sortBy(column)
     writer.format("parquet").saveAsTable(f"{name}__v{v}")
     _publish(spark, name, v, keep)
 

@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 import fixtures
 from conftest import at, rows
 from lakestrata import Layers
+from lakestrata.plans import lodging
 from lakestrata.plans.medallion import Medallion
 from lakestrata.sources import tables
 
@@ -89,3 +91,24 @@ def test_incremental_gold_takes_late_equal_null_times_and_deletes(spark):
             assert m.read("GOLD", "Fact_Listings").filter("SYSRUNID = 'run-13'").count() == 0
         m.reset()
     assert out["incremental"] == out["table"]
+
+
+@pytest.mark.parametrize("mode", ["table", "incremental"])
+def test_listing_dimension_joins_silver_where_both_lie(spark, mode):
+    """Neither side of the dimension join is shuffled, and both place joins share one shuffle of the fact rows."""
+    m = build(spark, "TEST", mode, buckets=4)
+    m.run(at(10))
+    rename_listing(m, 71, "Changed")
+    m.run(at(11))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dim, geo, ward = (m.read("GOLD", t) for t in ("Dim_Listing_Details", "Dim_Geography", "Dim_Geography_Geospatial"))
+        fact = lodging.gold_listing_fact(m.silver("Listings").current(), dim, geo, ward, at(12))
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert not any("id#" in x.lower() for x in dealt), plan
+    assert sum("__n0" in x for x in dealt) == 1 and plan.count("SortMergeJoin") == 3, plan
+    assert fact.count() == 10 and fact.filter("LISTING_SK IS NULL").count() == 0
+    m.reset()

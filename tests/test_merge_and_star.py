@@ -136,3 +136,25 @@ def test_identity_with_one_value_everywhere(spark):
 
 def test_top_n(spark):
     assert [r["id"] for r in top_n(spark.range(100), 3, F.desc("id")).collect()] == [99, 98, 97]
+
+
+def test_rows_without_keys_are_spread_and_kept(spark):
+    from pyspark.sql import functions as F
+
+    from lakestrata.operators.star import Dim, star_join
+
+    fact = spark.range(4000).select(F.col("id").alias("n"), F.when(F.col("id") % 4 == 0, F.col("id") % 100).alias("x"), (F.col("id") % 7).alias("y"), (F.col("id") % 3).alias("h"))
+    dim = spark.range(100).select(F.col("id").alias("X"), F.explode(F.array(*[F.lit(i) for i in range(7)])).alias("Y"), (F.col("id") % 3).alias("H"), F.col("id").alias("found"))
+    arms = [Dim(dim, {"x": "X", "y": "Y"}, {"found": "one"}, spread_nulls=True), Dim(dim, {"x": "X", "y": "Y"}, {"found": "two"}, also={"h": "H"}, spread_nulls=True)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = star_join(fact, arms)
+        assert got.columns == ["n", "x", "y", "h", "one", "two"]
+        want = [(r.n, r.x, r.y, r.h, r.x, r.x if r.x is not None and r.x % 3 == r.h else None) for r in fact.collect()]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = [r["count"] for r in star_join(fact, arms).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 2000, sizes  # three quarters of the rows have no key; there are four partitions
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
