@@ -43,7 +43,7 @@ def source_path(root: str, config: dict) -> str:
     return "/".join(str(p).strip("/") if i else str(p) for i, p in enumerate(parts) if p)
 
 
-def splittable(spark: SparkSession, path: str, config: dict) -> bool:
+def splittable(spark: SparkSession, path: str | list[str], config: dict) -> bool:
     """Whether a file with line breaks in quotes should, and can, be parsed by range: plain UTF-8 text above one read task.
 
     An entry may settle it with ``split``; the rows are the same either way.
@@ -53,12 +53,14 @@ def splittable(spark: SparkSession, path: str, config: dict) -> bool:
         return False
     if "split" in config:
         return bool(config["split"])
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    held = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    held = 0
+    for p in [path] if isinstance(path, str) else path:
+        where = spark._jvm.org.apache.hadoop.fs.Path(p)
+        held += where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
     return held > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None, config: dict) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None, config: dict) -> DataFrame:
     """Delimited text as all-text columns.
 
     Without ``columns`` the header names them: the schema is then read from
@@ -82,11 +84,17 @@ def ingest_csv(spark: SparkSession, root: str, config: dict, ctx: RunContext, so
     The rows go straight from parser to writer; no shuffle is added, since the
     Parquet they land in splits by row group whatever the source file was.
     """
-    rows = read_csv(spark, source_path(root, config), columns, config)
+    return land_csv(spark, source_path(root, config), config, ctx, source_system, columns)
+
+
+def land_csv(spark: SparkSession, path: str | list[str], config: dict, ctx: RunContext, source_system: str,
+             columns: list[str] | None = None) -> DataFrame:
+    """``ingest_csv`` of stated files."""
+    rows = read_csv(spark, path, columns, config)
     return with_audit(rows.select(F.lit(source_system).alias(SOURCE_SYSTEM), *rows.columns), ctx)
 
 
-def ingest_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def ingest_json(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """One VARIANT document per record, whatever its keys."""
     return spark.read.option("singleVariantColumn", PAYLOAD).option("multiLine", multi_line).json(path)
 

@@ -53,7 +53,7 @@ def inside_after(line: str, inside: bool, sep: str) -> bool:
         at += len(sep)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, block (the first byte of the range) and value of each line; in file order within a range."""
     text = spark.read.option("lineSep", "\n").text(path)
     first = F.col("_metadata.file_block_start")
@@ -136,7 +136,7 @@ def _cut(sep: str, pieces: bool):
 _RECORD = f"{_KEY}, starts boolean, header boolean, after_cr boolean, record string"
 
 
-def records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def records(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
     """header (whether it is the first of its file) and record (its text, without the line end) of every record of the files."""
     lines = _lines(spark, path)
     quoted = lines.select("file", "block", F.when(F.contains("value", F.lit(_QUOTE)), F.col("value")).alias("value"))
@@ -178,7 +178,7 @@ def _named(record: Column, names: list[str], options: dict) -> Column:
     return F.array(*[F.lower(read[f]) for f in fields]) == F.array(*[F.lit(n.lower()) for n in names])
 
 
-def read_quoted(spark: SparkSession, path: str, schema: T.StructType, options: dict, header: bool = True) -> DataFrame:
+def read_quoted(spark: SparkSession, path: str | list[str], schema: T.StructType, options: dict, header: bool = True) -> DataFrame:
     """Rows of the files as text columns; ``options`` are those of Spark's own reader. A header must name the columns in their order."""
     given = {k: str(options[k]) for k in ("sep", "escape", "mode") if k in options}
     rows = records(spark, path, options.get("sep", ","))

@@ -9,11 +9,14 @@ from lakestrata.operators.quality import (
     count_report,
     not_null,
     of_type,
+    leaf_sums,
     reconcile,
+    reconcile_by_checksums,
     relationships,
     row_counts,
     rule,
     run_checks,
+    unequal_leaves,
     unique,
 )
 from lakestrata.operators.shaping import flatten_variant
@@ -66,6 +69,22 @@ def reconcile_by_fingerprint(t):
     return _dated(reconcile(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS), fingerprint=True))
 
 
+@query(ORACLES["reconcile_as_multisets"])
+def reconcile_by_leaf_sums(t):
+    """The same answer, of which only the rows in unequal leaves are shuffled."""
+    return _dated(reconcile_by_checksums(t.lineitem.select(*_COLS), derived.altered_lines(t).select(*_COLS), key=["l_orderkey", "l_linenumber"]))
+
+
+@query("SELECT count(*) AS leaves_off FROM (SELECT 1 FROM lineitem WHERE FALSE)")
+def leaf_sums_add_up(t):
+    """Sums of two halves of a table added up are those of the whole."""
+    cols = [*_COLS]
+    halves = [leaf_sums(t.lineitem.select(*cols).filter(f"l_orderkey % 2 = {i}"), leaves=4096) for i in (0, 1)]
+    both = halves[0].union(halves[1])
+    whole = both.groupBy("leaf").agg(*[F.sum(c).alias(c) for c in both.columns if c != "leaf"])
+    return unequal_leaves(whole, leaf_sums(t.lineitem.select(*cols), leaves=4096)).agg(F.count(F.lit(1)).alias("leaves_off"))
+
+
 _REV = "listing_id, id, date, reviewer_id, reviewer_name, comments, comments2, comments3, comments4"
 
 

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.variant import field
 from lakestrata.operators.shaping import cast_columns, flatten_variant
-from lakestrata.sources import files, registry
+from lakestrata.settings import Layers
+from lakestrata.sources import files, registry, tables
 from workload.registration import query, run_at
 
 _TASKS = """SELECT CAST(r_regionkey AS BIGINT) AS job_id, CAST(n_nationkey AS BIGINT) AS task_id, CASE WHEN n_nationkey % 2 = 0 THEN 'BLOB_CSV' ELSE 'ADLS_CSV' END AS task_switch,
@@ -92,3 +93,44 @@ def json_text_landing(t):
     """Text column parsed into documents."""
     docs = files.parse_documents(t.events.select("event_id", "props"), "props")
     return docs.select("event_id", field("payload", "k", "bigint").alias("k"))
+
+
+_LANDED = {"Customers": "SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS v FROM customer", "Parts": "SELECT CAST(p_partkey AS VARCHAR), p_name FROM part",
+           "Events": "SELECT CAST(event_id AS VARCHAR), event_type FROM events"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{sink}' AS sink, k, v, '{run}' AS run FROM ({sql}) AS x(k, v)" for sink, sql, run in (
+    ("Customers", _LANDED["Customers"], "run-1"), ("Parts", "SELECT CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 10 = 0 THEN 'renamed' ELSE p_name END FROM part", "run-3"),
+    ("Events", _LANDED["Events"], "none"))))
+def registry_lands_what_changed(t):
+    """Registry to landed tables, three runs: all three sources; nothing new; one source delivered again with other rows.
+
+    A plain, a gzip and a JSON source. The run that wrote a row shows which sources were landed again.
+    """
+    run = t.spark.sparkContext.applicationId.replace("-", "_").upper()
+    root, layers, schema = t.work_path("registry"), Layers("DEV"), f"REG_{run}"
+    part = t.part.select("p_partkey", "p_name")
+
+    def deliver(df, name, **options):
+        df.write.mode("overwrite").options(header=True, escape='"', quoteAll=True, **options).csv(f"{root}/sources/{name}")
+
+    deliver(t.customer.select("c_custkey", "c_name"), "customers.csv")
+    deliver(part, "parts.csv.gz", compression="gzip", sep="|")
+    t.events.select(F.to_json(F.struct("event_id", "event_type")).alias("value")).write.mode("overwrite").text(f"{root}/sources/events.json")
+    jobs = [(1, "SHOP", f" {schema.lower()} ")]
+    tasks = [(1, 1, "BLOB_CSV", {"container": "sources", "file": "customers.csv"}, "Customers"),
+             (1, 2, "ADLS_CSV", {"container": "sources", "file": "parts.csv.gz", "delimiter": "|", "compression_type": "gzip"}, " Parts "),
+             (1, 3, "BLOB_JSON", {"container": "sources", "file": "events.json"}, "Events")]
+    tables.drop_layers(t.spark, layers, [schema], ["LANDING"])
+    tables.create_layers(t.spark, layers, [schema], t.work_path("layers"))
+    resolved = registry.resolve_tasks(*registry.registry(t.spark, jobs, tasks), layers.database("LANDING"))
+    record = registry.LandingRecord(t.spark, layers.table("LANDING", schema, "Landed_Files"))
+    for month in (1, 2, 3):
+        if month == 3:
+            deliver(part.withColumn("p_name", F.when(F.col("p_partkey") % 10 == 0, "renamed").otherwise(F.col("p_name"))), "parts.csv.gz", compression="gzip", sep="|")
+        registry.run_tasks(t.spark, resolved, root, run_at(month), record=record)
+    at = lambda name: t.spark.table(layers.table("LANDING", schema, name))
+    shop = at("Customers").select(F.lit("Customers").alias("sink"), F.col("c_custkey").alias("k"), F.col("c_name").alias("v"), F.col("SYSRUNID").alias("run"))
+    parts = at("Parts").select(F.lit("Parts"), "p_partkey", "p_name", "SYSRUNID")
+    events = at("Events").select(F.lit("Events"), field("payload", "event_id"), field("payload", "event_type"), F.lit("none"))
+    return shop.union(parts).union(events)

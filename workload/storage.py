@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators.governance import MASKED, Bindings, constant_mask
 from lakestrata.operators.identity import assign_identity
-from lakestrata.operators.quality import scan
+from lakestrata.operators.quality import relationships, rule, scan
 from lakestrata.sources import tables
 from lakestrata.sources.governed import GovernedCatalog
 from lakestrata.sources.history_table import HistoryTable
+from lakestrata.sources.identity_table import IdentityTable
+from lakestrata.sources.slice_checks import CheckState, SliceCheck, aligned, on_slices
 from lakestrata.sources.sliced_table import SlicedTable
 from workload import derived
 from workload.registration import query, run_at, stamp
@@ -293,3 +295,42 @@ def governed_sql(t):
     text = ("SELECT c_custkey, length(c_name) AS name_length, c_name = '*** MASKED ***' AS masked FROM {people} WHERE c_mktsegment = 'BUILDING'")
     a, b = (cat.query(r, text, people=name).withColumn("role", F.lit(r)) for r in ("SYSADMIN", "QA_READONLY"))
     return a.unionByName(b).select("role", "c_custkey", F.col("name_length").cast("bigint").alias("name_length"), "masked")
+
+
+@query("""WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders WHERE o_orderkey % 3 <> 0),
+    b AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders WHERE o_orderkey % 3 = 0)
+  SELECT 99 + n AS id, o_orderkey FROM a WHERE o_orderkey % 5 <> 0
+  UNION ALL SELECT 99 + n + (SELECT count(*) FROM a), o_orderkey FROM b WHERE o_orderkey % 5 <> 0""")
+def identity_kept_across_loads(t):
+    """The second delivery numbers only new keys, on from the highest; old ones keep their number, and gone ones do not free theirs."""
+    table = IdentityTable(t.spark, f"{t.work_database()}.order_numbers", ["o_orderkey"], start=100, buckets=8)
+    table.drop()
+    rows = t.orders.select("o_orderkey", "o_orderdate")
+    table.take(rows.filter("o_orderkey % 3 <> 0"), ["o_orderdate"])
+    second = rows.filter("o_orderkey % 5 <> 0")
+    table.take(rows.unionByName(second), ["o_orderdate"])
+    table.take(second, ["o_orderdate"])
+    return table.numbered(second).select("id", "o_orderkey")
+
+
+@query("""SELECT 'known_status' AS check_name, count(*) FILTER (o_orderkey % 1000 = 1) AS failures, count(*) FILTER (o_orderkey % 1000 = 1) = 0 AS passed FROM orders
+  UNION ALL SELECT 'has_lines', count(*) FILTER (o_orderkey % 500 = 2), count(*) FILTER (o_orderkey % 500 = 2) = 0 FROM orders
+  UNION ALL SELECT 'positive_price', count(*) FILTER (o_totalprice <= 0), count(*) FILTER (o_totalprice <= 0) = 0 FROM orders""")
+def checks_on_touched_slices(t):
+    """Checks kept per key slice: after two loads that break rules, only what these wrote is checked again."""
+    db = t.work_database()
+    orders, lines = (SlicedTable(t.spark, f"{db}.{n}", ["o_orderkey"], 32) for n in ("checked_orders", "checked_lines"))
+    checks = [
+        SliceCheck("known_status", on_slices(orders, lambda d: rule(d, F.col("o_orderstatus").isin("F", "O", "P")))),
+        SliceCheck("positive_price", on_slices(orders, lambda d: rule(d, F.col("o_totalprice") > 0))),
+        SliceCheck("has_lines", aligned(orders, lines, lambda d, p: relationships(d, ["o_orderkey"], p, ["o_orderkey"]))),
+    ]
+    state = CheckState(t.spark, f"{db}.checked_state", checks)
+    for table in (orders, lines, state.table):
+        table.drop()
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders.overwrite(rows)
+    lines.overwrite(rows.select("o_orderkey"))
+    state.run()
+    state.run(orders.update(F.col("o_orderkey") % 1000 == 1, {"o_orderstatus": F.lit("?")}))
+    return state.run(lines.merge(rows.select("o_orderkey").filter("false"), gone=rows.filter("o_orderkey % 500 = 2").select("o_orderkey")))
