@@ -18,16 +18,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of public licences, normalised, as patterns; and what every one of them holds at least one of.
-CUE = r"(?i)licen[sc]e|copyright|redistribut|warrant|permission|public domain|rights reserved|liable"
+# Sentences of public licences, normalised, as patterns; and what every one of them holds at least one of (single
+# words, as white space and line breaks may stand between two).
+CUE = r"(?i)licen[sc]e|copyright|redistribut|warrant|permission|domain|reserved|liable"
 SENTENCES = (
     ("spdx_mit", r"spdx-license-identifier: mit"),
     ("spdx_apache2", r"spdx-license-identifier: apache-2\.0"),
     ("spdx_bsd3", r"spdx-license-identifier: bsd-3-clause"),
     ("spdx_gpl3", r"spdx-license-identifier: gpl-3\.0(-only|-or-later)?"),
+    ("spdx_gpl2", r"spdx-license-identifier: gpl-2\.0(-only|-or-later)?"),
+    ("spdx_lgpl", r"spdx-license-identifier: lgpl-(2\.1|3\.0)(-only|-or-later)?"),
+    ("spdx_agpl3", r"spdx-license-identifier: agpl-3\.0(-only|-or-later)?"),
+    ("spdx_mpl2", r"spdx-license-identifier: mpl-2\.0"),
+    ("spdx_epl2", r"spdx-license-identifier: epl-2\.0"),
+    ("spdx_isc", r"spdx-license-identifier: isc"),
+    ("spdx_boost", r"spdx-license-identifier: bsl-1\.0"),
+    ("spdx_zlib", r"spdx-license-identifier: zlib"),
+    ("spdx_unlicense", r"spdx-license-identifier: unlicense"),
+    ("spdx_bsd2", r"spdx-license-identifier: bsd-2-clause"),
     ("copyright", r"copyright (\(c\)|©)? ?[0-9][^,]*(, [0-9]+)* .{1,100}|copyright (\(c\)|©) .{1,100}"),
     ("all_rights", r"all rights reserved"),
-    ("mit_named", r"(this (work|software|project|program|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?mit licen[sc]e"),
+    ("mit_named", r"(this (work|software|project|program|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?mit( licen[sc]e)?|licen[sc]e: mit( licen[sc]e)?"),
     ("mit_grant", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files \(the 'software'\), to deal in the software without restriction.*"),
     ("mit_notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mit_as_is", r"the software is provided 'as is', without warranty of any kind.*"),
@@ -49,6 +60,22 @@ SENTENCES = (
     ("gpl_warranty", r"this program is distributed in the hope that it will be useful, but without any warranty.*"),
     ("gpl_see", r"see the gnu general public license for more details"),
     ("gpl_copy", r"you should have received a copy of the gnu general public license along with this program.*"),
+    ("lgpl_named", r"(this (work|software|project|program|file|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?(gnu )?(lgpl|lesser general public licen[sc]e),? ?((version |v)?(2\.1|3)(\.0)?)?( or later)?"),
+    ("lgpl_grant", r"this (library|program) is free software[:;]? you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation[;,] either version (2\.1|3) of the license, or \(at your option\) any later version"),
+    ("agpl3_named", r"(this (work|software|project|program|file|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?(gnu )?(agpl|affero general public licen[sc]e),? ?((version |v)?3(\.0)?)?( or later)?"),
+    ("agpl3_grant", r"this program is free software:? you can redistribute it and/or modify it under the terms of the gnu affero general public license as published by the free software foundation, either version 3 of the license, or \(at your option\) any later version"),
+    ("mpl2_named", r"(this (work|software|project|program|file|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?mozilla public licen[sc]e(,? (version |v\.? ?)?2(\.0)?|, v)?"),
+    ("mpl2_notice", r"this source code form is subject to the terms of the mozilla public license,? v(\. 2\.0)?"),
+    ("epl2_named", r"(this (work|software|project|program|file|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?eclipse public licen[sc]e,? ?((version |v\.? ?)?2(\.0)?|- v 2\.0)?"),
+    ("isc_named", r"(this (work|software|project|program|file|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?isc licen[sc]e"),
+    ("isc_grant", r"permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc_as_is", r"the software is provided 'as is' and the author disclaims all warranties with regard to this software.*"),
+    ("boost_named", r"(this (work|software|project|program|file|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?boost software licen[sc]e,? ?(version 1\.0)?|boost software license - version 1\.0.*"),
+    ("boost_grant", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license.*"),
+    ("zlib_as_is", r"this software is provided 'as-is', without any express or implied warranty"),
+    ("zlib_grant", r"permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:?"),
+    ("unlicense_free", r"this is free and unencumbered software released into the public domain"),
+    ("spdx_other", r"spdx-license-identifier: \(?[a-z0-9.+-]+( (and|or|with) \(?[a-z0-9.+-]+\)?)*\)?"),
     ("cc_by_nc4", r"(this (work|text|article|page|content) is )?licensed under (a )?(the )?(cc by-nc|creative commons attribution-noncommercial)( international)? 4\.0( international)?( license)?"),
     ("cc_by_nc_nd4", r"(this (work|text|article|page|content) is )?licensed under (a )?(the )?(cc by-nc-nd|creative commons attribution-noncommercial-noderivatives)( international)? 4\.0( international)?( license)?"),
     ("cc_by_sa4", r"(this (work|text|article|page|content) is )?licensed under (a )?(the )?(cc by-sa|creative commons attribution-sharealike)( international)? 4\.0( international)?( license)?"),
@@ -62,9 +89,17 @@ RULES = (
     ("BSD-2-Clause", r"(copyright,)?(all_rights,)?(bsd_grant,)(bsd_source,)(bsd_binary,)"),
     ("Apache-2.0", r"(copyright,)?(apache2_named,)(apache2_comply,)?(apache2_copy,)?(apache2_unless,)?(apache2_see,)?|spdx_apache2,"),
     ("GPL-3.0", r"(copyright,)?(gpl3_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl3_named,|spdx_gpl3,"),
-    ("GPL-2.0", r"(copyright,)?(gpl2_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl2_named,"),
+    ("GPL-2.0", r"(copyright,)?(gpl2_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl2_named,|spdx_gpl2,"),
     ("MIT", r"mit_named,|spdx_mit,|(mit_grant,)(mit_notice,)?"),
-    ("BSD", r"bsd_named,|bsd_grant,|spdx_bsd3,"),
+    ("BSD", r"bsd_named,|bsd_grant,|spdx_bsd3,|spdx_bsd2,"),
+    ("LGPL", r"(copyright,)?(lgpl_grant,)(gpl_warranty,)?|lgpl_named,|spdx_lgpl,"),
+    ("AGPL-3.0", r"(copyright,)?(agpl3_grant,)(gpl_warranty,)?|agpl3_named,|spdx_agpl3,"),
+    ("MPL-2.0", r"mpl2_notice,|mpl2_named,|spdx_mpl2,"),
+    ("EPL-2.0", r"epl2_named,|spdx_epl2,"),
+    ("ISC", r"(isc_named,)?(copyright,)?(isc_grant,)(isc_as_is,)?|isc_named,|spdx_isc,"),
+    ("BSL-1.0", r"(boost_named,)?(boost_grant,)|boost_named,|spdx_boost,"),
+    ("Zlib", r"(copyright,)?(zlib_as_is,)(zlib_grant,)|spdx_zlib,"),
+    ("Unlicense", r"unlicense_free,|spdx_unlicense,"),
     ("CC-BY-NC-4.0", r"cc_by_nc4,"),
     ("CC-BY-NC-ND-4.0", r"cc_by_nc_nd4,"),
     ("CC-BY-SA-4.0", r"cc_by_sa4,"),

@@ -51,7 +51,6 @@ _DIGIT = re.compile(r"[0-9]")
 _DISGUISE = re.compile(r"[(\[][Aa][Tt][)\]]")
 _CUE = re.compile(r"[0-9@]|" + _DISGUISE.pattern)
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
-_REACH = 64
 
 
 def luhn(digits: str) -> bool:
@@ -63,7 +62,8 @@ def luhn(digits: str) -> bool:
 
 
 def _parts_fit(text: str) -> bool:
-    return all(len(p) < 1000 and int(p) <= 255 for p in text.split("."))
+    parts = [p.lstrip("0") for p in text.split(".")]  # a part may have any number of zeros before it
+    return all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -96,7 +96,7 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
     m = _CUE.search(text)
     while m:
         a = m.start()
-        while a > max(end, m.start() - _REACH, 0) and not text[a - 1].isspace():
+        while a > max(end, 0) and not text[a - 1].isspace():
             a -= 1
         b, n = m.end(), len(text)
         while b < n and not text[b].isspace():

@@ -13,12 +13,13 @@ number per bucket (a fixed 512 KB), which gives the same score as averaging the
 Edge cases. Null and empty texts have no features; their score is that of the bias, the share of label 1. Labels that are null,
 or that contradict each other for one doc_id, teach nothing. Without usable labels every score is 0.5, hence predicted 1.
 Repeated rows score alike. A null doc_id counts as the text '' in the split. Texts above ``LONG`` bytes are read in parts cut
-at white space, where no word pair is seen across a cut. An empty table gives an empty result; other columns pass through,
+at white space (any byte up to 32), whose features add up to the text's; a single longer word is one part. An empty table gives an empty result; other columns pass through,
 and those with the added names are replaced.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,10 +40,14 @@ RATE = 0.5
 #: How much more a word or a pair of words counts in the mean than an n-gram of bytes.
 WORD_WEIGHT = 4.0
 SEED = 7
+#: Bytes of a part of a text.
 LONG = 1 << 22
 #: Bytes of text looked at in one go.
 _SLICE = 1 << 19
 
+_BLANK = re.compile(rb"[\x00-\x20]")
+_BLANKS = bytes(32 if b <= 32 else b for b in range(256))
+
 ADDED = ("held_out", "score", "predicted")
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -92,33 +97,44 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(out), owner[np.concatenate(of)], weight
 
 
-def _parts(text: bytes) -> list[bytes]:
-    if len(text) <= LONG:
-        return [text]
-    out, a = [], 0
+def _parts(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """Parts of a text and how often each counts: features of the parts add up to those of the text.
+
+    Parts end between words. Each but the first begins with the last word of the part before, for the pair of words at the cut,
+    and that word alone is taken off again.
+    """
+    a, last = 0, b""
     while a < len(text):
-        b = a + LONG
-        if b < len(text):
-            space = max(text.rfind(b" ", a + 1, b), text.rfind(b"\n", a + 1, b))
-            b = space if space > a else b
-        out.append(text[a:b])
+        b = len(text)
+        if b - a > LONG:
+            blank = np.flatnonzero(np.frombuffer(text[a + 1 : a + LONG], np.uint8) <= 32)
+            if len(blank):
+                b = a + 1 + int(blank[-1])
+            elif (found := _BLANK.search(text, a + LONG)) is not None:  # one word longer than a part
+                b = found.start()
+        part = text[a:b]
+        if last:
+            yield last, -1
+        yield last + part, 1
+        words = part.translate(_BLANKS).rsplit(None, 1)
+        last = words[-1] + b" " if words else last
         a = b
-    return out
 
 
-def _sliced(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Parts of texts, some _SLICE bytes at a time, with the number of each part's text."""
-    of, held, size = [], [], 0
+def _sliced(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
+    """Parts of texts, some _SLICE bytes at a time, with the number of each part's text and how often it counts."""
+    of, held, times, size = [], [], [], 0
     for i, text in enumerate(texts):
-        for part in _parts(text):
+        for part, n in _parts(text):
             if held and size + len(part) > _SLICE:
-                yield of, held
-                of, held, size = [], [], 0
+                yield of, held, times
+                of, held, times, size = [], [], [], 0
             of.append(i)
             held.append(part)
+            times.append(n)
             size += len(part) + 1
     if held:
-        yield of, held
+        yield of, held, times
 
 
 @dataclass
@@ -130,11 +146,11 @@ class Model:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         total, count = np.zeros(len(texts)), np.zeros(len(texts))
-        for of, parts in _sliced(texts):
+        for of, parts, times in _sliced(texts):
             bucket, owner, weight = features(parts)
             n = len(parts)
-            np.add.at(total, of, np.bincount(owner, self.table[bucket] * weight, n))
-            np.add.at(count, of, np.bincount(owner, weight, n))
+            np.add.at(total, of, times * np.bincount(owner, self.table[bucket] * weight, n))
+            np.add.at(count, of, times * np.bincount(owner, weight, n))
         return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + self.bias, -50, 50)))
 
 
@@ -187,9 +203,9 @@ def _counted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         rows = []
         for text in batch:
             total = np.zeros(1 << BITS)
-            for _, parts in _sliced([text or b""]):
-                bucket, _, weight = features(parts)
-                total += np.bincount(bucket, weight, 1 << BITS)
+            for _, parts, times in _sliced([text or b""]):
+                bucket, owner, weight = features(parts)
+                total += np.bincount(bucket, weight * np.array(times)[owner], 1 << BITS)
             used = np.flatnonzero(total)
             rows.append((used.astype(np.int32), total[used].astype(np.float32)))
         yield pd.DataFrame({"buckets": [r[0] for r in rows], "counts": [r[1] for r in rows]})

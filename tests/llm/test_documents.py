@@ -319,7 +319,29 @@ def test_quality_reads_long_texts_in_parts(monkeypatch):
     model = quality.Model(np.random.default_rng(1).normal(size=1 << quality.BITS).astype(np.float32), 0.1)
     whole = model.scores([text, b"short"])
     monkeypatch.setattr(quality, "LONG", 3000)
-    assert model.scores([text, b"short"]) == pytest.approx(whole, abs=1e-2)
+    assert model.scores([text, b"short"]) == pytest.approx(whole, abs=1e-9)
+    for between in (b"\t", b"\r", b"\r\n\x00 ", b"\x1f"):
+        odd = text.replace(b" ", between)
+        monkeypatch.setattr(quality, "LONG", 1 << 22)
+        whole = model.scores([odd, b"", b" w" * 9 + b"long" * 500 + b"\tend"])
+        monkeypatch.setattr(quality, "LONG", 300)
+        assert model.scores([odd, b"", b" w" * 9 + b"long" * 500 + b"\tend"]) == pytest.approx(whole, abs=1e-9)
+        assert all(len(p) < 400 or b"long" in p for p, _ in quality._parts(odd))
+
+
+def test_licences_over_white_space_and_further_names(spark):
+    said = {
+        "This work is released into the public\ndomain.": "Public-Domain", "It was good.\nThis work is dedicated to the public  domain by me.": "Public-Domain",
+        "All  rights  reserved.": "Proprietary", "Copyright (c) 2020 Me.\nAll rights\nreserved.": "Proprietary", "SPDX-License-Identifier: LGPL-2.1-only": "LGPL",
+        "# SPDX-License-Identifier: ISC": "ISC", "License: MIT": "MIT", "Licensed under MIT": "MIT", "SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+        "Licensed under the Mozilla Public License, v. 2.0.": "MPL-2.0", "Licensed under the Eclipse Public License 2.0": "EPL-2.0", "Released under the ISC license.": "ISC",
+        "This is free and unencumbered software released into the public domain.": "Unlicense", "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "Available under the GNU Affero General Public License, version 3.": "AGPL-3.0", "SPDX-License-Identifier: MIT OR Apache-2.0": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scanned(docs).collect()}
+    assert {t: got[i].licenses for i, t in enumerate(said)} == said
+    assert got[len(said) - 1].unmatched == "spdx_other"
 
 
 # 7 -------------------------------------------------------------------------------------------------------------------
@@ -511,3 +533,13 @@ def test_near_copies_by_brute_force(spark):
     least = {k: min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if root[i] == k) for k in set(root.values())}
     assert all((r.doc_id is None, r.doc_id or 0) == least[place[(r.doc_id, r.text)]] for r in out)
     assert corpus_pipeline.deduplicate(spark, empty(spark), "").count() == 0
+
+
+def test_personal_data_has_no_reach_and_no_longest_part():
+    zeros = "1.2.3." + "0" * 1200 + "4"
+    assert pii.base_spans(f"at {zeros}.") == [(3, 3 + len(zeros), 1)]
+    assert pii.base_spans("0001.2.3.0256") == [] and pii.base_spans("0.0.0.0") == [(0, 7, 1)]
+    assert [m for m in pii.base_spans(zeros) if m[2] == 1] == [s for s in ((a, e, k) for a, k, e in personal(zeros)) if s[2] == 1]
+    for n in (10, 80, 700):
+        text = "see " + "a" * n + "(at)example.com now"
+        assert list(pii.regions(text)) == [(4, len(text) - 4)]
