@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakestrata.llm.common import Work
+
 BUDGET = 1024
 HISTORY = 256
 SEGMENT = 256
@@ -91,7 +93,8 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     """
     if not 0 <= history <= budget // 4:
         raise ValueError("history may take a quarter of the budget at most")
-    turns = _numbered(conversations, budget, history)
+    # read five times below
+    turns = Work(conversations.sparkSession, "chat").store(_numbered(conversations, budget, history))
     begun = turns.groupBy("key", "window").agg(F.min(F.when(~F.col("leads"), F.col("at"))).alias("begins"))
     cols = ["key", "conv_id", "window", "place", "role", "text", "n", "repeated"]
     new = turns.withColumn("repeated", F.lit(False)).select(*cols)

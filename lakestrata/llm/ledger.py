@@ -45,6 +45,9 @@ RULES = (
     Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----", base=False),
 )
 
+#: Matches of a block of a text with many.
+BLOCK = 256
+
 LEDGER = "sha256 string, kind string, version int, spans array<struct<start:int,end:int>>"
 
 
@@ -57,7 +60,8 @@ def matches(text: Column, rule: Rule) -> Column:
     pattern = F.lit(rule.pattern)
     between = F.split(text, rule.pattern, -1)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
-    # positions by a running sum; each step looks at one match and what lies before it
+    # positions by a running sum; each step looks at one match and what lies before it. An array is copied where it grows, so
+    # matches are placed within blocks first, and the blocks then one behind the other
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
@@ -66,7 +70,16 @@ def matches(text: Column, rule: Rule) -> Column:
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["text"].alias("text")))).alias("out"))
 
     pairs = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("before"), found.alias("text"))
-    placed = F.aggregate(pairs, zero, step, lambda s: s["out"])
+    def blocks(p: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(p) - 1, F.lit(0)) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda i: F.aggregate(F.slice(p, i * BLOCK + 1, F.lit(BLOCK)), zero, step))
+
+    def behind(state: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda m: F.struct((m["start"] + state["at"]).alias("start"), (m["end"] + state["at"]).alias("end"), m["text"].alias("text")))
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], moved).alias("out"))
+
+    # the pairs are bound to a name, or they would be made anew for each block
+    placed = F.transform(F.array(pairs), lambda p: F.aggregate(F.filter(blocks(p), lambda b: F.size(b["out"]) > 0), zero, behind, lambda s: s["out"]))[0]
     if rule.condition is not None:
         placed = F.filter(placed, lambda m: rule.condition(m["text"]))
     spans = F.transform(placed, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))

@@ -543,3 +543,13 @@ def test_personal_data_has_no_reach_and_no_longest_part():
     for n in (10, 80, 700):
         text = "see " + "a" * n + "(at)example.com now"
         assert list(pii.regions(text)) == [(4, len(text) - 4)]
+
+
+def test_secrets_of_one_text_with_very_many(spark, monkeypatch):
+    for block in (3, 256):
+        monkeypatch.setattr(ledger, "BLOCK", block)
+        texts = ["é token=abcdefghijkl%04d deadbeef%08x\n" % (i % 9973, i) * 1 for i in range(700)]
+        rows = [(1, "".join(texts)), (2, "".join(texts[:block])), (3, "".join(texts[: block + 1])), (4, "none")]
+        found, _ = ledger.findings(spark.createDataFrame(rows, "path long, text string"))
+        got = {r.path: r.x for r in found.select("path", ledger.listed(found["found"], ["assign", "access", "hex"]).alias("x")).collect()}
+        assert got == {i: listing(secret(t), ["assign", "access", "hex"]) for i, t in rows}
