@@ -6,6 +6,9 @@ query, partial sums grow by a block of dimensions at a time, in order of the que
 both sides bounds what a candidate can still gain or lose (Cauchy-Schwarz). Candidates whose best is below the k-th best
 guaranteed score are dropped, and the survivors are compacted. The last sums are the exact scores.
 
+Copies. N candidates and Q queries are copied Q / ``QUERY_BLOCK`` and N * 8 * dims / ``BLOCK_BYTES`` times: both blocks are as large as
+a task's memory allows, and what a search against all rows has to move falls with their product.
+
 Each group hands on k rows a query at most; a window over those, by query, gives the result.
 
 Components are whole numbers (``quantised``), so scores are exact: in float64 while all sums stay below 2^53, else in Python
@@ -27,9 +30,9 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import Work
 
 K = 5
-#: Bytes of a candidate block, and queries of a query block.
+#: Bytes of a candidate block, and queries of a query block (16 MB of 64 dimensions).
 BLOCK_BYTES = 4 << 20
-QUERY_BLOCK = 512
+QUERY_BLOCK = 1 << 15
 #: Dimensions that are added up before candidates are bounded.
 STEP = 8
 
@@ -83,7 +86,7 @@ def _cell(k: int):
         small = dims * np.abs(x).max(initial=0) * np.abs(qs).max(initial=0) < 2.0**53 and max(np.abs(x).max(initial=0), np.abs(qs).max(initial=0)) < 2.0**26
         columns = np.ascontiguousarray(x.T)
         mass = np.array([(columns[a : a + STEP] ** 2).sum(axis=0) for a in range(0, dims, STEP)]).reshape(-1, len(ids))
-        out = []
+        out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         for own, number, q in zip(queries["query_id"], queries["query"], qs):
             if small:
                 rows, scores = search(q, own, ids, columns, mass, k)
@@ -92,8 +95,11 @@ def _cell(k: int):
                 scores = _exact(q, x[rows])
                 best = sorted(range(len(rows)), key=lambda i: (-int(scores[i]), ids[rows[i]]))[:k]
                 rows, scores = rows[best], scores[best]
-            out.append(pd.DataFrame({"query_id": own, "query": number, "vec_id": ids[rows], "score": scores}))
-        return pd.concat(out, ignore_index=True)
+            out.append((own, number, ids[rows], scores))
+        times = [len(x[2]) for x in out]
+        return pd.DataFrame({
+            "query_id": np.repeat([x[0] for x in out], times), "query": np.repeat([x[1] for x in out], times),
+            "vec_id": np.concatenate([x[2] for x in out]), "score": np.concatenate([x[3] for x in out])})
 
     return run
 
