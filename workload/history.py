@@ -9,6 +9,7 @@ from lakestrata.operators.audit import with_audit
 from lakestrata.operators.governance import MASKED, constant_mask
 from lakestrata.operators.history import current_rows, history, snapshot_check, snapshot_timestamp
 from lakestrata.operators.incremental import high_water_mark, incremental, merge_upsert, newer_than
+from lakestrata.operators.quality import count_report
 from lakestrata.operators.star import build_dim
 from lakestrata.plans import lodging
 from lakestrata.plans.medallion import Medallion
@@ -17,7 +18,7 @@ from lakestrata.sources import tables
 from lakestrata.sources.binding_store import load_bindings, save_bindings
 from lakestrata.sources.governed import GovernedCatalog
 from workload import derived
-from workload.registration import day, query, run_at, stamp
+from workload.registration import AUDITED, audited_sql, day, query, run_at, stamp
 
 KEY = ["o_orderkey"]
 CHECKED = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -247,10 +248,10 @@ def snapshot_listings(t):
 
 
 @query(f"""WITH {derived.LISTINGS_SQL}, {_CURRENT} SELECT SOURCESYSTEM, sha1(CAST(id AS VARCHAR)) AS SK, id AS ID, name AS NAME,
-  host_id AS HOST_ID, host_name AS HOST_NAME, room_type AS ROOM_TYPE, modified AS LAST_MODIFIED_AT FROM current_listings""")
+  host_id AS HOST_ID, host_name AS HOST_NAME, room_type AS ROOM_TYPE, modified AS LAST_MODIFIED_AT, {audited_sql(2)} FROM current_listings""")
 def gold_listing_dim(t):
     df = lodging.gold_listing_dim(_silver(t), run_at(2))
-    return df.select("SOURCESYSTEM", "SK", "ID", "NAME", "HOST_ID", "HOST_NAME", "ROOM_TYPE", stamp("LAST_MODIFIED_AT"))
+    return df.select(stamp("SYSLOADDATE"), *AUDITED, "SOURCESYSTEM", "SK", "ID", "NAME", "HOST_ID", "HOST_NAME", "ROOM_TYPE", stamp("LAST_MODIFIED_AT"))
 
 
 _FACT_COLS = ["VALUE_CATEGORY", "SOURCESYSTEM", "LISTING_SK", "LISTING_ID", "LISTINGS", "HOST_ID", "HOST_NAME", "GEOGRAPHY_ID",
@@ -275,10 +276,10 @@ def gold_fact_frame(t):
     return lodging.gold_listing_fact(silver, lodging.gold_listing_dim(silver, run_at(2)), derived.geography(t), derived.geospatial(t), run_at(2))
 
 
-@query(_FACT)
+@query(_FACT.replace("SELECT CASE", f"SELECT {audited_sql(2)}, CASE"))
 def gold_listing_fact(t):
-    """Landing to fact: cast, two history loads, three dimensions, bands, keys."""
-    return gold_fact_frame(t).select(*_FACT_COLS, F.col("REVIEWS_PER_MONTH").cast("double").alias("REVIEWS_PER_MONTH"), stamp("LAST_MODIFIED_AT"))
+    """Landing to fact: cast, two history loads, three dimensions, bands, keys, audit columns."""
+    return gold_fact_frame(t).select(stamp("SYSLOADDATE"), *AUDITED, *_FACT_COLS, F.col("REVIEWS_PER_MONTH").cast("double").alias("REVIEWS_PER_MONTH"), stamp("LAST_MODIFIED_AT"))
 
 
 def _stored_build(t, mode):
@@ -310,6 +311,36 @@ def stored_build_incremental(t):
     return _stored_build(t, "incremental")
 
 
+_CHECKS = ("reviews_listing_id_not_null", "reviews_listing_id_is_number", "reviews_row_count", "reviews_content", "drivers_row_count", "drivers_content",
+           "fact_listing_unique", "dim_listing_unique", "fact_listing_in_dim")
+_SEVEN = (("BRONZE", "Listings"), ("BRONZE", "Reviews"), ("BRONZE", "Drivers"), ("SILVER", "Listings"), ("SILVER", "Reviews"), ("GOLD", "Dim_Listing_Details"), ("GOLD", "Fact_Listings"))
+
+
+@query(f"""WITH {derived.LISTINGS_SQL}, {derived.REVIEWS_SQL}, {derived.DRIVERS_SQL}
+  SELECT 'check' AS kind, unnest([{', '.join(f"'{c}'" for c in _CHECKS)}]) AS name, CAST(0 AS BIGINT) AS n
+  UNION ALL SELECT 'rows', unnest(['BRONZE.Listings', 'GOLD.Dim_Listing_Details', 'GOLD.Fact_Listings']), count(*) FROM bronze_listings
+  UNION ALL SELECT 'rows', 'SILVER.Listings', count(*) + count(*) FILTER (id % 9 = 0) FROM bronze_listings
+  UNION ALL SELECT 'rows', unnest(['BRONZE.Reviews', 'SILVER.Reviews']), count(*) FROM bronze_reviews
+  UNION ALL SELECT 'rows', 'BRONZE.Drivers', count(*) FROM drivers""")
+def stored_build_seven_steps(t):
+    """All seven steps over two deliveries, then the check report and the rows of every table built."""
+    run = t.spark.sparkContext.applicationId.replace("-", "_").upper()
+    m = Medallion(t.spark, Layers("DEV"), "incremental", buckets=8, schema=f"LODGING_SEVEN_{run}")
+    m.reset(("LANDING", "BRONZE", "SILVER", "GOLD", "PLATINUM"))
+    m.create(work_folder(t.spark, "layers"))
+    tables.overwrite(with_audit(derived.landing_listings(t), run_at(1)), m.name("LANDING", "Listings"))
+    tables.overwrite(with_audit(derived.landing_reviews(t), run_at(1)), m.name("LANDING", "Reviews"))
+    tables.overwrite(derived.landing_drivers(t).select("payload"), m.name("LANDING", "Drivers"))
+    tables.overwrite(derived.geography(t), m.name("GOLD", "Dim_Geography"))
+    tables.overwrite(derived.geospatial(t), m.name("GOLD", "Dim_Geography_Geospatial"))
+    m.run(run_at(1))
+    tables.update_table(t.spark, m.name("LANDING", "Listings"), F.col("id").cast("bigint") % 9 == 0, {"name": F.lit("new")})
+    m.run(run_at(2))
+    checks = m.check().select(F.lit("check").alias("kind"), F.col("check_name").alias("name"), F.col("failures").alias("n"))
+    counts = count_report({f"{layer}.{table}": m.read(layer, table) for layer, table in _SEVEN})
+    return checks.unionByName(counts.select(F.lit("rows").alias("kind"), F.col("table_name").alias("name"), F.col("row_count").alias("n")))
+
+
 _LAYER_NAMES = [("LANDING", "Listings", "id", "name"), ("BRONZE", "Listings", "id", "name"), ("SILVER", "Listings", "id", "name"),
                 ("GOLD", "Dim_Listing_Details", "ID", "NAME"), ("GOLD", "Fact_Listings", "LISTING_ID", "LISTINGS")]
 

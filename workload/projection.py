@@ -18,7 +18,7 @@ from lakestrata.operators.shaping import (
 )
 from lakestrata.plans import lodging
 from workload import derived
-from workload.registration import day, query, run_at, stamp
+from workload.registration import AUDITED, audited_sql, day, query, run_at, stamp
 
 
 @query("""SELECT '2025-01-10 08:00:00' AS SYSLOADDATE, 'run-1' AS SYSRUNID, 'spark' AS SYSPROCESSINGTOOL,
@@ -41,29 +41,29 @@ _LISTING_OUT = """SELECT SOURCESYSTEM, id, name, host_id, host_name, neighbourho
   calculated_host_listings_count, availability_365, number_of_reviews_ltm, license FROM bronze_listings"""
 
 
-@query(f"WITH {derived.LISTINGS_SQL} {_LISTING_OUT}")
+@query(f"WITH {derived.LISTINGS_SQL} {_LISTING_OUT}".replace("license FROM", f"license, {audited_sql(1)} FROM"))
 def bronze_listings(t):
-    """Typed projection of all listing columns, audit columns included in the build."""
+    """Typed projection of all listing columns, behind the audit columns."""
     df = lodging.bronze_listings(derived.landing_listings(t), run_at(1))
     doubles = {c: F.col(c).cast("double").alias(c) for c in ("latitude", "longitude", "reviews_per_month")}
     keep = ["SOURCESYSTEM", *lodging.LISTING_TYPES]
-    return df.select(*[doubles.get(c, day(c) if c == "last_review" else F.col(c)) for c in keep])
+    return df.select(stamp("SYSLOADDATE"), *AUDITED, *[doubles.get(c, day(c) if c == "last_review" else F.col(c)) for c in keep])
 
 
 @query(f"""WITH {derived.REVIEWS_SQL} SELECT SOURCESYSTEM, listing_id, id, strftime(date, '%Y-%m-%d') AS date, reviewer_id,
-  reviewer_name, comments, comments2, comments3, comments4 FROM bronze_reviews""")
+  reviewer_name, comments, comments2, comments3, comments4, {audited_sql(1)} FROM bronze_reviews""")
 def bronze_reviews(t):
     df = lodging.bronze_reviews(derived.landing_reviews(t), run_at(1))
     keep = ["SOURCESYSTEM", *lodging.REVIEW_TYPES, *lodging.COMMENT_COPIES]
-    return df.select(*[day(c) if c == "date" else F.col(c) for c in keep])
+    return df.select(stamp("SYSLOADDATE"), *AUDITED, *[day(c) if c == "date" else F.col(c) for c in keep])
 
 
 @query(f"""WITH {derived.DRIVERS_SQL} SELECT SOURCESYSTEM, code, dob, driverId, driverRef, forename, surname, nationality,
-  number, url FROM drivers""")
+  number, url, {audited_sql(1)} FROM drivers""")
 def bronze_drivers(t):
     """Documents flattened to typed columns, nested ones included."""
     df = lodging.bronze_drivers(derived.landing_drivers(t), run_at(1))
-    return df.select(*[day(c) if c == "dob" else F.col(c) for c in lodging.DRIVER_FIELDS])
+    return df.select(stamp("SYSLOADDATE"), *AUDITED, *[day(c) if c == "dob" else F.col(c) for c in lodging.DRIVER_FIELDS])
 
 
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,

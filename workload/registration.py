@@ -61,6 +61,14 @@ def run_at(month: int, run: str = "run") -> RunContext:
     return RunContext(datetime(2025, month, 10, 8, 0), f"{run}-{month}", "spark", "workload")
 
 
+#: The audit columns in a query's result, and in its SQL.
+AUDITED = ("SYSRUNID", "SYSPROCESSINGTOOL", "SYSDATAPROCESSORNAME")
+
+
+def audited_sql(month: int, run: str = "run") -> str:
+    return f"'2025-{month:02d}-10 08:00:00' AS SYSLOADDATE, '{run}-{month}' AS SYSRUNID, 'spark' AS SYSPROCESSINGTOOL, 'workload' AS SYSDATAPROCESSORNAME"
+
+
 def stamp(col: str):
     """Timestamp as text, the same in both engines."""
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss").alias(col)
