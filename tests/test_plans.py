@@ -7,7 +7,8 @@ from lakestrata.operators.incremental import merge_upsert, newer_than
 from workload import QUERIES
 
 WRITES = {"append_rows", "overwrite_from_itself", "truncate_and_reload", "update_one_row", "ctas_with_limit", "create_like_then_insert",
-          "clone_is_independent", "masks_follow_copies", "stored_history", "arriving_files_landed", "identity_numbers", "persistent_view", "governed_sql", "stored_build_rebuilt", "stored_build_incremental"}
+          "clone_is_independent", "masks_follow_copies", "stored_history", "arriving_files_landed", "identity_numbers", "persistent_view", "governed_sql", "stored_build_rebuilt", "stored_build_incremental",
+          "stored_build_seven_steps", "gold_increments_by_load", "checks_on_touched_slices", "registry_lands_what_changed", "tags_through_layers"}
 
 
 def plan(df):
