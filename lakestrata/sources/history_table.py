@@ -80,6 +80,7 @@ class HistoryTable:
         self.hard_deletes, self.buckets = hard_deletes, buckets
         self.parts, self.states = name + "__parts", name + "__state"
         self.current_name = name + "__current"
+        self._known: tuple[int, dict[int, _Slice]] = (0, {})
         held = properties(spark, name).get(_SLICES) if exists(spark, name) else None
         self.slices = int(held) if held else gcd(slices, buckets) if buckets else slices
 
@@ -91,11 +92,13 @@ class HistoryTable:
         return F.pmod(F.hash(*self.key), F.lit(self.slices))
 
     def _state(self, n: int) -> dict[int, _Slice]:
-        """Slices as of load ``n``; at most as many rows as there are slices."""
+        """Slices as of load ``n``; at most as many rows as there are slices.  What a published load left never changes."""
         if not n:
             return {}
-        rows = self.spark.table(self.states).filter(F.col(_SEQ) == n).collect()
-        return {r[_SLICE]: _Slice(r["opened"], r["closed_from"], r["digest"]) for r in rows}
+        if self._known[0] != n:
+            rows = self.spark.table(self.states).filter(F.col(_SEQ) == n).collect()
+            self._known = (n, {r[_SLICE]: _Slice(r["opened"], r["closed_from"], r["digest"]) for r in rows})
+        return self._known[1]
 
     # reading ---------------------------------------------------------------------------------------------------------
 
@@ -217,15 +220,15 @@ class HistoryTable:
         state = {**before, **{s: _Slice(n, n if s in merged or s not in before else before[s].closed_from, d) for s, d in digests.items()}}
         self._keep_state(n, state)
         self._publish(n, state, [c for c in table.columns if c not in _OWN])
+        self._known = (n, state)
         # what this load replaced stays for queries already running
-        self._drop(self._stored(), lambda seq, kind, s: s in before and seq < (before[s].opened if kind == "open" else before[s].closed_from))
+        self._drop([p for p in stored if p[0] < n], lambda seq, kind, s: s in before and seq < (before[s].opened if kind == "open" else before[s].closed_from))
 
     def _keep_state(self, n: int, state: dict[int, _Slice]) -> None:
         if not exists(self.spark, self.states):
             self.spark.sql(f"CREATE TABLE {self.states} ({_SLICE} int, opened int, closed_from int, digest string, {_SEQ} int) USING parquet PARTITIONED BY ({_SEQ})")
-        for old in [r["partition"].split("=")[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.states}").collect()]:
-            if int(old) >= n or int(old) < n - 1:
-                self.spark.sql(f"ALTER TABLE {self.states} DROP IF EXISTS PARTITION ({_SEQ}={old})")
+        # left by a load that failed, and no longer read by any query
+        self.spark.sql(f"ALTER TABLE {self.states} DROP IF EXISTS PARTITION ({_SEQ}={n}), PARTITION ({_SEQ}={n - 2})")
         rows = [(s, x.opened, x.closed_from, x.digest, n) for s, x in sorted(state.items())]
         kinds = f"{_SLICE} int, opened int, closed_from int, digest string, {_SEQ} int"
         self.spark.createDataFrame(rows, kinds).coalesce(1).write.insertInto(self.states)
@@ -267,6 +270,7 @@ class HistoryTable:
             self.spark.sql(f"DROP VIEW IF EXISTS {view}")
         for table in (self.parts, self.states):
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._known = (0, {})
 
 
 def _grouped(state: dict[int, _Slice], number: Callable[[_Slice], int], sign: str) -> str:
