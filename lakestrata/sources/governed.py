@@ -22,7 +22,7 @@ class RestrictedError(ValueError):
 
 
 #: What this library stores beside a published name: versions, parts, slices, views of the open rows.
-_STORAGE = re.compile(r"(.+?)__(?:v\d+|parts|slices|state|current|staged(?:__v\d+)?)")
+_STORAGE = re.compile(r"(.+?)__(?:v\d+|parts\d*|slices\d*|state|current|staged(?:__v\d+)?)")
 
 
 @dataclass

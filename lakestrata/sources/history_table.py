@@ -13,6 +13,11 @@ visible when the views move on, and a load that died half-way is dropped by the
 next.  What a load replaced stays for one more load, for queries already
 running.  Many small closed parts of a slice are merged when it is written
 anyway.  One load at a time may write a history.
+
+A delivery with a wider type (int to bigint, more decimal digits) starts a
+further Parquet table of that type.  Its load writes all open rows there; closed
+versions stay where they are, and the view casts them.  A narrower type is cast
+to the stored one, and types without a common one are refused.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.functions.widening import common_type, same
 from lakestrata.operators.guards import opaque
 from lakestrata.operators.history import (
     DEFAULT,
@@ -35,14 +41,14 @@ from lakestrata.operators.history import (
     timestamp_changes,
 )
 from lakestrata.settings import RunContext
-from lakestrata.sources.sliced_table import fits
 from lakestrata.sources.tables import exists, properties
 
-_LOAD, _SLICES = "lakestrata.load", "lakestrata.slices"
+_LOAD, _SLICES, _TABLES = "lakestrata.load", "lakestrata.slices", "lakestrata.tables"
 _SEQ, _STATE, _SLICE = "load_seq", "row_state", "key_slice"
 # the load that opened a version, and the one that closed it
 _OPENED, _CLOSED = "opened_seq", "closed_seq"
 _OWN = (_OPENED, _CLOSED, _SEQ, _STATE, _SLICE)
+_OWN_TYPES = {c: T.IntegerType() for c in _OWN} | {_STATE: T.StringType()}
 
 #: Closed parts of a slice that are left side by side.
 CLOSED_PARTS = 8
@@ -78,7 +84,7 @@ class HistoryTable:
                  hard_deletes: str = "ignore", buckets: int | None = None, slices: int = 16):
         self.spark, self.name, self.key, self.names = spark, name, key, names
         self.hard_deletes, self.buckets = hard_deletes, buckets
-        self.parts, self.states = name + "__parts", name + "__state"
+        self.states = name + "__state"
         self.current_name = name + "__current"
         self._known: tuple[int, dict[int, _Slice]] = (0, {})
         held = properties(spark, name).get(_SLICES) if exists(spark, name) else None
@@ -87,6 +93,17 @@ class HistoryTable:
     def load_number(self) -> int:
         return int(properties(self.spark, self.name).get(_LOAD, 0)) if exists(self.spark, self.name) else 0
 
+    def tables(self) -> list[str]:
+        """Parquet tables that hold the rows, oldest first: one per set of types.  Open rows are all in the last one."""
+        held = properties(self.spark, self.name).get(_TABLES, "1") if exists(self.spark, self.name) else "1"
+        return [self._table(int(g)) for g in held.split(",")]
+
+    def _table(self, generation: int) -> str:
+        return f"{self.name}__parts" + (str(generation) if generation > 1 else "")
+
+    def _generation(self, table: str) -> int:
+        return int(table.removeprefix(self.name + "__parts") or 1)
+
     def slice_of(self) -> Column:
         """Spark puts a key into bucket ``pmod(hash(key), buckets)``, so a bucket lies in one slice."""
         return F.pmod(F.hash(*self.key), F.lit(self.slices))
@@ -103,17 +120,31 @@ class HistoryTable:
     # reading ---------------------------------------------------------------------------------------------------------
 
     def read(self) -> DataFrame | None:
-        """What the history view shows, read from the partitioned table itself."""
+        """What the history view shows, read from the partitioned tables themselves."""
         n = self.load_number()
-        return self._rows(_where_all(n, self._state(n))) if n else None
+        return self._rows(self.tables(), _where_all(n, self._state(n)), _where_closed(n, self._state(n))).drop(*_OWN) if n else None
 
     def current(self) -> DataFrame | None:
         """Open versions only: partition pruning leaves the history unread."""
         n = self.load_number()
-        return self._rows(_where_open(self._state(n))) if n else None
-
-    def _rows(self, where: str) -> DataFrame:
-        return self.spark.table(self.parts).filter(where).drop(*_OWN)
+        return self._rows(self.tables()[-1:], _where_open(self._state(n))).drop(*_OWN) if n else None
+
+    def _sql(self, tables: list[str], where: str, where_older: str, own: bool = False) -> str:
+        """Rows of the last table, and of older ones in its columns and types."""
+        wanted = [f for f in self.spark.table(tables[-1]).schema if own or f.name not in _OWN]
+        found = []
+        for table in tables:
+            have = {f.name.lower(): f.dataType for f in self.spark.table(table).schema}
+            columns = []
+            for f in wanted:
+                kind = have.get(f.name.lower())
+                value = f"`{f.name}`" if kind else "NULL"
+                columns.append(value if kind and same(kind, f.dataType) else f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+            found.append(f"SELECT {', '.join(columns)} FROM {table} WHERE {where if table == tables[-1] else where_older}")
+        return " UNION ALL ".join(found)
+
+    def _rows(self, tables: list[str], where: str, where_older: str = "false") -> DataFrame:
+        return self.spark.sql(self._sql(tables, where, where_older, own=True))
 
     def changes_since(self, load: int) -> tuple[DataFrame, DataFrame]:
         """What loads after ``load`` did: the open versions that they opened, and the keys that they left without one.
@@ -122,9 +153,10 @@ class HistoryTable:
         """
         n = self.load_number()
         state = {s: x for s, x in self._state(n).items() if x.opened > load}
-        parts = self.spark.table(self.parts)
-        opened = parts.filter(_where_open(state))
-        closed = parts.filter(_where_closed(n, state)).filter((F.col(_SEQ) > load) & (F.col(_CLOSED) > load))
+        tables = self.tables()
+        opened = self._rows(tables[-1:], _where_open(state))
+        where = _where_closed(n, state)
+        closed = self._rows(tables, where, where).filter((F.col(_SEQ) > load) & (F.col(_CLOSED) > load))
         gone = closed.select(*self.key).distinct().join(opened.select(*self.key), self.key, "left_anti")
         return opened.filter(F.col(_OPENED) > load).drop(*_OWN), gone
 
@@ -160,34 +192,40 @@ class HistoryTable:
               later: Callable[[DataFrame, DataFrame], DataFrame]) -> set[int]:
         n = self.load_number()
         before = self._state(n)
-        source = self._keyed(source) if n else source
+        source, wider = self._fitted(source) if n else (source, {})
         digests = self._digests(source, compared)
         touched = {s for s, d in digests.items() if s not in before or before[s].digest != d}
         if self.hard_deletes != "ignore":
             touched |= {s for s, x in before.items() if s not in digests and x.digest}
+        if wider:  # all open rows move
+            touched = {*before, *digests}
         if not n:
             moved = first(self._dealt(source))
         elif not touched:
             return set()
         else:
-            if len(touched) < self.slices:
+            if len(touched) < self.slices and not wider:
                 source = source.filter(self.slice_of().isin(sorted(touched)))
             # the vanished-column rule of the transition carries the opening load along
-            held = self.spark.table(self.parts).filter(_where_open({s: before[s] for s in touched if s in before})).drop(_CLOSED, _SEQ, _STATE, _SLICE)
+            held = self._rows(self.tables()[-1:], _where_open({s: before[s] for s in touched if s in before})).drop(_CLOSED, _SEQ, _STATE, _SLICE)
             moved = later(self._dealt(source), held)
-        self._commit(n + 1, moved, before, {s: digests.get(s, "") for s in touched})
+        self._commit(n + 1, moved, before, {s: digests.get(s, "") for s in touched}, wider)
         return touched
 
-    def _keyed(self, source: DataFrame) -> DataFrame:
-        """``source`` with the key in the stored types, since equal keys of other types have other hashes."""
-        held, given = ({f.name.lower(): f.dataType for f in df.schema} for df in (self.spark.table(self.parts), source))
-        for k in self.key:
-            have, want = given[k.lower()], held[k.lower()]
-            if not fits(have, want):
-                raise ValueError(f"key {k} is {have.simpleString()}, but {self.name} holds {want.simpleString()}")
-            if have != want:
-                source = source.withColumn(k, F.col(k).cast(want))
-        return source
+    def _fitted(self, source: DataFrame) -> tuple[DataFrame, dict[str, T.DataType]]:
+        """``source`` in types that hold the stored values too (equal keys of other types have other hashes), and those that are wider than the stored ones."""
+        held = {f.name.lower(): f.dataType for f in self.spark.table(self.tables()[-1]).schema if f.name not in _OWN}
+        wider = {}
+        for f in source.schema:
+            stored = held.get(f.name.lower(), f.dataType)
+            both = common_type(f.dataType, stored)
+            if both is None:
+                raise ValueError(f"{f.name} is {f.dataType.simpleString()}, but {self.name} holds {stored.simpleString()}")
+            if not same(both, stored):
+                wider[f.name.lower()] = both
+            if not same(both, f.dataType):
+                source = source.withColumn(f.name, F.col(f.name).cast(both).alias(f.name, metadata=f.metadata))
+        return source, wider
 
     def _digests(self, source: DataFrame, compared: list[str]) -> dict[int, str]:
         """Checksum of each slice of a delivery; other columns, or other types of them, make another one."""
@@ -199,30 +237,43 @@ class HistoryTable:
         # one row per slice
         return {r[_SLICE]: f"{r['digest']} {shape}" for r in found.collect()}
 
-    def _commit(self, n: int, moved: DataFrame, before: dict[int, _Slice], digests: dict[int, str]) -> None:
+    def _commit(self, n: int, moved: DataFrame, before: dict[int, _Slice], digests: dict[int, str], wider: dict[str, T.DataType]) -> None:
         closed = F.col(self.names.valid_to).isNotNull()
         opened = F.coalesce(_OPENED, F.lit(n)) if _OPENED in moved.columns else F.lit(n)
         rows = moved.withColumns({
             _OPENED: opened, _CLOSED: F.when(closed, F.lit(n)), _SEQ: F.lit(n), _STATE: F.when(closed, "closed").otherwise("open"), _SLICE: self.slice_of()})
-        self._fit_table(rows)
-        stored = self._stored()
-        self._drop(stored, lambda seq, state, s: seq >= n)  # left by a load that failed before its views moved
-        parts = {s: sorted(seq for seq, state, at in stored if state == "closed" and at == s and before[s].closed_from <= seq < n) for s in digests if s in before}
-        merged = {s for s, loads in parts.items() if len(loads) >= CLOSED_PARTS}
-        table = self.spark.table(self.parts)
+        tables = self._fit_tables(n, rows, wider)
+        stored = {t: self._stored(t) for t in tables}
+        for t in tables:
+            self._drop(t, stored[t], lambda seq, state, s: seq >= n)  # left by a load that failed before its views moved
+        parts: dict[int, int] = {}
+        for seq, state, s in (p for t in tables for p in stored[t]):
+            if state == "closed" and s in digests and s in before and before[s].closed_from <= seq < n:
+                parts[s] = parts.get(s, 0) + 1
+        merged = {s for s, loads in parts.items() if loads >= CLOSED_PARTS}
+        table = self.spark.table(tables[-1])
         if merged:
-            old = table.filter(_where_closed(n - 1, {s: before[s] for s in merged})).withColumn(_SEQ, F.lit(n))
-            rows = rows.unionByName(old, allowMissingColumns=True)
+            where = _where_closed(n - 1, {s: before[s] for s in merged})
+            rows = rows.unionByName(self._rows(tables, where, where).withColumn(_SEQ, F.lit(n)), allowMissingColumns=True)
         have = {c.lower() for c in rows.columns}
         rows = rows.select(*[F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema])
         # buckets are dealt already; otherwise a slice is written by few tasks, and a large one by several
-        (rows if self.buckets and not merged else rows.hint("rebalance", F.col(_SLICE))).write.insertInto(self.parts)
+        (rows if self.buckets and not merged else rows.hint("rebalance", F.col(_SLICE))).write.insertInto(tables[-1])
         state = {**before, **{s: _Slice(n, n if s in merged or s not in before else before[s].closed_from, d) for s, d in digests.items()}}
         self._keep_state(n, state)
-        self._publish(n, state, [c for c in table.columns if c not in _OWN])
+
+        def replaced(seq: int, kind: str, s: int) -> bool:
+            """Whether the published load no longer reads a part; what this one replaces stays for queries already running."""
+            return seq < n and s in before and seq < (before[s].opened if kind == "open" else before[s].closed_from)
+
+        kept = [t for t in tables if t == tables[-1] or any(p[0] < n and not replaced(*p) for p in stored[t])]
+        self._publish(n, state, kept)
         self._known = (n, state)
-        # what this load replaced stays for queries already running
-        self._drop([p for p in stored if p[0] < n], lambda seq, kind, s: s in before and seq < (before[s].opened if kind == "open" else before[s].closed_from))
+        for t in tables:
+            if t in kept:
+                self._drop(t, stored[t], replaced)
+            else:
+                self.spark.sql(f"DROP TABLE IF EXISTS {t}")
 
     def _keep_state(self, n: int, state: dict[int, _Slice]) -> None:
         if not exists(self.spark, self.states):
@@ -233,42 +284,49 @@ class HistoryTable:
         kinds = f"{_SLICE} int, opened int, closed_from int, digest string, {_SEQ} int"
         self.spark.createDataFrame(rows, kinds).coalesce(1).write.insertInto(self.states)
 
-    def _fit_table(self, rows: DataFrame) -> None:
-        own = {c: T.IntegerType() for c in (_OPENED, _CLOSED, _SEQ, _SLICE)} | {_STATE: T.StringType()}
-        ordered = [f for f in rows.schema if f.name not in _OWN] + [T.StructField(c, own[c]) for c in _OWN]
+    def _fit_tables(self, n: int, rows: DataFrame, wider: dict[str, T.DataType]) -> list[str]:
+        """The tables, the last of which can hold ``rows``."""
         listed = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        if not exists(self.spark, self.parts):
-            keys = ", ".join(f"`{k}`" for k in self.key)
-            hashed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS" if self.buckets else ""
-            self.spark.sql(f"CREATE TABLE {self.parts} ({listed(ordered)}) USING parquet PARTITIONED BY ({_SEQ}, {_STATE}, {_SLICE}){hashed}")
-            return
-        have = {c.lower() for c in self.spark.table(self.parts).columns}
-        new = [f for f in ordered if f.name.lower() not in have]
-        if new:
-            self.spark.sql(f"ALTER TABLE {self.parts} ADD COLUMNS ({listed(new)})")
-
-    def _stored(self) -> list[tuple[int, str, int]]:
+        tables = self.tables()
+        held = [] if n == 1 else [f for f in self.spark.table(tables[-1]).schema if f.name not in _OWN]
+        have = {f.name.lower() for f in held}
+        new = [f for f in rows.schema if f.name not in _OWN and f.name.lower() not in have]
+        if n > 1 and not wider:
+            if new:
+                self.spark.sql(f"ALTER TABLE {tables[-1]} ADD COLUMNS ({listed(new)})")
+            return tables
+        if n > 1:
+            tables.append(self._table(self._generation(tables[-1]) + 1))
+        columns = [T.StructField(f.name, wider.get(f.name.lower(), f.dataType)) for f in held] + new + [T.StructField(c, _OWN_TYPES[c]) for c in _OWN]
+        keys = ", ".join(f"`{k}`" for k in self.key)
+        hashed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS" if self.buckets else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {tables[-1]}")  # left by a load that failed
+        self.spark.sql(f"CREATE TABLE {tables[-1]} ({listed(columns)}) USING parquet PARTITIONED BY ({_SEQ}, {_STATE}, {_SLICE}){hashed}")
+        return tables
+
+    def _stored(self, table: str) -> list[tuple[int, str, int]]:
         """Partitions (load, state, slice)."""
-        found = [dict(x.split("=") for x in r["partition"].split("/")) for r in self.spark.sql(f"SHOW PARTITIONS {self.parts}").collect()]
+        found = [dict(x.split("=") for x in r["partition"].split("/")) for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect()]
         return [(int(p[_SEQ]), p[_STATE], int(p[_SLICE])) for p in found]
 
-    def _drop(self, stored: list[tuple[int, str, int]], gone: Callable[[int, str, int], bool]) -> None:
+    def _drop(self, table: str, stored: list[tuple[int, str, int]], gone: Callable[[int, str, int], bool]) -> None:
         specs = [f"PARTITION ({_SEQ}={seq}, {_STATE}='{state}', {_SLICE}={s})" for seq, state, s in stored if gone(seq, state, s)]
         if specs:
-            self.spark.sql(f"ALTER TABLE {self.parts} DROP IF EXISTS {', '.join(specs)}")
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
 
-    def _publish(self, n: int, state: dict[int, _Slice], cols: list[str]) -> None:
-        listed = ", ".join(f"`{c}`" for c in cols)
-        for name, where in ((self.current_name, _where_open(state)), (self.name, _where_all(n, state))):
+    def _publish(self, n: int, state: dict[int, _Slice], tables: list[str]) -> None:
+        numbers = ",".join(str(self._generation(t)) for t in tables)
+        for name, of, where in ((self.current_name, tables[-1:], _where_open(state)), (self.name, tables, _where_all(n, state))):
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_LOAD}' = '{n}', '{_SLICES}' = '{self.slices}') "
-                f"AS SELECT {listed} FROM {self.parts} WHERE {where}")
+                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_LOAD}' = '{n}', '{_SLICES}' = '{self.slices}', '{_TABLES}' = '{numbers}') "
+                f"AS {self._sql(of, where, _where_closed(n, state))}")
 
     def drop(self) -> None:
         """Remove the views and everything stored; absent parts are no error."""
+        tables = self.tables()
         for view in (self.name, self.current_name):
             self.spark.sql(f"DROP VIEW IF EXISTS {view}")
-        for table in (self.parts, self.states):
+        for table in (*tables, self._table(self._generation(tables[-1]) + 1), self.states):
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self._known = (0, {})
 

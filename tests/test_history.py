@@ -305,3 +305,54 @@ def test_documents_travel_through_the_history(spark):
     t.load_by_check(docs("b", '{"x":2}'), ["v"], at(2))
     got = spark.table("hist.documents").orderBy("valid_from").select(F.to_json("payload"), F.col("valid_to").isNull()).collect()
     assert [tuple(r) for r in got] == [('{"x":1}', False), ('{"x":2}', True)]
+
+
+def typed_src(spark, data, kinds):
+    return spark.createDataFrame(data, "k bigint, v bigint, w string").select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()])
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_types_grow_through_loads(spark, buckets):
+    t = fresh_table(spark, f"growing_{buckets}", buckets=buckets, slices=4)
+    int_, long_ = {"k": "int", "v": "int", "w": "decimal(5,2)"}, {"k": "bigint", "v": "bigint", "w": "decimal(12,4)"}
+    big = 3_000_000_000
+    base = [(i, i, "1.50") for i in range(20)]
+    t.load_by_check(typed_src(spark, base, int_), ["v", "w"], at(1))
+    t.load_by_check(typed_src(spark, [(0, 100, "1.50"), *base[1:]], int_), ["v", "w"], at(2))
+    running = spark.table(t.name)  # planned before the types grow
+    assert t.load_by_check(typed_src(spark, [(0, 100, "1.50"), (1, big, "1.5001"), *base[2:], (big, 1, "2")], long_), ["v", "w"], at(3)) == set(range(4))
+    assert running.count() == 21
+    assert [f.dataType.simpleString() for f in spark.table(t.name).schema][:3] == ["bigint", "bigint", "decimal(12,4)"]
+    seen = lambda df: sorted((r["k"], r["v"], float(r["w"]), r["valid_from"].day, r["valid_to"].day if r["valid_to"] else 0) for r in df.collect())
+    wanted = sorted([(0, 0, 1.5, 1, 2), (0, 100, 1.5, 2, 0), (1, 1, 1.5, 1, 3), (1, big, 1.5001, 3, 0), (big, 1, 2.0, 3, 0), *[(i, i, 1.5, 1, 0) for i in range(2, 20)]])
+    assert seen(spark.table(t.name)) == seen(t.read()) == wanted
+    assert seen(t.current()) == seen(spark.table(t.current_name)) == [r for r in wanted if r[4] == 0]
+    # rows that only moved are no change
+    assert sorted(r["k"] for r in t.opened_since(2).collect()) == [1, big] and not t.gone_since(2).count()
+    # a narrower delivery is cast up, and equal values make no load
+    same = [r for r in [(0, 100, "1.50"), *base[2:]]]
+    assert t.load_by_check(typed_src(spark, same, int_), ["v", "w"], at(4))
+    n = t.load_number()
+    assert not t.load_by_check(typed_src(spark, same, int_), ["v", "w"], at(5)) and t.load_number() == n
+    assert seen(spark.table(t.name)) == wanted
+    # narrowing, or another kind of type, is refused
+    with pytest.raises(ValueError, match="v is string"):
+        t.load_by_check(typed_src(spark, base, {**long_, "v": "string"}), ["v", "w"], at(6))
+    # closed parts of both tables are merged in time, and the older table goes
+    for day in range(7, 7 + 12):
+        t.load_by_check(typed_src(spark, [(i, day, "1.50") for i in range(20)], long_), ["v", "w"], at(day))
+    assert t.tables() == [f"{t.name}__parts2"] and not spark.catalog.tableExists(f"{t.name}__parts")
+    assert set(wanted[:1]) <= set(seen(spark.table(t.name))) and spark.table(t.name).count() == 22 + 20 * 12
+    t.drop()
+    assert not spark.catalog.tableExists(f"{t.name}__parts2")
+
+
+def test_a_load_that_died_while_types_grew_leaves_nothing(spark):
+    t = fresh_table(spark, "grown_failing", slices=2)
+    t.load_by_check(typed_src(spark, [(1, 1, "1")], {"k": "int", "v": "int"}), ["v"], at(1))
+    with pytest.raises(Exception, match="repeated key"):
+        t.load_by_check(typed_src(spark, [(1, 2, "1"), (1, 3, "1")], {"k": "int", "v": "bigint"}), ["v"], at(2))
+    assert spark.catalog.tableExists(f"{t.name}__parts2") and t.read().schema["v"].dataType.simpleString() == "int"
+    t.load_by_check(typed_src(spark, [(1, 2, "1")], {"k": "int", "v": "decimal(20,1)"}), ["v"], at(3))
+    assert [(int(r["v"]), r["valid_to"] is None) for r in spark.table(t.name).orderBy("valid_from").collect()] == [(1, False), (2, True)]
+    assert t.read().schema["v"].dataType.simpleString() == "decimal(20,1)"

@@ -102,3 +102,32 @@ def test_merge_takes_keys_out_and_computes_its_rows_once(spark, table):
     table.merge(fresh.filter("false"), gone=spark.range(0, 50).withColumnRenamed("id", "k"))
     assert rows(spark.table("sliced.t")) == rows(table.read()) == [] and table.taken() == 5
     assert table.merge(fresh.filter("false"), keys=fresh.filter("false"), taken=6) == set() and table.taken() == 6
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+@pytest.mark.parametrize("by_keys", [False, True])
+def test_types_grow_through_merges(spark, buckets, by_keys):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sliced")
+    t = SlicedTable(spark, f"sliced.grown_{buckets}_{by_keys}", ["k"], 4, buckets)
+    kind = lambda df, types: df.select(*[F.col(c).cast(x).alias(c) for c, x in types.items()])
+    rows_ = lambda *data: spark.createDataFrame(data, "k bigint, v bigint")
+    big = 3_000_000_000
+    t.overwrite(kind(rows_(*[(i, i) for i in range(12)]), {"k": "int", "v": "int"}))
+    running = t.read()
+    more = rows_((1, big), (big, 5))
+    extra = {"keys": more.select("k"), "gone": kind(rows_((2, 0)).select("k"), {"k": "int"})} if by_keys else {}
+    t.merge(more, taken=3, **extra)
+    assert running.count() == 12 and t.taken() == 3
+    wanted = {**{i: i for i in range(12)}, 1: big, big: 5}
+    if by_keys:
+        del wanted[2]
+    assert dict(map(tuple, t.read().collect())) == dict(map(tuple, spark.table(t.name).collect())) == wanted
+    assert [f.dataType.simpleString() for f in t.read().schema] == ["bigint", "bigint"]
+    other = SlicedTable(spark, t.name, ["k"])
+    assert len(other.merge(kind(rows_((3, 7)), {"k": "smallint", "v": "int"}))) == 1
+    assert dict(map(tuple, t.read().collect())) == {**wanted, 3: 7}
+    assert not spark.catalog.tableExists(f"{t.name}__slices")
+    with pytest.raises(ValueError, match="v is date"):
+        t.merge(spark.sql("SELECT 1L AS k, DATE'2024-01-01' AS v"))
+    t.drop()
+    assert not spark.catalog.tableExists(f"{t.name}__slices2")

@@ -257,6 +257,38 @@ def stored_history_column_vanishes(t):
     return t.spark.table(name).select(*cols, F.col("valid_to").isNull().alias("is_open"))
 
 
+_GROWN = "o_orderkey % 7 = 0"
+
+
+@query(f"""WITH v AS (SELECT o_orderkey, o_custkey, o_totalprice::DECIMAL(12,2) AS price, {_GROWN} AS grown FROM orders)
+  SELECT o_orderkey + 0 AS o_orderkey, o_custkey AS customer, price::DECIMAL(16,4) AS price, NOT grown AS is_open, 'history' AS layer FROM v
+  UNION ALL SELECT o_orderkey, o_custkey + 3000000000, (price + 0.0625)::DECIMAL(16,4), TRUE, 'history' FROM v WHERE grown
+  UNION ALL SELECT o_orderkey, o_custkey + CASE WHEN grown THEN 3000000000 ELSE 0 END, (price + CASE WHEN grown THEN 0.0625 ELSE 0 END)::DECIMAL(16,4), TRUE, 'gold' FROM v""")
+def types_grow_through_loads(t):
+    """The second delivery has bigint for int and a decimal of more digits; the third comes in the old types again and changes nothing.
+
+    Gold, merged from what each load opened, grows with it.
+    """
+    db, grown = t.work_database(), F.expr(_GROWN)
+    h = _new_history(HistoryTable(t.spark, f"{db}.growing", ["o_orderkey"], buckets=8, slices=8))
+    gold = SlicedTable(t.spark, f"{db}.growing_gold", ["o_orderkey"], 8)
+    gold.drop()
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    narrow = t.orders.select("o_orderkey", F.col("o_custkey").cast("int").alias("customer"), price.alias("price"))
+    wide = t.orders.select(
+        "o_orderkey", (F.col("o_custkey").cast("bigint") + F.when(grown, F.lit(3_000_000_000)).otherwise(F.lit(0))).alias("customer"),
+        (price + F.when(grown, F.lit("0.0625").cast("decimal(16,4)")).otherwise(F.lit(0).cast("decimal(16,4)"))).cast("decimal(16,4)").alias("price"))
+    for month, delivery in enumerate((narrow, wide, narrow.filter(~grown)), 1):
+        h.load_by_check(delivery, ["customer", "price"], run_at(month))
+        changed = h.opened_since(month - 1).select("o_orderkey", "customer", "price")
+        if gold.published():
+            gold.merge(tables.stage(changed, f"{db}.growing_increment"))
+        else:
+            gold.overwrite(changed)
+    shown = t.spark.table(h.name).select("o_orderkey", "customer", "price", F.col("valid_to").isNull().alias("is_open"), F.lit("history").alias("layer"))
+    return shown.unionByName(gold.read().select("*", F.lit(True).alias("is_open"), F.lit("gold").alias("layer")))
+
+
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
     CASE WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS changed_on,
     CASE WHEN o_orderkey % 10 = 0 THEN 3 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS taken_with
