@@ -2,9 +2,11 @@
 
 A text is cut into sentences, each normalised (A-Z in lower case, white space and quotation marks made plain, comment signs and
 closing punctuation taken off). Sentences end at line breaks too, but lines of a paragraph that are no known sentence by
-themselves are also read together, as hard-wrapped texts and file headers are. Sentences that match a known licence sentence as a whole get its identifier. The sequence of
-identifiers is then held against ordered licence rules, patterns over identifiers: each rule takes out what it matches, so a
-longer licence comes before the shorter ones that it contains. Identifiers that no rule takes are reported as they are.
+themselves are also read together, as hard-wrapped texts and file headers are. An SPDX expression of several licences is one
+sentence for each of them; the exceptions that it names are left out. Sentences that match a known licence sentence as a whole
+get its identifier. The sequence of identifiers is then held against ordered licence rules, patterns over identifiers: each rule
+takes out what it matches, so a longer licence comes before the shorter ones that it contains. Identifiers that no rule takes are
+reported as they are.
 
 Everything is a projection of one scan: no shuffle. Texts without any of the words that every known sentence holds one of are
 not cut at all.
@@ -25,9 +27,9 @@ SENTENCES = (
     ("spdx_mit", r"spdx-license-identifier: mit"),
     ("spdx_apache2", r"spdx-license-identifier: apache-2\.0"),
     ("spdx_bsd3", r"spdx-license-identifier: bsd-3-clause"),
-    ("spdx_gpl3", r"spdx-license-identifier: gpl-3\.0(-only|-or-later)?"),
-    ("spdx_gpl2", r"spdx-license-identifier: gpl-2\.0(-only|-or-later)?"),
-    ("spdx_lgpl", r"spdx-license-identifier: lgpl-(2\.1|3\.0)(-only|-or-later)?"),
+    ("spdx_gpl3", r"spdx-license-identifier: gpl-3\.0(-only|-or-later|\+)?"),
+    ("spdx_gpl2", r"spdx-license-identifier: gpl-2\.0(-only|-or-later|\+)?"),
+    ("spdx_lgpl", r"spdx-license-identifier: lgpl-(2\.1|3\.0)(-only|-or-later|\+)?"),
     ("spdx_agpl3", r"spdx-license-identifier: agpl-3\.0(-only|-or-later)?"),
     ("spdx_mpl2", r"spdx-license-identifier: mpl-2\.0"),
     ("spdx_epl2", r"spdx-license-identifier: epl-2\.0"),
@@ -75,7 +77,16 @@ SENTENCES = (
     ("zlib_as_is", r"this software is provided 'as-is', without any express or implied warranty"),
     ("zlib_grant", r"permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:?"),
     ("unlicense_free", r"this is free and unencumbered software released into the public domain"),
-    ("spdx_other", r"spdx-license-identifier: \(?[a-z0-9.+-]+( (and|or|with) \(?[a-z0-9.+-]+\)?)*\)?"),
+    ("spdx_other", r"spdx-license-identifier: [a-z0-9.+-]+"),
+    ("mit_title", r"(the )?mit licen[sc]e( \(mit\))?"),
+    ("apache2_title", r"apache licen[sc]e,? (version )?2\.0(, january 2004.{0,60})?"),
+    ("bsd3_title", r"(the )?(bsd 3-clause|3-clause bsd|new bsd|modified bsd) licen[sc]e"),
+    ("bsd2_title", r"(the )?(bsd 2-clause|2-clause bsd|simplified bsd) licen[sc]e"),
+    ("gpl3_title", r"gnu general public licen[sc]e,? version 3(, 29 june 2007.{0,60})?"),
+    ("gpl2_title", r"gnu general public licen[sc]e,? version 2(, june 1991.{0,60})?"),
+    ("mpl2_title", r"mozilla public licen[sc]e,? (version )?2\.0"),
+    ("isc_title", r"(the )?isc licen[sc]e"),
+    ("unlicense_title", r"the unlicense"),
     ("cc_by_nc4", r"(this (work|text|article|page|content) is )?licensed under (a )?(the )?(cc by-nc|creative commons attribution-noncommercial)( international)? 4\.0( international)?( license)?"),
     ("cc_by_nc_nd4", r"(this (work|text|article|page|content) is )?licensed under (a )?(the )?(cc by-nc-nd|creative commons attribution-noncommercial-noderivatives)( international)? 4\.0( international)?( license)?"),
     ("cc_by_sa4", r"(this (work|text|article|page|content) is )?licensed under (a )?(the )?(cc by-sa|creative commons attribution-sharealike)( international)? 4\.0( international)?( license)?"),
@@ -84,22 +95,22 @@ SENTENCES = (
 )
 # Licence rules in order; each is a pattern over identifiers, which all end in a comma.
 RULES = (
-    ("MIT", r"(copyright,)?(all_rights,)?(mit_named,)?(mit_grant,)(mit_notice,)(mit_as_is,)(mit_liable,)?"),
-    ("BSD-3-Clause", r"(copyright,)?(all_rights,)?(bsd_grant,)(bsd_source,)(bsd_binary,)(bsd_names,)"),
-    ("BSD-2-Clause", r"(copyright,)?(all_rights,)?(bsd_grant,)(bsd_source,)(bsd_binary,)"),
-    ("Apache-2.0", r"(copyright,)?(apache2_named,)(apache2_comply,)?(apache2_copy,)?(apache2_unless,)?(apache2_see,)?|spdx_apache2,"),
-    ("GPL-3.0", r"(copyright,)?(gpl3_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl3_named,|spdx_gpl3,"),
-    ("GPL-2.0", r"(copyright,)?(gpl2_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl2_named,|spdx_gpl2,"),
-    ("MIT", r"mit_named,|spdx_mit,|(mit_grant,)(mit_notice,)?"),
+    ("MIT", r"(mit_title,)?(copyright,)?(all_rights,)?(mit_named,)?(mit_grant,)(mit_notice,)(mit_as_is,)(mit_liable,)?"),
+    ("BSD-3-Clause", r"(bsd3_title,)?(copyright,)?(all_rights,)?(bsd_grant,)(bsd_source,)(bsd_binary,)(bsd_names,)|bsd3_title,"),
+    ("BSD-2-Clause", r"(bsd2_title,)?(copyright,)?(all_rights,)?(bsd_grant,)(bsd_source,)(bsd_binary,)|bsd2_title,"),
+    ("Apache-2.0", r"(copyright,)?(apache2_named,)(apache2_comply,)?(apache2_copy,)?(apache2_unless,)?(apache2_see,)?|apache2_title,|spdx_apache2,"),
+    ("GPL-3.0", r"(copyright,)?(gpl3_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl3_named,|gpl3_title,|spdx_gpl3,"),
+    ("GPL-2.0", r"(copyright,)?(gpl2_grant,)(gpl_warranty,)?(gpl_see,)?(gpl_copy,)?|gpl2_named,|gpl2_title,|spdx_gpl2,"),
+    ("MIT", r"mit_title,|mit_named,|spdx_mit,|(mit_grant,)(mit_notice,)?"),
     ("BSD", r"bsd_named,|bsd_grant,|spdx_bsd3,|spdx_bsd2,"),
     ("LGPL", r"(copyright,)?(lgpl_grant,)(gpl_warranty,)?|lgpl_named,|spdx_lgpl,"),
     ("AGPL-3.0", r"(copyright,)?(agpl3_grant,)(gpl_warranty,)?|agpl3_named,|spdx_agpl3,"),
-    ("MPL-2.0", r"mpl2_notice,|mpl2_named,|spdx_mpl2,"),
+    ("MPL-2.0", r"mpl2_notice,|mpl2_title,|mpl2_named,|spdx_mpl2,"),
     ("EPL-2.0", r"epl2_named,|spdx_epl2,"),
-    ("ISC", r"(isc_named,)?(copyright,)?(isc_grant,)(isc_as_is,)?|isc_named,|spdx_isc,"),
+    ("ISC", r"(isc_title,)?(isc_named,)?(copyright,)?(isc_grant,)(isc_as_is,)?|isc_title,|isc_named,|spdx_isc,"),
     ("BSL-1.0", r"(boost_named,)?(boost_grant,)|boost_named,|spdx_boost,"),
     ("Zlib", r"(copyright,)?(zlib_as_is,)(zlib_grant,)|spdx_zlib,"),
-    ("Unlicense", r"unlicense_free,|spdx_unlicense,"),
+    ("Unlicense", r"unlicense_title,|unlicense_free,|spdx_unlicense,"),
     ("CC-BY-NC-4.0", r"cc_by_nc4,"),
     ("CC-BY-NC-ND-4.0", r"cc_by_nc_nd4,"),
     ("CC-BY-SA-4.0", r"cc_by_sa4,"),
@@ -109,7 +120,7 @@ RULES = (
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ“”\"‘’`", "abcdefghijklmnopqrstuvwxyz''''''"
-_CUT = r"([.!?])[\x20\x09-\x0D]+|[\x0A\x0D]+"
+_CUT = r"([.!?])[\x20\x09-\x0D]+"
 _SPACE = r"[\x20\x09-\x0D]+"
 _EDGES = r"^[\x20*#/;<>|-]+|[\x20.!?*/#;<>|-]+$"
 
@@ -117,13 +128,18 @@ _EDGES = r"^[\x20*#/;<>|-]+|[\x20.!?*/#;<>|-]+$"
 #: A line that begins an item of a list.
 _ITEM = r"^(?:[0-9]{1,3}[.)]?$|(?:[0-9]{1,3}|[a-z])[.)] |\([0-9a-z]{1,3}\) )"
 _BREAK = r"\x0D\x0A|[\x0A\x0D]"
+# an SPDX expression: what comes before it, what goes, and what stands between its licences
+_SPDX = "spdx-license-identifier: "
+_SPDX_GOES, _SPDX_BETWEEN = r"[()]| with [a-z0-9.+-]+", r" (and|or) "
 
 
 def pieces(text: Column) -> Column:
     """Array of the normalised sentences and lines; an empty one stands wherever more than one line ends."""
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), _BREAK, "\n")
-    cut = F.split(F.regexp_replace(plain, r"([.!?])[\x20\x09-\x0D]+", "$1\n\n"), "\n", -1)
-    return F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(s, _SPACE, " "), _EDGES, ""))
+    cut = F.split(F.regexp_replace(plain, _CUT, "$1\n\n"), "\n", -1)
+    clean = F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(s, _SPACE, " "), _EDGES, ""))
+    named = lambda s: F.split(F.regexp_replace(F.regexp_replace(s, _SPDX_GOES, ""), _SPDX_BETWEEN, "\n" + _SPDX), "\n", -1)
+    return F.flatten(F.transform(clean, lambda s: F.when(s.startswith(_SPDX), named(s)).otherwise(F.array(s))))
 
 
 def _name(s: Column) -> Column:
@@ -168,14 +184,19 @@ def scanned(docs: DataFrame) -> DataFrame:
 def oracle() -> str:
     """The same in DuckDB SQL, from the same fixed values."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    cases = " ".join(f"WHEN regexp_full_match(s, {quote(p)}) THEN {quote(k)}" for k, p in SENTENCES)
+    name = lambda s: "CASE " + " ".join(f"WHEN regexp_full_match({s}, {quote(p)}) THEN {quote(k)}" for k, p in SENTENCES) + " END"
     rests = "".join(f", x{i + 1} AS (SELECT *, regexp_replace(rest{i}, {quote(f',({p})+')}, ',#,', 'g') AS rest{i + 1} FROM x{i})" for i, (_, p) in enumerate(RULES))
     names = ", ".join(f"CASE WHEN regexp_matches(rest{i}, {quote(f',({p})+')}) THEN {quote(n)} END" for i, (n, p) in enumerate(RULES))
     first = " ".join(f"WHEN {quote(n)} THEN {i}" for i, n in reversed(list(enumerate(n for n, _ in RULES))))
     return rf"""
-WITH s AS (SELECT doc_id, list_transform(string_split(regexp_replace(translate(coalesce(text, ''), {quote(_UPPER)}, {quote(_LOWER)}), '{_CUT}', '\1' || chr(10), 'g'), chr(10)),
-    lambda s: regexp_replace(regexp_replace(s, '{_SPACE}', ' ', 'g'), '{_EDGES}', '', 'g')) AS parts FROM documents),
-i AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: CASE {cases} END), lambda s: s IS NOT NULL) AS ids FROM s),
+WITH c AS (SELECT doc_id, list_transform(string_split(regexp_replace(regexp_replace(translate(coalesce(text, ''), {quote(_UPPER)}, {quote(_LOWER)}), '{_BREAK}', chr(10), 'g'),
+    '{_CUT}', '\1' || chr(10) || chr(10), 'g'), chr(10)), lambda s: regexp_replace(regexp_replace(s, '{_SPACE}', ' ', 'g'), '{_EDGES}', '', 'g')) AS lines FROM documents),
+p AS (SELECT doc_id, flatten(list_transform(lines, lambda s: CASE WHEN starts_with(s, '{_SPDX}')
+    THEN string_split(regexp_replace(regexp_replace(s, '{_SPDX_GOES}', '', 'g'), '{_SPDX_BETWEEN}', chr(10) || '{_SPDX}', 'g'), chr(10)) ELSE [s] END)) AS lines FROM c),
+u AS (SELECT doc_id, string_split(array_to_string(list_transform(lines, lambda s: coalesce(chr(10) || 'I' || {name('s')} || chr(10),
+    CASE WHEN s = '' THEN chr(10) WHEN regexp_matches(s, '{_ITEM}') THEN chr(10) || s WHEN ends_with(s, ':') THEN 'J' || s || chr(10) ELSE 'J' || s END)), ''), chr(10)) AS units FROM p),
+j AS (SELECT doc_id, list_transform(units, lambda u: CASE WHEN starts_with(u, 'I') THEN u WHEN regexp_matches(u, '[^J]J') THEN 'N' || ltrim(replace(u, 'J', ' '), ' ') END) AS units FROM u),
+i AS (SELECT doc_id, list_filter(list_transform(units, lambda u: CASE WHEN starts_with(u, 'I') THEN u[2:] ELSE {name('u[2:]')} END), lambda s: s IS NOT NULL) AS ids FROM j),
 x0 AS (SELECT doc_id, array_to_string(ids, ',') AS sentences, ',' || CASE WHEN len(ids) > 0 THEN array_to_string(ids, ',') || ',' ELSE '' END AS rest0 FROM i){rests},
 n AS (SELECT *, list_sort(list_distinct(list_transform(list_filter([{names}], lambda s: s IS NOT NULL), lambda s: {{'place': CASE s {first} END, 'name': s}}))) AS names FROM x{len(RULES)})
 SELECT doc_id, sentences, coalesce(array_to_string(list_transform(names, lambda s: s.name), ','), '') AS licenses,

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -274,7 +276,7 @@ WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
 See the License for the specific language governing permissions and
 limitations under the License.
 '''}
-SEEN = {"MIT": "copyright,mit_grant,mit_notice,mit_as_is,mit_liable", "BSD-3-Clause": "copyright,all_rights,bsd_grant,bsd_source,bsd_binary,bsd_names",
+SEEN = {"MIT": "mit_title,copyright,mit_grant,mit_notice,mit_as_is,mit_liable", "BSD-3-Clause": "copyright,all_rights,bsd_grant,bsd_source,bsd_binary,bsd_names",
         "Apache-2.0": "apache2_named,apache2_comply,apache2_copy,apache2_unless,apache2_see"}
 
 
@@ -336,12 +338,22 @@ def test_licences_over_white_space_and_further_names(spark):
         "# SPDX-License-Identifier: ISC": "ISC", "License: MIT": "MIT", "Licensed under MIT": "MIT", "SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
         "Licensed under the Mozilla Public License, v. 2.0.": "MPL-2.0", "Licensed under the Eclipse Public License 2.0": "EPL-2.0", "Released under the ISC license.": "ISC",
         "This is free and unencumbered software released into the public domain.": "Unlicense", "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
-        "Available under the GNU Affero General Public License, version 3.": "AGPL-3.0", "SPDX-License-Identifier: MIT OR Apache-2.0": "",
+        "Available under the GNU Affero General Public License, version 3.": "AGPL-3.0", "SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0,MIT",
+        "/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-2-Clause AND ISC */": "GPL-2.0,BSD,ISC", "SPDX-License-Identifier: GPL-3.0+": "GPL-3.0",
+        "MIT License": "MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Me": "MIT", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/": "Apache-2.0",
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0", "BSD 3-Clause License": "BSD-3-Clause", "We chose the MIT License because it is short.": "",
+        "SPDX-License-Identifier: LicenseRef-Mine": "",
     }
     docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
     got = {r.doc_id: r for r in licenses.scanned(docs).collect()}
     assert {t: got[i].licenses for i, t in enumerate(said)} == said
     assert got[len(said) - 1].unmatched == "spdx_other"
+    texts = [*said, None, "", "x", *(re.sub(r"(?m)^", sign, t).replace("\n", end) for t in [*WRAPPED.values(), *said] for sign, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\r")))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    columns = ("doc_id", "sentences", "licenses", "unmatched")
+    assert sorted(map(tuple, licenses.scanned(docs).select(*columns).collect())) == sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({licenses.oracle()})").fetchall())
 
 
 # 7 -------------------------------------------------------------------------------------------------------------------
