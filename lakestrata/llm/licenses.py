@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Repetitions of groups are possessive: Java follows others by recursion, and thousands of turns overflow its stack.
 # Sentences of public licences, normalised, as patterns; and what every one of them holds at least one of (single
 # words, as white space and line breaks may stand between two).
 CUE = r"(?i)licen[sc]e|copyright|redistribut|warrant|permission|domain|reserved|liable"
@@ -38,7 +39,7 @@ SENTENCES = (
     ("spdx_zlib", r"spdx-license-identifier: zlib"),
     ("spdx_unlicense", r"spdx-license-identifier: unlicense"),
     ("spdx_bsd2", r"spdx-license-identifier: bsd-2-clause"),
-    ("copyright", r"copyright (\(c\)|©)? ?[0-9][^,]*(, [0-9]+)* .{1,100}|copyright (\(c\)|©) .{1,100}"),
+    ("copyright", r"copyright (\(c\)|©)? ?[0-9][^,]*(, [0-9]+)*+ .{1,100}|copyright (\(c\)|©) .{1,100}"),
     ("all_rights", r"all rights reserved"),
     ("mit_named", r"(this (work|software|project|program|code) is )?(released|licensed|distributed|available) under (the )?(terms of )?(the )?mit( licen[sc]e)?|licen[sc]e: mit( licen[sc]e)?"),
     ("mit_grant", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files \(the 'software'\), to deal in the software without restriction.*"),
@@ -122,7 +123,7 @@ RULES = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ“”\"‘’`", "abcdefghijklmnopqrstuvwxyz''''''"
 _CUT = r"([.!?])[\x20\x09-\x0D]+"
 _SPACE = r"[\x20\x09-\x0D]+"
-_EDGES = r"^[\x20*#/;<>|-]+|[\x20.!?*/#;<>|-]+$"
+_BEFORE, _AFTER = " *#/;<>|-", " .!?*/#;<>|-"
 
 
 #: A line that begins an item of a list.
@@ -137,7 +138,7 @@ def pieces(text: Column) -> Column:
     """Array of the normalised sentences and lines; an empty one stands wherever more than one line ends."""
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), _BREAK, "\n")
     cut = F.split(F.regexp_replace(plain, _CUT, "$1\n\n"), "\n", -1)
-    clean = F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(s, _SPACE, " "), _EDGES, ""))
+    clean = F.transform(cut, lambda s: F.rtrim(F.ltrim(F.regexp_replace(s, _SPACE, " "), F.lit(_BEFORE)), F.lit(_AFTER)))
     named = lambda s: F.split(F.regexp_replace(F.regexp_replace(s, _SPDX_GOES, ""), _SPDX_BETWEEN, "\n" + _SPDX), "\n", -1)
     return F.flatten(F.transform(clean, lambda s: F.when(s.startswith(_SPDX), named(s)).otherwise(F.array(s))))
 
@@ -173,7 +174,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     named, rest = [], F.concat(F.lit(","), F.col("ids"))
     out = out.withColumn("rest0", rest)
     for i, (license, pattern) in enumerate(RULES):
-        whole = f",({pattern})+"
+        whole = f",({pattern})++"
         named.append(F.when(F.col(f"rest{i}").rlike(whole), license))
         out = out.withColumn(f"rest{i + 1}", F.regexp_replace(f"rest{i}", whole, ",#,"))
     unmatched = F.array_compact(F.transform(F.split(f"rest{len(RULES)}", ",", -1), lambda x: F.when(~x.isin("", "#"), x)))
@@ -184,13 +185,13 @@ def scanned(docs: DataFrame) -> DataFrame:
 def oracle() -> str:
     """The same in DuckDB SQL, from the same fixed values."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    name = lambda s: "CASE " + " ".join(f"WHEN regexp_full_match({s}, {quote(p)}) THEN {quote(k)}" for k, p in SENTENCES) + " END"
+    name = lambda s: "CASE " + " ".join(f"WHEN regexp_full_match({s}, {quote(p.replace(')*+', ')*'))}) THEN {quote(k)}" for k, p in SENTENCES) + " END"
     rests = "".join(f", x{i + 1} AS (SELECT *, regexp_replace(rest{i}, {quote(f',({p})+')}, ',#,', 'g') AS rest{i + 1} FROM x{i})" for i, (_, p) in enumerate(RULES))
     names = ", ".join(f"CASE WHEN regexp_matches(rest{i}, {quote(f',({p})+')}) THEN {quote(n)} END" for i, (n, p) in enumerate(RULES))
     first = " ".join(f"WHEN {quote(n)} THEN {i}" for i, n in reversed(list(enumerate(n for n, _ in RULES))))
     return rf"""
 WITH c AS (SELECT doc_id, list_transform(string_split(regexp_replace(regexp_replace(translate(coalesce(text, ''), {quote(_UPPER)}, {quote(_LOWER)}), '{_BREAK}', chr(10), 'g'),
-    '{_CUT}', '\1' || chr(10) || chr(10), 'g'), chr(10)), lambda s: regexp_replace(regexp_replace(s, '{_SPACE}', ' ', 'g'), '{_EDGES}', '', 'g')) AS lines FROM documents),
+    '{_CUT}', '\1' || chr(10) || chr(10), 'g'), chr(10)), lambda s: rtrim(ltrim(regexp_replace(s, '{_SPACE}', ' ', 'g'), '{_BEFORE}'), '{_AFTER}')) AS lines FROM documents),
 p AS (SELECT doc_id, flatten(list_transform(lines, lambda s: CASE WHEN starts_with(s, '{_SPDX}')
     THEN string_split(regexp_replace(regexp_replace(s, '{_SPDX_GOES}', '', 'g'), '{_SPDX_BETWEEN}', chr(10) || '{_SPDX}', 'g'), chr(10)) ELSE [s] END)) AS lines FROM c),
 u AS (SELECT doc_id, string_split(array_to_string(list_transform(lines, lambda s: coalesce(chr(10) || 'I' || {name('s')} || chr(10),
