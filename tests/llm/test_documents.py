@@ -331,6 +331,77 @@ def test_quality_reads_long_texts_in_parts(monkeypatch):
         assert all(len(p) < 400 or b"long" in p for p, _ in quality._parts(odd))
 
 
+def plain_features(text):
+    """Buckets of a text and their weights, one feature after the other."""
+    whole, P = (1 << 64) - 1, int(quality._P)
+
+    def bucket(h):
+        h &= whole
+        return ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 & whole) >> (64 - quality.BITS)
+
+    raw = bytes(32 if b <= 32 else b for b in b" " + text + b" ")
+    out = Counter()
+    for i in range(len(raw) - 2):
+        if raw[i + 1] != 32:
+            out[bucket(int.from_bytes(raw[i : i + 3], "little") * P)] += 1
+            if raw[i + 2] != 32:
+                out[bucket((int.from_bytes(raw[i : i + 4], "little") + (1 << 40)) * P)] += 1
+    hashes = [sum(b * pow(P, j, 1 << 64) for j, b in enumerate(w)) & whole for w in raw.split()]
+    for h in hashes:
+        out[bucket(h + 3)] += quality.WORD_WEIGHT
+    for g, h in zip(hashes, hashes[1:]):
+        out[bucket((g ^ h) + 5)] += quality.WORD_WEIGHT
+    return out
+
+
+def test_quality_equals_a_plain_network():
+    """Features, gradient descent, mean of the vectors and softmax, number by number, beside the folded model."""
+    rng = random.Random(3)
+    say = lambda vocabulary: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 30))).encode()
+    good, bad = ["the", "river", "über", "stone", "walks"], ["BUY", "now!!!", "$$$", "the", "click\there"]
+    rows = [(say(good if i % 2 else bad), i % 2) for i in range(40)]
+    counted = [(plain_features(t), y) for t, y in rows]
+    model = quality.fit([(np.array(sorted(c)), np.array([float(c[k]) for k in sorted(c)]), y) for c, y in counted])
+    draws = np.random.default_rng(quality.SEED)
+    first, dim = draws.uniform(-1, 1, (1 << quality.BITS, quality.DIM)) / quality.DIM, range(quality.DIM)
+    vectors = {k: [float(x) for x in first[k]] for c, _ in counted for k in c}
+    w = (draws.uniform(-1, 1, (2, quality.DIM)) / quality.DIM).tolist()
+    share = (sum(y for _, y in rows) + 1) / (len(rows) + 2)
+    bias, speed = [float(np.log(1 - share)), float(np.log(share))], dict.fromkeys(vectors, 1e-8)
+
+    def mean(c):
+        return [sum(n * vectors.get(k, first[k])[d] for k, n in c.items()) / max(sum(c.values()), 1) for d in dim]
+
+    def softmax(h):
+        z = [np.exp(sum(w[j][d] * h[d] for d in dim) + bias[j]) for j in (0, 1)]
+        return [x / sum(z) for x in z]
+
+    batches = -(-len(rows) // quality.BATCH)
+    for epoch in range(quality.EPOCHS):
+        order = draws.permutation(len(rows))
+        for b in range(batches):
+            rate = quality.RATE * (1 - (epoch * batches + b) / (quality.EPOCHS * batches))
+            chosen = [counted[i] for i in order[b * quality.BATCH : (b + 1) * quality.BATCH]]
+            grad, step = {}, [[0.0] * quality.DIM, [0.0] * quality.DIM]
+            for c, y in chosen:
+                h = mean(c)
+                off = [p - (j == y) for j, p in enumerate(softmax(h))]
+                for j in (0, 1):
+                    step[j] = [step[j][d] + off[j] * h[d] for d in dim]
+                for k, n in c.items():
+                    g = grad.setdefault(k, [0.0] * quality.DIM)
+                    for d in dim:
+                        g[d] += n / sum(c.values()) * sum(off[j] * w[j][d] for j in (0, 1))
+            w = [[w[j][d] - rate * step[j][d] / len(chosen) for d in dim] for j in (0, 1)]
+            for k, g in grad.items():
+                speed[k] += sum(x * x for x in g)
+                vectors[k] = [vectors[k][d] - rate * g[d] / speed[k] ** 0.5 for d in dim]
+    texts = [*(t for t, _ in rows), b"", b"   ", say(good + bad), b"unseen words alone", "großes Ü\u2028x".encode()]
+    assert model.scores(texts) == pytest.approx([softmax(mean(plain_features(t)))[1] for t in texts], abs=1e-5)
+    got = model.scores([t for t, _ in rows])
+    assert sum((p > 0.5) == bool(y) for p, (_, y) in zip(got, rows)) >= 36
+
+
 def test_licences_over_white_space_and_further_names(spark):
     said = {
         "This work is released into the public\ndomain.": "Public-Domain", "It was good.\nThis work is dedicated to the public  domain by me.": "Public-Domain",
@@ -565,3 +636,13 @@ def test_secrets_of_one_text_with_very_many(spark, monkeypatch):
         found, _ = ledger.findings(spark.createDataFrame(rows, "path long, text string"))
         got = {r.path: r.x for r in found.select("path", ledger.listed(found["found"], ["assign", "access", "hex"]).alias("x")).collect()}
         assert got == {i: listing(secret(t), ["assign", "access", "hex"]) for i, t in rows}
+
+
+def test_long_texts_with_very_many_finds(spark):
+    n = 20_000
+    texts = ["All rights reserved.\n" * n, "SPDX-License-Identifier: MIT\n" * n, "no cue " * n, "Copyright (c) 2001" + ", 2002" * n + " Me", "licence\n" + "- " * n * 10 + "x", ("MIT License\n" + "Copyright (c) 2020 Me\n") * n]
+    got = licenses.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [(r.sentences.count(",") + bool(r.sentences), r.licenses) for r in sorted(got)] == [(n, "Proprietary"), (n, "MIT"), (0, ""), (1, ""), (0, ""), (2 * n, "MIT")]
+    many = " ".join(f"user{i}@example.org" for i in range(n))
+    found = pii.find(spark.createDataFrame([(1, many)], "doc_id long, text string")).first()
+    assert len(found.pii.base) == n and all(x.startswith("email:") for x in found.pii.base)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from cases import documents, frame, personal
 from oracle import compare_with, duck
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from lakestrata.llm import chat, topk
@@ -85,6 +86,29 @@ def test_chat_windows_read_back(spark, budget, history):
     assert not any(w.over for w in formed.collect() if w.conv_id not in long and budget > 64)
 
 
+def test_columns_of_their_own_names_change_nothing(spark):
+    rows = conversations(2)
+    plain = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    own = ["key", "segment", "n", "place", "at", "window", "head", "body", "piece", "begin", "begins", "first", "total", "rows", "repeated", "leads", "formatted"]
+    crowded = plain.select("*", *[F.lit("x").alias(c) for c in own])
+    shown = lambda df: sorted(map(repr, chat.windows(df, 64, 16).collect()))
+    assert shown(crowded) == shown(plain)
+    vectors = spark.createDataFrame([(i, [float(i % 7), float(i % 5)]) for i in range(60)], "vec_id long, vector array<double>")
+    clash = vectors.select("*", *[F.lit("x").alias(c) for c in ("dims", "q", "c", "query", "score", "rank")])
+    ask = lambda df: df.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    assert sorted(topk.top_k(ask(clash), clash, 3).collect()) == sorted(topk.top_k(ask(vectors), vectors, 3).collect())
+
+
+def test_chat_of_one_turn_number_and_of_a_long_text(spark):
+    rows = [(1, 5, "user" if i % 2 else "assistant", f"said {i:04d}") for i in range(3000)] + [(2, None, "assistant", f"lost {i:04d}") for i in range(500)]
+    rows.append((3, 1, "assistant", "word <|im_end|> " * 100_000))
+    back = {r.conv_id: r for r in chat.read_back(chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    for c in (1, 2, 3):
+        # turns of one number go by role, size and text
+        want = sorted((role, text) for i, _, role, text in rows if i == c)
+        assert [tuple(t) for t in back[c].turns] == want and list(back[c].targets) == [t for role, t in want if role == "assistant"]
+
+
 def test_chat_repeats_system_and_limited_history(spark):
     rows = [(1, 0, "system", "be kind")] + [(1, t, "user" if t % 2 else "assistant", f"t{t} " * 20) for t in range(1, 30)]
     formed = sorted(chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 200, 50).collect(), key=lambda w: w.window)
