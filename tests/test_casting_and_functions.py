@@ -5,12 +5,14 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from conftest import rows
 from lakestrata.functions.casting import typed
 from lakestrata.functions.keys import band, date_key, surrogate_key
 from lakestrata.functions.text import star_after_each
 from lakestrata.functions.variant import field, set_field
+from lakestrata.functions.widening import common_type
 from lakestrata.operators.audit import AUDIT_COLUMNS, with_audit
 from lakestrata.operators.shaping import cast_columns, flatten_variant, split_bad_rows, sync_columns
 from lakestrata.plans import lodging
@@ -149,3 +151,14 @@ def test_schema_modes(spark):
     assert sync_columns(df, wanted, "ignore").columns == ["a", "gone"]
     with pytest.raises(ValueError):
         sync_columns(df, wanted, "fail")
+
+
+@pytest.mark.parametrize("a,b,both", [
+    ("int", "bigint", "bigint"), ("smallint", "smallint", "smallint"), ("int", "double", "double"), ("bigint", "double", None), ("float", "double", "double"),
+    ("decimal(10,2)", "decimal(12,2)", "decimal(12,2)"), ("decimal(10,2)", "decimal(10,4)", "decimal(12,4)"), ("decimal(38,0)", "decimal(10,2)", None),
+    ("int", "decimal(12,2)", "decimal(12,2)"), ("bigint", "decimal(10,2)", "decimal(21,2)"), ("void", "date", "date"), ("string", "int", None),
+    ("date", "timestamp", None), ("array<int>", "array<int>", "array<int>"), ("array<int>", "array<bigint>", None)])
+def test_common_types(spark, a, b, both):
+    x, y = (spark.createDataFrame([], f"c {t}").schema["c"].dataType if t != "void" else NullType() for t in (a, b))
+    for found in (common_type(x, y), common_type(y, x)):
+        assert (found and found.simpleString()) == both
