@@ -10,9 +10,9 @@ histogram of lengths, whatever the number of documents: the driver gets one row
 equal pieces (by their number among pieces of that length) which sequence and offset they take. Pieces are numbered where they
 are made, per task and length, and the tasks' counts are summed up; no length, however common, is gathered in one task.
 
-Tokenising is Python (Arrow batches). A text is cut at each space before a non-space, where the tokenizer's own splitting rule
-always cuts; what is between is looked up, and unknown chunks are encoded by the tokenizer and kept in a table of bounded size.
-Token ids are written once, in the shared folder, and read from there.
+Tokenising is Python (Arrow batches), whole texts at a time: words are so many that a table of their ids, looked up per word,
+costs more than encoding them. A Python worker reads the vocabulary once for all its tasks. Token ids are written once, in the
+shared folder, and read from there.
 
 Edge cases. A null or empty text is the end token alone. Equal and repeated rows are packed each for itself. Null doc_ids stay.
 An empty table gives an empty result. Only doc_id and text are read.
@@ -39,12 +39,10 @@ CAPACITY = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
-#: Chunks whose ids a Python worker remembers.
-MEMORY = 500_000
 #: Ids in one output batch.
 _BATCH_BYTES = 8 << 20
 
-# where the tokenizer may not cut before the space
+# unusual spacing
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 
 
@@ -52,7 +50,7 @@ class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit integers.
 
     ``vocabulary`` is read by the tokenizers library, which encodes whatever the fast way may not: texts with unusual spacing
-    and texts that hold the special token. ``ranks`` is the same vocabulary for tiktoken, which encodes unknown chunks.
+    and texts that hold the special token. ``ranks`` is the same vocabulary for tiktoken, which encodes all others.
     """
 
     def __init__(self, vocabulary: str, ranks: str):
@@ -71,8 +69,7 @@ class Encoder:
         self._special = [t.content for t in self._whole.get_added_tokens_decoder().values()]
         with open(path(ranks), "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self._chunk = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        self._known: dict[str, bytes] = {}
+        self._plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
@@ -84,18 +81,17 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if _UNSAFE.search(text) or any(s in text for s in self._special):
             return self._bytes(self._whole.encode(text, add_special_tokens=False).ids)
-        head, *rest = text.split(" ")
-        known = self._known
-        first = self._bytes(self._chunk(head))
-        try:
-            return first + b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            if len(known) > MEMORY:
-                known.clear()
-            for x in set(rest):
-                if x not in known:
-                    known[x] = self._bytes(self._chunk(" " + x))
-            return first + b"".join(map(known.__getitem__, rest))
+        return self._bytes(self._plain(text))
+
+
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder(vocabulary: str, ranks: str) -> Encoder:
+    """This worker's encoder of a vocabulary."""
+    if (vocabulary, ranks) not in _ENCODERS:
+        _ENCODERS[vocabulary, ranks] = Encoder(vocabulary, ranks)
+    return _ENCODERS[vocabulary, ranks]
 
 
 def _tokenize(vocabulary: str, ranks: str, capacity: int, end: int):
@@ -104,7 +100,7 @@ def _tokenize(vocabulary: str, ranks: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seen, encode = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), Encoder(vocabulary, ranks)
+        part, seen, encode = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(vocabulary, ranks)
         rows: list[tuple] = []
         held, schema = 0, None
 

@@ -163,6 +163,19 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         assert encode(t) + b"\2\0\0\0" == token_bytes(tokenizer, t), t
 
 
+def test_encoder_is_read_once_and_takes_whole_texts(tokenizer):
+    encode = packing.encoder(packing.VOCABULARY, packing.RANKS)
+    assert packing.encoder(packing.VOCABULARY, packing.RANKS) is encode
+    plain, calls = encode._plain, []
+    encode._plain = lambda text: calls.append(text) or plain(text)
+    try:
+        for t in [" ".join(f"w{i}x{j}." for j in range(50)) + "\nnext\n\nlast word" for i in range(20)]:
+            assert encode(t) + b"\2\0\0\0" == token_bytes(tokenizer, t)
+    finally:
+        encode._plain = plain
+    assert len(calls) == 20  # not one for each word that is new
+
+
 def test_pack_round_trip(spark, tokenizer):
     docs = frame(spark)
     packed = packing.pack(docs, capacity=128)
