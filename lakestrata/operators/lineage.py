@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestrata.sources.tables import COPIES
+
 Name = tuple[str, ...]
 
 
@@ -99,6 +101,7 @@ def lineage(df: DataFrame, name_of: Callable[[Name], str] = ".".join) -> dict[st
     """
     comes_from: dict[str, set[str]] = {}
     origin: dict[str, set[tuple[str, str]]] = {}
+    own: set[str] = set()  # columns of a published table that its storage holds under another name
 
     def expressions(e) -> Iterator:
         yield e
@@ -120,6 +123,12 @@ def lineage(df: DataFrame, name_of: Callable[[Name], str] = ".".join) -> dict[st
             for a, i in zip(output, ids):
                 origin.setdefault(i, set()).add((name_of(name), a.name()))
             continue
+        if _kind(node) == "View" and node.desc().properties().contains(COPIES):
+            again = node.desc().properties().apply(COPIES).split(",")
+            for a, i in zip(output, ids):
+                if a.name() in again:
+                    own.add(i)
+                    origin.setdefault(i, set()).add((name_of(_identifier(node.desc().identifier())), a.name()))
         children = list(_each(node.children()))
         given = [[a.exprId().toString() for a in _each(c.output())] for c in children]
         if _kind(node) in ("Union", "Intersect", "Except"):
@@ -146,7 +155,7 @@ def lineage(df: DataFrame, name_of: Callable[[Name], str] = ".".join) -> dict[st
 
     def sources(i: str, seen: set[str]) -> set[tuple[str, str]]:
         out = set(origin.get(i, ()))
-        for j in comes_from.get(i, ()):
+        for j in () if i in own else comes_from.get(i, ()):
             if j not in seen:
                 seen.add(j)
                 out |= sources(j, seen)

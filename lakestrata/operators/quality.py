@@ -110,7 +110,35 @@ def _as_comparable(df: DataFrame) -> DataFrame:
     return df.withColumns(documents) if documents else df
 
 
-def reconcile(a: DataFrame, b: DataFrame, mode: str = "multiset", fingerprint: bool = False) -> DataFrame:
+#: Bytes up to which a text is as good as its digest.
+_SHORT = 32
+
+
+def _short_texts(df: DataFrame) -> list[Column]:
+    """All columns, long texts as their SHA-256; the first byte tells a digest from a short text."""
+
+    def short(c: str) -> Column:
+        plain = F.col(f"`{c}`").cast("binary")
+        digest = F.concat(F.lit(b"\1"), F.unhex(F.sha2(plain, 256)))
+        return F.when(F.octet_length(plain) > _SHORT, digest).otherwise(F.concat(F.lit(b"\0"), plain)).alias(c)
+
+    return [short(f.name) if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in df.schema]
+
+
+def _unequal_by_digest(a: DataFrame, b: DataFrame, mode: str, leaves: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides whose leaf, a share of the rows by hash of their columns with short texts, holds a difference."""
+    # both sides in their common types, as they are compared
+    both = a.withColumn("__a", F.lit(True)).unionByName(b.withColumn("__a", F.lit(False)))
+    cols = a.columns
+    slim = both.select(*_short_texts(both.select(*cols)), "__a")
+    leaf = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(leaves)).alias("__leaf")
+    off = reconcile(*(slim.filter(F.col("__a") == side).select(*cols) for side in (True, False)), mode=mode).select(leaf).distinct()
+    # at most ``leaves`` numbers
+    left = both.withColumn("__leaf", F.pmod(F.xxhash64(*_short_texts(both.select(*cols))), F.lit(leaves))).join(F.broadcast(off), "__leaf", "left_semi")
+    return left.filter("__a").select(*cols), left.filter(~F.col("__a")).select(*cols)
+
+
+def reconcile(a: DataFrame, b: DataFrame, mode: str = "multiset", fingerprint: bool = False, texts: str = "whole") -> DataFrame:
     """Rows on which two tables differ, with the side and number of surplus copies.
 
     Both sides are tagged and grouped by all columns: each is read once, one
@@ -123,8 +151,16 @@ def reconcile(a: DataFrame, b: DataFrame, mode: str = "multiset", fingerprint: b
     row is shuffled at first, and the full rows of the fingerprints that do not
     balance are fetched and compared exactly.  It reads both sides twice, and a
     difference could hide only behind two unequal rows with equal fingerprints.
+
+    ``texts="digest"`` suits long texts: all other columns are shuffled as they
+    are, and texts above 32 bytes as their SHA-256.  Rows near a difference
+    are read again and compared whole.
     """
     a, b = _as_comparable(a), _as_comparable(b)
+    if texts == "digest":
+        a, b = _unequal_by_digest(a, b, mode)
+    elif texts != "whole":
+        raise ValueError(f"texts must be 'whole' or 'digest', not {texts!r}")
     if fingerprint:
         marks = [a.select(*_fingerprint(a.columns)), b.select(*_fingerprint(a.columns))]
         off = reconcile(*marks, mode=mode).select("__h1", "__h2").distinct()

@@ -47,7 +47,7 @@ class Medallion:
     layers: Layers
     gold_mode: str = "table"
     names: HistoryColumns = DEFAULT
-    buckets: int | None = None
+    buckets: int | None = None  # at least; a history takes more for more rows, and gold as many as its history
     slices: int = 16  # of histories and incremental gold tables; some hundred MB each at most
     hard_deletes: str = "ignore"
     bindings: Bindings = field(default_factory=Bindings)
@@ -99,14 +99,14 @@ class Medallion:
             propagate_by_lineage(self.bindings, self.name(layer, table), self._catalog.lineage(rows))
         return rows
 
-    def _bronze(self, table: str, rows: DataFrame) -> None:
-        tables.materialize_table(self._carry_tags(rows, "BRONZE", table), self.name("BRONZE", table))
+    def _bronze(self, table: str, rows: DataFrame, copies: dict[str, str] | None = None) -> None:
+        tables.materialize_table(self._carry_tags(rows, "BRONZE", table), self.name("BRONZE", table), copies=copies)
 
     def bronze_listings(self, ctx: RunContext) -> None:
         self._bronze("Listings", lodging.bronze_listings(self.read("LANDING", "Listings"), ctx))
 
     def bronze_reviews(self, ctx: RunContext) -> None:
-        self._bronze("Reviews", lodging.bronze_reviews(self.read("LANDING", "Reviews"), ctx))
+        self._bronze("Reviews", lodging.bronze_reviews(self.read("LANDING", "Reviews"), ctx), dict.fromkeys(lodging.COMMENT_COPIES, "comments"))
 
     def bronze_drivers(self, ctx: RunContext) -> None:
         self._bronze("Drivers", lodging.bronze_drivers(self.read("LANDING", "Drivers"), ctx))
@@ -126,9 +126,9 @@ class Medallion:
         """Rebuild a gold table, or merge what silver's loads have changed into the slices that it touches."""
         silver, name = self.silver("Listings"), self.name("GOLD", table)
         if self.gold_mode == "table":
-            tables.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), name, buckets=(self.buckets, key) if self.buckets else None)
+            tables.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), name, buckets=(silver.buckets, key) if silver.buckets else None)
             return
-        gold, load = SlicedTable(self.spark, name, [key], self.slices, self.buckets), silver.load_number()
+        gold, load = SlicedTable(self.spark, name, [key], silver.slices, silver.buckets), silver.load_number()
         taken = gold.taken()
         if full_refresh or taken is None or taken > load:
             gold.overwrite(self._carry_tags(build(silver.current()), "GOLD", table), load)
@@ -161,7 +161,7 @@ class Medallion:
             Check("reviews_listing_id_is_number", lambda: of_type(bronze("Reviews"), "listing_id", "number"), frozenset({dq, p1})),
             Check("reviews_row_count", lambda: compare_row_count(land("Reviews"), bronze("Reviews")), frozenset({dq, p1})),
             Check("reviews_content",
-                  lambda: reconcile(lodging.landed_reviews(land("Reviews")).select(*reviews), bronze("Reviews").select(*reviews), "set"),
+                  lambda: reconcile(lodging.landed_reviews(land("Reviews")).select(*reviews), bronze("Reviews").select(*reviews), "set", texts="digest"),
                   frozenset({p1, recon})),
             Check("drivers_row_count", lambda: compare_row_count(land("Drivers"), bronze("Drivers")), frozenset({p1, recon})),
             Check("drivers_content",

@@ -140,6 +140,7 @@ class SlicedTable:
         load, base = self._state()
         if not load:
             raise ValueError(f"{self.name} has not been written")
+        in_place = False
         source, wider = self._fitted(source)
 
         def stored(touched: set[int]) -> DataFrame:
@@ -155,11 +156,15 @@ class SlicedTable:
             left = [df.select(*[F.col(k).cast(kinds[k.lower()]).alias(k) for k in self.key]) for df in (left, gone) if df is not None]
             left = left[0] if gone is None else left[0].unionByName(left[1])
             touched = self._slices_of(left)
-            merged = stored(touched).join(left, self.key, "left_anti").unionByName(merge_upsert(source, None, self.key, duplicates=duplicates, latest_by=latest_by))
+            fresh = merge_upsert(source, None, self.key, duplicates=duplicates, latest_by=latest_by)
+            in_place = bool(self.buckets) and not wider
+            if in_place:  # stored rows stay in their buckets' tasks, and only keys and new rows are shuffled
+                left, fresh = left.hint("merge"), fresh.repartition(self.buckets, *self.key)
+            merged = stored(touched).join(left, self.key, "left_anti").unionByName(fresh)
         if wider:
             return self._write(merged, load + 1, load + 1, taken=taken, number=self.number + 1)
         if touched:
-            self._write(merged, load + 1, base, touched, taken)
+            self._write(merged, load + 1, base, touched, taken, in_place=in_place)
         elif taken is not None and taken != self.taken():
             self.spark.sql(f"ALTER VIEW {self.name} SET TBLPROPERTIES ('{_TAKEN}' = '{taken}')")
         return touched
@@ -174,8 +179,12 @@ class SlicedTable:
             self._write(update_where(self.read(touched), condition, changes), load + 1, base, touched)
         return touched
 
-    def _write(self, df: DataFrame, load: int, base: int, within: set[int] | None = None, taken: int | None = None, number: int | None = None) -> set[int]:
-        """Store a load, in a new table of that ``number`` if one is given, and move the view on; returns the slices that hold rows of it."""
+    def _write(self, df: DataFrame, load: int, base: int, within: set[int] | None = None, taken: int | None = None, number: int | None = None,
+               in_place: bool = False) -> set[int]:
+        """Store a load, in a new table of that ``number`` if one is given, and move the view on; returns the slices that hold rows of it.
+
+        Rows ``in_place`` are dealt by bucket already.
+        """
         parts, older = (self.parts if number is None else self._table(number)), self.number - 1
         if number is not None:
             self.spark.sql(f"DROP TABLE IF EXISTS {parts}")  # left by a load that failed
@@ -183,11 +192,11 @@ class SlicedTable:
         if not exists(self.spark, parts):
             cols, keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), ", ".join(f"`{k}`" for k in self.key)
             hashed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS" if self.buckets else ""
-            self.spark.sql(f"CREATE TABLE {parts} ({cols}) USING parquet PARTITIONED BY ({_SLICE}, {_SEQ}){hashed}")
+            self.spark.sql(f"CREATE TABLE {parts} ({cols}) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({_SLICE}, {_SEQ}){hashed}")
         self._drop(parts, self._stored(parts), lambda n, _: n >= load)  # left by a load that failed
         table = self.spark.table(parts)
         # a task per bucket, or few tasks per slice and several for a large one
-        dealt = rows.repartition(self.buckets, *self.key) if self.buckets else rows.hint("rebalance", F.col(_SLICE))
+        dealt = rows if in_place else rows.repartition(self.buckets, *self.key) if self.buckets else rows.hint("rebalance", F.col(_SLICE))
         dealt.select(*table.columns).write.insertInto(parts)
         stored = self._stored(parts)
         wrote = {s for s, loads in stored.items() if load in loads}

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lakestrata.settings import Layers
 
-_VERSION = "lakestrata.version"
+_VERSION, COPIES = "lakestrata.version", "lakestrata.copies"
 
 
 def exists(spark: SparkSession, name: str) -> bool:
@@ -49,8 +49,11 @@ def _versions(spark: SparkSession, name: str) -> list[str]:
     return [f"{name}__v{n}" for n in numbers]
 
 
-def _publish(spark: SparkSession, name: str, v: int, keep: int) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION}' = '{v}') AS SELECT * FROM {name}__v{v}")
+def _publish(spark: SparkSession, name: str, v: int, keep: int, columns: list[str] | None = None, copies: dict[str, str] | None = None) -> None:
+    """Point the view at version ``v``; with ``copies``, it names again what the version holds once."""
+    listed = ", ".join(f"`{copies[c]}` AS `{c}`" if c in copies else f"`{c}`" for c in columns) if copies else "*"
+    held = f", '{COPIES}' = '{','.join(copies)}'" if copies else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION}' = '{v}'{held}) AS SELECT {listed} FROM {name}__v{v}")
     for old in _versions(spark, name):
         if int(old.rpartition("__v")[2]) < v - keep:
             spark.sql(f"DROP TABLE IF EXISTS {old}")
@@ -64,11 +67,13 @@ def partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
 
 
 def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = None, keep: int = 1,
-              buckets: tuple[int, str] | None = None) -> None:
+              buckets: tuple[int, str] | None = None, copies: dict[str, str] | None = None) -> None:
     """Replace the whole content; ``df`` may read ``name`` itself.  One writer at a time.
 
     ``buckets`` (their number, the column) stores rows hashed and sorted for
-    joins on that column.
+    joins on that column.  ``copies`` names columns of ``df`` that repeat
+    another one in every row: that one alone is stored, and the view shows it
+    under all its names.
 
     Partitioning carries over from the version before unless stated.  Rows of
     a partitioned table are rebalanced on its partition columns first: small
@@ -81,6 +86,7 @@ def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = N
         have = {c.lower() for c in df.columns}
         partition_by = tuple(c for c in partition_columns(spark, name) if c.lower() in have)
     spark.sql(f"DROP TABLE IF EXISTS {name}__v{v}")  # left by a load that failed
+    columns, df = df.columns, df.drop(*copies or ())
     if partition_by:
         writer = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
     else:
@@ -89,8 +95,8 @@ def overwrite(df: DataFrame, name: str, partition_by: tuple[str, ...] | None = N
         n, column = buckets
         dealt = df.repartition(n, column)  # nothing to do where the rows come from such buckets
         writer = (dealt.write.partitionBy(*partition_by) if partition_by else dealt.write).bucketBy(n, column).sortBy(column)
-    writer.format("parquet").saveAsTable(f"{name}__v{v}")
-    _publish(spark, name, v, keep)
+    writer.format("parquet").option("compression", "zstd").saveAsTable(f"{name}__v{v}")
+    _publish(spark, name, v, keep, columns, copies)
 
 
 materialize_table = overwrite
@@ -115,11 +121,15 @@ def append(df: DataFrame, name: str) -> None:
     """Add rows, matched to the table by column name; the table is created when absent.
 
     Other columns than the table's are an error, not dropped or made up.
+    Columns that were stored once get their own place first: new rows may
+    differ in them.
     """
     spark = df.sparkSession
     if version(spark, name) == 0:
         overwrite(df, name)
         return
+    if COPIES in properties(spark, name):
+        overwrite(spark.table(name), name)
     target = physical(spark, name)
     columns = spark.table(target).columns
     odd = {c.lower() for c in columns} ^ {c.lower() for c in df.columns}
@@ -160,6 +170,9 @@ def update_table(spark: SparkSession, name: str, condition: Column, changes: dic
 
 def create_like(spark: SparkSession, src: str, name: str) -> None:
     """Empty table of the same shape."""
+    if COPIES in properties(spark, src):
+        create_table(spark, name, spark.table(src).schema)
+        return
     v = version(spark, name) + 1
     spark.sql(f"DROP TABLE IF EXISTS {name}__v{v}")
     spark.sql(f"CREATE TABLE {name}__v{v} LIKE {physical(spark, src)}")

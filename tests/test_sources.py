@@ -12,6 +12,7 @@ from lakestrata.operators.history import current_rows
 from lakestrata.plans import lodging
 from lakestrata.settings import scratch_root
 from lakestrata.sources import files, registry, tables
+from lakestrata.sources.governed import GovernedCatalog
 from lakestrata.sources.history_table import HistoryTable
 from lakestrata.streaming.arrivals import arriving_csv, history_of_arrivals, land_arrivals
 
@@ -262,3 +263,21 @@ def test_drop_finds_every_version(spark, db):
         tables.overwrite(spark.range(2).toDF("k"), f"{db}.many", keep=9)
     tables.drop(spark, f"{db}.many")
     assert spark.sql(f"SHOW TABLES IN {db} LIKE 'many*'").count() == 0
+
+
+def test_copies_are_stored_once(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS copied")
+    n, like = "copied.r", "copied.like_r"
+    tables.drop(spark, n, like)
+    df = spark.createDataFrame([(1, "x", "x", 2), (2, None, None, 3)], "k int, c string, c2 string, z int")
+    tables.overwrite(df, n, copies={"c2": "c"})
+    assert spark.table(n).columns == df.columns and rows(spark.table(n)) == rows(df)
+    assert spark.table(tables.physical(spark, n)).columns == ["k", "c", "z"]
+    # each name keeps its own lineage
+    assert {c: {x for _, x in found} for c, found in GovernedCatalog(spark).lineage(spark.table(n)).items()} == {c: {c} for c in df.columns}
+    tables.create_like(spark, n, like)
+    assert spark.table(like).schema.fieldNames() == df.columns and spark.table(like).count() == 0
+    other = spark.createDataFrame([(3, "x", "other", 2)], df.schema)
+    tables.append(other, n)
+    assert rows(spark.table(n)) == rows(df.union(other))
+    tables.drop(spark, n, like)
