@@ -43,7 +43,7 @@ from lakestrata.operators.history import (
 from lakestrata.settings import RunContext
 from lakestrata.sources.tables import exists, properties
 
-_LOAD, _SLICES, _TABLES = "lakestrata.load", "lakestrata.slices", "lakestrata.tables"
+_LOAD, _SLICES, _TABLES, _BUCKETS = "lakestrata.load", "lakestrata.slices", "lakestrata.tables", "lakestrata.buckets"
 _SEQ, _STATE, _SLICE = "load_seq", "row_state", "key_slice"
 # the load that opened a version, and the one that closed it
 _OPENED, _CLOSED = "opened_seq", "closed_seq"
@@ -52,6 +52,21 @@ _OWN_TYPES = {c: T.IntegerType() for c in _OWN} | {_STATE: T.StringType()}
 
 #: Closed parts of a slice that are left side by side.
 CLOSED_PARTS = 8
+#: Bytes of rows in memory that a bucket holds at most when a history is first written: a task sorts whole buckets.
+BUCKET_BYTES = 128 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: a word a column, and what has no fixed length."""
+    size = F.lit(8 * (len(df.columns) + 1)).cast("long")
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            plain = F.col(f"`{f.name}`")
+            value = plain if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(plain))
+            size += F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            size += 16
+    return size
 
 
 @dataclass(frozen=True)
@@ -76,9 +91,10 @@ def checksum(df: DataFrame, columns: list[str]) -> Column:
 
 class HistoryTable:
     """``buckets`` stores rows hashed and sorted by key, so that a later load
-    joins against the open set without shuffling it again.  ``slices`` is
-    fixed when the table is first written (and made to divide ``buckets``);
-    a slice should hold some hundred MB at most."""
+    joins against the open set without shuffling it again.  The first load
+    doubles their number until a bucket holds ``BUCKET_BYTES`` at most.
+    ``slices`` is fixed when the table is first written (and made to divide
+    ``buckets``); a slice should hold some hundred MB at most."""
 
     def __init__(self, spark: SparkSession, name: str, key: list[str], names: HistoryColumns = DEFAULT,
                  hard_deletes: str = "ignore", buckets: int | None = None, slices: int = 16):
@@ -87,8 +103,10 @@ class HistoryTable:
         self.states = name + "__state"
         self.current_name = name + "__current"
         self._known: tuple[int, dict[int, _Slice]] = (0, {})
-        held = properties(spark, name).get(_SLICES) if exists(spark, name) else None
-        self.slices = int(held) if held else gcd(slices, buckets) if buckets else slices
+        held = properties(spark, name) if exists(spark, name) else {}
+        self.slices = int(held[_SLICES]) if _SLICES in held else gcd(slices, buckets) if buckets else slices
+        if _BUCKETS in held:
+            self.buckets = int(held[_BUCKETS]) or None
 
     def load_number(self) -> int:
         return int(properties(self.spark, self.name).get(_LOAD, 0)) if exists(self.spark, self.name) else 0
@@ -193,7 +211,9 @@ class HistoryTable:
         n = self.load_number()
         before = self._state(n)
         source, wider = self._fitted(source) if n else (source, {})
-        digests = self._digests(source, compared)
+        digests, size = self._digests(source, compared)
+        while not n and self.buckets and size > self.buckets * BUCKET_BYTES:
+            self.buckets *= 2
         touched = {s for s, d in digests.items() if s not in before or before[s].digest != d}
         if self.hard_deletes != "ignore":
             touched |= {s for s, x in before.items() if s not in digests and x.digest}
@@ -227,15 +247,15 @@ class HistoryTable:
                 source = source.withColumn(f.name, F.col(f.name).cast(both).alias(f.name, metadata=f.metadata))
         return source, wider
 
-    def _digests(self, source: DataFrame, compared: list[str]) -> dict[int, str]:
-        """Checksum of each slice of a delivery; other columns, or other types of them, make another one."""
+    def _digests(self, source: DataFrame, compared: list[str]) -> tuple[dict[int, str], int]:
+        """Checksum of each slice of a delivery; other columns, or other types of them, make another one.  And the bytes of all."""
         kinds = {f.name.lower(): f.dataType.simpleString() for f in source.schema}
         own = {c.lower() for c in compared}
         columns = [*self.key, *sorted(compared)]
         shape = ",".join(f"{c} {k if c in own else ''}" for c, k in sorted(kinds.items()))
-        found = source.groupBy(self.slice_of().alias(_SLICE)).agg(checksum(source, columns).alias("digest"))
-        # one row per slice
-        return {r[_SLICE]: f"{r['digest']} {shape}" for r in found.collect()}
+        found = source.groupBy(self.slice_of().alias(_SLICE)).agg(checksum(source, columns).alias("digest"), F.sum(row_bytes(source)).alias("size"))
+        found = found.collect()  # one row per slice
+        return {r[_SLICE]: f"{r['digest']} {shape}" for r in found}, sum(r["size"] for r in found)
 
     def _commit(self, n: int, moved: DataFrame, before: dict[int, _Slice], digests: dict[int, str], wider: dict[str, T.DataType]) -> None:
         closed = F.col(self.names.valid_to).isNotNull()
@@ -301,7 +321,7 @@ class HistoryTable:
         keys = ", ".join(f"`{k}`" for k in self.key)
         hashed = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS" if self.buckets else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {tables[-1]}")  # left by a load that failed
-        self.spark.sql(f"CREATE TABLE {tables[-1]} ({listed(columns)}) USING parquet PARTITIONED BY ({_SEQ}, {_STATE}, {_SLICE}){hashed}")
+        self.spark.sql(f"CREATE TABLE {tables[-1]} ({listed(columns)}) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({_SEQ}, {_STATE}, {_SLICE}){hashed}")
         return tables
 
     def _stored(self, table: str) -> list[tuple[int, str, int]]:
@@ -318,7 +338,7 @@ class HistoryTable:
         numbers = ",".join(str(self._generation(t)) for t in tables)
         for name, of, where in ((self.current_name, tables[-1:], _where_open(state)), (self.name, tables, _where_all(n, state))):
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_LOAD}' = '{n}', '{_SLICES}' = '{self.slices}', '{_TABLES}' = '{numbers}') "
+                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_LOAD}' = '{n}', '{_SLICES}' = '{self.slices}', '{_BUCKETS}' = '{self.buckets or 0}', '{_TABLES}' = '{numbers}') "
                 f"AS {self._sql(of, where, _where_closed(n, state))}")
 
     def drop(self) -> None:

@@ -356,3 +356,21 @@ def test_a_load_that_died_while_types_grew_leaves_nothing(spark):
     t.load_by_check(typed_src(spark, [(1, 2, "1")], {"k": "int", "v": "decimal(20,1)"}), ["v"], at(3))
     assert [(int(r["v"]), r["valid_to"] is None) for r in spark.table(t.name).orderBy("valid_from").collect()] == [(1, False), (2, True)]
     assert t.read().schema["v"].dataType.simpleString() == "decimal(20,1)"
+
+
+def test_first_load_takes_more_buckets_for_more_rows(spark, monkeypatch):
+    from lakestrata.sources import history_table
+
+    monkeypatch.setattr(history_table, "BUCKET_BYTES", 4000)
+    t, data = fresh_table(spark, "buckets", buckets=2), [(k, "v" * 30, 1) for k in range(300)]
+    t.drop()
+    t = fresh_table(spark, "buckets", buckets=2)
+    t.load_by_check(src(spark, data), ["v", "w"], at(1))
+    assert t.buckets >= 300 * 38 // 4000 and t.buckets % 2 == 0 and t.slices == 2
+    again, changed = fresh_table(spark, "buckets", buckets=2), [(k, "w" if k % 3 == 0 else v, w) for k, v, w in data]
+    assert again.buckets == t.buckets
+    again.load_by_check(src(spark, changed), ["v", "w"], at(2))
+    plain = load(spark, changed, load(spark, data, None, 1), 2)
+    assert shown(again.read()) == shown(plain)
+    stored = spark.sql("DESCRIBE FORMATTED hist.buckets__parts").filter("col_name = 'Num Buckets'").first()["data_type"]
+    assert int(stored) == t.buckets
