@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _QUOTE = '"'
-_ROWS = 4096
+#: Lines taken out of a batch at a time, and the characters of records in one output batch: what a task holds of the files.
+_ROWS = 512
+_CHARS = 1 << 20
 _KEY = "file string, block long"
 
 
@@ -88,6 +90,13 @@ def _effects(sep: str):
     return run
 
 
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def _batch(rows: list[tuple], kinds: tuple, names: tuple) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(names))
@@ -101,13 +110,14 @@ def _cut(sep: str, pieces: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, inside, head, top, cr = None, [], False, False, False, False
         out: list[tuple] = []
+        chars = 0
 
         def left() -> None:
             """What the range's end cuts off."""
             if held and pieces:
                 out.append((*key, not head, top, cr, "\n".join(held)))
 
-        for batch in batches:
+        for batch in _some(batches):
             files, blocks = batch.column("file").dictionary_encode(), batch.column("block").to_pylist()
             names_of, codes = files.dictionary.to_pylist(), files.indices.to_pylist()
             for code, block, entry, line in zip(codes, blocks, batch.column("inside").to_pylist(), batch.column("value").to_pylist()):
@@ -123,10 +133,11 @@ def _cut(sep: str, pieces: bool):
                         if len(held) > 1:
                             line = "\n".join(held)
                         out.append((*key, not head, top, cr, line))
+                        chars += len(line)
                     cr, head, top, held = line.endswith("\r"), False, False, []
-                    if len(out) >= _ROWS:
+                    if chars >= _CHARS or len(out) >= 8 * _ROWS:
                         yield _batch(out, kinds, names)
-                        out = []
+                        out, chars = [], 0
         left()
         yield _batch(out, kinds, names)
 

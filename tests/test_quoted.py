@@ -72,3 +72,14 @@ def test_swapped_header_fails_in_every_file(spark, tmp_path, cut_at):
     cut_at(64)
     with pytest.raises(Exception, match="header does not name"):
         files.read_csv(spark, str(tmp_path), ["a", "b", "c"], {}).collect()
+
+
+@pytest.mark.parametrize("pieces", [False, True])
+def test_what_a_task_holds_is_bounded_by_bytes(pieces):
+    import pyarrow as pa
+
+    n = 3000
+    batch = pa.RecordBatch.from_pydict({"file": ["f"] * n, "block": [0] * n, "inside": [False] * n, "value": [f"{i}," + "x" * 5000 for i in range(n)]})
+    out = list(quoted._cut(",", pieces)(iter([batch])))
+    assert [r for b in out for r in b.column("record").to_pylist()] == ([] if pieces else batch.column("value").to_pylist())
+    assert max(b.nbytes for b in out) < 3 << 20
